@@ -56,10 +56,8 @@ def latest_or_pinned(df: DataFrame, d: str, pinned: str | None = None, per: Sequ
         return df.withColumn("__newest", newest).filter(
             F.col("__newest").isNull() | (F.col(d) == F.col("__newest"))
         ).drop("__newest")
-    newest = df.agg(F.max(d).alias("__newest"))  # one row: broadcast-safe
-    return df.crossJoin(F.broadcast(newest)).filter(
-        F.col("__newest").isNull() | (F.col(d) == F.col("__newest"))
-    ).drop("__newest")
+    newest = df.select(F.max(d)).scalar()  # scalar subquery, evaluated once
+    return df.filter(newest.isNull() | (F.col(d) == newest))
 
 
 # FLT-5
