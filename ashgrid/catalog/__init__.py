@@ -3,7 +3,7 @@
 Importing this package imports every catalog module, which fills the registry.
 """
 
-from . import evaluation, series, serving, spatial  # noqa: F401
+from . import evaluation, rasters, series, serving, spatial  # noqa: F401
 from .registry import HEADLINE, ORACLE_SQL, QUERIES
 
 __all__ = ["QUERIES", "ORACLE_SQL", "HEADLINE"]

@@ -98,12 +98,13 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """8x8 lon/lat tiles: pixel size 0.05 deg, origin from the tile id."""
+    """8x8 lon/lat tiles: pixel size 0.05 deg, origin from the tile id.  Every
+    11th tile declares 9 rows (a bad tile), every 5th a projected CRS."""
     e = table(spark, sf_dir, "embeddings")
     t = F.col("vec_id")
     return e.select(
         t.alias("tile"),
-        F.lit(8).alias("rows"),
+        F.when(t % 11 == 0, F.lit(9)).otherwise(F.lit(8)).alias("rows"),
         F.lit(8).alias("cols"),
         F.lit(0.05).alias("a"),
         F.lit(0.0).alias("b"),
@@ -111,7 +112,7 @@ def tiles(spark: SparkSession, sf_dir: str) -> DataFrame:
         F.lit(0.0).alias("d"),
         F.lit(-0.05).alias("e"),
         (F.lit(60.0) - (t % 23).cast("double") / 2).alias("f"),
-        F.when(t % 3 == 0, F.lit(4326)).when(t % 3 == 1, F.lit(None).cast("int")).otherwise(F.lit(4326)).alias("epsg"),
+        F.when(t % 5 == 4, F.lit(32610)).when(t % 3 == 1, F.lit(None).cast("int")).otherwise(F.lit(4326)).alias("epsg"),
         F.element_at("embedding", 2).cast("double").alias("nodata"),
         F.transform("embedding", lambda x: x.cast("double")).alias("values"),
     )
@@ -214,12 +215,12 @@ VIEW_SQL = {
              CAST(o_orderdate AS DATE) AS d
       FROM orders""",
     "tiles": """
-      SELECT vec_id AS tile, 8 AS rows, 8 AS cols, CAST(0.05 AS DOUBLE) AS a, CAST(0.0 AS DOUBLE) AS b,
+      SELECT vec_id AS tile, CASE WHEN vec_id % 11 = 0 THEN 9 ELSE 8 END AS rows, 8 AS cols, CAST(0.05 AS DOUBLE) AS a, CAST(0.0 AS DOUBLE) AS b,
              -139.0 + CAST(vec_id % 50 AS DOUBLE) / 2 AS c, CAST(0.0 AS DOUBLE) AS d, CAST(-0.05 AS DOUBLE) AS e,
              60.0 - CAST(vec_id % 23 AS DOUBLE) / 2 AS f,
-             CASE WHEN vec_id % 3 = 1 THEN NULL ELSE 4326 END AS epsg,
+             CASE WHEN vec_id % 5 = 4 THEN 32610 WHEN vec_id % 3 = 1 THEN NULL ELSE 4326 END AS epsg,
              CAST(embedding[2] AS DOUBLE) AS nodata,
-             list_transform(embedding, x -> CAST(x AS DOUBLE)) AS "values"
+             CAST(embedding AS DOUBLE[]) AS "values"
       FROM embeddings""",
     "tile_names": """
       SELECT p_partkey AS pk, CASE

@@ -220,19 +220,23 @@ def nearest_join(
     cell: float | None = None,
     radius: float = C.EARTH_RADIUS_KM,
     checkpoint: bool = True,
+    group: Sequence[str] = (),
 ) -> DataFrame:
     """Exact haversine nearest candidate for every query row.
 
     Output: q_key, ``nn_key`` (candidate key, null when there is none),
     ``dist_km`` and the ``payload`` columns of the winning candidate.
-    Ties on distance go to the smaller candidate key.
+    Ties on distance go to the smaller candidate key.  With ``group`` columns
+    (e.g. a layer) present on both sides, the search runs per group value in
+    the same job (the group is part of the join key).
     """
+    g = list(group)
     payload = [p for p in payload if p not in (c_key,)]
     if cell is None:
         cell = choose_cell(candidates, c_lat, c_lon)
-    q = queries.select(F.col(q_key).alias("__q"), F.col(q_lat).alias("__la"), F.col(q_lon).alias("__lo"))
+    q = queries.select(*g, F.col(q_key).alias("__q"), F.col(q_lat).alias("__la"), F.col(q_lon).alias("__lo"))
     cand = candidates.select(
-        F.col(c_key).alias("__c"), F.col(c_lat).alias("__cla"), F.col(c_lon).alias("__clo"),
+        *g, F.col(c_key).alias("__c"), F.col(c_lat).alias("__cla"), F.col(c_lon).alias("__clo"),
         *[F.col(p) for p in payload],
     )
     pending = q
@@ -241,16 +245,16 @@ def nearest_join(
     while True:
         final = ncols <= 3  # the block covers the whole sphere
         ci, cj, _ = _cell_cols(F.col("__la"), F.col("__lo"), ncols)
-        qx = _block(pending.select("__q", "__la", "__lo"), ci, cj, ncols)
+        qx = _block(pending.select(*g, "__q", "__la", "__lo"), ci, cj, ncols)
         cci, ccj, _ = _cell_cols(F.col("__cla"), F.col("__clo"), ncols)
         cx = cand.withColumns({"__ci": cci, "__cj": ccj})
-        pairs = qx.join(cx, ["__ci", "__cj"])
+        pairs = qx.join(cx, [*g, "__ci", "__cj"])
         dist = haversine_km("__la", "__lo", "__cla", "__clo", radius)
-        best = pairs.withColumn("__d", dist).groupBy("__q").agg(
+        best = pairs.withColumn("__d", dist).groupBy(*g, "__q").agg(
             F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w")
         )
-        scored = pending.join(best, "__q", "left").select(
-            "__q", "__la", "__lo", "__w",
+        scored = pending.join(best, [*g, "__q"], "left").select(
+            *g, "__q", "__la", "__lo", "__w",
             (F.lit(final) | F.coalesce(F.col("__w.__d") < _lower_bound_km(F.col("__la"), F.col("__lo"), ncols, radius),
                                        F.lit(False))).alias("__ok"),
         )
@@ -259,7 +263,7 @@ def nearest_join(
         done.append(scored.filter("__ok"))
         if final:
             break
-        pending = scored.filter(~F.col("__ok")).select("__q", "__la", "__lo")
+        pending = scored.filter(~F.col("__ok")).select(*g, "__q", "__la", "__lo")
         if checkpoint and pending.isEmpty():
             break
         ncols = max(3, (ncols + 1) // 2)  # double the cell size
@@ -267,6 +271,7 @@ def nearest_join(
     for d in done[1:]:
         allw = allw.unionByName(d)
     return allw.select(
+        *g,
         F.col("__q").alias(q_key),
         F.col("__w.__c").alias("nn_key"),
         F.col("__w.__d").alias("dist_km"),
