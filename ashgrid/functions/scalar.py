@@ -124,12 +124,19 @@ def clip_round_rating(x, lo: int = 1, hi: int = 5) -> Column:
     return F.least(F.greatest(r, F.lit(float(lo))), F.lit(float(hi))).cast("int")
 
 
+def round1(x) -> Column:
+    """One decimal, ties up on the binary value: floor(10x + 0.5) / 10.
+    Plain double arithmetic, so every engine gives the same bits (decimal
+    rounding of the printed value differs from binary rounding on ties)."""
+    return F.floor(col(x) * 10 + 0.5) / 10
+
+
 # FN-9
 def explain_values(precip_14day_sum, max_temp, max_wind_speed) -> dict[str, Column]:
     return {
-        "rain14_mm": F.bround(col(precip_14day_sum) * 1000, 1),
-        "maxtemp_c": F.bround(col(max_temp) - F.lit(C.C_TO_K), 1),
-        "wind_ms": F.bround(col(max_wind_speed), 1),
+        "rain14_mm": round1(col(precip_14day_sum) * 1000),
+        "maxtemp_c": round1(col(max_temp) - F.lit(C.C_TO_K)),
+        "wind_ms": round1(max_wind_speed),
     }
 
 
