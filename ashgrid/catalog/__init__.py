@@ -3,7 +3,7 @@
 Importing this package imports every catalog module, which fills the registry.
 """
 
-from . import evaluation, publishing, rasters, series, serving, spatial  # noqa: F401
+from . import evaluation, learning, publishing, rasters, series, serving, spatial  # noqa: F401
 
 publishing._register_features_only()
 from .registry import HEADLINE, ORACLE_SQL, QUERIES
