@@ -34,6 +34,20 @@ PAYLOAD_SCHEMA = T.StructType(
 )
 
 
+def parse_documents(raw: DataFrame, schema: T.StructType = PAYLOAD_SCHEMA, file_col: str = "source_file") -> DataFrame:
+    """Text rows (``value``: one JSON object or array of objects) -> one row per
+    location object with its position ``pos`` in the document."""
+    v = F.col("value")
+    docs = F.when(F.ltrim(v).startswith("["), F.from_json(v, T.ArrayType(schema))).otherwise(
+        F.array(F.from_json(v, schema))
+    )
+    rows = raw.select(F.col(file_col), F.posexplode(docs).alias("pos", "o"))
+    return rows.select(
+        F.coalesce(F.col("o.chunk").cast("string"), F.col(file_col)).alias("chunk"),
+        "pos", file_col, "o.latitude", "o.longitude", "o.daily", "o.hourly",
+    )
+
+
 def read_payloads(spark: SparkSession, path: str, whole_file: bool = False,
                   schema: T.StructType = PAYLOAD_SCHEMA) -> DataFrame:
     """One row per location object with its position ``pos`` in the response.
@@ -43,16 +57,8 @@ def read_payloads(spark: SparkSession, path: str, whole_file: bool = False,
     line is a document, which keeps large landings splittable.  ``chunk`` is
     the object's own chunk id when present, else the source file.
     """
-    raw = spark.read.text(path, wholetext=whole_file)
-    v = F.col("value")
-    docs = F.when(F.ltrim(v).startswith("["), F.from_json(v, T.ArrayType(schema))).otherwise(
-        F.array(F.from_json(v, schema))
-    )
-    rows = raw.select(F.col("_metadata.file_path").alias("source_file"), F.posexplode(docs).alias("pos", "o"))
-    return rows.select(
-        F.coalesce(F.col("o.chunk").cast("string"), F.col("source_file")).alias("chunk"),
-        "pos", "source_file", "o.latitude", "o.longitude", "o.daily", "o.hourly",
-    )
+    raw = spark.read.text(path, wholetext=whole_file).select("value", F.col("_metadata.file_path").alias("source_file"))
+    return parse_documents(raw, schema)
 
 
 def _flatten(payloads: DataFrame, part: str, names: list[str], keys: list[str]) -> DataFrame:
