@@ -13,7 +13,8 @@ Design for scale
   larger than the least possible distance to anything outside its block.
   Unproved points are retried with doubled cells until the block covers the
   globe, so the result is exact without any broadcast of the candidate side.
-  Each level's winners are checkpointed to the shared checkpoint dir.
+  Each level's winners (one row per pending query point) are persisted, so
+  no level is recomputed by the next one or by the final union.
   Partial aggregation of ``min_by`` runs map-side, and AQE's skew-join
   handling splits hot cells; a cell holding a third of all candidates then
   costs parallel tasks, not one.
@@ -24,6 +25,7 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -175,6 +177,20 @@ def _lower_bound_km(lat: Column, lon: Column, ncols: int, radius: float) -> Colu
     return F.least(lat_b, lon_b)
 
 
+def _ncols_for(best_km: float | None, max_abs_lat: float | None, radius: float) -> int:
+    """Columns (cells of 360/ncols degrees) whose 3x3 block proves a best
+    distance of ``best_km`` at latitudes up to ``max_abs_lat``; a large
+    number when there is no candidate yet (the caller still halves ncols)."""
+    if best_km is None:
+        return 1 << 30
+    cosphi = math.cos(math.radians(min(max_abs_lat or 0.0, 89.9)))
+    x = math.sin(min(best_km / radius, math.pi / 2)) / max(cosphi, 1e-9)
+    if x >= 1.0:
+        return 3
+    need = math.degrees(max(math.asin(x), best_km / radius)) * 1.001
+    return max(3, int(360.0 / need))
+
+
 _OFFSETS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
 
 
@@ -259,14 +275,21 @@ def nearest_join(
                                        F.lit(False))).alias("__ok"),
         )
         if checkpoint and not final:
-            scored = scored.checkpoint(eager=True)
+            # one row per pending query point: keep it for the next level and
+            # the final union instead of recomputing the join
+            scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
         done.append(scored.filter("__ok"))
         if final:
             break
-        pending = scored.filter(~F.col("__ok")).select(*g, "__q", "__la", "__lo")
-        if checkpoint and pending.isEmpty():
+        left = scored.filter(~F.col("__ok"))
+        pending = left.select(*g, "__q", "__la", "__lo")
+        if not checkpoint:
+            ncols = max(3, (ncols + 1) // 2)
+            continue
+        st = left.agg(F.count(F.lit(1)).alias("n"), F.max("__w.__d").alias("d"), F.max(F.abs("__la")).alias("phi")).first()
+        if not st["n"]:
             break
-        ncols = max(3, (ncols + 1) // 2)  # double the cell size
+        ncols = max(3, min((ncols + 1) // 2, _ncols_for(st["d"], st["phi"], radius)))
     allw = done[0]
     for d in done[1:]:
         allw = allw.unionByName(d)

@@ -54,6 +54,28 @@ def mae(y="y", p="p") -> Column:
     return F.avg(F.abs(_d(y) - _d(p)))
 
 
+def confusion_counts(df: DataFrame, y: str = "y", p: str = "p", group: Sequence[str] = ()) -> DataFrame:
+    """(group, y, p) -> n.  The one pass over the scored rows: partial counts
+    are combined map-side, so the shuffle carries at most groups x K^2 rows."""
+    return df.groupBy(*group, F.col(y).alias("__y"), F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
+
+
+def _kappa_from_counts(conf: DataFrame, g: list[str]) -> DataFrame:
+    from pyspark.sql import Window
+
+    labels = conf.select(*g, F.col("__y").alias("lab")).union(conf.select(*g, F.col("__p").alias("lab"))).distinct()
+    pos = labels.withColumn("pos", F.dense_rank().over(Window.partitionBy(*g).orderBy("lab")).cast("double"))
+    j = (conf.join(pos.withColumnsRenamed({"lab": "__y", "pos": "__py"}), [*g, "__y"])
+             .join(pos.withColumnsRenamed({"lab": "__p", "pos": "__pp"}), [*g, "__p"]))
+    a, b, n = F.col("__py"), F.col("__pp"), F.col("__n").cast("double")
+    s = j.groupBy(*g).agg(
+        F.sum(n * F.pow(a - b, 2)).alias("num"), F.sum(n * a * a).alias("sy2"), F.sum(n * b * b).alias("sp2"),
+        F.sum(n * a).alias("sy"), F.sum(n * b).alias("sp"), F.sum(n).alias("n"),
+    )
+    den = F.col("sy2") + F.col("sp2") - F.lit(2.0) * F.col("sy") * F.col("sp") / F.col("n")
+    return s.select(*g, (F.lit(1.0) - F.try_divide(F.col("num"), F.nullif(den, F.lit(0.0)))).alias("qwk"))
+
+
 # MET-3
 def quadratic_kappa(df: DataFrame, y: str = "y", p: str = "p", group: Sequence[str] = ()) -> DataFrame:
     """Quadratic weighted kappa in closed form.
@@ -61,48 +83,25 @@ def quadratic_kappa(df: DataFrame, y: str = "y", p: str = "p", group: Sequence[s
     Labels are replaced by their position among the labels present in y or p
     (per group), as the usual definition does; then
     kappa = 1 - sum((y-p)^2) / (sum(y^2) + sum(p^2) - 2 sum(y) sum(p) / n).
-    The label set is a handful of classes, so the position table is broadcast.
+    Everything after the confusion counts runs on at most K^2 rows per group.
     Null when the denominator is 0 (constant, equal y and p).
     """
-    g = list(group)
-    labels = (
-        df.select(*g, F.col(y).alias("lab"))
-        .union(df.select(*g, F.col(p).alias("lab")))
-        .distinct()
-    )
-    from pyspark.sql import Window
-
-    pos = labels.withColumn("pos", F.dense_rank().over(Window.partitionBy(*g).orderBy("lab")).cast("double"))
-    py = pos.withColumnRenamed("lab", "__y").withColumnRenamed("pos", "__py")
-    pp = pos.withColumnRenamed("lab", "__p").withColumnRenamed("pos", "__pp")
-    j = (
-        df.select(*g, F.col(y).alias("__y"), F.col(p).alias("__p"))
-        .join(F.broadcast(py), [*g, "__y"])
-        .join(F.broadcast(pp), [*g, "__p"])
-    )
-    a, b = F.col("__py"), F.col("__pp")
-    s = j.groupBy(*g).agg(
-        F.sum(F.pow(a - b, 2)).alias("num"),
-        F.sum(a * a).alias("sy2"),
-        F.sum(b * b).alias("sp2"),
-        F.sum(a).alias("sy"),
-        F.sum(b).alias("sp"),
-        F.count(F.lit(1)).cast("double").alias("n"),
-    )
-    den = F.col("sy2") + F.col("sp2") - F.lit(2.0) * F.col("sy") * F.col("sp") / F.col("n")
-    return s.select(*g, (F.lit(1.0) - F.try_divide(F.col("num"), F.nullif(den, F.lit(0.0)))).alias("qwk"))
+    return _kappa_from_counts(confusion_counts(df, y, p, group), list(group))
 
 
 def ordinal_report(df: DataFrame, y: str = "y", p: str = "p", group: Sequence[str] = ()) -> DataFrame:
-    """MET-1, MET-2, MET-3, MET-8 and n in one frame (one row per group)."""
+    """MET-1, MET-2, MET-3, MET-8 and n in one frame (one row per group), all
+    from one pass over the data (the confusion counts)."""
     g = list(group)
-    base = df.groupBy(*g).agg(
-        F.count(F.lit(1)).alias("n"),
-        exact_accuracy(y, p).alias("exact"),
-        within_one(y, p).alias("within_one"),
-        signed_bias(y, p).alias("bias"),
+    conf = confusion_counts(df, y, p, g)
+    n = F.col("__n")
+    base = conf.groupBy(*g).agg(
+        F.sum(n).alias("n"),
+        (F.sum(F.when(F.col("__y") == F.col("__p"), n).otherwise(0)) / F.sum(n)).alias("exact"),
+        (F.sum(F.when(F.abs(F.col("__y") - F.col("__p")) <= 1, n).otherwise(0)) / F.sum(n)).alias("within_one"),
+        (F.sum(n * (F.col("__p") - F.col("__y")).cast("double")) / F.sum(n)).alias("bias"),
     )
-    k = quadratic_kappa(df, y, p, g)
+    k = _kappa_from_counts(conf, g)
     if g:
         return base.join(k, g)
     one = F.lit(1).alias("__one")  # both sides are one row: equi-join on a constant
