@@ -255,6 +255,10 @@ def nearest_join(
         *g, F.col(c_key).alias("__c"), F.col(c_lat).alias("__cla"), F.col(c_lon).alias("__clo"),
         *[F.col(p) for p in payload],
     )
+    if cand.isEmpty():  # nothing to find: every query gets a null neighbour
+        return q.select(*g, F.col("__q").alias(q_key), F.lit(None).cast(candidates.schema[c_key].dataType).alias("nn_key"),
+                        F.lit(None).cast("double").alias("dist_km"),
+                        *[F.lit(None).cast(candidates.schema[p].dataType).alias(p) for p in payload])
     pending = q
     done: list[DataFrame] = []
     ncols = max(3, math.ceil(360.0 / float(cell)))
@@ -286,10 +290,14 @@ def nearest_join(
         if not checkpoint:
             ncols = max(3, (ncols + 1) // 2)
             continue
-        st = left.agg(F.count(F.lit(1)).alias("n"), F.max("__w.__d").alias("d"), F.max(F.abs("__la")).alias("phi")).first()
+        st = left.agg(F.count(F.lit(1)).alias("n"), F.max("__w.__d").alias("d"), F.max(F.abs("__la")).alias("phi"),
+                      F.count_if(F.col("__w").isNull()).alias("lonely")).first()
         if not st["n"]:
             break
-        ncols = max(3, min((ncols + 1) // 2, _ncols_for(st["d"], st["phi"], radius)))
+        # points with no candidate in their block grow 4x, the others as far as
+        # their best distance needs (at least 2x)
+        grow = (ncols + 3) // 4 if st["lonely"] else (ncols + 1) // 2
+        ncols = max(3, min(grow, _ncols_for(st["d"], st["phi"], radius)))
     allw = done[0]
     for d in done[1:]:
         allw = allw.unionByName(d)
