@@ -239,13 +239,8 @@ SELECT id, round((la - avg(la) OVER ()) / stddev_pop(la) OVER (), 8) AS z_la,
            round((lo - avg(lo) OVER ()) / stddev_pop(lo) OVER (), 8) AS z_lo FROM ratings""")
 def standard_scaler(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-9: z-scores with the population standard deviation.  The moments are
-    one global aggregate (scalar subqueries), not a global window."""
-    df = _ratings(spark, sf_dir)
-    mom = df.agg(F.avg("la").alias("m_la"), F.stddev_pop("la").alias("s_la"),
-                 F.avg("lo").alias("m_lo"), F.stddev_pop("lo").alias("s_lo"))
-    m = {c: mom.select(c).scalar() for c in mom.columns}
-    return df.select(
-        "id",
-        S.round8((F.col("la") - m["m_la"]) / m["s_la"]).alias("z_la"),
-        S.round8((F.col("lo") - m["m_lo"]) / m["s_lo"]).alias("z_lo"),
-    )
+    one global aggregate (one row), not a global window."""
+    from ..operators.models import standardize
+
+    z = standardize(_ratings(spark, sf_dir), ["la", "lo"])
+    return z.select("id", S.round8("la").alias("z_la"), S.round8("lo").alias("z_lo"))

@@ -17,6 +17,11 @@ def exclude_keys(df: DataFrame, key: str, excluded: Sequence[str] = C.EXCLUDED_S
     """Drop the listed keys (compared as strings); a null key is dropped too,
     because it would otherwise form a window group of its own."""
     k = F.col(key)
+    if df.schema[key].dataType.typeName() in ("long", "integer", "short", "byte"):
+        # an integer's text is canonical, so the string test equals a numeric
+        # one, which the parquet reader can push down
+        nums = [int(x) for x in excluded if x.lstrip("-").isdigit() and str(int(x)) == x]
+        return df.filter(k.isNotNull() & ~k.isin(nums))
     return df.filter(k.isNotNull() & ~k.cast("string").isin(list(excluded)))
 
 
@@ -50,12 +55,14 @@ def latest_or_pinned(df: DataFrame, d: str, pinned: str | None = None, per: Sequ
     if pinned is not None:
         return df.filter(F.col(d) == F.lit(pinned).cast(df.schema[d].dataType))
     if per:
-        from pyspark.sql import Window
-
-        newest = F.max(d).over(Window.partitionBy(*per))
-        return df.withColumn("__newest", newest).filter(
-            F.col("__newest").isNull() | (F.col(d) == F.col("__newest"))
-        ).drop("__newest")
+        # one row per group (e.g. per layer): the newest date, joined back on
+        # the group key; a window partitioned by the group would put a whole
+        # layer into one task
+        from .geo import broadcast_if_small
+
+        newest = df.groupBy(*per).agg(F.max(d).alias("__newest"))
+        j = df.join(broadcast_if_small(newest), list(per))
+        return j.filter(F.col("__newest").isNull() | (F.col(d) == F.col("__newest"))).drop("__newest")
     newest = df.select(F.max(d)).scalar()  # scalar subquery, evaluated once
     return df.filter(newest.isNull() | (F.col(d) == newest))
 

@@ -55,13 +55,13 @@ def rf_regressor(features: Sequence[str], trees: int = 100, seed: int = 42) -> P
 
 # ML-9
 def standardize(df: DataFrame, features: Sequence[str]) -> DataFrame:
-    """z-scores with the population standard deviation (one global aggregate
-    whose values enter the plan as scalar subqueries)."""
-    mom = df.agg(*[F.avg(c).alias(f"m_{c}") for c in features], *[F.stddev_pop(c).alias(f"s_{c}") for c in features])
+    """z-scores with the population standard deviation: one global aggregate
+    (a single row of moments) whose values enter the plan as literals."""
+    mom = df.agg(*[F.avg(c).alias(f"m_{c}") for c in features], *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).first()
     exprs = {}
     for c in features:
-        m, s = mom.select(f"m_{c}").scalar(), mom.select(f"s_{c}").scalar()
-        exprs[c] = F.coalesce(F.try_divide(F.col(c) - m, F.nullif(s, F.lit(0.0))), F.lit(0.0))
+        m, s = mom[f"m_{c}"], mom[f"s_{c}"]
+        exprs[c] = F.lit(0.0) if not s else (F.col(c) - F.lit(m)) / F.lit(s)
     return df.withColumns(exprs)
 
 
