@@ -3,7 +3,7 @@
 Importing this package imports every catalog module, which fills the registry.
 """
 
-from . import evaluation, learning, publishing, rasters, resume, series, serving, spatial  # noqa: F401
+from . import evaluation, jobs, learning, publishing, rasters, resume, series, serving, spatial  # noqa: F401
 
 publishing._register_features_only()
 resume.register_all()

@@ -237,6 +237,7 @@ def nearest_join(
     radius: float = C.EARTH_RADIUS_KM,
     checkpoint: bool = True,
     group: Sequence[str] = (),
+    salt: int = 1,
 ) -> DataFrame:
     """Exact haversine nearest candidate for every query row.
 
@@ -245,6 +246,11 @@ def nearest_join(
     Ties on distance go to the smaller candidate key.  With ``group`` columns
     (e.g. a layer) present on both sides, the search runs per group value in
     the same job (the group is part of the join key).
+
+    ``salt`` > 1 splits every cell's candidates into that many buckets (by a
+    hash of the candidate key) and repeats each query block per bucket, so a
+    cell holding a large share of all candidates is joined by ``salt``
+    tasks; the per-query ``min_by`` then combines the buckets.
     """
     g = list(group)
     payload = [p for p in payload if p not in (c_key,)]
@@ -268,7 +274,12 @@ def nearest_join(
         qx = _block(pending.select(*g, "__q", "__la", "__lo"), ci, cj, ncols)
         cci, ccj, _ = _cell_cols(F.col("__cla"), F.col("__clo"), ncols)
         cx = cand.withColumns({"__ci": cci, "__cj": ccj})
-        pairs = qx.join(cx, [*g, "__ci", "__cj"])
+        keys = [*g, "__ci", "__cj"]
+        if salt > 1:
+            cx = cx.withColumn("__s", F.pmod(F.xxhash64("__c"), F.lit(salt)))
+            qx = qx.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+            keys.append("__s")
+        pairs = qx.join(cx, keys)
         dist = haversine_km("__la", "__lo", "__cla", "__clo", radius)
         best = pairs.withColumn("__d", dist).groupBy(*g, "__q").agg(
             F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w")

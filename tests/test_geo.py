@@ -41,6 +41,18 @@ def test_nearest_equals_brute_force(spark, cell):
     assert got == brute(qs, cs)
 
 
+def test_nearest_salted_equals_unsalted(spark):
+    rnd = random.Random(3)
+    qs = [(i, rnd.uniform(45, 55), rnd.uniform(-125, -115)) for i in range(80)]
+    # one hot cell holds most candidates
+    cs = [(j, 50.0 + rnd.random() * 0.01, -120.0 + rnd.random() * 0.01) for j in range(300)]
+    cs += [(1000 + j, rnd.uniform(45, 55), rnd.uniform(-125, -115)) for j in range(30)]
+    q = spark.createDataFrame(qs, "k long, lat double, lon double")
+    c = spark.createDataFrame(cs, "sk long, lat double, lon double")
+    got = {r.k: r.nn_key for r in G.nearest_join(q, c, "k", "sk", cell=0.5, salt=7).collect()}
+    assert got == brute(qs, cs)
+
+
 def test_nearest_across_antimeridian(spark):
     q = spark.createDataFrame([(1, 10.0, 179.95)], "k long, lat double, lon double")
     c = spark.createDataFrame([(1, 10.0, -179.95), (2, 10.0, 179.0)], "sk long, lat double, lon double")
