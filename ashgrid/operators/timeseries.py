@@ -99,21 +99,26 @@ def interpolate(
     out = df.withColumn(rn, F.row_number().over(w))
     back = w.rowsBetween(Window.unboundedPreceding, 0)
     fwd = w.rowsBetween(0, Window.unboundedFollowing)
+    if causal:
+        return out.withColumns({c: F.last(c, True).over(back) for c in cols}).drop(rn)
+    # the four neighbours of every column are window outputs computed once
+    nb = {}
+    for c in cols:
+        at = F.when(F.col(c).isNotNull(), F.col(rn))
+        nb.update({
+            f"__lo_v_{c}": F.last(c, True).over(back), f"__lo_r_{c}": F.last(at, True).over(back),
+            f"__hi_v_{c}": F.first(c, True).over(fwd), f"__hi_r_{c}": F.first(at, True).over(fwd),
+        })
+    out = out.withColumns(nb)
     exprs = {}
     for c in cols:
-        v = F.col(c)
-        if causal:
-            exprs[c] = F.last(v, True).over(back)
-            continue
-        at = F.when(v.isNotNull(), F.col(rn))
-        lo_v, lo_r = F.last(v, True).over(back), F.last(at, True).over(back)
-        hi_v, hi_r = F.first(v, True).over(fwd), F.first(at, True).over(fwd)
+        v, lo_v, lo_r, hi_v, hi_r = (F.col(x) for x in (c, f"__lo_v_{c}", f"__lo_r_{c}", f"__hi_v_{c}", f"__hi_r_{c}"))
         line = lo_v + (hi_v - lo_v) * (F.col(rn) - lo_r) / (hi_r - lo_r)
         filled = F.when(v.isNotNull(), v).when(lo_r.isNotNull() & hi_r.isNotNull(), line)
         if fill_edges:
             filled = filled.when(lo_r.isNotNull(), lo_v).otherwise(hi_v)
         exprs[c] = filled
-    return out.withColumns(exprs).drop(rn)
+    return out.withColumns(exprs).drop(rn, *nb.keys())
 
 
 # AGG-6
@@ -133,7 +138,9 @@ def trailing(
     keys = _list(key)
     src = df if upto is None else df.filter(F.col(order) <= upto)
     rn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).desc()))
-    ranked = src.withColumn("__rn", rn)
+    # the filter on the rank lets Spark limit each key to its newest rows
+    # before the shuffle (window group limit), however long the history
+    ranked = src.withColumn("__rn", rn).filter(F.col("__rn") <= max(n for _, n, _ in specs.values()))
     aggs = []
     for name, (c, n, how) in specs.items():
         inside = F.when(F.col("__rn") <= n, F.col(c))

@@ -5,8 +5,8 @@ Runs each headline query of the registry on $BENCH_SF_DIR (default
 {"metric": ..., "value": total seconds, "unit": "sec", "queries": {...}, "sf": ...}
 
 Every query is executed in full through the ``noop`` sink (all stages run,
-nothing is collected); each is run twice and the faster run is reported, so
-JVM warm-up is not billed to the first query.
+nothing is collected); each is run three times (plan building included) and
+the fastest run is reported, so JVM warm-up is not billed to the first query.
 """
 
 from __future__ import annotations
@@ -23,7 +23,7 @@ sys.path.insert(0, os.path.dirname(os.path.abspath(__file__)))
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     cpus = os.environ.get("BENCH_CPUS", "8")
-    runs = int(os.environ.get("BENCH_RUNS", "2"))
+    runs = int(os.environ.get("BENCH_RUNS", "3"))
     from ashgrid.catalog import HEADLINE, QUERIES
     from ashgrid.session import local_session
 
