@@ -193,6 +193,9 @@ def heat_class(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("popup_fields", PR + """
 SELECT d, la, lo, coalesce(nullif(CASE WHEN risk = 5 THEN 0 ELSE risk END, 0), 1) AS popup_risk,
+       ['Low', 'Moderate', 'High', 'Very High', 'Extreme'][coalesce(nullif(CASE WHEN risk = 5 THEN 0 ELSE risk END, 0), 1)]
+         || ' (' || coalesce(nullif(CASE WHEN risk = 5 THEN 0 ELSE risk END, 0), 1) || '/5)' AS popup_text,
+       printf('%.2f, %.2f', la, lo) AS popup_coords,
        CASE WHEN risk = 5 THEN NULL ELSE la END IS NOT NULL AS has_why FROM predictions""")
 def popup_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-19: risk defaults to 1 when missing or 0; the 'why' block only when
@@ -201,7 +204,7 @@ def popup_fields(spark: SparkSession, sf_dir: str) -> DataFrame:
         "d", "la", "lo", F.when(F.col("risk") == 5, F.lit(0)).otherwise(F.col("risk")).alias("risk"),
         F.when(F.col("risk") == 5, F.lit(None).cast("double")).otherwise(F.col("la")).alias("rain14_mm"),
     )
-    return P.popup_fields(p).select("d", "la", "lo", "popup_risk", "has_why")
+    return P.popup_fields(p).select("d", "la", "lo", "popup_risk", "popup_text", "popup_coords", "has_why")
 
 
 @register("label_lookup", PR + """

@@ -10,10 +10,9 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .. import contract as C
 from ..functions import scalar as S
 from ..operators import geo as G
 
@@ -124,7 +123,11 @@ def trend(places: DataFrame, pred: DataFrame, anchor: Column, days: int = 6, key
 # FN-19
 def popup_fields(df: DataFrame, risk: str = "risk") -> DataFrame:
     r = S.popup_risk(risk)
-    out = df.withColumns({"popup_risk": r, "popup_label": S.risk_label(r)})
+    label = S.risk_label(r)
+    out = df.withColumns({"popup_risk": r, "popup_label": label,
+                          "popup_text": F.format_string("%s (%d/5)", label, r)})
+    if {"la", "lo"} <= set(df.columns):
+        out = out.withColumn("popup_coords", F.format_string("%.2f, %.2f", "la", "lo"))
     if "rain14_mm" in df.columns:
         out = out.withColumn("has_why", F.col("rain14_mm").isNotNull())
     return out

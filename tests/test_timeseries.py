@@ -4,9 +4,6 @@ import datetime as dt
 import math
 import random
 
-import pytest
-from pyspark.sql import functions as F
-
 from ashgrid.operators import timeseries as TS
 from ashgrid.plans import training
 
