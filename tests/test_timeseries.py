@@ -4,6 +4,8 @@ import datetime as dt
 import math
 import random
 
+from pyspark.sql import functions as F
+
 from ashgrid.operators import timeseries as TS
 from ashgrid.plans import training
 
@@ -123,3 +125,33 @@ def test_importance_rank_ties_by_name(spark):
     df = spark.createDataFrame([("b", 0.5), ("a", 0.5), ("c", 0.9)], "feature string, importance double")
     out = TS.importance_rank(df).orderBy("rank").collect()
     assert [r.feature for r in out] == ["c", "a", "b"]
+
+
+def test_integer_station_keys_excluded_numerically(spark):
+    rows = [(964, dt.date(2020, 1, 1), 1.0), (1239, dt.date(2020, 1, 1), 1.0), (None, dt.date(2020, 1, 1), 1.0),
+            (5, dt.date(2020, 1, 1), 1.0)]
+    df = spark.createDataFrame(rows, "station_code bigint, date date, v double")
+    assert [r.station_code for r in training.clean(df).collect()] == [5]
+
+
+def test_training_features_contract(spark):
+    from ashgrid import contract as C
+
+    derived = {"average_wind_speed", "max_wind_speed", "sin_doy", "cos_doy"} | set(TS.TRAINING_ROLLING)
+    raw_cols = [c for c in C.FEATURE_ORDER if c not in derived]
+    extra = ["mean_wind_east", "mean_wind_north", "max_wind_east", "max_wind_north"]
+    schema = ", ".join(["station_code string", "date string", "DANGER_RATING double", "station_name string"]
+                       + [f"{c} double" for c in raw_cols + extra if c != "elevation"] + ["ELEVATION_M double"])
+    rows = []
+    for st in ("1", "2"):
+        for i, d in enumerate(_days(10)):
+            vals = [float(i + 1)] * len([c for c in raw_cols + extra if c != "elevation"])
+            rows.append((st, d.isoformat(), float(1 + i % 5), "name", *vals, 100.0))
+    df = spark.createDataFrame(rows, schema)
+    # one missing required value in an unused column still drops its row (dropna over all columns)
+    df = df.withColumn("station_name", F.when((F.col("station_code") == "2") & (F.col("date") == "2024-01-03"), None)
+                       .otherwise(F.col("station_name")))
+    out = training.training_features(df)
+    assert out.columns == C.FEATURE_ORDER + ["DANGER_RATING"]
+    assert out.count() == 20  # station_name is dropped before dropna, so no row is lost
+    assert dict(out.dtypes)["DANGER_RATING"] == "int"
