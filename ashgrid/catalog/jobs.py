@@ -55,18 +55,10 @@ def daily_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("temporal_validation")
 def temporal_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Temporal holdout report: exact / within-one / kappa / bias overall, by
-    region and by official class, as one long table (section, key, metric)."""
-    df = _labelled(spark, sf_dir)
-    pts = FX.points(spark, sf_dir).select(F.col("k").alias("st"), "la", "lo")
-    c = F.lit(CUT).cast("date")
-    train, test = M.balanced_weights(df.filter(F.col("d") < c), LABEL), df.filter(F.col("d") >= c)
+    region and by official class, as one long table."""
+    from ..plans import validation
     from .learning import ML_FEATURES
 
-    s = ML.score(ML.fit(ML.rf_classifier(ML_FEATURES, 30, 10, 10), train), test).join(pts, "st")
-    s = s.select(F.col(LABEL).alias("y"), F.col("prediction_level").alias("p"), "la", "lo").cache()
-    overall = M.ordinal_report(s).select(F.lit("overall").alias("section"), F.lit("all").alias("key"), "n", "exact", "bias")
-    region = M.bias_by_region(s).select(F.lit("region").alias("section"), F.col("region").alias("key"), "n",
-                                        F.lit(None).cast("double").alias("exact"), "bias")
-    cls = M.by_class_mean_pred(s).select(F.lit("official").alias("section"), F.col("official").cast("string").alias("key"),
-                                         "n", F.lit(None).cast("double").alias("exact"), F.col("mean_pred").alias("bias"))
-    return overall.unionByName(region).unionByName(cls)
+    df = _labelled(spark, sf_dir).join(FX.points(spark, sf_dir).select(F.col("k").alias("st"), "la", "lo"), "st")
+    scored = validation.fit_and_score(df, ML_FEATURES, LABEL, "d", CUT, trees=30, depth=10, min_leaf=10)
+    return validation.report(scored, LABEL, lat="la", lon="lo")["summary"]

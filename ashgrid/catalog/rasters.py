@@ -221,11 +221,11 @@ wide AS (SELECT grid.gid, grid.lat, grid.lon, max(nn.value) FILTER (WHERE nn.lay
 
 
 def _wide(spark, sf_dir) -> DataFrame:
+    from ..plans import static_cache
+
     grid = G.build_grid(G.bbox_of(FX.points(spark, sf_dir), "la", "lo"), 0.5)
-    px = CA.pixels_latest(_pixels(spark, sf_dir))
     present = ["EVI", "NDVI"]  # the layers of the input (fixture: tile parity)
-    nn = CA.nearest_per_layer(grid, px, present)
-    return CA.wide_cache(grid, nn, present)
+    return static_cache.from_pixels(grid, _pixels(spark, sf_dir), present)
 
 
 @register("wide_cache", _WIDE_SQL + """

@@ -80,3 +80,17 @@ def test_wide_cache_null_vs_zero(spark):
     # NDVI's layer exists but has no pixel here -> null; the others have no layer -> 0.0
     out = CA.wide_cache(grid, nearest, ["EVI", "NDVI"]).collect()[0]
     assert out.EVI == 0.3 and out.NDVI is None and out.elevation == 0.0
+
+
+def test_static_cache_from_stations_fills_with_median(spark):
+    from ashgrid.plans import static_cache
+
+    hist = spark.createDataFrame(
+        [("a", dt.date(2024, 1, 1), 50.0, -120.0, 1.0), ("a", dt.date(2024, 1, 2), 50.0, -120.0, 3.0),
+         ("b", dt.date(2024, 1, 1), 55.0, -125.0, None), ("c", dt.date(2024, 1, 1), 58.0, -130.0, 10.0)],
+        "station_code string, date date, lat double, lon double, EVI double")
+    grid = spark.createDataFrame([(1, 50.1, -120.1), (2, 55.1, -125.1)], "gid long, lat double, lon double")
+    out = {r.gid: r for r in static_cache.from_stations(grid, hist).collect()}
+    assert out[1].EVI == 2.0  # station a: median of 1 and 3
+    assert out[2].EVI == 6.0  # station b has no EVI: median over stations (2, 10)
+    assert out[1].NDVI == 0.0  # no such input column
