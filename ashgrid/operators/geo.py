@@ -118,33 +118,36 @@ def _banded_edges(edges: DataFrame, band: float) -> DataFrame:
     )
 
 
-def clip_flags(points: DataFrame, edges: DataFrame, x: str = "lon", y: str = "lat", key: str = "gid",
-               band: float = BAND) -> DataFrame:
-    """Inside flag per point: inside = any polygon whose exterior contains the
-    point and none of whose holes does (even-odd ray casting)."""
+def _inside_keys(points: DataFrame, edges: DataFrame, x: str, y: str, key: str, band: float) -> DataFrame:
+    """Keys of the points inside the union: a point is inside when some
+    polygon's exterior ring has an odd number of crossings of the point's ray
+    and none of that polygon's holes has."""
     be = broadcast_if_small(_banded_edges(edges, band))
     p = points.select(F.col(key).alias("__k"), F.col(x).alias("__x"), F.col(y).alias("__y"))
     pb = p.withColumn("band", F.floor(F.col("__y") / band).cast("bigint"))
-    j = pb.join(be, "band")
     cross = ((F.col("y1") > F.col("__y")) != (F.col("y2") > F.col("__y"))) & (
         F.col("__x") < (F.col("x2") - F.col("x1")) * (F.col("__y") - F.col("y1")) / (F.col("y2") - F.col("y1")) + F.col("x1")
     )
-    rings = j.filter(cross).groupBy("__k", "poly", "ring").agg((F.count(F.lit(1)) % 2 == 1).alias("odd"))
-    polys = rings.groupBy("__k", "poly").agg(
-        F.max(F.when(F.col("ring") == 0, F.col("odd"))).alias("in_ext"),
-        F.max(F.when(F.col("ring") > 0, F.col("odd"))).alias("in_hole"),
-    )
-    inside = polys.filter(F.col("in_ext") & ~F.coalesce(F.col("in_hole"), F.lit(False))).select("__k").distinct()
-    return p.join(inside.withColumn("inside", F.lit(True)), "__k", "left").select(
-        F.col("__k").alias(key), F.coalesce(F.col("inside"), F.lit(False)).alias("inside")
-    )
+    j = pb.join(be, "band").filter(cross)
+    odd = j.groupBy("__k", "poly", "ring").agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") % 2 == 1)
+    # per point, the odd rings are at most the rings its ray crosses: a bounded list
+    per = odd.groupBy("__k").agg(F.collect_list(F.struct("poly", "ring")).alias("__r"))
+    ext = F.filter("__r", lambda e: e["ring"] == 0)
+    inside = F.exists(ext, lambda e: ~F.exists("__r", lambda h: (h["poly"] == e["poly"]) & (h["ring"] > 0)))
+    return per.filter(inside).select(F.col("__k").alias(key))
+
+
+def clip_flags(points: DataFrame, edges: DataFrame, x: str = "lon", y: str = "lat", key: str = "gid",
+               band: float = BAND) -> DataFrame:
+    """Inside flag per point (even-odd ray casting, holes per polygon)."""
+    inside = _inside_keys(points, edges, x, y, key, band).withColumn("inside", F.lit(True))
+    return points.select(key).join(inside, key, "left").select(key, F.coalesce("inside", F.lit(False)).alias("inside"))
 
 
 def clip_to_polygons(points: DataFrame, edges: DataFrame, x: str = "lon", y: str = "lat", key: str = "gid",
                      band: float = BAND) -> DataFrame:
     """Keep the points inside the union of the polygons (semi-join)."""
-    flags = clip_flags(points, edges, x, y, key, band).filter("inside").select(key)
-    return points.join(flags, key, "left_semi")
+    return points.join(_inside_keys(points, edges, x, y, key, band), key, "left_semi")
 
 
 # -------------------------------------------------- nearest-neighbour joins
@@ -209,18 +212,19 @@ def _block(df: DataFrame, ci: Column, cj: Column, ncols: int | None = None) -> D
 
 
 def choose_cell(candidates: DataFrame, lat: str, lon: str, per_cell: float = 32.0,
-                lo: float = 0.01, hi: float = 10.0) -> float:
+                lo: float = 0.01, hi: float = 10.0, with_count: bool = False):
     """Cell size (degrees) giving about ``per_cell`` candidates per cell, from
-    one small aggregate (count and extent)."""
+    one small aggregate (count and extent); with ``with_count`` also the count."""
     r = candidates.agg(
         F.count(F.lit(1)).alias("n"), F.min(lat).alias("a"), F.max(lat).alias("b"),
         F.min(lon).alias("c"), F.max(lon).alias("d"),
     ).first()
     if not r["n"]:
-        return hi
-    area = max((r["b"] - r["a"]) * (r["d"] - r["c"]), 1e-6)
-    c = math.sqrt(area * per_cell / r["n"])
-    return float(min(hi, max(lo, c)))
+        c = hi
+    else:
+        area = max((r["b"] - r["a"]) * (r["d"] - r["c"]), 1e-6)
+        c = float(min(hi, max(lo, math.sqrt(area * per_cell / r["n"]))))
+    return (c, int(r["n"] or 0)) if with_count else c
 
 
 def nearest_join(
@@ -254,14 +258,15 @@ def nearest_join(
     """
     g = list(group)
     payload = [p for p in payload if p not in (c_key,)]
+    n_cand = None
     if cell is None:
-        cell = choose_cell(candidates, c_lat, c_lon)
+        cell, n_cand = choose_cell(candidates, c_lat, c_lon, with_count=True)
     q = queries.select(*g, F.col(q_key).alias("__q"), F.col(q_lat).alias("__la"), F.col(q_lon).alias("__lo"))
     cand = candidates.select(
         *g, F.col(c_key).alias("__c"), F.col(c_lat).alias("__cla"), F.col(c_lon).alias("__clo"),
         *[F.col(p) for p in payload],
     )
-    if cand.isEmpty():  # nothing to find: every query gets a null neighbour
+    if (n_cand == 0) if n_cand is not None else cand.isEmpty():  # nothing to find: null neighbours
         return q.select(*g, F.col("__q").alias(q_key), F.lit(None).cast(candidates.schema[c_key].dataType).alias("nn_key"),
                         F.lit(None).cast("double").alias("dist_km"),
                         *[F.lit(None).cast(candidates.schema[p].dataType).alias(p) for p in payload])
