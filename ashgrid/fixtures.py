@@ -1,6 +1,6 @@
 """Fixture views over the driver tables, as Spark DataFrames and as DuckDB SQL.
 
-The reference ships no data, so every operator is exercised on views derived
+No input data ships with the operators, so every one is exercised on views derived
 from the driver's TPC-H-like tables.  Each view has one Spark builder and one
 SQL text with the same meaning; ``with_views`` prefixes an oracle query with
 the CTEs it needs.
