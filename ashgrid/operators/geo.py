@@ -15,9 +15,12 @@ Design for scale
   globe, so the result is exact without any broadcast of the candidate side.
   Each level's winners (one row per pending query point) are persisted, so
   no level is recomputed by the next one or by the final union.
+  When the query blocks are provably small (a grid, or the few points left
+  for a later level) they are broadcast and the candidate table streams past
+  them without a shuffle; otherwise both sides shuffle on the cell key.
   Partial aggregation of ``min_by`` runs map-side, and AQE's skew-join
-  handling splits hot cells; a cell holding a third of all candidates then
-  costs parallel tasks, not one.
+  handling (or the explicit ``salt``) splits hot cells; a cell holding a
+  third of all candidates then costs parallel tasks, not one.
 """
 
 from __future__ import annotations
@@ -271,6 +274,7 @@ def nearest_join(
                         F.lit(None).cast("double").alias("dist_km"),
                         *[F.lit(None).cast(candidates.schema[p].dataType).alias(p) for p in payload])
     pending = q
+    n_pending = None  # known after the first level
     done: list[DataFrame] = []
     ncols = max(3, math.ceil(360.0 / float(cell)))
     while True:
@@ -284,7 +288,13 @@ def nearest_join(
             cx = cx.withColumn("__s", F.pmod(F.xxhash64("__c"), F.lit(salt)))
             qx = qx.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
             keys.append("__s")
-        pairs = qx.join(cx, keys)
+        # small query blocks (a grid, or the few points left for a later
+        # level) are broadcast and the candidates stream past them unshuffled
+        if n_pending is None:
+            qb = broadcast_if_small(qx)
+        else:
+            qb = F.broadcast(qx) if n_pending * 9 * max(salt, 1) <= BROADCAST_ROWS else qx
+        pairs = qb.join(cx, keys)
         dist = haversine_km("__la", "__lo", "__cla", "__clo", radius)
         best = pairs.withColumn("__d", dist).groupBy(*g, "__q").agg(
             F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w")
@@ -310,6 +320,7 @@ def nearest_join(
                       F.count_if(F.col("__w").isNull()).alias("lonely")).first()
         if not st["n"]:
             break
+        n_pending = st["n"]
         # points with no candidate in their block grow 4x, the others as far as
         # their best distance needs (at least 2x)
         grow = (ncols + 3) // 4 if st["lonely"] else (ncols + 1) // 2
