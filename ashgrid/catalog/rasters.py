@@ -402,7 +402,9 @@ def station_pixel_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     q = st.select("st", "la", "lo", F.explode(F.array(F.lit("EVI"), F.lit("NDVI"))).alias("layer"))
     nn = G.nearest_join(q, locs, "st", "lk", "la", "lo", "lat", "lon", group=["layer"])
     snap = nn.select("st", "layer", F.col("nn_key.lat").alias("lat"), F.col("nn_key.lon").alias("lon"))
-    vals = px.groupBy("layer", "lat", "lon", "date").agg(F.max("value").alias("value"))
+    # only the snapped pixel locations matter: a (small) semi-join first, then the per-day reduction
+    vals = px.join(G.broadcast_if_small(snap.select("layer", "lat", "lon").distinct()), ["layer", "lat", "lon"], "left_semi") \
+        .groupBy("layer", "lat", "lon", "date").agg(F.max("value").alias("value"))
     j = sd.select("st", "d").join(snap, "st").join(
         vals, (vals.layer == snap.layer) & (vals.lat == snap.lat) & (vals.lon == snap.lon) & (vals.date == F.col("d")))
     return j.select("st", "d", snap.layer, "value")

@@ -86,7 +86,9 @@ def _rolling_query(n_list, how_list, src: str):
             df = FX.station_day(spark, sf_dir)
             order = ["d"]
         specs = {f"{how}_{n}": ("precip", n, how) for n in n_list for how in how_list}
-        out = TS.add_rolling(df, "st", order, specs)
+        # customer-keyed history: one key could hold a large share of the rows,
+        # so the largest key is measured and big keys run block-parallel
+        out = TS.add_rolling(df, "st", order, specs, block_rows="auto" if src == "long" else None)
         keys = ["st", "d"] + (["id"] if src == "long" else [])
         return out.select(*keys, *[S.round8(c).alias(c) for c in specs])
 

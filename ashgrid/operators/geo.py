@@ -363,7 +363,8 @@ def nearest_planar(
         F.floor(F.col(f_lat) / c).cast("bigint").alias("__ci"), F.floor(F.col(f_lon) / c).cast("bigint").alias("__cj"),
     )
     d2 = planar_d2("__la", "__lo", "__fla", "__flo")
-    pairs = qx.join(fx, [*g, "__ci", "__cj"]).withColumn("__d2", d2).filter(F.col("__d2") <= max_deg * max_deg)
+    pairs = broadcast_if_small(qx).join(fx, [*g, "__ci", "__cj"]).withColumn("__d2", d2).filter(
+        F.col("__d2") <= max_deg * max_deg)
     best = pairs.groupBy(*g, "__q").agg(F.min_by(F.struct("__f", "__d2", *payload), F.struct("__d2", "__f")).alias("__w"))
     return best.select(
         *g, F.col("__q").alias(q_key), F.col("__w.__f").alias("nn_pos"), F.sqrt(F.col("__w.__d2")).alias("dist_deg"),

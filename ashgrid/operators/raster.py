@@ -134,7 +134,11 @@ def sample_points(tiles: DataFrame, points: DataFrame, lat: str = "lat", lon: st
         F.col(key), F.col(lat).alias("__y"), F.col(lon).alias("__x"),
         F.floor(F.col(lat) / cell).cast("bigint").alias("__ci"), F.floor(F.col(lon) / cell).cast("bigint").alias("__cj"),
     )
-    j = pk.join(tk, ["__ci", "__cj"])
+    from .geo import broadcast_if_small
+
+    # points (stations, a grid) are usually the small side: broadcast them and
+    # let the tiles, which carry their value arrays, stream unshuffled
+    j = broadcast_if_small(pk).join(tk, ["__ci", "__cj"])
     det = a * e - b * d
     colf = (e * (F.col("__x") - c) - b * (F.col("__y") - f)) / det
     rowf = (a * (F.col("__y") - f) - d * (F.col("__x") - c)) / det

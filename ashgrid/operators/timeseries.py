@@ -40,11 +40,34 @@ def rolling_mean(c: str, n: int, w: WindowSpec) -> Column:
     return F.avg(c).over(w.rowsBetween(-(n - 1), 0))
 
 
-def add_rolling(df: DataFrame, key: Keys, order: Keys, specs: dict[str, tuple[str, int, str]]) -> DataFrame:
+HOT_KEY_ROWS = 1_000_000  # above this many rows per key, windows run block-parallel
+
+
+def _hot(df: DataFrame, key: Keys, block_rows) -> int | None:
+    """Block size to use, or None for the plain one-partition-per-key window.
+    ``block_rows="auto"`` measures the largest key with one small aggregate."""
+    if block_rows is None or not isinstance(key, str) and len(_list(key)) != 1:
+        return None
+    if block_rows == "auto":
+        from .hotkeys import max_key_rows
+
+        return HOT_KEY_ROWS if max_key_rows(df, _list(key)[0]) > HOT_KEY_ROWS else None
+    return int(block_rows)
+
+
+def add_rolling(df: DataFrame, key: Keys, order: Keys, specs: dict[str, tuple[str, int, str]],
+                block_rows: int | str | None = None) -> DataFrame:
     """Add many row-window aggregates in one window pass.
 
     ``specs`` maps output name -> (input column, n rows, "sum" | "mean").
+    ``block_rows`` (an int, or "auto") switches to the block-parallel form
+    for keys that hold very many rows (``hotkeys.rolling_blocked``).
     """
+    blk = _hot(df, key, block_rows)
+    if blk is not None:
+        from .hotkeys import rolling_blocked
+
+        return rolling_blocked(df, _list(key)[0], _list(order), specs, blk)
     w = spec(key, order)
     fns = {"sum": rolling_sum, "mean": rolling_mean}
     return df.withColumns({name: fns[how](c, n, w) for name, (c, n, how) in specs.items()})
@@ -85,6 +108,7 @@ def interpolate(
     cols: Sequence[str],
     fill_edges: bool = True,
     causal: bool = False,
+    block_rows: int | str | None = None,
 ) -> DataFrame:
     """Linear interpolation by row position within each key.
 
@@ -94,6 +118,11 @@ def interpolate(
     one (the latter reads the future).  ``causal=True`` only carries the last
     value forward, for leak-free evaluation.  An all-null key stays null.
     """
+    blk = None if causal else _hot(df, key, block_rows)
+    if blk is not None:
+        from .hotkeys import interpolate_blocked
+
+        return interpolate_blocked(df, _list(key)[0], _list(order), cols, fill_edges, blk)
     w = spec(key, order)
     rn = "__rn"
     out = df.withColumn(rn, F.row_number().over(w))

@@ -34,8 +34,13 @@ def derive(
     drought: bool = False,
     humidity: bool = False,
     causal: bool = False,
+    block_rows: int | str | None = None,
 ) -> DataFrame:
-    """WIN-4..6, FN-1, FN-2, WIN-1..3, FN-4..6 in one window pass."""
+    """WIN-4..6, FN-1, FN-2, WIN-1..3, FN-4..6 in one window pass.
+
+    Station-days are bounded by the calendar per station, so the plain
+    one-partition-per-station windows are the default; ``block_rows`` (or
+    "auto") runs them block-parallel for keys with very many rows."""
     if winds is None:
         winds = {
             "average_wind_speed": ("mean_wind_east", "mean_wind_north"),
@@ -45,11 +50,12 @@ def derive(
         rolling = dict(TS.TRAINING_ROLLING)
         if drought:
             rolling.update(TS.DROUGHT_ROLLING)
-    out = TS.interpolate(df, key, list(order), [c for c in interpolate_cols if c in df.columns], causal=causal)
+    out = TS.interpolate(df, key, list(order), [c for c in interpolate_cols if c in df.columns], causal=causal,
+                         block_rows=block_rows)
     out = out.withColumns({name: S.wind_magnitude(e, n) for name, (e, n) in winds.items()})
     out = out.drop(*{c for pair in winds.values() for c in pair})
     out = out.withColumns({"sin_doy": S.season_sin(d), "cos_doy": S.season_cos(d)})
-    out = TS.add_rolling(out, key, list(order), rolling)
+    out = TS.add_rolling(out, key, list(order), rolling, block_rows=block_rows)
     if humidity:
         out = out.withColumns(
             {
