@@ -123,7 +123,8 @@ def per_layer_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _WHY = """
-, f AS (SELECT d, la, lo, risk, temp / 10 + 273.15 AS max_temp, precip * 0.001 AS precip_14day_sum, we AS max_wind_speed
+, f AS (SELECT d, la, lo, CAST((st + dayofmonth(d)) % 5 + 1 AS INTEGER) AS risk, temp / 10 + 273.15 AS max_temp,
+               precip * 0.001 AS precip_14day_sum, we AS max_wind_speed
         FROM station_day JOIN points ON st = k)"""
 _WHY_SQL = FX.with_views("station_day", "points") + _WHY
 
@@ -138,8 +139,7 @@ def _why_frame(spark, sf_dir) -> DataFrame:
     )
 
 
-@register("geojson_sink", _WHY_SQL.replace("AS risk", "") .replace(
-    "SELECT d, la, lo, risk,", "SELECT d, la, lo, CAST((st + dayofmonth(d)) % 5 + 1 AS INTEGER) AS risk,") + """
+@register("geojson_sink", _WHY_SQL + """
 SELECT d AS date, lo, la, risk,
   ['Low', 'Moderate', 'High', 'Very High', 'Extreme'][risk] AS label,
   floor(precip_14day_sum * 1000 * 10 + 0.5) / 10 AS rain14_mm, floor((max_temp - 273.15) * 10 + 0.5) / 10 AS maxtemp_c,
@@ -160,7 +160,7 @@ def geojson_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-@register("explain_values", _WHY_SQL.replace("SELECT d, la, lo, risk,", "SELECT d, la, lo,") + """
+@register("explain_values", _WHY_SQL + """
 SELECT d, la, lo, floor(precip_14day_sum * 1000 * 10 + 0.5) / 10 AS rain14_mm, floor((max_temp - 273.15) * 10 + 0.5) / 10 AS maxtemp_c,
        floor(max_wind_speed * 10 + 0.5) / 10 AS wind_ms FROM f""")
 def explain_values(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -170,7 +170,7 @@ def explain_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     return f.select("d", "la", "lo", *[e.alias(n) for n, e in ex.items()])
 
 
-_CLASS_SQL = _WHY_SQL.replace("SELECT d, la, lo, risk,", "SELECT d, la, lo,") + """
+_CLASS_SQL = _WHY_SQL + """
 , e AS (SELECT d, la, lo, floor(precip_14day_sum * 1000 * 10 + 0.5) / 10 AS rain14_mm, floor((max_temp - 273.15) * 10 + 0.5) / 10 AS maxtemp_c FROM f)
 """
 

@@ -93,7 +93,7 @@ def layer_map(spark: SparkSession, sf_dir: str) -> DataFrame:
 # ---------------------------------------------------------------- tiles
 
 _GOOD = "(len(\"values\") = rows * cols AND (epsg IS NULL OR epsg = 4326))"
-_PIX_SQL = FX.with_views("tiles") + f"""
+_PIX_BODY = f"""
 , px AS (SELECT t.tile, t.nodata, CAST(i // cols AS INTEGER) AS row, CAST(i % cols AS INTEGER) AS col,
                 t.d * (i % cols + 0.5) + t.e * (i // cols + 0.5) + t.f AS lat,
                 t.a * (i % cols + 0.5) + t.b * (i // cols + 0.5) + t.c AS lon,
@@ -104,6 +104,9 @@ valid AS (SELECT * FROM px WHERE value IS NOT NULL AND NOT isnan(value) AND abs(
 """
 
 
+_PIX_SQL = FX.with_views("tiles") + _PIX_BODY
+
+
 def _good_tiles(spark, sf_dir) -> DataFrame:
     good, _ = RA.split_tiles(FX.tiles(spark, sf_dir))
     return good
@@ -195,11 +198,12 @@ def _pixels(spark, sf_dir) -> DataFrame:
     )
 
 
-_PIXELS_SQL = _PIX_SQL + """
+_PIXELS_BODY = _PIX_BODY + """
 , pixels AS (SELECT tile * 100 + row * 8 + col AS pid, CASE WHEN tile % 2 = 0 THEN 'EVI' ELSE 'NDVI' END AS layer,
                     CAST(DATE '2024-01-01' + CAST(tile % 3 AS INTEGER) AS DATE) AS date, lat, lon, value, tile, row, col FROM valid),
 latest AS (SELECT * FROM pixels WHERE date = (SELECT max(date) FROM pixels p2 WHERE p2.layer = pixels.layer))
 """
+_PIXELS_SQL = FX.with_views("tiles") + _PIXELS_BODY
 
 
 @register("latest_or_pinned", _PIXELS_SQL + "SELECT tile, row, col, layer, date FROM latest")
@@ -208,8 +212,7 @@ def latest_or_pinned(spark: SparkSession, sf_dir: str) -> DataFrame:
     return CA.pixels_latest(_pixels(spark, sf_dir)).select("tile", "row", "col", "layer", "date")
 
 
-_WIDE_SQL = _grid_sql(0.5).replace("WITH points AS", "WITH tiles AS (" + FX.VIEW_SQL["tiles"] + "), points AS", 1) + \
-    _PIXELS_SQL[_PIXELS_SQL.index("\n, px AS") :] + f"""
+_NN_WIDE_BODY = f"""
 , nn AS (SELECT gid, layer, value FROM (
     SELECT grid.gid, l.layer, l.value,
            row_number() OVER (PARTITION BY grid.gid, l.layer ORDER BY {hav_sql('grid.lat', 'grid.lon', 'l.lat', 'l.lon')}, l.pid) AS rn
@@ -218,6 +221,7 @@ wide AS (SELECT grid.gid, grid.lat, grid.lon, max(nn.value) FILTER (WHERE nn.lay
                 max(nn.value) FILTER (WHERE nn.layer = 'NDVI') AS NDVI
          FROM grid LEFT JOIN nn ON grid.gid = nn.gid GROUP BY grid.gid, grid.lat, grid.lon)
 """
+_WIDE_SQL = _grid_sql(0.5, "tiles") + _PIXELS_BODY + _NN_WIDE_BODY
 
 
 def _wide(spark, sf_dir) -> DataFrame:
@@ -251,8 +255,7 @@ _ELEV_SQL = """
 """
 
 
-@register("default_elevation", _WIDE_SQL.replace("WITH tiles AS", "WITH sites AS (" + FX.VIEW_SQL["sites"] + "), tiles AS", 1)
-          + _ELEV_SQL + """
+@register("default_elevation", _grid_sql(0.5, "tiles", "sites") + _PIXELS_BODY + _NN_WIDE_BODY + _ELEV_SQL + """
 SELECT w.gid, coalesce(e.elevation, 0.0) AS elevation FROM wide w LEFT JOIN elev e ON w.lat = e.lat AND w.lon = e.lon""")
 def default_elevation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-11: elevations from a supplied table on the coordinate key, else 0.0."""
@@ -378,8 +381,7 @@ def global_median(spark: SparkSession, sf_dir: str) -> DataFrame:
                  F.coalesce(F.median("none"), F.lit(0.0)).alias("med_none"))
 
 
-@register("station_pixel_merge", _PIXELS_SQL.replace("WITH tiles AS", "WITH " + ", ".join(
-    f"{n} AS ({FX.VIEW_SQL[n]})" for n in ("station_day", "points")) + ", tiles AS", 1) + f"""
+@register("station_pixel_merge", FX.with_views("tiles", "station_day", "points") + _PIXELS_BODY + f"""
 , locs AS (SELECT DISTINCT layer, lat, lon FROM pixels),
 locs_k AS (SELECT *, row_number() OVER (ORDER BY layer, lat, lon) AS lk FROM locs),
 st AS (SELECT DISTINCT st, la, lo FROM station_day JOIN points ON st = k),

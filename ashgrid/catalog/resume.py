@@ -92,5 +92,5 @@ def register_all() -> None:
     sql = _features_sql()
     register("resume_batch", sql)(resume_batch)
     register("resume_stream", sql)(resume_stream)
-    register("latest_pointer", sql.replace("FROM (", "FROM (", 1) + " WHERE resolved_day = (SELECT max(resolved_day) FROM ("
+    register("latest_pointer", sql + " WHERE resolved_day = (SELECT max(resolved_day) FROM ("
              + ORACLE_SQL["weather_feature_map"] + ") u)")(latest_pointer)

@@ -280,13 +280,12 @@ def align_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     return j.select("gid", "lat", "lon", "value")
 
 
-@register("assemble_left", (_grid_sql(0.5) + _SNAP_SQL + """
+@register("assemble_left", _grid_sql(0.5, "sites") + _SNAP_SQL + """
 , w AS (SELECT * FROM (SELECT *, row_number() OVER (PARTITION BY lat, lon ORDER BY seq DESC) AS rn FROM snapped) WHERE rn = 1),
 st AS (SELECT round(b.lat_min + round((la - b.lat_min) / 0.5) * 0.5, 4) AS lat,
               round(b.lon_min + round((lo - b.lon_min) / 0.5) * 0.5, 4) AS lon, max(v) AS elevation
        FROM sites, b GROUP BY 1, 2)
-SELECT w.lat, w.lon, w.value, st.elevation FROM w LEFT JOIN st ON w.lat = st.lat AND w.lon = st.lon""").replace(
-    "WITH points AS", "WITH sites AS (" + FX.VIEW_SQL["sites"] + "), points AS", 1))
+SELECT w.lat, w.lon, w.value, st.elevation FROM w LEFT JOIN st ON w.lat = st.lat AND w.lon = st.lon""")
 def assemble_left(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOIN-2: weather LEFT JOIN static features on the coordinate key."""
     w = W.dedupe_keep_last(_snapped(spark, sf_dir), ["lat", "lon"], "seq")
@@ -305,7 +304,7 @@ def _clipped_grid(spark, sf_dir) -> DataFrame:
     return G.clip_to_polygons(grid, _edges(spark), x="lon", y="lat", key="gid")
 
 
-_CLIPPED = _grid_sql(0.5) + ", " + FX.with_views("edges")[5:] + _clip_sql("grid", "gid", "lon", "lat") + """
+_CLIPPED = _grid_sql(0.5, "edges") + _clip_sql("grid", "gid", "lon", "lat") + """
 , cg AS (SELECT * FROM grid WHERE gid IN (SELECT key FROM kept))""" + _SNAP_SQL
 
 

@@ -31,8 +31,8 @@ def _grid_over_points(spark: SparkSession, sf_dir: str, step: float) -> DataFram
     return G.build_grid(box, step)
 
 
-def _grid_sql(step: float) -> str:
-    return FX.with_views("points") + f"""
+def _grid_sql(step: float, *extra_views: str) -> str:
+    return FX.with_views("points", *extra_views) + f"""
 , b AS (SELECT min(la) AS lat_min, max(la) AS lat_max, min(lo) AS lon_min, max(lo) AS lon_max FROM points),
 n AS (SELECT *, CAST(ceil((lat_max + 1e-9 - lat_min) / {step}) AS BIGINT) AS n_lat,
              CAST(ceil((lon_max + 1e-9 - lon_min) / {step}) AS BIGINT) AS n_lon FROM b),
@@ -73,7 +73,7 @@ def clip_rings(spark: SparkSession, sf_dir: str) -> DataFrame:
     return G.clip_to_polygons(pts, _edges(spark), x="lo", y="la", key="k").select("k", "la", "lo")
 
 
-@register("clip_contains", _grid_sql(0.25) + ", " + FX.with_views("edges")[5:] + _clip_sql("grid", "gid", "lon", "lat") + """
+@register("clip_contains", _grid_sql(0.25, "edges") + _clip_sql("grid", "gid", "lon", "lat") + """
 SELECT gid, lat, lon FROM grid WHERE gid IN (SELECT key FROM kept)""")
 def clip_contains(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEO-2: a 0.25-degree grid over the points' extent, clipped to the mask."""
