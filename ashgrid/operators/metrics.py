@@ -60,20 +60,28 @@ def confusion_counts(df: DataFrame, y: str = "y", p: str = "p", group: Sequence[
     return df.groupBy(*group, F.col(y).alias("__y"), F.col(p).alias("__p")).agg(F.count(F.lit(1)).alias("__n"))
 
 
-def _kappa_from_counts(conf: DataFrame, g: list[str]) -> DataFrame:
+def _with_positions(conf: DataFrame, g: list[str]) -> DataFrame:
+    """Each label's 1-based position among the labels present in y or p of
+    its group, from a window over the (at most K^2 rows per group) counts."""
     from pyspark.sql import Window
 
-    labels = conf.select(*g, F.col("__y").alias("lab")).union(conf.select(*g, F.col("__p").alias("lab"))).distinct()
-    pos = labels.withColumn("pos", F.dense_rank().over(Window.partitionBy(*g).orderBy("lab")).cast("double"))
-    j = (conf.join(pos.withColumnsRenamed({"lab": "__y", "pos": "__py"}), [*g, "__y"])
-             .join(pos.withColumnsRenamed({"lab": "__p", "pos": "__pp"}), [*g, "__p"]))
+    w = Window.partitionBy(*g)
+    labs = F.array_sort(F.array_union(F.collect_set("__y").over(w), F.collect_set("__p").over(w)))
+    return conf.withColumn("__labs", labs).withColumns({
+        "__py": F.array_position("__labs", F.col("__y")).cast("double"),
+        "__pp": F.array_position("__labs", F.col("__p")).cast("double"),
+    })
+
+
+def _kappa_sums():
     a, b, n = F.col("__py"), F.col("__pp"), F.col("__n").cast("double")
-    s = j.groupBy(*g).agg(
-        F.sum(n * F.pow(a - b, 2)).alias("num"), F.sum(n * a * a).alias("sy2"), F.sum(n * b * b).alias("sp2"),
-        F.sum(n * a).alias("sy"), F.sum(n * b).alias("sp"), F.sum(n).alias("n"),
-    )
-    den = F.col("sy2") + F.col("sp2") - F.lit(2.0) * F.col("sy") * F.col("sp") / F.col("n")
-    return s.select(*g, (F.lit(1.0) - F.try_divide(F.col("num"), F.nullif(den, F.lit(0.0)))).alias("qwk"))
+    return [F.sum(n * F.pow(a - b, 2)).alias("num"), F.sum(n * a * a).alias("sy2"), F.sum(n * b * b).alias("sp2"),
+            F.sum(n * a).alias("sy"), F.sum(n * b).alias("sp"), F.sum(n).alias("nn")]
+
+
+def _kappa_col() -> Column:
+    den = F.col("sy2") + F.col("sp2") - F.lit(2.0) * F.col("sy") * F.col("sp") / F.col("nn")
+    return F.lit(1.0) - F.try_divide(F.col("num"), F.nullif(den, F.lit(0.0)))
 
 
 # MET-3
@@ -86,26 +94,28 @@ def quadratic_kappa(df: DataFrame, y: str = "y", p: str = "p", group: Sequence[s
     Everything after the confusion counts runs on at most K^2 rows per group.
     Null when the denominator is 0 (constant, equal y and p).
     """
-    return _kappa_from_counts(confusion_counts(df, y, p, group), list(group))
+    g = list(group)
+    x = _with_positions(confusion_counts(df, y, p, g), g)
+    return x.groupBy(*g).agg(*_kappa_sums()).select(*g, _kappa_col().alias("qwk"))
 
 
 def ordinal_report(df: DataFrame, y: str = "y", p: str = "p", group: Sequence[str] = ()) -> DataFrame:
-    """MET-1, MET-2, MET-3, MET-8 and n in one frame (one row per group), all
-    from one pass over the data (the confusion counts)."""
+    """MET-1, MET-2, MET-3, MET-8 and n in one frame (one row per group): one
+    pass over the data (the confusion counts), then one aggregate over them."""
     g = list(group)
-    conf = confusion_counts(df, y, p, g)
+    x = _with_positions(confusion_counts(df, y, p, g), g)
     n = F.col("__n")
-    base = conf.groupBy(*g).agg(
-        F.sum(n).alias("n"),
-        (F.sum(F.when(F.col("__y") == F.col("__p"), n).otherwise(0)) / F.sum(n)).alias("exact"),
-        (F.sum(F.when(F.abs(F.col("__y") - F.col("__p")) <= 1, n).otherwise(0)) / F.sum(n)).alias("within_one"),
-        (F.sum(n * (F.col("__p") - F.col("__y")).cast("double")) / F.sum(n)).alias("bias"),
+    s = x.groupBy(*g).agg(
+        *_kappa_sums(),
+        F.sum(F.when(F.col("__y") == F.col("__p"), n).otherwise(0)).alias("__hit"),
+        F.sum(F.when(F.abs(F.col("__y") - F.col("__p")) <= 1, n).otherwise(0)).alias("__near"),
+        F.sum(n * (F.col("__p") - F.col("__y")).cast("double")).alias("__dev"),
+    )
+    return s.select(
+        *g, F.col("nn").cast("bigint").alias("n"), (F.col("__hit") / F.col("nn")).alias("exact"),
+        (F.col("__near") / F.col("nn")).alias("within_one"), (F.col("__dev") / F.col("nn")).alias("bias"),
+        _kappa_col().alias("qwk"),
     )
-    k = _kappa_from_counts(conf, g)
-    if g:
-        return base.join(k, g)
-    one = F.lit(1).alias("__one")  # both sides are one row: equi-join on a constant
-    return base.select("*", one).join(k.select("*", one), "__one").drop("__one")
 
 
 # MET-5
