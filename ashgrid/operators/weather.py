@@ -37,10 +37,11 @@ def resolve_day(daily: DataFrame, target: Column, loc: str = "loc", day: str = "
 
 
 def target_or_latest(daily: DataFrame, hourly_daily: DataFrame, target: Column, loc: str = "loc",
-                     day: str = "day", hourly_cols: list[str] | None = None, default: float = 0.0) -> DataFrame:
+                     day: str = "day", hourly_cols: list[str] | None = None, default: float = 0.0,
+                     resolved: DataFrame | None = None) -> DataFrame:
     """The resolved day's daily row plus the hourly aggregates of that same
     day; a day without hourly rows gets ``default`` (a null aggregate stays null)."""
-    res = resolve_day(daily, target, loc, day)
+    res = resolved if resolved is not None else resolve_day(daily, target, loc, day)
     d = daily.join(res, [loc]).filter(F.col(day) == F.col("resolved_day")).drop(day)
     hcols = hourly_cols or [c for c in hourly_daily.columns if c not in (loc, day)]
     h = hourly_daily.select(F.col(loc), F.col(day).alias("resolved_day"), F.lit(True).alias("__h"), *hcols)
@@ -107,8 +108,9 @@ def location_features(daily: DataFrame, hourly: DataFrame, target: Column, loc:
     weather step of the daily job): resolve day, attach hourly aggregates,
     convert units, trailing windows."""
     hd = hourly_to_daily(hourly, loc, time).withColumnRenamed("day", day)
-    row = target_or_latest(daily, hd, target, loc, day)
-    trail = serving_trailing(daily, resolve_day(daily, target, loc, day), loc, day)
+    res = resolve_day(daily, target, loc, day)  # one per location, used twice
+    row = target_or_latest(daily, hd, target, loc, day, resolved=res)
+    trail = serving_trailing(daily, res, loc, day)
     feats = row.select(loc, "resolved_day", *[e.alias(n) for n, e in weather_feature_map(row).items()])
     return feats.join(trail, [loc], "left").withColumns(
         {n: F.coalesce(F.col(n), F.lit(0.0)) for n in SERVING_TRAILING if n.endswith("sum")}
