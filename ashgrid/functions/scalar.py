@@ -134,8 +134,8 @@ def round1(x) -> Column:
 # FN-9
 def explain_values(precip_14day_sum, max_temp, max_wind_speed) -> dict[str, Column]:
     return {
-        "rain14_mm": round1(col(precip_14day_sum) * 1000),
-        "maxtemp_c": round1(col(max_temp) - F.lit(C.C_TO_K)),
+        "rain14_mm": round1(m_to_mm(precip_14day_sum)),
+        "maxtemp_c": round1(k_to_c(max_temp)),
         "wind_ms": round1(max_wind_speed),
     }
 

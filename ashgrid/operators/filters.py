@@ -104,10 +104,6 @@ def inf_nan_to_null(df: DataFrame, cols: Sequence[str]) -> DataFrame:
     return df.withColumns({c: inf_to_null(c) for c in cols})
 
 
-def double_columns(df: DataFrame) -> list[str]:
-    return [f.name for f in df.schema.fields if f.dataType.typeName() in ("double", "float")]
-
-
 # FLT-10
 def level_filter(df: DataFrame, levels: Sequence[int], risk: str = "risk") -> DataFrame:
     return df.filter(F.col(risk).isin(list(levels)))

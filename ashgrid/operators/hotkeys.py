@@ -123,8 +123,3 @@ def max_key_rows(df: DataFrame, key: str) -> int:
     """Rows of the largest key (one small aggregate), to pick the path."""
     r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
     return int(r or 0)
-
-
-def block_parallel(df: DataFrame, key: str, threshold: int) -> bool:
-    return max_key_rows(df, key) > threshold
-
