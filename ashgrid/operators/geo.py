@@ -35,14 +35,39 @@ from pyspark.sql import functions as F
 from .. import contract as C
 from ..functions.scalar import haversine_km, planar_d2
 
-BROADCAST_ROWS = 2_000_000  # largest side we broadcast after counting it
+BROADCAST_ROWS = 2_000_000  # largest side we broadcast after counting it ...
+BROADCAST_BYTES = 256 << 20  # ... and its estimated size
 
 
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small; else leave the join
-    to the planner (sort-merge with AQE)."""
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
+def row_bytes(schema) -> int:
+    """Rough in-memory size of one row from its schema (strings and nested
+    values counted generously)."""
+    from pyspark.sql import types as T
+
+    def size(t) -> int:
+        if isinstance(t, (T.ByteType, T.BooleanType)):
+            return 1
+        if isinstance(t, (T.ShortType,)):
+            return 2
+        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+            return 4
+        if isinstance(t, T.StructType):
+            return sum(size(f.dataType) for f in t.fields) + 8
+        if isinstance(t, (T.ArrayType, T.MapType)):
+            return 256
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            return 32
+        return 8
+
+    return size(schema) + 16
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when a count proves it small (rows and estimated
+    bytes); else leave the join to the planner (sort-merge with AQE)."""
+    limit = min(max_rows, max(1, max_bytes // row_bytes(df.schema)))
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df
 
 
 # ---------------------------------------------------------------- GEO-1 grid
@@ -293,7 +318,8 @@ def nearest_join(
         if n_pending is None:
             qb = broadcast_if_small(qx)
         else:
-            qb = F.broadcast(qx) if n_pending * 9 * max(salt, 1) <= BROADCAST_ROWS else qx
+            rows = n_pending * 9 * max(salt, 1)
+            qb = F.broadcast(qx) if rows <= min(BROADCAST_ROWS, BROADCAST_BYTES // row_bytes(qx.schema)) else qx
         pairs = qb.join(cx, keys)
         dist = haversine_km("__la", "__lo", "__cla", "__clo", radius)
         best = pairs.withColumn("__d", dist).groupBy(*g, "__q").agg(
