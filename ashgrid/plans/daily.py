@@ -59,14 +59,18 @@ def score_grid(features: DataFrame, model_path: str, key: str = "gid") -> DataFr
 
 def publish(pred: DataFrame, out_dir: str, target_date: str) -> None:
     """The scored grid is written once (a table that also cuts the lineage);
-    SNK-1 CSV, SNK-5 GeoJSON lines and SNK-6 dated + latest are derived from
-    that table, so the upstream plan runs once."""
+    SNK-1 CSV, SNK-5 GeoJSON (one feature per line, and the day's single
+    FeatureCollection) and SNK-6 dated + latest are derived from that table,
+    so the upstream plan runs once."""
     spark = pred.sparkSession
     base = f"{out_dir}/scored/date={target_date}"
     pred.write.mode("overwrite").parquet(base)
     dated = spark.read.parquet(base).withColumn("date", F.lit(target_date).cast("date"))
     P.write_csv(dated.select("date", "lat", "lon", "prediction"), f"{out_dir}/csv/date={target_date}")
-    P.write_geojson_lines(P.geojson_features(dated), f"{out_dir}/geojson")
+    feats = P.geojson_features(dated)
+    P.write_geojson_lines(feats, f"{out_dir}/geojson")
+    # the single FeatureCollection of the day (bounded by the grid size)
+    P.geojson_document(feats).select("document").write.mode("overwrite").text(f"{out_dir}/geojson_doc/date={target_date}")
     P.write_dated_and_latest(dated.select("date", "lat", "lon", "prediction"), f"{out_dir}/dated", f"{out_dir}/latest")
 
 
