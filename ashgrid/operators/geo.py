@@ -96,6 +96,10 @@ def build_grid(spark_or_df, step: float, bbox: dict | None = None) -> DataFrame:
     rows = box.select(
         "lat_min", "lon_min", n_lon.alias("n_lon"), F.explode(F.sequence(F.lit(0), (n_lat - 1).cast("int"))).alias("i")
     )
+    # spread the latitude rows before the second explode, so a fine global
+    # lattice is generated by many tasks, not by the task holding the box row
+    parts = int(box.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    rows = rows.repartition(parts, "i")
     cells = rows.select(
         "lat_min", "lon_min", "n_lon", "i", F.explode(F.sequence(F.lit(0), (F.col("n_lon") - 1).cast("int"))).alias("j")
     )
