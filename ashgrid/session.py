@@ -15,7 +15,10 @@ import uuid
 from pyspark.sql import SparkSession
 
 
-def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "ashgrid") -> SparkSession:
+def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "ashgrid",
+                  event_log_dir: str | None = None) -> SparkSession:
+    """Local session for tests and the bench; ``event_log_dir`` (a scratch
+    folder) turns on Spark's event log for stage and task timings."""
     builder = (
         SparkSession.builder.master(f"local[{cores}]")
         .appName(app)
@@ -29,6 +32,9 @@ def local_session(cores: str = "8", shuffle_partitions: int = 8, app: str = "ash
         .config("spark.driver.memory", "8g")
         .config("spark.sql.execution.arrow.pyspark.enabled", "true")
     )
+    if event_log_dir:
+        builder = (builder.config("spark.eventLog.enabled", "true").config("spark.eventLog.dir", event_log_dir)
+                   .config("spark.eventLog.compress", "false"))
     spark = builder.getOrCreate()
     spark.sparkContext.setLogLevel("ERROR")
     return spark

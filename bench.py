@@ -27,7 +27,9 @@ def main() -> None:
     from ashgrid.catalog import HEADLINE, QUERIES
     from ashgrid.session import local_session
 
-    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="ashgrid-bench")
+    # BENCH_EVENT_LOG=<scratch dir> records stage/task timings in Spark's event log
+    spark = local_session(cores=cpus, shuffle_partitions=int(cpus) * 2, app="ashgrid-bench",
+                          event_log_dir=os.environ.get("BENCH_EVENT_LOG") or None)
     only = [n for n in os.environ.get("BENCH_ONLY", "").split(",") if n]
     names = only or list(HEADLINE)
     times: dict[str, float] = {}
