@@ -287,6 +287,10 @@ def nearest_join(
     hash of the candidate key) and repeats each query block per bucket, so a
     cell holding a large share of all candidates is joined by ``salt``
     tasks; the per-query ``min_by`` then combines the buckets.
+
+    ``checkpoint`` (default) keeps each level's winners (one row per pending
+    query) persisted, so a level is computed once; without it the levels are
+    planned lazily and recomputed by later levels.
     """
     g = list(group)
     payload = [p for p in payload if p not in (c_key,)]
