@@ -237,10 +237,8 @@ def _block(df: DataFrame, ci: Column, cj: Column, ncols: int | None = None) -> D
     cjn = F.col("__cj0") + F.col("__o.dj")
     if ncols is not None:
         cjn = F.pmod(cjn, F.lit(ncols))
-    x = x.withColumns({"__ci": F.col("__ci0") + F.col("__o.di"), "__cj": cjn}).drop("__ci0", "__cj0", "__o")
-    if ncols is not None and ncols <= 3:  # coarse columns wrap onto themselves
-        x = x.dropDuplicates([c for c in x.columns])
-    return x
+    # with ncols >= 3 the wrapped neighbours are distinct, so no duplicates arise
+    return x.withColumns({"__ci": F.col("__ci0") + F.col("__o.di"), "__cj": cjn}).drop("__ci0", "__cj0", "__o")
 
 
 def choose_cell(candidates: DataFrame, lat: str, lon: str, per_cell: float = 32.0,
