@@ -62,9 +62,14 @@ def read_payloads(spark: SparkSession, path: str, whole_file: bool = False,
 
 
 def _flatten(payloads: DataFrame, part: str, names: list[str], keys: list[str]) -> DataFrame:
-    fields = [F.col(f"{part}.time").alias("time")] + [F.col(f"{part}.{n}").alias(n) for n in names]
-    z = payloads.select(*keys, F.inline(F.arrays_zip(*fields)))
-    return z
+    """Parallel arrays -> rows.  A variable missing from a payload is an
+    empty array, so its values are null and the other variables still come
+    through (``arrays_zip`` would return null if any input were null)."""
+    empty_d = F.array().cast("array<double>")
+    fields = [F.col(f"{part}.time").alias("time")] + [
+        F.coalesce(F.col(f"{part}.{n}"), empty_d).alias(n) for n in names
+    ]
+    return payloads.select(*keys, F.inline(F.arrays_zip(*fields)))
 
 
 def daily_rows(payloads: DataFrame, keys: list[str] = ("latitude", "longitude")) -> DataFrame:
