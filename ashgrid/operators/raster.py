@@ -40,8 +40,8 @@ def parse_layer_and_date(path) -> dict[str, Column]:
     s = stem(path)
     has_doy = F.regexp_extract(s, DOY_PATTERN, 0) != ""
     has_ymd = F.regexp_extract(s, YMD_PATTERN, 0) != ""
-    year = F.regexp_extract(s, DOY_PATTERN, 1).cast("int")
-    doy = F.regexp_extract(s, DOY_PATTERN, 2).cast("int")
+    year = F.regexp_extract(s, DOY_PATTERN, 1).try_cast("int")  # "" when absent: null, never an error
+    doy = F.regexp_extract(s, DOY_PATTERN, 2).try_cast("int")
     doy_date = F.date_add(F.make_date(year, F.lit(1), F.lit(1)), doy - 1).cast("string")
     ymd_date = F.concat_ws(
         "-", F.regexp_extract(s, YMD_PATTERN, 1), F.regexp_extract(s, YMD_PATTERN, 2), F.regexp_extract(s, YMD_PATTERN, 3)
