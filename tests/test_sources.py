@@ -64,3 +64,16 @@ def test_projected_csv_and_points_csv(spark):
     assert [r.id for r in SF.points_csv(typed, "la", "lo").collect()] == [2]
     with pytest.raises(ContractError):
         SF.points_csv(typed, "lat", "lon")
+
+
+def test_hourly_service_time_format_and_missing_variables(spark):
+    from ashgrid.operators import weather as W
+
+    obj = {"latitude": 50.0, "longitude": -120.0, "daily": {"time": ["2024-07-01"], "temperature_2m_max": [20.0]},
+           "hourly": {"time": ["2024-07-01T00:00", "2024-07-01T13:00", "2024-07-02T01:00"],
+                      "snow_depth": [0.0, 1.0, 2.0], "shortwave_radiation": [5.0, 700.0, 3.0]}}
+    raw = spark.createDataFrame([(json.dumps(obj), "a")], "value string, source_file string")
+    h = WS.hourly_rows(WS.parse_documents(raw), ["source_file"]).withColumnRenamed("source_file", "loc")
+    out = {str(r.day): r for r in W.hourly_to_daily(h).collect()}
+    assert out["2024-07-01"].mean_snow_depth == 0.5 and out["2024-07-01"].max_solar_radiation == 700.0
+    assert out["2024-07-01"].mean_low_cloud_cover is None and out["2024-07-02"].max_solar_radiation == 3.0
