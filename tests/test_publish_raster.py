@@ -94,3 +94,16 @@ def test_static_cache_from_stations_fills_with_median(spark):
     assert out[1].EVI == 2.0  # station a: median of 1 and 3
     assert out[2].EVI == 6.0  # station b has no EVI: median over stations (2, 10)
     assert out[1].NDVI == 0.0  # no such input column
+
+
+def test_sampling_inverts_a_sheared_affine(spark):
+    # x = 0.5*col + 0.1*row - 120, y = 0.05*col - 0.25*row + 55: not north-up
+    vals = [float(i) for i in range(12)]
+    tiles = spark.createDataFrame(
+        [(1, 3, 4, 0.5, 0.1, -120.0, 0.05, -0.25, 55.0, 4326, -999.0, vals)],
+        "tile long, rows int, cols int, a double, b double, c double, d double, e double, f double, epsg int, "
+        "nodata double, values array<double>")
+    px = RA.raster_to_long(tiles)
+    pts = px.select((F.col("row") * 10 + F.col("col")).alias("k"), "lat", "lon", F.col("value").alias("expect"))
+    got = RA.sample_points(tiles, pts, "lat", "lon", "k").join(pts, "k").collect()
+    assert len(got) == 12 and all(r.value == r.expect for r in got)
