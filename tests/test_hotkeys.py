@@ -51,3 +51,10 @@ def test_interpolate_blocked_equals_plain(spark):
     blocked = HK.interpolate_blocked(df, "st", ["d", "id"], ["v"], block_rows=50, parts=6).collect()
     assert len(blocked) == len(plain)
     assert all(_same(r.v, plain[(r.st, r.id)]) for r in blocked)
+
+
+def test_interpolate_blocked_two_columns_without_edges(spark):
+    df = _skewed(spark).withColumn("w", F.when(F.col("id") % 7 == 0, F.col("id").cast("double")))
+    plain = {(r.st, r.id): (r.v, r.w) for r in TS.interpolate(df, "st", ["d", "id"], ["v", "w"], fill_edges=False).collect()}
+    blocked = HK.interpolate_blocked(df, "st", ["d", "id"], ["v", "w"], fill_edges=False, block_rows=40, parts=4).collect()
+    assert all(_same(r.v, plain[(r.st, r.id)][0]) and _same(r.w, plain[(r.st, r.id)][1]) for r in blocked)
