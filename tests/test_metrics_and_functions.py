@@ -134,3 +134,15 @@ def test_dedupe_keep_last(spark):
     df = spark.createDataFrame([(1.0, 2.0, 1, "a"), (1.0, 2.0, 5, "b"), (3.0, 4.0, 2, "c")], "lat double, lon double, seq int, v string")
     out = {(r.lat, r.lon): r.v for r in W.dedupe_keep_last(df, ["lat", "lon"], "seq").collect()}
     assert out == {(1.0, 2.0): "b", (3.0, 4.0): "c"}
+
+
+def test_strict_parse_raises_coerce_gives_null(spark):
+    df = spark.createDataFrame([("2024-07-01",), ("not a date",)], "t string")
+    assert [r.d for r in df.select(S.parse_date_coerce("t").alias("d")).collect()] == [dt.date(2024, 7, 1), None]
+    with pytest.raises(Exception):
+        df.select(S.parse_date_strict("t", "yyyy-MM-dd").alias("d")).collect()
+
+
+def test_majority_ties_go_to_smallest_label(spark):
+    df = spark.createDataFrame([(3,), (3,), (1,), (1,), (5,)], "y int")
+    assert M.majority_class(df).collect()[0].majority == 1
