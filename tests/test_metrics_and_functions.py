@@ -146,3 +146,19 @@ def test_strict_parse_raises_coerce_gives_null(spark):
 def test_majority_ties_go_to_smallest_label(spark):
     df = spark.createDataFrame([(3,), (3,), (1,), (1,), (5,)], "y int")
     assert M.majority_class(df).collect()[0].majority == 1
+
+
+def test_zone_box_inclusive_and_region_first_match(spark):
+    df = spark.createDataFrame([(48.3, -125.6), (49.6, -121.7), (49.61, -122.0), (50.0, -122.5), (54.0, -130.0),
+                                (53.9, -120.0)], "la double, lo double")
+    r = df.select(S.in_low_confidence_zone("la", "lo").alias("z"), S.region_band("la", "lo").alias("b")).collect()
+    assert [x.z for x in r] == [True, True, False, False, False, False]
+    assert [x.b for x in r] == ["coast/SW", "interior", "interior", "coast/SW", "north", "interior"]
+
+
+def test_humidity_clips_but_keeps_nulls(spark):
+    df = spark.createDataFrame([(300.0, 290.0), (290.0, 300.0), (None, 290.0)], "t double, td double")
+    r = df.select(S.vpd("t", "td").alias("vpd"), S.relative_humidity("t", "td").alias("rh")).collect()
+    assert r[0].vpd > 0 and 0 < r[0].rh < 100
+    assert r[1].vpd == 0.0 and r[1].rh == 100.0  # dewpoint above temperature: clipped
+    assert r[2].vpd is None and r[2].rh is None
