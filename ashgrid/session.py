@@ -48,12 +48,16 @@ def configure(spark: SparkSession) -> None:
 
 def shared_dir(spark: SparkSession) -> str:
     """Cluster-visible scratch root: ``spark.checkpoint.dir`` or the context's
-    checkpoint dir; only when neither is set (local tests) a temp folder is
-    created and registered as the checkpoint dir."""
+    checkpoint dir.  When neither is set, a ``local[...]`` session (tests) gets
+    a temp folder, registered as its checkpoint dir; on a cluster, where each
+    executor would write to its own disk, this raises."""
     path = spark.conf.get("spark.checkpoint.dir", None)
     if not path:
         path = spark.sparkContext.getCheckpointDir()
     if not path:
+        master = spark.sparkContext.master
+        if not (master == "local" or master.startswith("local[")):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         path = tempfile.mkdtemp(prefix="ashgrid-ckpt-")
         spark.sparkContext.setCheckpointDir(path)
         path = spark.sparkContext.getCheckpointDir() or path
