@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import mixing, quality, sharding
+from . import line_dedup, mixing, quality, sharding
 from .common import materialize, table, text_or_empty, words
 
 
@@ -66,12 +66,42 @@ def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.judge(docs, [F.col("doc_id")], F.col("text"), F.col("lang")).drop("char_distance", "word_distance")
 
 
+def op8_line_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    kept = line_dedup.with_bitmaps(docs, "doc_id", "text", min_docs=10)
+    lines = line_dedup.kept_lines(F.col("row.text"), F.col("keep"))
+    n_lines = F.size(F.split(text_or_empty(F.col("row.text")), "\n", -1))
+    return kept.select(F.col("row.doc_id").alias("doc_id"), "row", lines.alias("lines"), n_lines.cast("long").alias("n_lines")).select(
+        "doc_id", "n_lines", (F.col("n_lines") - F.size("lines")).alias("n_dropped"),
+        F.sha2(F.array_join("lines", "\n"), 256).alias("kept_sha256"))
+
+
+OP8_SQL = """
+WITH d AS (
+  SELECT doc_id, coalesce(text, '') AS t, md5(coalesce(text, '')) AS h, row_number() OVER () AS rid FROM documents
+), l AS (
+  SELECT rid, doc_id, h, unnest(string_split(t, chr(10))) AS line, generate_subscripts(string_split(t, chr(10)), 1) AS pos FROM d
+), k AS (
+  SELECT *, trim(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                 ' ' || chr(9) || chr(10) || chr(11) || chr(12) || chr(13)) AS key FROM l
+), common AS (
+  SELECT key FROM k WHERE key <> '' GROUP BY key HAVING count(DISTINCT (doc_id, h)) >= 10
+), m AS (
+  SELECT k.*, common.key IS NOT NULL AS gone FROM k LEFT JOIN common ON k.key = common.key
+)
+SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER (gone)::BIGINT AS n_dropped,
+       sha256(coalesce(string_agg(line, chr(10) ORDER BY pos) FILTER (NOT gone), '')) AS kept_sha256
+FROM m GROUP BY rid
+"""
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op4_sharding": op4_sharding,
     "op7_quality": op7_quality,
+    "op8_line_dedup": op8_line_dedup,
 }
 
 ORACLE_SQL = {
     "op1_mixing": OP1_SQL,
+    "op8_line_dedup": OP8_SQL,
 }
