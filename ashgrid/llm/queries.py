@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, quality, sharding
+from . import line_dedup, mixing, packing, quality, sharding
 from .common import materialize, table, text_or_empty, words
 
 
@@ -94,11 +94,17 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER
 FROM m GROUP BY rid
 """
 
+def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    cut = materialize(packing.pieces(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text")), "pieces")
+    return packing.pack(cut)
+
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op4_sharding": op4_sharding,
     "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
+    "op10_packing": op10_packing,
 }
 
 ORACLE_SQL = {
