@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import line_dedup, mixing, packing, quality, sharding
+from . import bagminhash, line_dedup, mixing, packing, quality, sharding
 from .common import materialize, table, text_or_empty, words
 
 
@@ -94,6 +94,13 @@ SELECT any_value(doc_id) AS doc_id, count(*)::BIGINT AS n_lines, count(*) FILTER
 FROM m GROUP BY rid
 """
 
+def op9_bagminhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    classes = bagminhash.near_classes(docs, "doc_id", "text", similarity=0.8).withColumnRenamed("id", "doc_id")
+    return docs.select("doc_id").join(classes, "doc_id", "left").select(
+        "doc_id", "class_id", F.coalesce(F.col("doc_id") == F.col("class_id"), F.lit(True)).alias("kept"))
+
+
 def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     cut = materialize(packing.pieces(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text")), "pieces")
     return packing.pack(cut)
@@ -104,6 +111,7 @@ QUERIES = {
     "op4_sharding": op4_sharding,
     "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
+    "op9_bagminhash": op9_bagminhash,
     "op10_packing": op10_packing,
 }
 
