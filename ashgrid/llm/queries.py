@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, line_dedup, mixing, packing, quality, sharding
+from . import bagminhash, embedding_dedup, line_dedup, mixing, packing, quality, sharding
 from .common import materialize, table, text_or_empty, words
 
 
@@ -55,6 +55,11 @@ FROM r
 """
 
 
+def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    near = embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label", cosine=0.98)
+    return near.withColumnRenamed("id", "vec_id")
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shard(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"), shards=24, overhead=8)
     return sharded.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"),
@@ -108,6 +113,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES = {
     "op1_mixing": op1_mixing,
+    "op2_embedding_dedup": op2_embedding_dedup,
     "op4_sharding": op4_sharding,
     "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
