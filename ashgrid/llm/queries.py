@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, embedding_dedup, html_content, line_dedup, mixing, packing, quality, sharding
+from . import bagminhash, embedding_dedup, html_content, line_dedup, maxent_lm, mixing, packing, quality, sharding
 from .common import materialize, table, text_or_empty, words
 
 
@@ -66,6 +66,10 @@ def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
                           "shard", "slot", "grown_shard")
 
 
+def op5_maxent_lm(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return maxent_lm.score(table(spark, sf_dir, "documents"), "doc_id", "text").withColumnRenamed("id", "doc_id")
+
+
 def op6_html_content(spark: SparkSession, sf_dir: str) -> DataFrame:
     text = html_content.main_text(table(spark, sf_dir, "pages"), "page_id", "url", "html")
     return text.select(F.col("id").alias("page_id"), "url", "text", F.length("text").cast("long").alias("n_chars"))
@@ -120,6 +124,7 @@ QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
     "op4_sharding": op4_sharding,
+    "op5_maxent_lm": op5_maxent_lm,
     "op6_html_content": op6_html_content,
     "op7_quality": op7_quality,
     "op8_line_dedup": op8_line_dedup,
