@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, embedding_dedup, html_content, line_dedup, maxent_lm, mixing, packing, quality, sharding
+from . import bagminhash, embedding_dedup, html_content, line_dedup, maxent_lm, mixing, packing, pii, quality, sharding
 from .common import materialize, table, text_or_empty, words
 
 
@@ -60,6 +60,15 @@ def op2_embedding_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near.withColumnRenamed("id", "vec_id")
 
 
+def op3_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find(table(spark, sf_dir, "documents"), F.col("text"), carry=["doc_id"]).select(
+        "row.doc_id", "base", "added")
+    count = lambda k: F.size(F.filter("base", lambda m: m["kind"] == k)).cast("long")
+    return found.select("doc_id", *[count(k).alias(f"n_{kind}") for k, kind in enumerate(pii.KINDS)],
+                        F.sha2(pii.span_text(F.col("base")), 256).alias("base_sha256"),
+                        pii.span_text(F.array_sort(F.concat("base", "added"))).alias("spans"))
+
+
 def op4_sharding(spark: SparkSession, sf_dir: str) -> DataFrame:
     sharded = sharding.shard(table(spark, sf_dir, "documents"), F.col("doc_id"), F.col("text"), shards=24, overhead=8)
     return sharded.select(F.col("key").alias("doc_id"), "size", "text_crc32", F.lit("key").alias("law"),
@@ -123,6 +132,7 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
+    "op3_pii": op3_pii,
     "op4_sharding": op4_sharding,
     "op5_maxent_lm": op5_maxent_lm,
     "op6_html_content": op6_html_content,
