@@ -48,16 +48,21 @@ def id_text(c: Column) -> Column:
     return F.coalesce(c.cast("string"), F.lit(""))
 
 
-def positions(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column], out: str) -> DataFrame:
+def positions(df: DataFrame, group: Sequence[str], bucket: str, order: Sequence[Column], out: str,
+              of_group: DataFrame | None = None) -> DataFrame:
     """0-based gapless position of each row inside its group, ordered by
     (``bucket``, ``order``), without putting a group into one task: rows are
     numbered per (group, bucket), and each bucket starts after the counted
     rows of the buckets before it.  ``group`` and ``bucket`` must not be null;
-    the number of buckets of a group is bounded by the caller."""
+    the number of buckets of a group is bounded by the caller.  ``of_group``
+    (group columns and more) is joined on the way, to the buckets and not to
+    the rows."""
     keys = [*group, bucket]
     counts = df.groupBy(*keys).agg(F.count(F.lit(1)).alias("__n"))
     before = Window.partitionBy(*group).orderBy(bucket).rowsBetween(Window.unboundedPreceding, -1)
     starts = counts.select(*keys, F.coalesce(F.sum("__n").over(before), F.lit(0)).alias("__start"))
+    if of_group is not None:
+        starts = starts.join(of_group, list(group))
     inside = F.row_number().over(Window.partitionBy(*keys).orderBy(*order))
     return (
         df.join(starts, keys)

@@ -73,11 +73,11 @@ def mix(docs: DataFrame, key: Column, source: Column, size: Column, weights: Seq
     d = d.withColumn("bucket", (length * 16 + F.expr("shiftright(size * 16, length(bin(size)))")) * SALTS
                      + draw32(F.lit(seed), F.col("k")) % SALTS)
     targets = source_targets(d.groupBy("skey").agg(F.sum("size").alias("source_size")), weights, max_repeat)
-    ranked = positions(d, ["skey"], "bucket", [F.col("size"), F.col("okey")], "pos")
+    ranked = positions(d, ["skey"], "bucket", [F.col("size"), F.col("okey")], "pos", targets)
     rate = F.when(F.col("source_size") > 0, F.col("target") / F.col("source_size")).otherwise(0.0)
     offset = draw32(F.lit(seed), F.col("skey")) / F.lit(4294967296.0)
     upto = F.floor((F.col("pos") + 1) * rate + offset)
-    return ranked.join(targets, "skey").select(
+    return ranked.select(
         "row", "size", "source_size", "target", (upto - F.floor(F.col("pos") * rate + offset)).alias("copies"))
 
 
