@@ -121,7 +121,7 @@ def contexts(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Hashed features of every position: one, two and three words back, and the last two together."""
     first = np.repeat(np.cumsum(counts) - counts, counts)
     at = np.arange(len(tokens))
-    back = [np.where(at - k >= first, tokens[at - k], START) for k in (1, 2, 3)]
+    back = [np.where(at - k >= first, tokens[np.maximum(at - k, 0)], START) for k in (1, 2, 3)]
     with np.errstate(over="ignore"):
         raw = [back[0], back[1] * np.uint64(3), back[2] * np.uint64(5), back[0] * np.uint64(7) ^ back[1] * np.uint64(11)]
         out = np.stack([(x ^ np.uint64(k + 1)) * _MIX for k, x in enumerate(raw)], axis=1)

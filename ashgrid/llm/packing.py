@@ -36,6 +36,8 @@ CACHE_ENTRIES = 400_000
 #: white space that pre-tokenization looks at as a whole
 UNSAFE = re.compile(r"\s \s|\s $")
 RANK_BUCKETS = 256
+#: columns filled less than this are unpacked again, the emptiest first, up to so many pieces
+LOOSE, LOOSE_PIECES = 0.998, 20_000
 #: first weights are (length / limit) ** POWER: of two full columns the one with longer pieces is dearer
 POWER = 1.1
 
@@ -222,9 +224,14 @@ def plan(counts: dict[int, int], limit: int, phases: int = 2) -> list[tuple[int,
         place(((limit, 1),), full)
     rest = {k: n for k, n in counts.items() if k < limit and n}
     if rest:
-        for column, amount in sorted(solve(rest, limit, phases).items()):
-            copies = min(int(amount + 1e-6), min((counts[k] - used[k]) // n for k, n in column))
-            if copies:
+        solution = solve(rest, limit, phases)
+        loose = 0
+        for column in sorted(solution, key=lambda c: (sum(k * n for k, n in c), c)):
+            copies = min(int(solution[column] + 1e-6), min((counts[k] - used[k]) // n for k, n in column))
+            pieces_in = copies * sum(n for _, n in column)
+            if sum(k * n for k, n in column) < LOOSE * limit and loose + pieces_in <= LOOSE_PIECES:
+                loose += pieces_in  # left to best fit, together with what rounding leaves
+            elif copies:
                 place(column, copies)
         residue = [k for k in rest for _ in range(counts[k] - used[k])]
         alike: dict[tuple[int, ...], int] = {}

@@ -29,7 +29,7 @@ from pyspark.sql import functions as F
 from .common import materialize, text_or_empty
 
 KINDS = ("email", "ip", "card", "phone")
-#: the base patterns, possessive and anchored at the start of a run so that long runs cost linear time
+#: the base patterns, possessive and anchored at the start of a run: linear time, and no recursion on long runs
 BASE = {
     "email": r"(?:\G|(?<![A-Za-z0-9._%+-]))[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "ip": r"(?<![0-9])[0-9]++(?:\.[0-9]++){3}",
@@ -39,7 +39,7 @@ BASE = {
 #: what a text must hold for a pattern of the kind to be tried at all
 NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"[0-9][\x20.)-]{1,2}[0-9]"}
 GENERATORS = (
-    ("email", r"(?<![^\s@<>()\[\],;:\"'])[^\s@<>()\[\],;:\"']++@[^\s@<>()\[\],;:\"'.]++(?:\.[^\s@<>()\[\],;:\"'.]++)*?\.\p{L}{2,}"),
+    ("email", r"(?<![^\s@<>()\[\],;:\"'])[^\s@<>()\[\],;:\"']++@(?:[^\s@<>()\[\],;:\"'.]++\.(?=\p{L}))++\p{L}{2,}"),
     ("ip", r"(?<![0-9])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])"),
     ("ip", r"(?<![0-9.])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9]|\.[0-9])"),
     ("card", r"(?<![0-9])[0-9]{13,19}(?![0-9])"),
