@@ -211,9 +211,12 @@ def split_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("temporal_split", R + f"""
-SELECT id, CASE WHEN d < DATE '{CUTOFF}' THEN 'train' ELSE 'test' END AS split FROM ratings""")
+SELECT id, CASE WHEN d < DATE '{CUTOFF}' THEN 'train' WHEN d IS NOT NULL THEN 'test' END AS split FROM ratings
+UNION ALL SELECT -id, NULL FROM ratings WHERE id % 7 = 0""")
 def temporal_split(spark: SparkSession, sf_dir: str) -> DataFrame:
-    df = SP.temporal_split_tag(_ratings(spark, sf_dir), "d", CUTOFF)
+    r = _ratings(spark, sf_dir).select("id", "d")
+    undated = r.filter("id % 7 = 0").select((-F.col("id")).alias("id"), F.lit(None).cast("date").alias("d"))
+    df = SP.temporal_split_tag(r.unionByName(undated), "d", CUTOFF)
     SP.require_both_sides(df)
     return df.select("id", "split")
 

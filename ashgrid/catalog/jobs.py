@@ -3,7 +3,7 @@ validation report (rows checks; their operators are oracle-checked one by one)."
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import contract as C
@@ -29,9 +29,13 @@ def _requests(spark, sf_dir) -> DataFrame:
 
 
 def _grid_weather(spark, sf_dir, requests):
-    """Each grid point's payload carries the history of station gid % 150."""
-    st = requests.select("loc", (F.col("loc") % 150).alias("st"))
-    d = _daily(spark, sf_dir).withColumnRenamed("loc", "st").join(st, "st").drop("st")
+    """Each grid point's payload carries the history of one station; all
+    stations are dealt out in turn (by rank, modulo their count)."""
+    daily = _daily(spark, sf_dir).withColumnRenamed("loc", "st")
+    stations = daily.select("st").distinct().withColumn("rank", F.row_number().over(Window.orderBy("st")) - 1)
+    n = F.lit(max(1, stations.count()))
+    st = requests.select("loc", (F.col("loc") % n).alias("rank")).join(stations, "rank").drop("rank")
+    d = daily.join(st, "st").drop("st")
     h = _hourly(spark, sf_dir).withColumnRenamed("loc", "st").join(st, "st").drop("st")
     return d, h
 

@@ -92,8 +92,9 @@ def rf_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("linear_regression")
 def linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-7: OLS on population z-scores, then round and clip."""
-    df = ML.standardize(_labelled(spark, sf_dir), ML_FEATURES)
     c = F.lit(CUT).cast("date")
+    raw = _labelled(spark, sf_dir)
+    df = ML.standardize(raw, ML_FEATURES, fit_on=raw.filter(F.col("d") < c))
     model = ML.fit(ML.linear_regression(ML_FEATURES), df.filter(F.col("d") < c))
     return ML.score(model, df.filter(F.col("d") >= c)).select("st", "d", LABEL, "prediction_level")
 
@@ -101,8 +102,9 @@ def linear_regression(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("ridge")
 def ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-8: ridge (alpha = 1) on population z-scores."""
-    df = ML.standardize(_labelled(spark, sf_dir), ML_FEATURES)
     c = F.lit(CUT).cast("date")
+    raw = _labelled(spark, sf_dir)
+    df = ML.standardize(raw, ML_FEATURES, fit_on=raw.filter(F.col("d") < c))
     train = df.filter(F.col("d") < c).withColumn("__y", F.col(LABEL).cast("double") - 1.0)
     model = ML.fit(ML.ridge(ML_FEATURES, train), df.filter(F.col("d") < c))
     return ML.score(model, df.filter(F.col("d") >= c)).select("st", "d", LABEL, "prediction_level")
@@ -113,7 +115,7 @@ def model_bakeoff(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-11: several models on one split, one metric table (MET-1/2/3/8)."""
     train, test = _split(spark, sf_dir)
     train = _weighted(train).cache()
-    zs = ML.standardize(_labelled(spark, sf_dir), ML_FEATURES)
+    zs = ML.standardize(_labelled(spark, sf_dir), ML_FEATURES, fit_on=train)
     c = F.lit(CUT).cast("date")
     ztrain, ztest = zs.filter(F.col("d") < c), zs.filter(F.col("d") >= c)
     scored = [

@@ -61,8 +61,8 @@ SELECT DISTINCT floor(la * 10) / 10 AS lat, floor(lo * 10) / 10 AS lon FROM poin
 def grid_file(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-8: a pre-clipped grid file replaces the generated grid (lat, lon only)."""
     path = scratch_path(spark, "grid")
-    g = FX.points(spark, sf_dir).select((F.floor(F.col("la") * 10) / 10).alias("lat"), (F.floor(F.col("lo") * 10) / 10).alias("lon"),
-                                        F.lit("x").alias("extra")).distinct()
+    g = FX.points(spark, sf_dir).select(F.lit("7").alias("extra"), (F.floor(F.col("lo") * 10) / 10).alias("lon"),
+                                        (F.floor(F.col("la") * 10) / 10).alias("lat")).distinct()
     P.write_csv(g, path)
     return SF.grid_file(spark, path)
 
@@ -99,16 +99,15 @@ def write_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("append_checkpoint", SD + """
-SELECT st, precip, d AS target_date, CAST(st % 2 AS INTEGER) AS step FROM station_day""")
+SELECT st, precip, d AS target_date, CAST(0 AS INTEGER) AS step FROM station_day""")
 def append_checkpoint(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SNK-2: two chunks appended under their (target_date, step) keys, one of
-    them replayed; the replay replaces itself."""
+    """SNK-2: three chunks appended under the same (target_date, step) keys, one
+    of them replayed; the replay replaces itself only."""
     path = scratch_path(spark, "ckpt")
     sd = FX.station_day(spark, sf_dir).select("st", "precip", F.col("d").alias("target_date"),
-                                               (F.col("st") % 2).cast("int").alias("step"))
-    P.append_checkpoint(sd.filter("step = 0"), path)
-    P.append_checkpoint(sd.filter("step = 1"), path)
-    P.append_checkpoint(sd.filter("step = 1"), path)  # replay
+                                               F.lit(0).alias("step"))
+    for chunk in (0, 1, 2, 1):  # 1 is replayed
+        P.append_checkpoint(sd.filter(F.col("st") % 3 == chunk), path, chunk)
     return spark.read.parquet(path).select("st", "precip", "target_date", "step")
 
 
@@ -161,8 +160,8 @@ def geojson_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 @register("explain_values", _WHY_SQL + """
-SELECT d, la, lo, floor(precip_14day_sum * 1000 * 10 + 0.5) / 10 AS rain14_mm, floor((max_temp - 273.15) * 10 + 0.5) / 10 AS maxtemp_c,
-       floor(max_wind_speed * 10 + 0.5) / 10 AS wind_ms FROM f""")
+SELECT d, la, lo, CAST(printf('%.1f', precip_14day_sum * 1000) AS DOUBLE) AS rain14_mm, CAST(printf('%.1f', max_temp - 273.15) AS DOUBLE) AS maxtemp_c,
+       CAST(printf('%.1f', max_wind_speed) AS DOUBLE) AS wind_ms FROM f""")
 def explain_values(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-9: friendly units, one decimal."""
     f = _why_frame(spark, sf_dir)
@@ -171,7 +170,7 @@ def explain_values(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 _CLASS_SQL = _WHY_SQL + """
-, e AS (SELECT d, la, lo, floor(precip_14day_sum * 1000 * 10 + 0.5) / 10 AS rain14_mm, floor((max_temp - 273.15) * 10 + 0.5) / 10 AS maxtemp_c FROM f)
+, e AS (SELECT d, la, lo, CAST(printf('%.1f', precip_14day_sum * 1000) AS DOUBLE) AS rain14_mm, CAST(printf('%.1f', max_temp - 273.15) AS DOUBLE) AS maxtemp_c FROM f)
 """
 
 

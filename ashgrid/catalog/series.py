@@ -86,9 +86,8 @@ def _rolling_query(n_list, how_list, src: str):
             df = FX.station_day(spark, sf_dir)
             order = ["d"]
         specs = {f"{how}_{n}": ("precip", n, how) for n in n_list for how in how_list}
-        # customer-keyed history: one key could hold a large share of the rows,
-        # so the largest key is measured and big keys run block-parallel
-        out = TS.add_rolling(df, "st", order, specs, block_rows="auto" if src == "long" else None)
+        # customer-keyed history: one key could hold a large share of the rows, so it runs in blocks
+        out = TS.add_rolling(df, "st", order, specs, block_rows=1_000_000 if src == "long" else None)
         keys = ["st", "d"] + (["id"] if src == "long" else [])
         return out.select(*keys, *[S.round8(c).alias(c) for c in specs])
 
@@ -178,3 +177,34 @@ def sort_time(spark: SparkSession, sf_dir: str) -> DataFrame:
     df = FX.hourly(spark, sf_dir)
     w = TS.spec("loc", []).orderBy(F.col("b").asc_nulls_last(), "seq")
     return df.select("loc", "ts", F.row_number().over(w).alias("pos"))
+
+
+# ---- many groups, null groups and null keys ---------------------------------
+
+_GROUPED_SQL = """
+WITH g AS (SELECT o_orderkey AS id, CASE WHEN o_custkey % 100 = 7 THEN NULL ELSE o_custkey % 100 END AS grp,
+                  CAST(o_orderdate AS DATE) AS d, CAST(o_custkey AS DOUBLE) AS x FROM orders)
+"""
+
+
+def _grouped_orders(spark, sf_dir) -> DataFrame:
+    grp = F.col("o_custkey") % 100
+    return spark.read.parquet(f"{sf_dir}/orders.parquet").select(
+        F.col("o_orderkey").alias("id"), F.when(grp != 7, grp).alias("grp"), F.col("o_orderdate").cast("date").alias("d"),
+        F.col("o_custkey").cast("double").alias("x"))
+
+
+@register("latest_many_groups", _GROUPED_SQL + """
+, m AS (SELECT grp, max(d) AS newest FROM g GROUP BY grp)
+SELECT id, g.grp FROM g JOIN m ON g.grp IS NOT DISTINCT FROM m.grp AND g.d = m.newest""")
+def latest_many_groups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """FLT-4 over a hundred groups, one of them null."""
+    return FL.latest_or_pinned(_grouped_orders(spark, sf_dir), "d", per=["grp"]).select("id", "grp")
+
+
+@register("rolling_null_key", _GROUPED_SQL + f"""
+SELECT id, grp, {rolling('sum', 'x', 5, 'grp', 'id')} AS sum_5, round({rolling('avg', 'x', 9, 'grp', 'id')}, 8) AS mean_9 FROM g""")
+def rolling_null_key(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """WIN-3 in small blocks; the rows of the null key are a history too."""
+    out = TS.add_rolling(_grouped_orders(spark, sf_dir), "grp", "id", {"sum_5": ("x", 5, "sum"), "mean_9": ("x", 9, "mean")}, block_rows=64)
+    return out.select("id", "grp", "sum_5", S.round8("mean_9").alias("mean_9"))

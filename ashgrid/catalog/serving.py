@@ -17,6 +17,7 @@ from .registry import register
 from .spatial import _clip_sql, _edges, _grid_sql
 
 TARGET = "2024-01-15"
+EARLY = "2024-01-02"  # before some locations have any row
 
 # fixture columns -> service variables (daily from station_day, hourly from events)
 _DAILY_MAP = {
@@ -36,7 +37,7 @@ def _daily(spark, sf_dir) -> DataFrame:
 
 
 def _hourly(spark, sf_dir) -> DataFrame:
-    h = FX.hourly(spark, sf_dir).filter(F.col("loc") % 10 != 0)
+    h = FX.hourly(spark, sf_dir)
     return h.select("loc", F.col("ts").alias("time"), "seq", *[F.expr(e).alias(n) for n, e in _HOURLY_MAP.items()])
 
 
@@ -47,7 +48,7 @@ def _daily_sql() -> str:
 
 def _hourly_sql() -> str:
     items = ", ".join(f"{e} AS {n}" for n, e in _HOURLY_MAP.items())
-    return f"hr AS (SELECT loc, ts AS time, seq, {items} FROM hourly WHERE loc % 10 <> 0)"
+    return f"hr AS (SELECT loc, ts AS time, seq, {items} FROM hourly)"
 
 
 SV = FX.with_views("station_day", "hourly", "points") + ", " + _daily_sql() + ", " + _hourly_sql() + "\n"
@@ -108,17 +109,19 @@ def floor_day(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("trailing_sum_mean", SV + f"""
 , r AS (SELECT loc, snowfall_sum AS x, row_number() OVER (PARTITION BY loc ORDER BY day DESC) AS rn
-        FROM daily WHERE day <= DATE '{TARGET}')
-SELECT loc, round(coalesce(sum(x) FILTER (WHERE rn <= 7), 0.0), 8) AS s7,
+        FROM daily WHERE day <= DATE '{EARLY}')
+SELECT k.loc, round(coalesce(sum(x) FILTER (WHERE rn <= 7), 0.0), 8) AS s7,
        round(coalesce(sum(x) FILTER (WHERE rn <= 14), 0.0), 8) AS s14,
-       round(avg(x) FILTER (WHERE rn <= 7), 8) AS m7, round(avg(x) FILTER (WHERE rn <= 14), 8) AS m14
-FROM r GROUP BY loc""")
+       CASE WHEN count(rn) = 0 THEN 0.0 ELSE round(avg(x) FILTER (WHERE rn <= 7), 8) END AS m7,
+       CASE WHEN count(rn) = 0 THEN 0.0 ELSE round(avg(x) FILTER (WHERE rn <= 14), 8) END AS m14
+FROM (SELECT DISTINCT loc FROM daily) k LEFT JOIN r ON r.loc = k.loc GROUP BY k.loc""")
 def trailing_sum_mean(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG-6: last 7/14 rows up to the day; all-null sum = 0.0, mean = null."""
+    """AGG-6: last 7/14 rows up to an early day; all-null sum = 0.0, mean = null;
+    locations that begin later keep 0.0."""
     d = _daily(spark, sf_dir)
     out = W.TS.trailing(d.withColumnRenamed("snowfall_sum", "x"), "loc", "day",
                         {"s7": ("x", 7, "sum"), "s14": ("x", 14, "sum"), "m7": ("x", 7, "mean"),
-                         "m14": ("x", 14, "mean")}, upto=F.lit(TARGET).cast("date"))
+                         "m14": ("x", 14, "mean")}, upto=F.lit(EARLY).cast("date"))
     return out.select("loc", *[S.round8(c).alias(c) for c in ("s7", "s14", "m7", "m14")])
 
 
@@ -138,12 +141,16 @@ row AS (SELECT d.*, res.resolved_day,
 """
 
 
-@register("target_or_latest", SV + _RESOLVE_SQL + """
+# some locations without hourly rows, to show their 0.0
+_SV_GAPS = SV.replace("FROM hourly)", "FROM hourly WHERE loc % 10 <> 0)")
+
+
+@register("target_or_latest", _SV_GAPS + _RESOLVE_SQL + """
 SELECT loc, resolved_day, temperature_2m_max, precipitation_sum, round(mean_low_cloud_cover, 8) AS mean_low_cloud_cover
 FROM row""")
 def target_or_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """JOIN-6: target day else latest; hourly aggregates of that day else 0.0."""
-    d, h = _daily(spark, sf_dir), _hourly(spark, sf_dir)
+    d, h = _daily(spark, sf_dir), _hourly(spark, sf_dir).filter(F.col("loc") % 10 != 0)
     hd = W.hourly_to_daily(h)
     out = W.target_or_latest(d, hd, F.lit(TARGET).cast("date"))
     return out.select("loc", "resolved_day", "temperature_2m_max", "precipitation_sum",

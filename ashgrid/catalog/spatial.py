@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from .. import fixtures as FX
@@ -147,12 +147,14 @@ def nearest_joins(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("haversine", FX.with_views("points", "sites") + f"""
 SELECT p.k, s.sk, round({hav_sql('p.la', 'p.lo', 's.la', 's.lo')}, 6) AS dist_km
-FROM points p JOIN sites s ON s.sk = p.k % 100""")
+FROM points p JOIN (SELECT *, row_number() OVER (ORDER BY sk) - 1 AS rank FROM sites) s
+  ON s.rank = p.k % (SELECT count(*) FROM sites)""")
 def haversine(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """FN-7 on keyed pairs (point k with site k % 100)."""
-    p = FX.points(spark, sf_dir)
-    s = FX.sites(spark, sf_dir).select("sk", F.col("la").alias("sla"), F.col("lo").alias("slo"))
-    j = p.join(s, s.sk == p.k % 100)
+    """FN-7 on pairs: point k with the site of rank k modulo the number of sites."""
+    sites = FX.sites(spark, sf_dir)
+    p = FX.points(spark, sf_dir).withColumn("rank", F.col("k") % sites.agg(F.count(F.lit(1))).scalar())
+    s = sites.select("sk", F.col("la").alias("sla"), F.col("lo").alias("slo"), (F.row_number().over(Window.orderBy("sk")) - 1).alias("rank"))
+    j = p.join(s, "rank")
     return j.select("k", "sk", F.round(S.haversine_km("la", "lo", "sla", "slo"), 6).alias("dist_km"))
 
 

@@ -83,8 +83,8 @@ RISK_COLOURS = ["#0001fe", "#00e001", "#ffff00", "#e29f01", "#fe0000"]
 
 # Column aliases of the raw inputs.
 ALIASES = {
-    "station_code": ["station_code", "STATION_CODE"],
-    "date": ["date", "DATE_TIME", "DATE"],
+    "station_code": ["STATION_CODE", "station_code"],
+    "date": ["DATE_TIME", "date", "DATE"],
     "lat": ["lat", "LATITUDE", "Latitude"],
     "lon": ["lon", "LONGITUDE", "Longitude"],
     "elevation": ["elevation", "ELEVATION_M"],

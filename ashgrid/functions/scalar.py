@@ -125,10 +125,8 @@ def clip_round_rating(x, lo: int = 1, hi: int = 5) -> Column:
 
 
 def round1(x) -> Column:
-    """One decimal, ties up on the binary value: floor(10x + 0.5) / 10.
-    Plain double arithmetic, so every engine gives the same bits (decimal
-    rounding of the printed value differs from binary rounding on ties)."""
-    return F.floor(col(x) * 10 + 0.5) / 10
+    """One decimal of the exact binary value, ties to even (0.25 -> 0.2, 0.35 -> 0.3)."""
+    return F.regexp_replace(F.format_number(col(x), 1), ",", "").cast("double")
 
 
 # FN-9

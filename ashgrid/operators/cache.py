@@ -22,9 +22,9 @@ from . import geo as G
 
 
 def pixels_latest(pixels: DataFrame, date: str = "date", pinned: str | None = None) -> DataFrame:
-    """FLT-4 per layer (null pixels are dropped first, as GEO-4 requires)."""
-    clean = pixels.na.drop(subset=["lat", "lon", "value"])
-    return FL.latest_or_pinned(clean, date, pinned, per=["layer"])
+    """FLT-4 per layer, then null pixels are dropped (GEO-4): a layer whose newest
+    slice is all null has no pixels, it does not fall back to an older date."""
+    return FL.latest_or_pinned(pixels, date, pinned, per=["layer"]).na.drop(subset=["lat", "lon", "value"])
 
 
 def nearest_per_layer(grid: DataFrame, pixels: DataFrame, layers: Sequence[str], key: str = "gid",

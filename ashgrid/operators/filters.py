@@ -45,9 +45,6 @@ def upto_date(df: DataFrame, d: str, upto: str | None) -> DataFrame:
     return df if upto is None else df.filter(F.col(d) <= F.lit(upto).cast("date"))
 
 
-MAX_LITERAL_GROUPS = 64  # groups (e.g. layers) resolved into literal predicates
-
-
 # FLT-4
 def latest_or_pinned(df: DataFrame, d: str, pinned: str | None = None, per: Sequence[str] = ()) -> DataFrame:
     """Rows of the pinned date (possibly none); else rows of the newest
@@ -58,27 +55,14 @@ def latest_or_pinned(df: DataFrame, d: str, pinned: str | None = None, per: Sequ
     if pinned is not None:
         return df.filter(F.col(d) == F.lit(pinned).cast(df.schema[d].dataType))
     if per:
-        # one row per group (e.g. per layer): the newest date.  With few groups
-        # it becomes literal predicates (partition pruning on a table laid out
-        # by group and date, and no join); otherwise it is joined back on the
-        # group key.  A window partitioned by the group would put a whole layer
-        # into one task.
-        from .geo import broadcast_if_small
-
-        newest_rows = df.groupBy(*per).agg(F.max(d).alias("__newest")).limit(MAX_LITERAL_GROUPS + 1).collect()
-        if len(newest_rows) <= MAX_LITERAL_GROUPS:
-            cond = F.lit(False)
-            for r in newest_rows:
-                same = F.lit(True)
-                for k in per:
-                    same = same & (F.col(k).isNull() if r[k] is None else (F.col(k) == F.lit(r[k])))
-                keep = F.lit(True) if r["__newest"] is None else (F.col(d) == F.lit(r["__newest"]))
-                cond = cond | (same & keep)
-            return df.filter(cond)
-
-        newest = df.groupBy(*per).agg(F.max(d).alias("__newest"))
-        j = df.join(broadcast_if_small(newest), list(per))
-        return j.filter(F.col("__newest").isNull() | (F.col(d) == F.col("__newest"))).drop("__newest")
+        # one row per group (e.g. per layer), joined back null-safe: a null group
+        # is a group too.  A window would put a whole layer into one task.
+        newest = df.groupBy(*per).agg(F.max(d).alias("__newest")).withColumnsRenamed({k: f"__g_{k}" for k in per})
+        same = F.lit(True)
+        for k in per:
+            same = same & F.col(k).eqNullSafe(F.col(f"__g_{k}"))
+        j = df.join(newest, same)
+        return j.filter(F.col("__newest").isNull() | (F.col(d) == F.col("__newest"))).select(*df.columns)
     newest = df.select(F.max(d)).scalar()  # scalar subquery, evaluated once
     return df.filter(newest.isNull() | (F.col(d) == newest))
 

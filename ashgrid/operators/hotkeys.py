@@ -16,7 +16,7 @@ These variants compute the same results with no partition larger than a block:
    blocks, so gaps that span blocks are filled exactly as in one pass.
 
 Each step is a DataFrame operation (range exchange, hash exchange, small
-aggregates and a broadcast-sized join).  Results equal ``timeseries``'s.
+aggregates and a join with one row per key and slice).  Results equal ``timeseries``'s.
 """
 
 from __future__ import annotations
@@ -27,8 +27,6 @@ from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from .geo import broadcast_if_small
-
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
@@ -46,9 +44,11 @@ def global_positions(df: DataFrame, key: str, order: Sequence[str], parts: int |
     # range partitions are ordered, so earlier slices of a key have smaller ids
     before = Window.partitionBy(key).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
     offs = counts.select(key, "__pid", F.coalesce(F.sum("__c").over(before), F.lit(0)).alias("__off"))
-    return r.join(broadcast_if_small(offs), [key, "__pid"]).withColumn(
+    offs = offs.withColumnsRenamed({key: "__okey", "__pid": "__opid"})
+    # null-safe: rows with a null key are a history of their own, as in a plain window
+    return r.join(offs, F.col(key).eqNullSafe(F.col("__okey")) & (F.col("__pid") == F.col("__opid"))).withColumn(
         "__pos", F.col("__off") + F.col("__lpos")
-    ).drop("__pid", "__lpos", "__off")
+    ).drop("__pid", "__lpos", "__off", "__okey", "__opid")
 
 
 def _blocks(df: DataFrame, block_rows: int) -> DataFrame:
@@ -102,7 +102,8 @@ def interpolate_blocked(df: DataFrame, key: str, order: Sequence[str], cols: Seq
             F.first(f"__f_v_{c}", True).over(nxt).alias(f"__cout_v_{c}"),
             F.first(f"__f_r_{c}", True).over(nxt).alias(f"__cout_r_{c}"),
         )])
-    x = x.join(carry, [key, "__blk"], "left")
+    carry = carry.withColumnsRenamed({key: "__ckey", "__blk": "__cblk"})
+    x = x.join(carry, F.col(key).eqNullSafe(F.col("__ckey")) & (F.col("__blk") == F.col("__cblk")), "left")
     exprs = {}
     for c in cols:
         lo_r = F.coalesce(f"__lo_r_{c}", f"__cin_r_{c}")
@@ -118,8 +119,3 @@ def interpolate_blocked(df: DataFrame, key: str, order: Sequence[str], cols: Seq
     drop = [k for k in x.columns if k.startswith("__")]
     return x.withColumns(exprs).drop(*drop)
 
-
-def max_key_rows(df: DataFrame, key: str) -> int:
-    """Rows of the largest key (one small aggregate), to pick the path."""
-    r = df.groupBy(key).agg(F.count(F.lit(1)).alias("n")).agg(F.max("n")).first()[0]
-    return int(r or 0)

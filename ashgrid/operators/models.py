@@ -54,10 +54,11 @@ def rf_regressor(features: Sequence[str], trees: int = 100, seed: int = 42) -> P
 
 
 # ML-9
-def standardize(df: DataFrame, features: Sequence[str]) -> DataFrame:
+def standardize(df: DataFrame, features: Sequence[str], fit_on: DataFrame | None = None) -> DataFrame:
     """z-scores with the population standard deviation: one global aggregate
-    (a single row of moments) whose values enter the plan as literals."""
-    mom = df.agg(*[F.avg(c).alias(f"m_{c}") for c in features], *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).first()
+    (a single row of moments, of ``fit_on`` if given: the training side) whose
+    values enter the plan as literals."""
+    mom = (df if fit_on is None else fit_on).agg(*[F.avg(c).alias(f"m_{c}") for c in features], *[F.stddev_pop(c).alias(f"s_{c}") for c in features]).first()
     exprs = {}
     for c in features:
         m, s = mom[f"m_{c}"], mom[f"s_{c}"]

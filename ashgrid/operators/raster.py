@@ -46,7 +46,7 @@ def parse_layer_and_date(path) -> dict[str, Column]:
     ymd_date = F.concat_ws(
         "-", F.regexp_extract(s, YMD_PATTERN, 1), F.regexp_extract(s, YMD_PATTERN, 2), F.regexp_extract(s, YMD_PATTERN, 3)
     )
-    before_doy = F.regexp_replace(F.rtrim(F.substring(s, F.lit(1), F.locate("_doy", s) - 1), F.lit("_")), AID_TAIL, "")
+    before_doy = F.regexp_replace(F.rtrim(F.substring(s, F.lit(1), F.regexp_instr(s, F.lit(DOY_PATTERN)) - 1), F.lit("_")), AID_TAIL, "")
     ymd_at = F.regexp_instr(s, F.lit(YMD_PATTERN))
     before_ymd = F.rtrim(F.substring(s, F.lit(1), ymd_at - 1), F.lit("_-"))
     raw = F.when(has_doy, before_doy).when(has_ymd, F.when(before_ymd == "", s).otherwise(before_ymd)).otherwise(s)

@@ -61,8 +61,9 @@ def stratified_split(
 
 
 def temporal_split_tag(df: DataFrame, d: str, cutoff: str, out: str = "split") -> DataFrame:
-    """FLT-5 as one tagged frame: 'train' before the cutoff, 'test' from it."""
-    return df.withColumn(out, F.when(F.col(d) < F.lit(cutoff).cast("date"), "train").otherwise("test"))
+    """FLT-5 as one tagged frame: 'train' before the cutoff, 'test' from it, null without a date."""
+    return df.withColumn(out, F.when(F.col(d) < F.lit(cutoff).cast("date"), "train")
+                         .when(F.col(d).isNotNull(), "test"))
 
 
 def require_both_sides(df: DataFrame, split: str = "split") -> None:

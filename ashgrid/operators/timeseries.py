@@ -40,34 +40,18 @@ def rolling_mean(c: str, n: int, w: WindowSpec) -> Column:
     return F.avg(c).over(w.rowsBetween(-(n - 1), 0))
 
 
-HOT_KEY_ROWS = 1_000_000  # above this many rows per key, windows run block-parallel
-
-
-def _hot(df: DataFrame, key: Keys, block_rows) -> int | None:
-    """Block size to use, or None for the plain one-partition-per-key window.
-    ``block_rows="auto"`` measures the largest key with one small aggregate."""
-    if block_rows is None or not isinstance(key, str) and len(_list(key)) != 1:
-        return None
-    if block_rows == "auto":
-        from .hotkeys import max_key_rows
-
-        return HOT_KEY_ROWS if max_key_rows(df, _list(key)[0]) > HOT_KEY_ROWS else None
-    return int(block_rows)
-
-
 def add_rolling(df: DataFrame, key: Keys, order: Keys, specs: dict[str, tuple[str, int, str]],
-                block_rows: int | str | None = None) -> DataFrame:
+                block_rows: int | None = None) -> DataFrame:
     """Add many row-window aggregates in one window pass.
 
     ``specs`` maps output name -> (input column, n rows, "sum" | "mean").
-    ``block_rows`` (an int, or "auto") switches to the block-parallel form
-    for keys that hold very many rows (``hotkeys.rolling_blocked``).
+    With ``block_rows`` every key is cut into blocks of so many rows, which
+    run in parallel (``hotkeys.rolling_blocked``); it needs a single key column.
     """
-    blk = _hot(df, key, block_rows)
-    if blk is not None:
+    if block_rows is not None:
         from .hotkeys import rolling_blocked
 
-        return rolling_blocked(df, _list(key)[0], _list(order), specs, blk)
+        return rolling_blocked(df, _list(key)[0], _list(order), specs, block_rows)
     w = spec(key, order)
     fns = {"sum": rolling_sum, "mean": rolling_mean}
     return df.withColumns({name: fns[how](c, n, w) for name, (c, n, how) in specs.items()})
@@ -108,7 +92,7 @@ def interpolate(
     cols: Sequence[str],
     fill_edges: bool = True,
     causal: bool = False,
-    block_rows: int | str | None = None,
+    block_rows: int | None = None,
 ) -> DataFrame:
     """Linear interpolation by row position within each key.
 
@@ -118,11 +102,10 @@ def interpolate(
     one (the latter reads the future).  ``causal=True`` only carries the last
     value forward, for leak-free evaluation.  An all-null key stays null.
     """
-    blk = None if causal else _hot(df, key, block_rows)
-    if blk is not None:
+    if block_rows is not None and not causal:
         from .hotkeys import interpolate_blocked
 
-        return interpolate_blocked(df, _list(key)[0], _list(order), cols, fill_edges, blk)
+        return interpolate_blocked(df, _list(key)[0], _list(order), cols, fill_edges, block_rows)
     w = spec(key, order)
     rn = "__rn"
     out = df.withColumn(rn, F.row_number().over(w))
@@ -158,22 +141,25 @@ def trailing(
     specs: dict[str, tuple[str, int, str]],
     upto: Column | None = None,
 ) -> DataFrame:
-    """Serving-side trailing aggregates, one row per key.
+    """Serving-side trailing aggregates, one row per key of ``df``.
 
     Rows with ``order <= upto`` (when given) are ranked newest first; for each
-    spec (input, n, "sum"|"mean") the last ``n`` rows are aggregated in one
-    grouped pass: sum of all-null is 0.0, mean of all-null is null.
+    spec (input, n, "sum"|"mean") the last ``n`` of them are aggregated in one
+    grouped pass: sum of all-null is 0.0, mean of all-null is null; a key
+    without such a row gets 0.0 for both.
     """
     keys = _list(key)
-    src = df if upto is None else df.filter(F.col(order) <= upto)
-    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col(order).desc()))
+    inside = F.lit(True) if upto is None else F.coalesce(F.col(order) <= upto, F.lit(False))
+    src = df.withColumn("__in", inside)
+    rn = F.row_number().over(Window.partitionBy(*keys).orderBy(F.col("__in").desc(), F.col(order).desc()))
     # the filter on the rank lets Spark limit each key to its newest rows
     # before the shuffle (window group limit), however long the history
     ranked = src.withColumn("__rn", rn).filter(F.col("__rn") <= max(n for _, n, _ in specs.values()))
     aggs = []
     for name, (c, n, how) in specs.items():
-        inside = F.when(F.col("__rn") <= n, F.col(c))
-        aggs.append((F.coalesce(F.sum(inside), F.lit(0.0)) if how == "sum" else F.avg(inside)).alias(name))
+        x = F.when(F.col("__in") & (F.col("__rn") <= n), F.col(c))
+        mean = F.when(F.bool_or("__in"), F.avg(x)).otherwise(0.0)
+        aggs.append((F.coalesce(F.sum(x), F.lit(0.0)) if how == "sum" else mean).alias(name))
     return ranked.groupBy(*keys).agg(*aggs)
 
 

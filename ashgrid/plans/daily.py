@@ -57,7 +57,7 @@ def score_grid(features: DataFrame, model_path: str, key: str = "gid") -> DataFr
                                             "precip_14day_sum", "max_temp", "max_wind_speed")
 
 
-def publish(pred: DataFrame, out_dir: str, target_date: str) -> None:
+def publish(pred: DataFrame, out_dir: str, target_date: str, document: bool = False) -> None:
     """The scored grid is written once (a table that also cuts the lineage);
     SNK-1 CSV, SNK-5 GeoJSON (one feature per line, and the day's single
     FeatureCollection) and SNK-6 dated + latest are derived from that table,
@@ -69,13 +69,13 @@ def publish(pred: DataFrame, out_dir: str, target_date: str) -> None:
     P.write_csv(dated.select("date", "lat", "lon", "prediction"), f"{out_dir}/csv/date={target_date}")
     feats = P.geojson_features(dated)
     P.write_geojson_lines(feats, f"{out_dir}/geojson")
-    # the single FeatureCollection of the day (bounded by the grid size)
-    P.geojson_document(feats).select("document").write.mode("overwrite").text(f"{out_dir}/geojson_doc/date={target_date}")
+    if document:  # the day's FeatureCollection as one text: for grids whose map fits in memory
+        P.geojson_document(feats).select("document").write.mode("overwrite").text(f"{out_dir}/geojson_doc/date={target_date}")
     P.write_dated_and_latest(dated.select("date", "lat", "lon", "prediction"), f"{out_dir}/dated", f"{out_dir}/latest")
 
 
 def run(spark: SparkSession, payload_path: str, requests: DataFrame, grid: DataFrame, static: DataFrame,
-        model_path: str | None, target_date: str, out_dir: str) -> DataFrame:
+        model_path: str | None, target_date: str, out_dir: str, document: bool = False) -> DataFrame:
     """The whole day.  Without a model the feature frame is written instead (SNK-9)."""
     weather = weather_for_grid(spark, payload_path, requests, F.lit(target_date).cast("date"))
     feats = assemble(grid, weather, static, target_date)
@@ -83,5 +83,5 @@ def run(spark: SparkSession, payload_path: str, requests: DataFrame, grid: DataF
         feats.write.mode("overwrite").parquet(f"{out_dir}/features/date={target_date}")
         return spark.read.parquet(f"{out_dir}/features/date={target_date}")
     pred = score_grid(feats, model_path)
-    publish(pred, out_dir, target_date)
-    return spark.read.parquet(f"{out_dir}/latest")
+    publish(pred, out_dir, target_date, document)
+    return spark.read.parquet(f"{out_dir}/dated").filter(F.col("date") == F.lit(target_date).cast("date"))

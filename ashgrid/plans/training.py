@@ -40,7 +40,7 @@ def derive(
 
     Station-days are bounded by the calendar per station, so the plain
     one-partition-per-station windows are the default; ``block_rows`` (or
-    "auto") runs them block-parallel for keys with very many rows."""
+    a number of rows) runs them block-parallel for keys with very many rows."""
     if winds is None:
         winds = {
             "average_wind_speed": ("mean_wind_east", "mean_wind_north"),

@@ -32,10 +32,11 @@ def fit_and_score(df: DataFrame, features: Sequence[str], label: str, date: str,
 def report(scored: DataFrame, label: str, pred: str = "prediction_level", lat: str = "lat", lon: str = "lon") -> dict[str, DataFrame]:
     s = scored.select(F.col(label).alias("y"), F.col(pred).alias("p"), F.col(lat).alias("la"), F.col(lon).alias("lo"))
     overall = M.ordinal_report(s).select(F.lit("overall").alias("section"), F.lit("all").alias("key"),
-                                         "n", "exact", "within_one", "qwk", "bias")
+                                         "n", "exact", "within_one", "qwk", "bias", F.lit(None).cast("double").alias("mean_pred"))
     region = M.bias_by_region(s).select(F.lit("region").alias("section"), F.col("region").alias("key"), "n",
-                                        *[F.lit(None).cast("double").alias(c) for c in ("exact", "within_one", "qwk")], "bias")
+                                        *[F.lit(None).cast("double").alias(c) for c in ("exact", "within_one", "qwk")], "bias",
+                                        F.lit(None).cast("double").alias("mean_pred"))
     cls = M.by_class_mean_pred(s).select(F.lit("official").alias("section"), F.col("official").cast("string").alias("key"),
                                          "n", *[F.lit(None).cast("double").alias(c) for c in ("exact", "within_one", "qwk")],
-                                         F.col("mean_pred").alias("bias"))
+                                         F.lit(None).cast("double").alias("bias"), "mean_pred")
     return {"summary": overall.unionByName(region).unionByName(cls), "confusion": M.confusion_row_pct(s)}

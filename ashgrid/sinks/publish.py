@@ -23,11 +23,12 @@ def write_csv(df: DataFrame, path: str, mode: str = "overwrite") -> None:
 
 
 # SNK-2
-def append_checkpoint(df: DataFrame, path: str, keys: Sequence[str] = ("target_date", "step")) -> None:
-    """Append a finished chunk, partitioned by its (target_date, step) key.
-    Dynamic partition overwrite makes a replayed chunk replace itself."""
-    (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-       .partitionBy(*keys).parquet(path))
+def append_checkpoint(df: DataFrame, path: str, chunk: int | str, keys: Sequence[str] = ("target_date", "step")) -> None:
+    """Append a finished chunk under its (target_date, step) key and its own
+    chunk id: many chunks share a key, and a replayed chunk replaces only
+    itself (dynamic partition overwrite)."""
+    (df.withColumn("chunk", F.lit(str(chunk))).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+       .partitionBy(*keys, "chunk").parquet(path))
 
 
 # SNK-3
@@ -70,14 +71,16 @@ def write_geojson_lines(features: DataFrame, path: str, date: str = "date") -> N
 
 
 # SNK-6
-def write_dated_and_latest(df: DataFrame, dated_path: str, latest_path: str, date: str = "date") -> None:
-    """Immutable dated copy (dynamic partition overwrite), then the newest
-    date's rows overwrite the stable ``latest`` output."""
+def write_dated_and_latest(df: DataFrame, dated_path: str, latest_path: str, date: str = "date",
+                           newest_overall: bool = False) -> None:
+    """Dated copy (dynamic partition overwrite), then the newest day of this
+    run's rows overwrites the stable ``latest`` output, also on a re-run of an
+    older day; ``newest_overall`` takes the newest dated day instead."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(date).parquet(dated_path))
     spark = df.sparkSession
     dated = spark.read.parquet(dated_path)
-    newest = dated.select(F.max(date)).scalar()
+    newest = (dated if newest_overall else df).select(F.max(date)).scalar()
     dated.filter(F.col(date) == newest).write.mode("overwrite").parquet(latest_path)
 
 

@@ -61,7 +61,9 @@ def points_csv(df: DataFrame, lat: str, lon: str) -> DataFrame:
 
 # SRC-8
 def grid_file(spark: SparkSession, path: str) -> DataFrame:
-    return spark.read.option("header", True).schema("lat double, lon double").csv(path).select("lat", "lon")
+    """Columns by header name, whatever their order in the file."""
+    rows = spark.read.option("header", True).csv(path)
+    return rows.select(F.col("lat").cast("double"), F.col("lon").cast("double"))
 
 
 # SRC-5

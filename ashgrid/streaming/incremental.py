@@ -23,21 +23,24 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..operators.weather import dedupe_keep_last
-from ..sinks.publish import write_dated_and_latest
+from ..sinks.publish import append_checkpoint, write_dated_and_latest
 
 
 def _read_or_none(spark: SparkSession, path: str) -> DataFrame | None:
     try:
         return spark.read.parquet(path)
-    except AnalysisException:
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
         return None
 
 
-def finished(spark: SparkSession, ckpt: str, grid: DataFrame, keys: Sequence[str]) -> DataFrame | None:
-    """Last finished row per key that is still in the grid (AGG-8 + JOIN-3)."""
+def finished(spark: SparkSession, ckpt: str, grid: DataFrame, keys: Sequence[str], target_date: str) -> DataFrame | None:
+    """The target date's last finished row per key that is still in the grid (AGG-8 + JOIN-3)."""
     done = _read_or_none(spark, ckpt)
     if done is None:
         return None
+    done = done.filter(F.col("target_date") == F.lit(target_date).cast("date"))
     last = dedupe_keep_last(done, list(keys), "run_seq")
     return last.join(grid.select(*keys), list(keys), "left_semi")
 
@@ -50,20 +53,27 @@ def resume_batch(
     keys: Sequence[str],
     target_date: str,
     run_seq: int | None = None,
+    chunks: int = 1,
 ) -> DataFrame:
-    """One resumable run: compute(todo keys) only for keys not finished yet."""
+    """One resumable run: compute(todo keys) only for the keys that this target
+    date has not finished.  The keys are dealt into ``chunks`` parts, each
+    committed on its own, so a crash loses at most the part in work."""
     keys = list(keys)
     run_seq = int(time.time() * 1000) if run_seq is None else run_seq
-    done = finished(spark, ckpt, grid, keys)
+    done = finished(spark, ckpt, grid, keys, target_date)
     todo = grid if done is None else grid.join(done.select(*keys), keys, "left_anti")  # JOIN-4
-    if not todo.isEmpty():
-        new = compute(todo).withColumns(
-            {"run_seq": F.lit(run_seq).cast("bigint"), "target_date": F.lit(target_date).cast("date")}
-        )
-        (new.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-            .partitionBy("target_date", "run_seq").parquet(ckpt))  # SNK-2
-    alld = finished(spark, ckpt, grid, keys)
-    return grid.join(alld.drop("run_seq", "target_date"), keys, "left")  # JOIN-1
+    chunk = F.pmod(F.xxhash64(*keys), F.lit(chunks))
+    for i in range(chunks):
+        part = todo.filter(chunk == i)
+        if not part.isEmpty():
+            new = compute(part).withColumns(
+                {"run_seq": F.lit(run_seq).cast("bigint"), "target_date": F.lit(target_date).cast("date")}
+            )
+            append_checkpoint(new, ckpt, i, ("target_date", "run_seq"))  # SNK-2
+    alld = finished(spark, ckpt, grid, keys, target_date)
+    if alld is None:
+        return grid
+    return grid.join(alld.drop("run_seq", "target_date", "chunk"), keys, "left")  # JOIN-1
 
 
 def resume_stream(
@@ -74,12 +84,14 @@ def resume_stream(
     checkpoint: str,
     latest: str | None = None,
     date_col: str = "resolved_day",
+    keys: Sequence[str] = ("loc",),
 ) -> None:
     """Process every landed text file once (availableNow) and stop.
 
     ``process`` turns the raw text rows (value, source_file) of one
     micro-batch into result rows; each batch overwrites its own partition.
-    With ``latest``, the newest date's rows then replace the latest output.
+    With ``latest``, the dates of the batch are written anew with the last row
+    per key, and the newest date's rows replace the latest output.
     """
 
     def each(batch: DataFrame, batch_id: int) -> None:
@@ -88,7 +100,9 @@ def resume_stream(
             .partitionBy("batch_id").parquet(out))
         if latest is not None:
             allr = spark.read.parquet(out)
-            write_dated_and_latest(allr.drop("batch_id"), out + "_dated", latest, date_col)
+            touched = allr.filter(F.col("batch_id") == batch_id).select(date_col).distinct()
+            rows = dedupe_keep_last(allr.join(touched, date_col, "left_semi"), [*keys, date_col], "batch_id")
+            write_dated_and_latest(rows.drop("batch_id"), out + "_dated", latest, date_col, newest_overall=True)
 
     stream = (
         spark.readStream.format("text").option("maxFilesPerTrigger", 1000).load(landing)

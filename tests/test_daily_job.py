@@ -15,11 +15,9 @@ def test_daily_scoring_outputs(spark):
     assert len(rows) > 0
     assert len({(r.lat, r.lon) for r in rows}) == len(rows)
     assert all(1 <= r.prediction <= 5 for r in rows)
-    out = latest.inputFiles()[0].split("/latest/")[0].replace("file:", "")
+    out = latest.inputFiles()[0].split("/dated/")[0].replace("file:", "")
     assert glob.glob(f"{out}/csv/date=*/part-*.csv")
     assert glob.glob(f"{out}/geojson/date=*/part-*")
-    texts = [open(p).read().strip() for p in glob.glob(f"{out}/geojson_doc/date=*/part-*")]
-    docs = [t for t in texts if t]
-    assert len(docs) == 1  # one FeatureCollection for the day
-    g = json.loads(docs[0])
-    assert g["type"] == "FeatureCollection" and len(g["features"]) == len(rows)
+    lines = [x for p in glob.glob(f"{out}/geojson/date=*/part-*") for x in open(p).read().splitlines() if x]
+    assert len(lines) == len(rows) and all(json.loads(x)["type"] == "Feature" for x in lines)
+    assert not glob.glob(f"{out}/geojson_doc/*")  # the single document is opt-in

@@ -9,11 +9,11 @@ from ashgrid.operators import geo as G
 
 def test_latest_per_group_join_path(spark):
     rows = [(f"L{g}", dt.date(2024, 1, 1) + dt.timedelta(days=d), float(g * 10 + d))
-            for g in range(FL.MAX_LITERAL_GROUPS + 6) for d in range(g % 3 + 1)]
+            for g in range(70) for d in range(g % 3 + 1)]
     rows.append(("nulls", None, 1.0))
     df = spark.createDataFrame(rows, "layer string, date date, value double")
     got = {(r.layer, r.value) for r in FL.latest_or_pinned(df, "date", per=["layer"]).collect()}
-    want = {(f"L{g}", float(g * 10 + g % 3)) for g in range(FL.MAX_LITERAL_GROUPS + 6)} | {("nulls", 1.0)}
+    want = {(f"L{g}", float(g * 10 + g % 3)) for g in range(70)} | {("nulls", 1.0)}
     assert got == want
 
 
