@@ -129,6 +129,59 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut)
 
 
+def _op7_sql() -> str:
+    """The counts, the mean histograms of each language in whole millionths and
+    the distances, with the operator's constants."""
+    rests, classes = [], []
+    left = "rest"
+    for i, pattern in enumerate(quality.CHAR_CLASSES):
+        quoted = pattern.replace("'", "''")
+        rests.append(f", c{i} AS (SELECT *, regexp_replace({left}, '{quoted}', '', 'g') AS r{i} FROM {f'c{i - 1}' if i else 'd'})")
+        classes.append(f"length({left}) - length(r{i})")
+        left = f"r{i}"
+    last = f"c{len(quality.CHAR_CLASSES) - 1}"
+    bins = ", ".join(f"len(list_filter(w, lambda x: x = '{x}'))" for x in quality.COMMON_WORDS)
+    common = " OR ".join(f"x = '{x}'" for x in quality.COMMON_WORDS)
+    dims = {"ch": len(quality.CHAR_CLASSES) + 3, "wo": len(quality.COMMON_WORDS) + 1}
+    votes = ", ".join(f"[{', '.join(f'sum(CAST(round({h}[{i + 1}] / list_sum({h}) * {quality.SCALE}) AS BIGINT))' for i in range(n))}] AS ref_{h}"
+                      for h, n in dims.items())
+
+    def distance(h: str) -> str:
+        p, q = f"{h}[i] / list_sum({h})", f"ref_{h}[i] / list_sum(ref_{h})"
+        half = "CASE WHEN {a} > 0 THEN {a} * log2({a} / (({p} + {q}) / 2)) ELSE 0 END"
+        term = f"({half.format(a=p, p=p, q=q)} + {half.format(a=q, p=p, q=q)})"
+        return f"sqrt(greatest(0, list_sum(list_transform(range(1, {dims[h] + 1}), lambda i: {term})) / 2))"
+
+    return f"""
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, lang, coalesce(text, '') AS t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w,
+         regexp_replace(coalesce(text, ''), '[a-z\\x20\\x09-\\x0D]+', '', 'g') AS rest FROM documents
+){''.join(rests)}
+, pos AS (SELECT rid, w, unnest(range(1, len(w) - 3)) AS i FROM d WHERE len(w) >= 5)
+, gram AS (SELECT rid, i, count(*) OVER (PARTITION BY rid, w[i], w[i + 1], w[i + 2], w[i + 3], w[i + 4]) AS n FROM pos)
+, cover AS (SELECT rid, count(DISTINCT p) AS n_repeat_words FROM (SELECT rid, unnest([i, i + 1, i + 2, i + 3, i + 4]) AS p FROM gram WHERE n > 1) GROUP BY rid)
+, line AS (SELECT rid, list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\\x20\\x09-\\x0D]')) AS ls FROM d)
+, f AS (
+  SELECT rid, doc_id, lang, len(w)::BIGINT AS n_words, length(array_to_string(w, ''))::BIGINT AS word_chars,
+         length(regexp_replace(t, '[^{quality.SYMBOLS}]+', '', 'g'))::BIGINT AS n_symbols,
+         (len(ls) - len(list_distinct(ls)))::BIGINT AS n_dup_lines, coalesce(n_repeat_words, 0)::BIGINT AS n_repeat_words,
+         [length(t) - length(array_to_string(w, '')), length(array_to_string(w, '')) - length(rest), {', '.join(classes)}, length({left})] AS ch,
+         [{bins}, len(list_filter(w, lambda x: NOT ({common})))] AS wo
+  FROM {last} JOIN line USING (rid) LEFT JOIN cover USING (rid)
+)
+, b AS (SELECT *, n_words < {quality.MIN_WORDS} OR 100 * n_repeat_words > {quality.MAX_REPEAT_PCT} * n_words AS base_failed FROM f)
+, ref AS (SELECT lang, {votes} FROM b WHERE NOT base_failed AND n_words >= {quality.GUARD_WORDS} GROUP BY lang)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+       NOT base_failed AND NOT (n_words >= {quality.GUARD_WORDS} AND ref_ch IS NOT NULL AND (
+         {distance('ch')} > {quality.MAX_CHAR_DISTANCE}
+         OR {distance('wo')} > {quality.MAX_WORD_DISTANCE} + {quality.WORD_NOISE} / sqrt(n_words))) AS kept
+FROM b LEFT JOIN ref ON b.lang IS NOT DISTINCT FROM ref.lang
+"""
+
+
+OP7_SQL = _op7_sql()
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -144,5 +197,6 @@ QUERIES = {
 
 ORACLE_SQL = {
     "op1_mixing": OP1_SQL,
+    "op7_quality": OP7_SQL,
     "op8_line_dedup": OP8_SQL,
 }
