@@ -274,24 +274,23 @@ cells AS (SELECT lats.la, lons.lo, day.risk FROM lats CROSS JOIN lons LEFT JOIN
 SELECT la AS lat, list(risk ORDER BY lo) AS cells FROM cells GROUP BY la"""
 
 
-def _matrix(spark, sf_dir) -> DataFrame:
+def _newest_day(spark, sf_dir) -> DataFrame:
     pred = _pred(spark, sf_dir)
     day = pred.filter(F.col("d") == pred.select(F.max("d")).scalar())
-    lons = [r[0] for r in day.select("lo").distinct().collect()]  # the grid's columns: bounded by its width
-    return P.matrix_rows(day.withColumnRenamed("la", "lat").withColumnRenamed("lo", "lon"), lons, value="risk")
+    return day.withColumnRenamed("la", "lat").withColumnRenamed("lo", "lon")
 
 
 @register("matrix_output", _MATRIX_SQL)
 def matrix_output(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-7: lat x lon matrix of the newest day's predictions, holes null."""
-    return _matrix(spark, sf_dir)
+    return P.matrix_rows(_newest_day(spark, sf_dir), value="risk")
 
 
 @register("matrix_order", _MATRIX_SQL.replace("SELECT la AS lat, list(risk ORDER BY lo) AS cells FROM cells GROUP BY la", """
 SELECT la AS lat, row_number() OVER (ORDER BY la DESC) AS row_idx FROM (SELECT DISTINCT la FROM cells)"""))
 def matrix_order(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ORD-6: matrix rows in descending latitude (row index of each lat)."""
-    m = _matrix(spark, sf_dir)
+    m = _newest_day(spark, sf_dir).select("lat").distinct()
     from pyspark.sql import Window
 
     return m.select("lat", F.row_number().over(Window.orderBy(F.col("lat").desc())).alias("row_idx"))

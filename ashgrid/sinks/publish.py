@@ -94,13 +94,15 @@ def matrix(pred: DataFrame, lons: Sequence[float], lat: str = "lat", lon: str =
     return wide.orderBy(F.col(lat).desc())
 
 
-def matrix_rows(pred: DataFrame, lons: Sequence[float], lat: str = "lat", lon: str = "lon",
-                value: str = "prediction") -> DataFrame:
-    """The matrix with its cells as one ordered array per latitude row."""
-    lons = sorted(lons)
-    wide = pred.groupBy(lat).pivot(lon, list(lons)).agg(F.first(value))
-    cells = [c for c in wide.columns if c != lat]
-    return wide.select(lat, F.array(*[F.col(f"`{c}`") for c in cells]).alias("cells"))
+def matrix_rows(pred: DataFrame, lat: str = "lat", lon: str = "lon", value: str = "prediction") -> DataFrame:
+    """The matrix with its cells as one array per latitude row, in order of
+    longitude, holes null: every latitude meets the one sorted list of
+    longitudes, so neither the driver nor a pivot has to know them."""
+    lons = pred.select(F.sort_array(F.collect_set(lon))).scalar()
+    places = pred.select(lat).distinct().select(lat, F.explode(lons).alias(lon))
+    cells = places.join(pred.groupBy(lat, lon).agg(F.first(value).alias("__v")), [lat, lon], "left")
+    rows = cells.groupBy(lat).agg(F.sort_array(F.collect_list(F.struct(lon, "__v"))).alias("__row"))
+    return rows.select(lat, F.transform("__row", lambda x: x["__v"]).alias("cells"))
 
 
 # WIN-7
