@@ -12,9 +12,10 @@ are sure to be filled, so the work hardly grows with the weights.
 
 Texts with equal multisets form a class and only its smallest document goes
 on.  Classes that share a band are compared with the smallest class of that
-band, and where that leaves a band in several components the stray members are
-compared with all others of the band: every link that can join two components
-is verified, and a hot band costs its size, not its square.
+band.  Where that leaves a band in several components, its smaller components
+are compared with the texts of the largest and with each other, exactly and in
+blocks: every link that can join two components of a band is found, and what
+moves is texts and spans of links, never all pairs.
 
 Defined results: a text of fewer than five words (null included) is one shingle of
 all its words, so that short texts match when equal; documents are compared
@@ -34,13 +35,15 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize, text_or_empty
-from .components import components
+from .components import components, roots
 
 SHINGLE = 5
 SIMILARITY = 0.8
 #: 25 bands of 5: a pair at 0.8 shares a band with probability 0.99995
 BANDS, ROWS = 25, 5
 M = BANDS * ROWS
+#: texts of one side of an exact comparison in one task
+BLOCK = 512
 _C1, _C2 = np.uint64(0x9E3779B97F4A7C15), np.uint64(0xBF58476D1CE4E5B9)
 _C3 = np.uint64(0x94D049BB133111EB)
 
@@ -200,6 +203,95 @@ def verified(pairs: DataFrame, texts: DataFrame, similarity: float) -> DataFrame
     return full.select("u", "v", "tu", "tv").mapInPandas(run, "u long, v long")
 
 
+def set_features(bag: np.ndarray) -> np.ndarray:
+    """A sorted bag as a set: each repeat of a shingle becomes a feature of its own."""
+    new = np.r_[True, bag[1:] != bag[:-1]]
+    start = np.maximum.accumulate(np.where(new, np.arange(len(bag)), 0))
+    return mix64(bag ^ mix64((np.arange(len(bag)) - start).astype(np.uint64)))
+
+
+def overlaps(left: list[np.ndarray], right: list[np.ndarray], chunk: int = 2_000_000) -> np.ndarray:
+    """Exact weighted Jaccard similarities of all left bags with all right bags,
+    by the postings of shared features, ``chunk`` postings at a time."""
+    def flat(bags: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+        f = np.concatenate([set_features(x) for x in bags])
+        who = np.repeat(np.arange(len(bags)), [len(x) for x in bags])
+        order = np.argsort(f, kind="stable")
+        return f[order], who[order]
+
+    (fl, wl), (fr, wr) = flat(left), flat(right)
+    lo, hi = np.searchsorted(fr, fl, "left"), np.searchsorted(fr, fl, "right")
+    n = hi - lo
+    both = np.zeros(len(left) * len(right), np.int64)
+    ends = np.cumsum(n)
+    at = 0
+    while at < len(fl):
+        to = max(at + 1, int(np.searchsorted(ends, (ends[at - 1] if at else 0) + chunk, "right")))
+        m = n[at:to]
+        first = np.repeat(lo[at:to] - (np.cumsum(m) - m), m)
+        who = wr[first + np.arange(m.sum())]
+        both += np.bincount(np.repeat(wl[at:to], m) * len(right) + who, minlength=len(both))
+        at = to
+    both = both.reshape(len(left), len(right))
+    sizes = np.add.outer([len(x) for x in left], [len(x) for x in right])
+    return both / (sizes - both)
+
+
+def stray_links(in_bands: DataFrame, links: DataFrame, texts: DataFrame, similarity: float) -> DataFrame:
+    """Links (u, v) between the components that a band is left in.
+
+    Each such band hands its smaller components to its largest one.  A largest
+    component and all that was handed to it form a group, in which every
+    handed text is compared exactly with all texts of other components, in
+    blocks dealt to many tasks.  Tasks emit spans of links, not pairs."""
+    comp = components(links)
+    placed = in_bands.filter("n > 2").join(comp, in_bands["u"] == comp["node"], "left").select(
+        "key", F.col("u").alias("id"), F.coalesce("component", "u").alias("c"))
+    placed = materialize(placed, "placed")
+    members = placed.select("id", "c").distinct()
+    sizes = members.groupBy("c").agg(F.count(F.lit(1)).alias("size"))
+    parts = placed.select("key", "c").distinct().join(sizes, "c")
+    largest = (parts.groupBy("key").agg(F.max(F.struct("size", "c")).alias("b"), F.count(F.lit(1)).alias("parts"))
+               .filter("parts > 1").select("key", F.col("b.c").alias("g")))
+    handed = parts.join(largest, "key").filter("c <> g").select("g", "c").distinct()
+    rows = (handed.join(members, "c").select("g", "id", "c", F.lit(True).alias("stray"))
+            .unionByName(handed.select(F.col("g").alias("c")).distinct().join(members, "c")
+                         .select(F.col("c").alias("g"), "id", "c", F.lit(False).alias("stray"))))
+    rows = materialize(rows, "strays")
+    blocks = rows.groupBy("g").agg(F.ceil(F.count(F.lit(1)) / BLOCK).cast("int").alias("nj"),
+                                   F.ceil(F.sum(F.col("stray").cast("int")) / BLOCK).cast("int").alias("ni"))
+    rows = rows.join(blocks, "g").withColumns({"i": F.pmod(F.xxhash64("id"), F.col("ni")).cast("int"),
+                                               "j": F.pmod(F.xxhash64("id"), F.col("nj")).cast("int")})
+    asking = rows.filter("stray").select("g", "id", "c", "i", F.explode(F.sequence(F.lit(0), F.col("nj") - 1)).alias("j"), F.lit(True).alias("asks"))
+    asked = rows.select("g", "id", "c", F.explode(F.sequence(F.lit(0), F.col("ni") - 1)).alias("i"), "j", F.lit(False).alias("asks"))
+    full = (asking.unionByName(asked).join(texts, "id").repartition("g", "i", "j").sortWithinPartitions("g", "i", "j"))
+
+    def solve(group: pd.DataFrame) -> pd.DataFrame:
+        left, right = group[group["asks"]], group[~group["asks"]]
+        near = overlaps([shingles(t) for t in left["text"]], [shingles(t) for t in right["text"]]) >= similarity
+        near &= left["c"].values[:, None] != right["c"].values[None, :]
+        a, b = np.nonzero(near)
+        ids, at = np.unique(np.r_[left["id"].values[a], right["id"].values[b]], return_inverse=True)
+        root = roots(len(ids), at[:len(a)], at[len(a):])
+        return pd.DataFrame({"u": ids, "v": ids[root]})
+
+    def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
+        held = None
+        for batch in batches:
+            if held is not None:
+                batch = pd.concat([held, batch], ignore_index=True)
+            key = batch[["g", "i", "j"]].values
+            cuts = np.flatnonzero((key[1:] != key[:-1]).any(axis=1)) + 1
+            *whole, held = np.split(np.arange(len(batch)), cuts)
+            held = batch.iloc[held]
+            for rows_ in whole:
+                yield solve(batch.iloc[rows_])
+        if held is not None and len(held):
+            yield solve(held)
+
+    return full.select("g", "i", "j", "id", "c", "asks", "text").mapInPandas(run, "u long, v long").filter("u <> v")
+
+
 def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """(id, class_id): one row per distinct id that is not null; class_id is the
     smallest id of its group of near duplicates."""
@@ -211,24 +303,12 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
     reps = (bands.join(first, ["id", "b1", "b2"], "left_semi").dropDuplicates(["id", "b1", "b2"])
             .select("id", F.explode("keys").alias("key")))
     leaders = reps.groupBy("key").agg(F.min("id").alias("v"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    in_bands = materialize(reps.join(leaders, "key").select("key", F.col("id").alias("u"), "v").distinct(), "band-members")
+    in_bands = materialize(reps.join(leaders, "key").select("key", F.col("id").alias("u"), "v", "n").distinct(), "band-members")
     pairs = in_bands.filter("u <> v").select("u", "v").distinct()
     wanted = in_bands.select(F.col("u").alias("id")).distinct()
     texts = materialize(docs.join(wanted, "id", "left_semi").select("id", text_or_empty().alias("text")).distinct(), "band-texts")
     links = materialize(verified(pairs, texts, similarity), "near-links")
-    # bands left in several components: strays against all others of the band
-    comp = components(links)
-    placed = in_bands.join(comp, in_bands["u"] == comp["node"], "left").select(
-        "key", "u", "v", F.coalesce("component", "u").alias("c"))
-    placed = materialize(placed, "placed")
-    sizes = placed.groupBy("key", "c").agg(F.count(F.lit(1)).alias("n"))
-    biggest = sizes.groupBy("key").agg(F.max(F.struct("n", "c")).alias("b"), F.count(F.lit(1)).alias("parts")).filter("parts > 1")
-    split = biggest.select("key", F.col("b.c").alias("main"))
-    stray = placed.join(split, "key").filter("c <> main").select("key", F.col("u").alias("a"), F.col("c").alias("ca"), F.col("v").alias("lead"))
-    rest = placed.join(split.select("key"), "key").select("key", F.col("u").alias("b"), F.col("c").alias("cb"))
-    cross = (stray.join(rest, "key").filter("ca <> cb and b <> lead and a <> lead")
-             .select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
-    links = links.unionByName(verified(cross, texts, similarity))
+    links = links.unionByName(stray_links(in_bands, links, texts, similarity))
     links = links.unionByName(member.select(F.col("id").alias("u"), F.col("rep").alias("v")).filter("u <> v"))
     comp = components(links)
     ids = bands.select("id").distinct()

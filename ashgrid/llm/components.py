@@ -8,12 +8,26 @@ flag per round reaches the driver.
 
 from __future__ import annotations
 
+import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
 
 
+def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """For each of n nodes the first node that the links (a, b) connect it with."""
+    root = np.arange(n)
+    while True:
+        least = root.copy()
+        np.minimum.at(least, a, root[b])
+        np.minimum.at(least, b, root[a])
+        least = least[least]
+        if (least == root).all():
+            return root
+        root = least
+
+
 def _star(links: DataFrame, large: bool) -> DataFrame:
     """Link the neighbours of each node to the smallest of node and neighbours:
     its larger ones (large star), or its smaller ones and itself (small star)."""

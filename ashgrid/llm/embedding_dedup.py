@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .common import materialize
-from .components import components
+from .components import components, roots
 
 COSINE = 0.98
 LINES, MIN_COLLISIONS = 32, 20
@@ -146,19 +146,6 @@ def compare(group: pd.DataFrame, p: Projections, cosine: float) -> tuple[np.ndar
 FIRST_LINE = 3.0
 
 
-def roots(n: int, a: np.ndarray, b: np.ndarray) -> np.ndarray:
-    """For each of n nodes the first node that the links (a, b) connect it with."""
-    root = np.arange(n)
-    while True:
-        least = root.copy()
-        np.minimum.at(least, a, root[b])
-        np.minimum.at(least, b, root[a])
-        least = least[least]
-        if (least == root).all():
-            return root
-        root = least
-
-
 def links(rows: DataFrame, cells: DataFrame, lines: int, tables: int, cosine: float) -> DataFrame:
     """(u, v, n): partial results of the tasks, one row per vector and stretch of
     cells and not per pair: n links found at u, which is connected to v."""
