@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .common import materialize, row_key, text_or_empty
 
+SALTS = 32
 SPACES = " \t\n\x0b\f\r"
 
 
@@ -48,7 +49,9 @@ def keep_bitmaps(docs: DataFrame, id_col: Column, text: Column, min_docs: int =
     nth = F.row_number().over(Window.partitionBy("k1", "k2", "h1", "h2").orderBy("pos"))
     firsts = runs.select("k1", "k2", nth.alias("nth")).filter("nth = 1")
     common = firsts.groupBy("k1", "k2").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") >= min_docs)
-    bits = (rows.join(common.select("k1", "k2"), ["k1", "k2"])
+    # the few common keys meet each key's lines in SALTS parts, so that a hot key is joined by many tasks
+    salted = common.select("k1", "k2", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))).alias("salt"))
+    bits = (rows.withColumn("salt", F.pmod("h1", F.lit(SALTS)).cast("int")).join(salted, ["k1", "k2", "salt"])
             .groupBy("h1", "h2", F.expr("pos div 64").cast("int").alias("word"))
             .agg(F.bit_or(F.expr("shiftleft(1L, pos % 64)")).alias("bits")))
     return (bits.groupBy("h1", "h2").agg(F.map_from_entries(F.collect_list(F.struct("word", "bits"))).alias("lost"))
