@@ -36,8 +36,8 @@ BASE = {
     "card": r"(?<![0-9])[0-9](?:[\x20-]?[0-9])++",
     "phone": r"\+[0-9][\x20().0-9-]+[0-9]",
 }
-#: what a text must hold for a pattern of the kind to be tried at all
-NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"[0-9][\x20.)-]{1,2}[0-9]"}
+#: what a text must hold for a pattern of the kind to be tried at all; every match that can count implies it
+NEEDS = {"email": "@", "ip": r"[0-9]\.[0-9]", "card": r"[0-9][\x20-]?[0-9][\x20-]?[0-9]", "phone": r"\+[0-9]|[0-9][\x20.)-]{1,2}[0-9]"}
 GENERATORS = (
     ("email", r"(?<![^\s@<>()\[\],;:\"'])[^\s@<>()\[\],;:\"']++@(?:[^\s@<>()\[\],;:\"'.]++\.(?=\p{L}))++\p{L}{2,}"),
     ("ip", r"(?<![0-9])[0-9]{1,3}(?:\.[0-9]{1,3}){3}(?![0-9])"),

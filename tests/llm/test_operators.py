@@ -336,6 +336,17 @@ def test_pii_base(docs, empty, spark):
     assert pii.find(empty, F.col("text"), ["doc_id"]).count() == 0
 
 
+def test_pii_phone_numbers_alone_in_a_text(spark):
+    """Compact numbers and numbers with many separators, without another number in their text."""
+    odd = ["call +4915112345678", "+1---2345678901", "+1...234567890 now", "+49(((30123456789", "+4915112345678", "+12345678", "+1"]
+    d = spark.createDataFrame(list(enumerate(odd)), "doc_id long, text string")
+    got = {r["doc_id"]: r["b"] for r in pii.find(d, F.col("text"), ["doc_id"]).select("row.doc_id", pii.span_text(F.col("base")).alias("b")).collect()}
+    assert got == {i: ",".join(base_spans(t)) for i, t in enumerate(odd)}
+    assert got[0].endswith("phone:5:19") and got[1] == "phone:0:15"
+    spans = pii.spans(d, F.col("text"), ["doc_id"]).select("row.doc_id", F.col("candidates.x").alias("x")).collect()
+    assert all("+4915112345678" in r["x"] for r in spans if r["doc_id"] in (0, 4))
+
+
 def test_html(spark):
     pages = [f"<html><body><nav><a href=x>Menu {i}</a></nav><article><h1>Title {i}</h1><p>{prose(i, 40)}.<p>Fish &amp; chips,<br>twice."
              f"<aside>Ad ad</aside></article><div class=sidebar><p>{prose(i + 1, 30)}.</p></div><footer>&copy; x</footer>" for i in range(40)]
