@@ -1,20 +1,24 @@
 """Language-model scoring by a hashed maximum-entropy model.
 
 The probability of a word is that of its class times that of the word in its
-class.  Classes and the words of the ``HEAD`` classes are log-linear in hashed
-features of the three words before: the next one (n-gram) and the two beyond it
-(skips).  The next ``KNOWN`` words by count form classes of similar
+class.  Classes and the words of the head classes are log-linear in hashed
+features of the three words before: each of them (n-gram and skips) and the pair
+next to the word.  The next known words by count form classes of similar
 frequency, all other words one class; inside those a word has its share of the
 class's counts, in the last one with one added and one place for unseen words.
 
+The model grows with the corpus: for every ``TYPES`` distinct words the hashed
+tables have their least number of rows once more and a head class one more group
+of ``CLASS_WORDS`` words, so a word of a class is reached by its group.
+
 Training is distributed: in every round each task runs gradient steps (with
 per-row step sizes) over its part of the training texts, starting from the
 round's weights, and the tasks' changes are averaged in the cluster by blocks.
-All training texts take part, each in one round.  Word counts cover all of
-them; only the counts of the ``KNOWN`` most frequent words (a fixed bound) and
-the weights (a fixed size) go through the driver.  Scoring runs over sparse
-numpy batches; words beyond the known ones are joined with the whole count
-table.
+All training texts take part, each in one round (a second pass fits the
+training texts at the cost of held-out ones).  Word counts cover all of them;
+only the counts of the known words and one set of weights go through the driver.
+Scoring runs over sparse numpy batches; words beyond the known ones are joined
+with the whole count table.
 
 Defined results: a null or blank text is its end token alone; words differ only
 by ASCII case; repeated rows count and score each; without any training text
@@ -23,6 +27,7 @@ every score is that of an empty model; an empty table gives an empty result.
 
 from __future__ import annotations
 
+import math
 from collections.abc import Iterator
 
 import numpy as np
@@ -36,13 +41,14 @@ from .common import id_text, materialize, text_or_empty
 
 #: the end token and the place before a text, as hashes of strings that are no words
 END, START = (np.uint64(xxhash.xxh64_intdigest(x)) for x in (b"\n", b"\n\n"))
-KNOWN = 1 << 18
-HEAD_CLASSES, CLASS_WORDS, MID_CLASSES = 32, 32, 8
+KNOWN, TYPES = 1 << 18, 1 << 20
+#: sizes up to ``TYPES`` distinct words
+HEAD_CLASSES, CLASS_WORDS, MID_CLASSES = 64, 32, 8
 HEAD = HEAD_CLASSES * CLASS_WORDS
 CLASSES = HEAD_CLASSES + MID_CLASSES + 1
 RARE = CLASSES - 1
-CLASS_ROWS, WORD_ROWS = 1 << 13, 1 << 12
-ROUNDS, STEP, BATCH = 2, 0.15, 8192
+CLASS_ROWS, WORD_ROWS = 1 << 14, 1 << 14
+ROUNDS, STEP, BATCH = 2, 0.15, 4096
 BLOCKS = 32
 LN10 = np.log(10.0)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
@@ -87,24 +93,33 @@ def word_counts(train: DataFrame) -> DataFrame:
     return train.select("text").mapInPandas(run, "h long, c long").groupBy("h").agg(F.sum("c").alias("c"))
 
 
+def groups_of(types: int) -> int:
+    """Groups of words in a head class, and how many times the tables have their least rows."""
+    return max(1, -(-types // TYPES))
+
+
 class Vocabulary:
-    """Ranks, counts and classes of the most frequent words."""
+    """Ranks, counts, classes and groups of the most frequent words."""
 
     def __init__(self, h: np.ndarray, c: np.ndarray, tokens: int, types: int):
         order = np.lexsort((h, -c))
         h, c = h[order], c[order]
         rank = np.arange(len(h))
-        mid = np.minimum(MID_CLASSES - 1, np.log2(np.maximum(rank, HEAD) / HEAD).astype(np.int64))
-        classes = np.where(rank < HEAD, rank // CLASS_WORDS, HEAD_CLASSES + mid)
+        self.groups = groups_of(types)
+        self.head = head = HEAD * self.groups
+        mid = np.minimum(MID_CLASSES - 1, np.log2(np.maximum(rank, head) / head).astype(np.int64))
+        classes = np.where(rank < head, rank // (CLASS_WORDS * self.groups), HEAD_CLASSES + mid)
         size = np.bincount(classes, c, CLASSES)
         size[RARE] = tokens - c.sum()
         by_hash = np.argsort(h.view(np.uint64))
         self.h, self.c, self.rank, self.classes = h.view(np.uint64)[by_hash], c[by_hash], rank[by_hash], classes[by_hash]
         self.class_log = np.log(np.maximum(size, 0.5) / max(tokens, 1)).astype(np.float32)
         self.class_log -= np.logaddexp.reduce(self.class_log)
-        inside = np.full(HEAD, -np.inf)
-        inside[:min(HEAD, len(c))] = np.log(c[:HEAD])
-        self.word_log = inside.reshape(HEAD_CLASSES, CLASS_WORDS).astype(np.float32)
+        inside = np.zeros(head)
+        inside[:min(head, len(c))] = c[:head]
+        with np.errstate(divide="ignore"):
+            self.word_log = np.log(inside.reshape(-1, CLASS_WORDS)).astype(np.float32)
+            self.group_log = np.log(inside.reshape(HEAD_CLASSES, self.groups, CLASS_WORDS).sum(axis=2)).astype(np.float32)
         self.mid_log = (np.log(c) - np.log(size[classes]))[by_hash]
         self.rare_log = float(np.log(size[RARE] + (types - len(h)) + 1))
 
@@ -115,25 +130,47 @@ class Vocabulary:
         at = np.minimum(np.searchsorted(self.h, tokens), len(self.h) - 1)
         return np.where(self.h[at] == tokens, at, -1)
 
+    def shapes(self) -> list[tuple[int, int]]:
+        """Rows and columns of the weights of classes, of the words of a group and of the groups of a class."""
+        rows = [(CLASS_ROWS * self.groups, CLASSES), (WORD_ROWS * self.groups, CLASS_WORDS)]
+        return rows + [(WORD_ROWS * self.groups, self.groups)] * (self.groups > 1)
+
+    def size(self) -> int:
+        return sum(n * m for n, m in self.shapes())
+
+    def tables(self, weights: np.ndarray) -> list[np.ndarray]:
+        """Views of the parts of one set of weights."""
+        ends = np.cumsum([n * m for n, m in self.shapes()])
+        return [x.reshape(shape) for x, shape in zip(np.split(weights[:ends[-1]], ends[:-1]), self.shapes())]
+
+    def levels(self, classes: np.ndarray, ranks: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+        """Of words of the head: table, key of the choice, its logs by count, and the place chosen."""
+        group = ranks // CLASS_WORDS
+        out = [(1, group, self.word_log[group], ranks % CLASS_WORDS)]
+        if self.groups > 1:
+            out.append((2, -1 - classes, self.group_log[classes], group % self.groups))
+        return out
+
 
 def contexts(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
-    """Hashed features of every position: the words one, two and three back."""
+    """Hashed features of every position: one, two and three words back, and the last two together."""
     first = np.repeat(np.cumsum(counts) - counts, counts)
     at = np.arange(len(tokens))
     back = [np.where(at - k >= first, tokens[np.maximum(at - k, 0)], START) for k in (1, 2, 3)]
     with np.errstate(over="ignore"):
-        out = np.stack([(x ^ np.uint64(k + 1)) * _MIX for k, x in enumerate(back)], axis=1)
+        raw = [back[0], back[1] * np.uint64(3), back[2] * np.uint64(5), back[0] * np.uint64(7) ^ back[1] * np.uint64(11)]
+        out = np.stack([(x ^ np.uint64(k + 1)) * _MIX for k, x in enumerate(raw)], axis=1)
     return out ^ (out >> np.uint64(31))
 
 
 def rows_of(features: np.ndarray, rows: int) -> np.ndarray:
-    return ((features >> np.uint64(7)) % np.uint64(rows)).astype(np.uint16)
+    return ((features >> np.uint64(7)) % np.uint64(rows)).astype(np.uint16 if rows <= 1 << 16 else np.uint32)
 
 
-def inner_rows(features: np.ndarray, classes: np.ndarray) -> np.ndarray:
+def inner_rows(features: np.ndarray, keys: np.ndarray, rows: int) -> np.ndarray:
     with np.errstate(over="ignore"):
-        x = (features ^ (classes[:, None].astype(np.uint64) + np.uint64(1))) * _MIX
-    return rows_of(x ^ (x >> np.uint64(29)), WORD_ROWS)
+        x = (features ^ (keys[:, None].astype(np.uint64) + np.uint64(1))) * _MIX
+    return rows_of(x ^ (x >> np.uint64(29)), rows)
 
 
 def pulls(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
@@ -150,6 +187,13 @@ def log_softmax(x: np.ndarray) -> np.ndarray:
     return x
 
 
+def softmax(x: np.ndarray) -> np.ndarray:
+    x -= x.max(axis=1, keepdims=True)
+    np.exp(x, out=x)
+    x /= x.sum(axis=1, keepdims=True)
+    return x
+
+
 def sums_of_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
     """Sum of each run of rows: short runs place by place, all at once; the few
     long ones each on its own (several times faster than ``reduceat``)."""
@@ -168,7 +212,7 @@ def sums_of_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
 def gradient_step(weights: np.ndarray, scale: np.ndarray, rows: np.ndarray, slope: np.ndarray) -> None:
     """Move the rows of each example's features along its slope; rows that have moved more move slower."""
     flat = rows.reshape(-1)
-    order = np.argsort(flat, kind="stable")  # of 16-bit numbers: a radix sort
+    order = np.argsort(flat, kind="stable")  # a radix sort while the rows are 16-bit numbers
     ordered = flat[order]
     starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
     total = sums_of_runs(slope[order // rows.shape[1]], starts)
@@ -177,43 +221,45 @@ def gradient_step(weights: np.ndarray, scale: np.ndarray, rows: np.ndarray, slop
     weights[own] -= (STEP / np.sqrt(scale[own]))[:, None] * total
 
 
-def train_task(texts: Iterator[list[str]], vocabulary: Vocabulary, w1: np.ndarray, w2: np.ndarray) -> int:
+def train_task(texts: Iterator[list[str]], vocabulary: Vocabulary, weights: np.ndarray) -> int:
     """Gradient steps over the texts, in place; the number of tokens seen."""
-    s1, s2 = np.full(len(w1), 1.0, np.float32), np.full(len(w2), 1.0, np.float32)
+    tables = vocabulary.tables(weights)
+    scales = [np.full(len(w), 1.0, np.float32) for w in tables]
     seen = 0
     for part in texts:
         tokens, counts = joined(part)
         features, found = contexts(tokens, counts), vocabulary.find(tokens)
         classes = np.where(found >= 0, vocabulary.classes[found] if len(vocabulary.h) else RARE, RARE)
-        ranks = np.where(found >= 0, vocabulary.rank[found] if len(vocabulary.h) else 0, HEAD)
+        ranks = np.where(found >= 0, vocabulary.rank[found] if len(vocabulary.h) else 0, vocabulary.head)
         seen += len(tokens)
         for at in range(0, len(tokens), BATCH):
             f, c, r = features[at:at + BATCH], classes[at:at + BATCH], ranks[at:at + BATCH]
-            rows = rows_of(f, CLASS_ROWS)
-            p = np.exp(log_softmax(vocabulary.class_log + pulls(w1, rows)))
+            rows = rows_of(f, len(tables[0]))
+            p = softmax(vocabulary.class_log + pulls(tables[0], rows))
             p[np.arange(len(c)), c] -= 1
-            gradient_step(w1, s1, rows, p)
-            head = np.flatnonzero(r < HEAD)
+            gradient_step(tables[0], scales[0], rows, p)
+            head = np.flatnonzero(r < vocabulary.head)
             if head.size:
-                rows = inner_rows(f[head], c[head])
-                p = np.exp(log_softmax(vocabulary.word_log[c[head]] + pulls(w2, rows)))
-                p[np.arange(len(head)), r[head] % CLASS_WORDS] -= 1
-                gradient_step(w2, s2, rows, p)
+                for k, keys, logs, place in vocabulary.levels(c[head], r[head]):
+                    rows = inner_rows(f[head], keys, len(tables[k]))
+                    p = softmax(logs + pulls(tables[k], rows))
+                    p[np.arange(len(head)), place] -= 1
+                    gradient_step(tables[k], scales[k], rows, p)
     return seen
 
 
 def train_round(train: DataFrame, vocabulary: Vocabulary, w: np.ndarray) -> np.ndarray:
     """The weights after every task's steps, averaged by the tokens they saw."""
-    cut = CLASS_ROWS * CLASSES
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         mine = w.copy()
         texts = (list(b["text"].iloc[i:j]) for b in batches for i, j in slices(b["text"]))
-        seen = train_task(texts, vocabulary, mine[:cut].reshape(CLASS_ROWS, CLASSES), mine[cut:].reshape(WORD_ROWS, CLASS_WORDS))
+        seen = train_task(texts, vocabulary, mine)
         if seen:
-            change = np.array_split(mine - w, BLOCKS)
-            yield pd.DataFrame({"part": TaskContext.get().partitionId(), "block": range(BLOCKS), "seen": float(seen),
-                                "change": [(x * seen).astype(np.float32).tobytes() for x in change]})
+            mine -= w
+            for k, x in enumerate(np.array_split(mine, BLOCKS)):
+                yield pd.DataFrame({"part": [TaskContext.get().partitionId()], "block": [k], "seen": [float(seen)],
+                                    "change": [(x * seen).astype(np.float32).tobytes()]})
 
     def add(group: pd.DataFrame) -> pd.DataFrame:
         group = group.sort_values("part")
@@ -222,8 +268,10 @@ def train_round(train: DataFrame, vocabulary: Vocabulary, w: np.ndarray) -> np.n
                              "change": [total.astype(np.float32).tobytes()]})
 
     schema = "part int, block int, seen double, change binary"
-    changes = train.select("text").mapInPandas(run, schema)
-    some = changes.groupBy("block", (F.col("part") % 32).alias("lane")).applyInPandas(add, schema)
+    # one task a core: each sends as much as all weights, however few texts its partition has
+    tasks = max(1, train.sparkSession.sparkContext.defaultParallelism)
+    changes = train.select("text").coalesce(tasks).mapInPandas(run, schema)
+    some = changes.groupBy("block", (F.col("part") % math.ceil(math.sqrt(tasks))).alias("lane")).applyInPandas(add, schema)
     rows = some.groupBy("block").applyInPandas(add, schema).collect()  # BLOCKS rows, together one set of weights
     if not rows:
         return w
@@ -233,22 +281,22 @@ def train_round(train: DataFrame, vocabulary: Vocabulary, w: np.ndarray) -> np.n
 
 def log_probabilities(tokens: np.ndarray, counts: np.ndarray, found: np.ndarray, v: Vocabulary, w: np.ndarray) -> np.ndarray:
     """ln P of each token; of rare ones without the part that their count decides."""
-    cut = CLASS_ROWS * CLASSES
-    w1, w2 = w[:cut].reshape(CLASS_ROWS, CLASSES), w[cut:].reshape(WORD_ROWS, CLASS_WORDS)
+    tables = v.tables(w)
     features = contexts(tokens, counts)
     out = np.empty(len(tokens))
     for at in range(0, len(tokens), BATCH):
         f, k = features[at:at + BATCH], found[at:at + BATCH]
         known = k >= 0
-        c, r = np.full(len(k), RARE), np.full(len(k), HEAD)
+        c, r = np.full(len(k), RARE), np.full(len(k), v.head)
         if len(v.h):
-            c, r = np.where(known, v.classes[k], RARE), np.where(known, v.rank[k], HEAD)
-        p = log_softmax(v.class_log + pulls(w1, rows_of(f, CLASS_ROWS)))[np.arange(len(c)), c].astype(np.float64)
-        head = np.flatnonzero(r < HEAD)
+            c, r = np.where(known, v.classes[k], RARE), np.where(known, v.rank[k], v.head)
+        p = log_softmax(v.class_log + pulls(tables[0], rows_of(f, len(tables[0]))))[np.arange(len(c)), c].astype(np.float64)
+        head = np.flatnonzero(r < v.head)
         if head.size:
-            inside = log_softmax(v.word_log[c[head]] + pulls(w2, inner_rows(f[head], c[head])))
-            p[head] += inside[np.arange(len(head)), r[head] % CLASS_WORDS]
-        mid = np.flatnonzero(known & (r >= HEAD))
+            for n, keys, logs, place in v.levels(c[head], r[head]):
+                inside = log_softmax(logs + pulls(tables[n], inner_rows(f[head], keys, len(tables[n]))))
+                p[head] += inside[np.arange(len(head)), place]
+        mid = np.flatnonzero(known & (r >= v.head))
         p[mid] += v.mid_log[k[mid]] if mid.size else 0
         p[~known] -= v.rare_log
         out[at:at + BATCH] = p
@@ -264,9 +312,9 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     counted = materialize(word_counts(train), "word-counts")
     total = counted.agg(F.sum("c").alias("n"), F.count(F.lit(1)).alias("v")).first()
     tokens, types = int(total["n"] or 0), int(total["v"])
-    top = materialize(counted.orderBy(F.desc("c"), "h").limit(KNOWN), "known-words").toPandas()  # selected by the executors
+    top = materialize(counted.orderBy(F.desc("c"), "h").limit(max(KNOWN, HEAD * groups_of(types))), "known-words").toPandas()  # selected by the executors
     vocabulary = Vocabulary(top["h"].to_numpy(np.int64), top["c"].to_numpy(np.int64), tokens, types)
-    weights = np.zeros(CLASS_ROWS * CLASSES + WORD_ROWS * CLASS_WORDS, np.float32)
+    weights = np.zeros(vocabulary.size(), np.float32)
     for k in range(ROUNDS):
         weights = train_round(train.filter(F.col("round") == k), vocabulary, weights)
 

@@ -418,6 +418,40 @@ def test_language_model_is_a_distribution():
     assert total == pytest.approx(1, abs=1e-3)
 
 
+def test_language_model_grows_with_the_types(monkeypatch):
+    """More distinct words: more rows and more words scored by context, still a distribution; the pair of words before counts."""
+    rng = np.random.default_rng(2)
+    h = rng.integers(-2**62, 2**62, 9000)
+    c = np.sort(rng.integers(1, 500, 9000))[::-1].copy()
+    small = maxent_lm.Vocabulary(h, c, int(c.sum()), 9000)
+    monkeypatch.setattr(maxent_lm, "TYPES", 3000)
+    v = maxent_lm.Vocabulary(h[:8900], c[:8900], int(c.sum()), 9000)
+    assert v.head == 3 * small.head == 3 * 2048
+    assert [n for n, _ in v.shapes()[:2]] == [3 * n for n, _ in small.shapes()] == [3 * 16384] * 2
+    w = rng.standard_normal(v.size()).astype(np.float32) * 0.3
+    before = h[[3, 700, 2950]].view(np.uint64)
+    total = 0.0
+    for word, count in [*zip(h.view(np.uint64), c), (np.uint64(12345), 0)]:
+        text = np.append(before, word)
+        found = v.find(text)
+        p = math.exp(maxent_lm.log_probabilities(text, np.array([4]), found, v, w)[3])
+        total += p * (count + 1 if found[3] < 0 else 1)
+    assert total == pytest.approx(1, abs=1e-3)
+    texts = [" ".join(f"{a} {b} {a if a == b else 'xy'[a == 'x']}" for a, b in itertools.product("xy", "xy")) for _ in range(3)]
+    assert maxent_lm.contexts(*maxent_lm.joined(texts)).shape[1] == 4
+    # the word after "a b" is x, after "c b" y: single words at their distances say nothing once "a" and "c" have both places
+    rows = [" ".join(rng.choice(["a b x", "c b y", "c d x", "a d y"], 300)) for _ in range(40)]
+    tokens, counts = maxent_lm.joined(rows)
+    u, n = np.unique(tokens, return_counts=True)
+    v = maxent_lm.Vocabulary(u.view(np.int64), n, int(n.sum()), len(u))
+    w = np.zeros(v.size(), np.float32)
+    for _ in range(4):
+        maxent_lm.train_task(iter([rows]), v, w)
+    ln = maxent_lm.log_probabilities(tokens, counts, v.find(tokens), v, w)
+    last = np.isin(tokens, [maxent_lm.token_hashes(x)[0] for x in "xy"])
+    assert ln[last].mean() > -0.3
+
+
 def test_packing(docs, empty):
     from public_tokenizers import path
     from tokenizers import Tokenizer
