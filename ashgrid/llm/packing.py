@@ -47,8 +47,8 @@ class TextTokens:
 
     Byte-level BPE never merges across the boundary before a space that ends a
     run of white space, so a text is tokenized word by word and words are
-    looked up in a bounded cache; texts with longer runs of white space are
-    tokenized whole.  New words go to the same vocabulary as ranks, which takes
+    looked up in a bounded cache; texts with longer runs of white space or with
+    an added token (one id, as the tokenizer has it) are tokenized whole.  New words go to the same vocabulary as ranks, which takes
     a quarter of the time for single words; texts and long words go to the
     tokenizer itself."""
 
@@ -58,7 +58,7 @@ class TextTokens:
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True
+        self.added = [t.content for t in self.tokenizer.get_added_tokens_decoder().values()]
         with open(ranks, "rb") as f:
             table = {base64.b64decode(a): int(b) for a, b in map(bytes.split, f)}
         self.word_ids = tiktoken.Encoding("words", pat_str=PATTERN, mergeable_ranks=table, special_tokens={}).encode_ordinary
@@ -74,7 +74,7 @@ class TextTokens:
     def batch(self, texts: list[str]) -> list[bytes]:
         known, out = self.cache, []
         for t in texts:
-            if UNSAFE.search(t):
+            if UNSAFE.search(t) or any(a in t for a in self.added):
                 out.append(self.whole(t))
                 continue
             first, *rest = t.split(" ")

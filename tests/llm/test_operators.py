@@ -491,6 +491,22 @@ def test_word_tokens_equal_whole_text_tokens():
     assert tokens.batch(texts) == [np.array(x.ids, "<u4").tobytes() for x in want]
 
 
+def test_added_tokens_have_their_own_id(spark):
+    """Ids as the tokenizer gives them with its defaults, an added token included."""
+    from public_tokenizers import path
+    from tokenizers import Tokenizer
+
+    whole = Tokenizer.from_file(path("byte_bpe_50k.json"))
+    texts = ["a <|endoftext|> x", "<|endoftext|>", "x<|endoftext|>y  z", "<|endoftext|> <|endoftext|>", "<|endoftext", "plain words"]
+    want = [whole.encode(t, add_special_tokens=False).ids for t in texts]
+    assert want[0] == [64, 220, 50256, 2124]
+    tokens = packing.tokens_of(packing.TOKENIZER, packing.RANKS)
+    assert tokens.batch(texts) == [np.array(x, "<u4").tobytes() for x in want]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string")
+    got = {r["doc_id"]: bytes(r["ids"]) for r in packing.pieces(d, F.col("doc_id"), F.col("text"), with_ids=True).collect()}
+    assert got == {i: np.array([*x, 2], "<u4").tobytes() for i, x in enumerate(want)}
+
+
 def test_packing_plan_is_near_the_bound():
     rng = random.Random(2)
     lengths = [min(1023, max(1, int(rng.lognormvariate(5.5, 0.9)))) for _ in range(6000)]
