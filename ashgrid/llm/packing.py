@@ -4,9 +4,13 @@ Tasks tokenize and cut documents into pieces.  What decides the packing is the
 histogram of piece lengths, at most ``limit`` numbers however many documents
 there are: a configuration linear program over it (a column is a set of lengths
 that fits one sequence) is solved by multiplicative weights, with a knapsack
-dynamic program that prices the best column for the current weights.  The
-fractional solution is rounded down, the few pieces left are packed best fit,
-and every piece finds its place by its rank among the pieces of its length.
+dynamic program that prices the best column for the current weights.  Where
+that is more than ``GAP`` above the size bound, columns are generated from the
+program's own dual prices until it is within ``GAP`` of its optimum.  The
+fractional solution is rounded down, what is left is packed best fit on the
+histogram, badly filled columns too if that saves sequences, and every piece
+finds its place by its rank among the pieces of its length.  No step depends on
+the number of pieces.
 
 Defined results: a null text is empty and still has its end token; repeated
 rows are packed one by one; an empty table gives an empty result.
@@ -36,8 +40,12 @@ CACHE_ENTRIES = 400_000
 #: white space that pre-tokenization looks at as a whole
 UNSAFE = re.compile(r"\s \s|\s $")
 RANK_BUCKETS = 256
-#: columns filled less than this are unpacked again, the emptiest first, up to so many pieces
-LOOSE, LOOSE_PIECES = 0.998, 20_000
+#: columns filled less than this are also tried unpacked again
+LOOSE = 0.998
+#: how far, as a share, the fractional solution may lie above the program's lower bound
+GAP = 0.0005
+#: pivots between two fresh inverses
+REFRESH = 200
 #: first weights are (length / limit) ** POWER: of two full columns the one with longer pieces is dearer
 POWER = 1.1
 
@@ -184,9 +192,67 @@ def solve(counts: dict[int, int], limit: int, phases: int = 2, eta: float = 8.0)
                 left[k] -= step * n
                 gain[k] += waste * step * n * phases / demand[k]
         weight = weight * np.exp(eta * gain)
+    if sum(x.values()) > (1 + GAP) * sum(k * n for k, n in counts.items()) / limit:
+        return generate(counts, limit, list(x))
     return x
 
 
+def generate(counts: dict[int, int], limit: int, known: list[tuple[tuple[int, int], ...]]) -> dict[tuple[tuple[int, int], ...], float]:
+    """Column generation, from columns of a single length and the known ones.
+
+    The dual prices of the basis price the next column; the sum of the basis
+    divided by that column's price bounds the optimum from below."""
+    lengths = sorted(counts)
+    place = {k: i for i, k in enumerate(lengths)}
+    demand = np.array([counts[k] for k in lengths], dtype=float)
+    demand *= 1 + 1e-7 * np.random.default_rng(0).random(len(lengths))  # no ties between rows
+    pool = [((k, limit // k),) for k in lengths]
+    pool += [c for c in known if c not in set(pool)]
+
+    def vector(column: tuple[tuple[int, int], ...]) -> np.ndarray:
+        out = np.zeros(len(lengths))
+        for k, n in column:
+            out[place[k]] = n
+        return out
+
+    matrix = np.zeros((max(64, 2 * len(pool)), len(lengths)))
+    matrix[:len(pool)] = [vector(c) for c in pool]
+    basis = np.arange(len(lengths))
+    inverse = np.diag(1 / matrix[basis, basis])
+    x = inverse @ demand
+    pivots = 0
+    while True:
+        prices = inverse.sum(axis=0)
+        values = matrix[:len(pool)] @ prices
+        enter = int(values.argmax())
+        if values[enter] <= 1 + 1e-6:  # no known column helps
+            by_length = np.full(limit + 1, -np.inf)
+            by_length[lengths] = prices
+            column = tuple(sorted(best_column(by_length, limit).items()))
+            if vector(column) @ prices <= 1 + GAP:
+                break
+            enter = len(pool)
+            pool.append(column)
+            if enter == len(matrix):
+                matrix = np.concatenate([matrix, np.zeros_like(matrix)])
+            matrix[enter] = vector(column)
+        change = inverse @ matrix[enter]
+        ratio = np.where(change > 1e-9, x / np.where(change > 1e-9, change, 1), np.inf)
+        leave = int(ratio.argmin())
+        step = ratio[leave]
+        x = np.maximum(x - step * change, 0)
+        x[leave] = step
+        row = inverse[leave] / change[leave]
+        inverse -= np.outer(change, row)
+        inverse[leave] = row
+        basis[leave] = enter
+        pivots += 1
+        if pivots % REFRESH == 0:
+            inverse = np.linalg.inv(matrix[basis].T)
+            x = np.maximum(inverse @ demand, 0)
+    return {pool[j]: float(n) for j, n in zip(basis, x) if n > 0}
+
+
 def best_fit(lengths: list[int], limit: int) -> list[list[int]]:
     """Best fit decreasing: each piece into the fullest sequence that takes it."""
     room: list[tuple[int, int]] = []
@@ -203,6 +269,41 @@ def best_fit(lengths: list[int], limit: int) -> list[list[int]]:
     return out
 
 
+def best_fit_counts(counts: dict[int, int], limit: int) -> dict[tuple[tuple[int, int], ...], int]:
+    """Best fit decreasing on the histogram: column -> sequences, the work as
+    much as there are different columns.  The fullest sequence that takes a
+    length takes as many of it as it has room for."""
+    bins: dict[int, dict[tuple[tuple[int, int], ...], int]] = {}
+    rooms: list[int] = []
+
+    def put(room: int, column: tuple[tuple[int, int], ...], n: int) -> None:
+        if room not in bins:
+            bins[room] = {}
+            insort(rooms, room)
+        bins[room][column] = bins[room].get(column, 0) + n
+
+    for length in sorted(counts, reverse=True):
+        left = counts[length]
+        while left:
+            at = bisect_left(rooms, length)
+            room = rooms[at] if at < len(rooms) else limit
+            column, there = bins[room].popitem() if at < len(rooms) else ((), left)
+            times = min(room // length, left)
+            n = min(there, left // times)
+            if at < len(rooms):
+                if there > n:
+                    bins[room][column] = there - n
+                if not bins[room]:
+                    del bins[room], rooms[at]
+            put(room - times * length, (*column, (length, times)), n)
+            left -= n * times
+    out: dict[tuple[tuple[int, int], ...], int] = {}
+    for columns in bins.values():
+        for column, n in columns.items():
+            out[tuple(reversed(column))] = out.get(tuple(reversed(column)), 0) + n
+    return out
+
+
 def plan(counts: dict[int, int], limit: int, phases: int = 2) -> list[tuple[int, int, int, int, int, int]]:
     """Rows (length, lo, hi, times, sequence, offset): the pieces of that length
     with ranks lo..hi-1 go ``times`` to a sequence from ``sequence`` on, the
@@ -225,21 +326,21 @@ def plan(counts: dict[int, int], limit: int, phases: int = 2) -> list[tuple[int,
     rest = {k: n for k, n in counts.items() if k < limit and n}
     if rest:
         solution = solve(rest, limit, phases)
-        loose = 0
-        for column in sorted(solution, key=lambda c: (sum(k * n for k, n in c), c)):
-            copies = min(int(solution[column] + 1e-6), min((counts[k] - used[k]) // n for k, n in column))
-            pieces_in = copies * sum(n for _, n in column)
-            if sum(k * n for k, n in column) < LOOSE * limit and loose + pieces_in <= LOOSE_PIECES:
-                loose += pieces_in  # left to best fit, together with what rounding leaves
-            elif copies:
-                place(column, copies)
-        residue = [k for k in rest for _ in range(counts[k] - used[k])]
-        alike: dict[tuple[int, ...], int] = {}
-        for sequence_lengths in best_fit(residue, limit):
-            key = tuple(sorted(sequence_lengths))
-            alike[key] = alike.get(key, 0) + 1
-        for key, copies in alike.items():
-            place(tuple((k, key.count(k)) for k in dict.fromkeys(key)), copies)
+
+        def filled(least: float) -> list[tuple[tuple[tuple[int, int], ...], int]]:
+            """The solution's whole columns filled as much at least, and best fit for the rest."""
+            free, out = dict(rest), []
+            for column in sorted(solution, key=lambda c: (sum(k * n for k, n in c), c)):
+                copies = min(int(solution[column] + 1e-6), min(free[k] // n for k, n in column))
+                if copies and sum(k * n for k, n in column) >= least * limit:
+                    out.append((column, copies))
+                    for k, n in column:
+                        free[k] -= n * copies
+            return out + list(best_fit_counts({k: n for k, n in free.items() if n}, limit).items())
+
+        # columns kept as they are, loose ones unpacked, or all pieces best fit: the fewest sequences
+        for column, copies in min((filled(least) for least in (LOOSE, 0, 2)), key=lambda c: sum(n for _, n in c)):
+            place(column, copies)
     return rows
 
 

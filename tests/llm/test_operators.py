@@ -507,6 +507,39 @@ def test_added_tokens_have_their_own_id(spark):
     assert got == {i: np.array([*x, 2], "<u4").tobytes() for i, x in enumerate(want)}
 
 
+def placed(counts, limit):
+    """Sequences of a plan that places every piece once and none beyond the limit."""
+    rows, used = packing.plan(dict(counts), limit), collections.Counter()
+    for length, lo, hi, times, _, offset in rows:
+        assert lo == used[length] and (hi - lo) % times == 0 and offset + length * times <= limit
+        used[length] = hi
+    assert used == collections.Counter(counts)
+    return max(first + (hi - lo) // times for _, lo, hi, times, first, _ in rows)
+
+
+def test_packing_plan_does_not_depend_on_the_number_of_pieces():
+    for k in (1, 100, 10_000):
+        # optimum: 520 + 340 in half of the 340s' sequences, the others by threes
+        assert placed({520: 600 * k, 340: 1200 * k}, 1024) <= 800 * k * 1.001 + 1
+    rng = random.Random(4)
+    counts = {n: rng.randint(50, 3000) for n in rng.sample(range(260, 700), 200)}
+    one, *more = [placed({n: c * k for n, c in counts.items()}, 1024) / k for k in (1, 100, 10_000)]
+    assert all(x <= one * 1.0001 for x in more)
+    solution = packing.solve(counts, 1024)
+    for n, c in counts.items():
+        assert sum(x * dict(column).get(n, 0) for column, x in solution.items()) == pytest.approx(c, rel=1e-5)
+
+
+def test_best_fit_on_counts_equals_best_fit():
+    rng = random.Random(6)
+    for size in (0, 1, 40, 3000):
+        lengths = [rng.randint(1, 255) for _ in range(size)]
+        columns = packing.best_fit_counts(collections.Counter(lengths), 256)
+        assert sum(columns.values()) == len(packing.best_fit(lengths, 256))
+        assert sum((collections.Counter({k: n * copies}) for column, copies in columns.items() for k, n in column),
+                   collections.Counter()) == collections.Counter(lengths)
+
+
 def test_packing_plan_is_near_the_bound():
     rng = random.Random(2)
     lengths = [min(1023, max(1, int(rng.lognormvariate(5.5, 0.9)))) for _ in range(6000)]
