@@ -6,7 +6,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from . import bagminhash, embedding_dedup, html_content, line_dedup, maxent_lm, mixing, packing, pii, quality, sharding
+from . import (bagminhash, embedding_dedup, html_content, line_dedup, maxent_lm, mixing, packing, phrases, pii, quality,
+               sharding, vector_codes)
 from .common import materialize, table, text_or_empty, words
 
 
@@ -129,6 +130,18 @@ def op10_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(cut)
 
 
+def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
+    coded, books = vector_codes.compress(table(spark, sf_dir, "embeddings"), "vec_id", "embedding", "label")
+    digits = F.transform("code", lambda e: F.lower(F.lpad(F.hex(e), 2, "0")))
+    return coded.select(F.col("id").alias("vec_id"), F.concat_ws("", digits).alias("code"), "error", "label_error",
+                        F.lit(vector_codes.books_sha256(books)).alias("codebooks_sha256"))
+
+
+def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = phrases.collocations(table(spark, sf_dir, "documents"), F.col("lang"), F.col("text"), size=3, min_count=10)
+    return phrases.top(found, 2000).select(F.col("g").alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score")
+
+
 def _op7_sql() -> str:
     """The counts, the mean histograms of each language in whole millionths and
     the distances, with the operator's constants."""
@@ -182,6 +195,97 @@ FROM b LEFT JOIN ref ON b.lang IS NOT DISTINCT FROM ref.lang
 
 OP7_SQL = _op7_sql()
 
+def _op11_sql(parts: int = vector_codes.PARTS, entries: int = vector_codes.ENTRIES, rounds: int = vector_codes.ROUNDS) -> str:
+    """The rounds one after the other, every part against every entry."""
+    gap = "list_sum(list_transform(range(1, len(p.v) + 1), lambda i: (p.v[i] - b.v[i]) * (p.v[i] - b.v[i])))"
+
+    steps = []
+    for k in range(rounds + 1):
+        steps.append(f"""n{k} AS MATERIALIZED (
+  SELECT rid, part, arg_min(e, (d, e)) AS e, min(d)::BIGINT AS d
+  FROM (SELECT p.rid, p.part, b.e, {gap} AS d FROM p JOIN b{k} b ON p.part = b.part) GROUP BY rid, part
+)""")
+        if k < rounds:
+            steps.append(f"""s{k} AS (
+  SELECT part, e, i, floor(sum(x) / count(*))::BIGINT AS x
+  FROM (SELECT part, e, unnest(range(1, len(v) + 1)) AS i, unnest(v) AS x FROM n{k} JOIN p USING (rid, part)) GROUP BY part, e, i
+), b{k + 1} AS MATERIALIZED (
+  SELECT b.part, b.e, coalesce(m.v, b.v) AS v FROM b{k} b
+  LEFT JOIN (SELECT part, e, list(x ORDER BY i) AS v FROM s{k} GROUP BY part, e) m ON m.part = b.part AND m.e = b.e
+)""")
+    return f"""
+WITH r AS (
+  SELECT row_number() OVER (ORDER BY vec_id, embedding) AS rid, vec_id, label,
+         list_transform(embedding, lambda x: floor({vector_codes.SCALE} * x::DOUBLE)::BIGINT) AS v
+  FROM embeddings WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+), p AS MATERIALIZED (
+  SELECT rid, part, v[part * (len(v) // {parts}) + 1:(part + 1) * (len(v) // {parts})] AS v FROM r, range({parts}) t(part)
+), b0 AS (
+  SELECT part, rid - 1 AS e, v FROM p WHERE rid <= {entries}
+), {', '.join(steps)}
+, c AS (
+  SELECT rid, string_agg(printf('%02x', e), '' ORDER BY part) AS code, sum(d)::BIGINT AS error FROM n{rounds} GROUP BY rid
+)
+SELECT vec_id, code, error, (sum(error) OVER (PARTITION BY label))::BIGINT AS label_error,
+       (SELECT sha256(string_agg(array_to_string(v, ','), ',' ORDER BY part, e)) FROM b{rounds}) AS codebooks_sha256
+FROM c JOIN r USING (rid)
+"""
+
+
+OP11_SQL = _op11_sql()
+
+OP12_SQL = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id, regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') AS w FROM documents
+), g AS (
+  SELECT rid, doc_id, i, hash(w[i:i + 49]) AS h, md5(array_to_string(w[i:i + 49], ' ')) AS s
+  FROM (SELECT *, unnest(range(1, len(w) - 48)) AS i FROM d WHERE len(w) >= 50)
+), m AS (
+  SELECT h, s, min(doc_id) AS first FROM g GROUP BY h, s
+), c AS (
+  SELECT DISTINCT rid, unnest(range(i, i + 50)) AS j FROM g JOIN m USING (h, s) WHERE first < doc_id OR (first IS NOT NULL AND doc_id IS NULL)
+), e AS (
+  SELECT rid, list(j) AS gone FROM c GROUP BY rid
+)
+SELECT doc_id, len(w)::BIGINT AS n_words, coalesce(len(gone), 0)::BIGINT AS n_removed,
+       sha256(CASE WHEN gone IS NULL THEN array_to_string(w, ' ') ELSE array_to_string(
+         list_transform(list_filter(range(1, len(w) + 1), lambda i: NOT list_contains(gone, i)), lambda i: w[i]), ' ') END) AS kept_sha256
+FROM d LEFT JOIN e USING (rid)
+"""
+
+OP13_SQL = """
+WITH p AS (
+  SELECT row_number() OVER () AS pid, * FROM (
+    SELECT coalesce(lang, 'und') AS lang, unnest(string_split(
+      translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ.,;:!?' || chr(11) || chr(12) || chr(13) || chr(9),
+                'abcdefghijklmnopqrstuvwxyz' || repeat(chr(10), 9) || ' '), chr(10))) AS piece FROM documents)
+), w AS (
+  SELECT pid, lang, list_filter(string_split(piece, ' '), lambda x: x <> '') AS w FROM p
+), g AS (
+  SELECT lang, k, w[i:i + k - 1] AS g, count(*) AS f
+  FROM (SELECT lang, w, unnest(range(1, len(w) + 1)) AS i FROM w), range(1, 4) t(k) WHERE i + k - 1 <= len(w) GROUP BY ALL
+), c AS (
+  SELECT * FROM g WHERE k >= 2 AND f >= 10
+), inside AS (
+  SELECT lang, g, max(f) AS f FROM (
+    SELECT lang, unnest([g[1:2], g[2:3]]) AS g, f FROM c WHERE k = 3) GROUP BY lang, g
+), kept AS (
+  SELECT c.* FROM c LEFT JOIN inside USING (lang, g) WHERE inside.f IS NULL OR 100 * inside.f < 50 * c.f
+), cuts AS (
+  SELECT kept.lang, kept.g, kept.f AS a, cut, x.f AS l, y.f AS r,
+         (1000000::HUGEINT * kept.f * kept.f) // (x.f::HUGEINT * y.f) AS score
+  FROM (SELECT *, unnest(range(1, k)) AS cut FROM kept) kept
+  JOIN g x ON x.lang = kept.lang AND x.g = kept.g[1:cut] JOIN g y ON y.lang = kept.lang AND y.g = kept.g[cut + 1:kept.k]
+), best AS (
+  SELECT *, row_number() OVER (PARTITION BY lang, g ORDER BY score, cut) AS nth FROM cuts
+), ranked AS (
+  SELECT *, array_to_string(g, ' ') AS phrase,
+         row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, array_to_string(g, ' ')) AS rank FROM best WHERE nth = 1
+)
+SELECT ranked.lang, rank::BIGINT AS rank, phrase, a::BIGINT AS a, l::BIGINT AS l, r::BIGINT AS r, n::BIGINT AS n, score::BIGINT AS score
+FROM ranked JOIN (SELECT lang, sum(f) AS n FROM g WHERE k = 1 GROUP BY lang) USING (lang) WHERE rank <= 2000
+"""
+
 QUERIES = {
     "op1_mixing": op1_mixing,
     "op2_embedding_dedup": op2_embedding_dedup,
@@ -193,10 +297,14 @@ QUERIES = {
     "op8_line_dedup": op8_line_dedup,
     "op9_bagminhash": op9_bagminhash,
     "op10_packing": op10_packing,
+    "op11_vector_codes": op11_vector_codes,
+    "op13_phrases": op13_phrases,
 }
 
 ORACLE_SQL = {
     "op1_mixing": OP1_SQL,
     "op7_quality": OP7_SQL,
     "op8_line_dedup": OP8_SQL,
+    "op11_vector_codes": OP11_SQL,
+    "op13_phrases": OP13_SQL,
 }
