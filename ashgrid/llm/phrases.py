@@ -12,8 +12,9 @@ part of an edge that carries enough of its flow: it is absorbed, and a unary
 node, whose only edge carries all of it, always is.  A longer path than the
 longest phrase would be never read, so none is spelled out.
 
-Edges are dealt by their node, so that the same exchange serves edges and
-flows.  Nodes that hold more than 1/1024 of the edges of a sample of the
+Edges are dealt by their node, so that one exchange serves edges and flows; a
+task adds up what it gets in Arrow tables, which hold the different edges of its
+partition.  Nodes that hold more than 1/1024 of the edges of a sample of the
 documents (at most 1024 such nodes) are dealt by their next word too, in SALTS
 parts, and their partial flows are added up; the sample only spreads the work.
 
@@ -43,7 +44,9 @@ BREAKS = ".,;:!?\n\x0b\f\r"
 BYTES = bytes.maketrans((string.ascii_uppercase + BREAKS + "\t").encode(),
                         string.ascii_lowercase.encode() + b"\xff" * len(BREAKS) + b" ")
 #: bytes of text and tokens looked at in one go, distinct local edges before they are sent, and words of a local vocabulary
-SLICE_BYTES, SLICE_TOKENS, LOCAL_EDGES, LOCAL_WORDS = 4 << 20, 700_000, 2_000_000, 1 << 20
+SLICE_BYTES, SLICE_TOKENS, LOCAL_EDGES, LOCAL_WORDS = 2 << 20, 400_000, 1_000_000, 1 << 19
+SENT_ROWS = 100_000
+EDGE = ["node", "salt", "next", "n"]
 SALTS = 64
 #: share of the documents in which crowded nodes are looked for, and the share of edges that makes one
 SAMPLE, CROWDED = 32, 1024
@@ -54,7 +57,7 @@ class LocalGraph:
 
     An edge of ``size`` words is one number, its word ids as digits (0: none)."""
 
-    def __init__(self, size: int, crowded: set[bytes]):
+    def __init__(self, size: int, crowded: list[str]):
         self.size, self.crowded = size, crowded
         self.ids: dict[bytes, int] = {}
         self.keys: list[np.ndarray] = []
@@ -85,8 +88,9 @@ class LocalGraph:
         total = np.bincount(where, weights=np.concatenate(self.weights)).astype(np.int64)
         self.keys, self.weights, self.held = [keys], [total], len(keys)
 
-    def rows(self, group: str) -> pa.RecordBatch:
-        """(node, salt, next, n), ordered by node."""
+    def rows(self, group: str) -> Iterator[pa.RecordBatch]:
+        """(node, salt, next, n), ordered by node; a node is its words (empty
+        where a piece ended) and the group, with line feeds between."""
         self.combine()
         words = sorted(self.ids)
         rank = np.zeros(len(words) + 1, dtype=np.int64)
@@ -95,15 +99,16 @@ class LocalGraph:
         order = np.lexsort(digits[::-1])
         digits, weights = digits[:, order], self.weights[0][order]
         table = pa.array([None, *words], pa.binary()).cast(pa.string())
-        node = pc.binary_join_element_wise(*[table.take(pa.array(d)) for d in digits[:-1]], " ", null_handling="skip")
-        node = pc.binary_join_element_wise(pa.scalar(group), node, "\n")
-        salt = np.zeros(len(weights), dtype=np.int32)
-        if self.crowded:
-            part = np.array([0, *(1 + zlib.crc32(w) % SALTS for w in words)], dtype=np.int32)
-            hit = pc.is_in(node, value_set=pa.array([c.decode() for c in self.crowded], pa.string())).to_numpy(zero_copy_only=False)
-            salt[hit] = np.maximum(part[digits[-1][hit]], 1)
-        return pa.RecordBatch.from_arrays([node, pa.array(salt), table.take(pa.array(digits[-1])), pa.array(weights)],
-                                          ["node", "salt", "next", "n"])
+        for at in range(0, len(weights), SENT_ROWS):
+            own, n = digits[:, at:at + SENT_ROWS], weights[at:at + SENT_ROWS]
+            texts = [pc.fill_null(table.take(pa.array(d)), "") for d in own[:-1]]
+            node = pc.binary_join_element_wise(*texts, pa.scalar(group), "\n")
+            salt = np.zeros(len(n), dtype=np.int32)
+            if self.crowded:
+                hit = pc.is_in(node, value_set=pa.array(self.crowded, pa.string())).to_numpy(zero_copy_only=False)
+                part = {d: 1 + zlib.crc32(words[d - 1] if d else b"") % SALTS for d in set(own[-1][hit].tolist())}
+                salt[hit] = [part[d] for d in own[-1][hit].tolist()]
+            yield pa.RecordBatch.from_arrays([node, pa.array(salt), table.take(pa.array(own[-1])), pa.array(n)], EDGE)
 
 
 def slices(texts: list[str], size: int) -> Iterator[tuple[list[bytes], int]]:
@@ -122,11 +127,9 @@ def slices(texts: list[str], size: int) -> Iterator[tuple[list[bytes], int]]:
 
 def local_edges(docs: DataFrame, group: Column, text: Column, size: int, crowded: list[str]) -> DataFrame:
     """(node, salt, next, n): the edges and piece ends of each task's documents,
-    added up as far as its memory allows.  ``node`` is group, line feed, words."""
+    added up as far as its memory allows."""
     if not 2 <= size <= 3:
         raise ValueError("phrases have 2 or 3 words")
-    known = {c.encode() for c in crowded}
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         graphs: dict[str, LocalGraph] = {}
         for batch in batches:
@@ -135,17 +138,17 @@ def local_edges(docs: DataFrame, group: Column, text: Column, size: int, crowded
                 by.setdefault(g, []).append(t)
             for g, texts in by.items():
                 for tokens, starts in slices(texts, size):
-                    graph = graphs.setdefault(g, LocalGraph(size, known))
+                    graph = graphs.setdefault(g, LocalGraph(size, crowded))
                     graph.add(tokens, starts)
                     if graph.held > LOCAL_EDGES:
                         graph.combine()
                     if graph.held > LOCAL_EDGES / 2 or len(graph.ids) > LOCAL_WORDS:
-                        yield graphs.pop(g).rows(g)
+                        yield from graphs.pop(g).rows(g)
                     elif sum(x.held for x in graphs.values()) > LOCAL_EDGES:
                         largest = max(graphs, key=lambda k: graphs[k].held)
-                        yield graphs.pop(largest).rows(largest)
+                        yield from graphs.pop(largest).rows(largest)
         for g, graph in graphs.items():
-            yield graph.rows(g)
+            yield from graph.rows(g)
 
     return docs.select(F.coalesce(group.cast("string"), F.lit("und")), text_or_empty(text)).mapInArrow(
         run, "node string, salt int, next string, n long")
@@ -161,30 +164,67 @@ def crowded_nodes(docs: DataFrame, group: Column, text: Column, size: int) -> li
     return [r["node"] for r in nodes.filter(F.col("n") > max(total // CROWDED, 1)).select("node").collect()]
 
 
-def graph(docs: DataFrame, group: Column, text: Column, size: int = 3, min_count: int = 10) -> DataFrame:
-    """(node, salt, flow, out): each node's flow and its edges of at least
-    ``min_count``; a crowded node has a row for each of its parts."""
-    edges = (local_edges(docs, group, text, size, crowded_nodes(docs, group, text, size))
-             .repartition("node", "salt").groupBy("node", "salt", "next").agg(F.sum("n").alias("n")))
-    heavy = F.when((F.col("n") >= min_count) & F.col("next").isNotNull(), F.struct("next", "n"))
-    return materialize(edges.groupBy("node", "salt").agg(F.sum("n").alias("flow"), F.collect_list(heavy).alias("out")), "phrase-graph")
-
-
-def counts(nodes: DataFrame, size: int = 3) -> list[DataFrame]:
-    """(g, phrase, f) of all grams of 1, 2, ... ``size`` - 1 words, and of the
-    frequent ones of ``size`` words."""
-    words = F.substring_index("node", "\n", -1)
-    named = nodes.select(F.expr("left(node, length(node) - length(substring_index(node, '\n', -1)) - 1)").alias("g"),
-                         words.alias("phrase"), "salt", "flow", "out")
-    last = named.select("g", F.explode("out").alias("e"), "phrase").select(
-        "g", F.concat_ws(" ", "phrase", "e.next").alias("phrase"), F.col("e.n").alias("f"))
-    plain = named.select("g", "phrase", F.col("flow").alias("f"), "salt")
-    parts = plain.filter("salt > 0").groupBy("g", "phrase").agg(F.sum("f").alias("f"))
-    flows = plain.filter("salt = 0").drop("salt").unionByName(parts)
-    if size == 2:
-        return [flows, last]
-    single = flows.groupBy("g", F.substring_index("phrase", " ", 1).alias("phrase")).agg(F.sum("f").alias("f"))
-    return [single, flows.filter(F.instr("phrase", " ") > 0), last]
+def flows(edges: DataFrame, size: int, min_count: int) -> DataFrame:
+    """(k, g, phrase, f) of edges dealt by node and salt: k = 1, parts of the
+    counts of single words; 1 < k < size, counts (of crowded nodes: parts) of the
+    nodes of two words; k = size, the frequent edges.  Rarer nodes and edges
+    only live on in the flow of their first word."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: list[pa.Table] = []
+        rows = least = 0
+
+        def combined() -> pa.Table:
+            whole = pa.concat_tables(held).combine_chunks()
+            out = whole.group_by(["node", "salt", "next"], use_threads=False).aggregate([("n", "sum")])
+            return out.rename_columns(["node", "salt", "next", "n"])
+
+        for batch in batches:
+            held.append(pa.table(batch))
+            rows += batch.num_rows
+            if rows > max(LOCAL_EDGES, 2 * least):
+                held = [combined()]
+                rows = least = held[0].num_rows
+        if not rows:
+            return
+        table = combined()
+        held.clear()
+        nodes = table.group_by(["node", "salt"], use_threads=False).aggregate([("n", "sum")])
+
+        def words(node: pa.ChunkedArray) -> list[pa.Array]:
+            """The words of the nodes, and last the group."""
+            parts = pc.split_pattern(node.combine_chunks(), "\n", max_splits=size - 1)
+            return [pc.list_element(parts, i) for i in range(size)]
+
+        def sent(k: int, group: pa.Array, phrase: pa.Array, f: pa.Array) -> Iterator[pa.RecordBatch]:
+            out = pa.table({"k": pa.array(np.full(len(phrase), k, dtype=np.int32)), "g": group, "phrase": phrase, "f": f})
+            yield from out.to_batches(max_chunksize=SENT_ROWS)
+
+        *own, group = words(nodes["node"])
+        first = pa.table({"g": group, "phrase": own[0], "f": nodes["n_sum"]}).group_by(["g", "phrase"], use_threads=False).aggregate([("f", "sum")])
+        yield from sent(1, first["g"], first["phrase"], first["f_sum"])
+        if size == 3:
+            often = pc.and_(pc.not_equal(own[1], ""), pc.or_(pc.greater(nodes["salt"], 0), pc.greater_equal(nodes["n_sum"], min_count)))
+            pair = pc.binary_join_element_wise(own[0].filter(often), own[1].filter(often), " ")
+            yield from sent(2, group.filter(often), pair, nodes["n_sum"].filter(often))
+        often = table.filter(pc.and_(pc.is_valid(table["next"]), pc.greater_equal(table["n"], min_count)))
+        if often.num_rows:
+            *own, group = words(often["node"])
+            yield from sent(size, group, pc.binary_join_element_wise(*own, often["next"].combine_chunks(), " "), often["n"])
+
+    return edges.repartition("node", "salt").mapInArrow(run, "k int, g string, phrase string, f long")
+
+
+def counts(docs: DataFrame, group: Column, text: Column, size: int = 3, min_count: int = 10) -> list[DataFrame]:
+    """(g, phrase, f): all single words, and the frequent grams of 2 to ``size`` words."""
+    edges = local_edges(docs, group, text, size, crowded_nodes(docs, group, text, size))
+    found = materialize(flows(edges, size, min_count), "phrase-flows")
+    out = []
+    for k in range(1, size + 1):
+        level = found.filter(F.col("k") == k).select("g", "phrase", "f")
+        if k < size:
+            level = level.groupBy("g", "phrase").agg(F.sum("f").alias("f"))
+        out.append(level if k == 1 else level.filter(F.col("f") >= min_count))
+    return out
 
 
 def collocations(docs: DataFrame, group: Column, text: Column, size: int = 3, min_count: int = 10, absorb_pct: int = 50,
@@ -193,19 +233,14 @@ def collocations(docs: DataFrame, group: Column, text: Column, size: int = 3, mi
     are found ``min_count`` times at least and are not part of a longer one with
     ``absorb_pct`` percent of their count; l and r belong to the cut with the
     lowest score floor(scale * a * a / (l * r)), the first of equals."""
-    levels = counts(graph(docs, group, text, size, min_count), size)
-    totals = levels[0].groupBy("g").agg(F.sum("f").alias("n"))
-    frequent = [level.filter(F.col("f") >= min_count) for level in levels]
-    known = frequent[0]
-    for level in frequent[1:-1]:
-        known = known.unionByName(level)
-    known = materialize(known, "phrase-counts")
-    found = None
-    for k in range(2, size + 1):
-        level = frequent[k - 1] if k == size else known.filter(F.size(F.split("phrase", " ")) == k)
-        level = level.select("g", "phrase", F.col("f").alias("a"), F.lit(k).alias("k"))
-        found = level if found is None else found.unionByName(level)
-    found = materialize(found, "phrase-candidates")
+    levels = [level.withColumn("k", F.lit(k + 1)) for k, level in enumerate(counts(docs, group, text, size, min_count))]
+    grams = levels[0]
+    for level in levels[1:]:
+        grams = grams.unionByName(level)
+    grams = materialize(grams, "phrase-counts")
+    totals = grams.filter("k = 1").groupBy("g").agg(F.sum("f").alias("n"))
+    known = grams.filter((F.col("k") < size) & (F.col("f") >= min_count))
+    found = grams.filter("k > 1").withColumnRenamed("f", "a")
 
     # compaction: each longer phrase meets the two that it consists of
     inside = F.array(F.expr("left(phrase, length(phrase) - length(substring_index(phrase, ' ', -1)) - 1)"),

@@ -7,7 +7,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from . import (bagminhash, embedding_dedup, html_content, line_dedup, maxent_lm, mixing, packing, phrases, pii, quality,
-               sharding, vector_codes)
+               sharding, substring_dedup, vector_codes)
 from .common import materialize, table, text_or_empty, words
 
 
@@ -137,6 +137,11 @@ def op11_vector_codes(spark: SparkSession, sf_dir: str) -> DataFrame:
                         F.lit(vector_codes.books_sha256(books)).alias("codebooks_sha256"))
 
 
+def op12_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    kept = substring_dedup.dedup(table(spark, sf_dir, "documents"), "doc_id", "text", window=50)
+    return kept.select(F.col("id").alias("doc_id"), "n_words", "n_removed", F.sha2("kept", 256).alias("kept_sha256"))
+
+
 def op13_phrases(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = phrases.collocations(table(spark, sf_dir, "documents"), F.col("lang"), F.col("text"), size=3, min_count=10)
     return phrases.top(found, 2000).select(F.col("g").alias("lang"), "rank", "phrase", "a", "l", "r", "n", "score")
@@ -298,6 +303,7 @@ QUERIES = {
     "op9_bagminhash": op9_bagminhash,
     "op10_packing": op10_packing,
     "op11_vector_codes": op11_vector_codes,
+    "op12_substring_dedup": op12_substring_dedup,
     "op13_phrases": op13_phrases,
 }
 
@@ -306,5 +312,6 @@ ORACLE_SQL = {
     "op7_quality": OP7_SQL,
     "op8_line_dedup": OP8_SQL,
     "op11_vector_codes": OP11_SQL,
+    "op12_substring_dedup": OP12_SQL,
     "op13_phrases": OP13_SQL,
 }
