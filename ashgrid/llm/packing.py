@@ -3,10 +3,11 @@
 Tasks tokenize and cut documents into pieces.  What decides the packing is the
 histogram of piece lengths, at most ``limit`` numbers however many documents
 there are: a configuration linear program over it (a column is a set of lengths
-that fits one sequence) is solved by multiplicative weights, with a knapsack
-dynamic program that prices the best column for the current weights.  Where
-that is more than ``GAP`` above the size bound, columns are generated from the
-program's own dual prices until it is within ``GAP`` of its optimum.  The
+that fits one sequence) is solved by multiplicative weights in several phases, with a knapsack dynamic
+program that prices the best columns for the current weights.  Where the best
+phase is more than ``GAP`` above the size bound, columns are generated from the
+program's own dual prices, within ``GAP`` of its optimum or for a bounded number
+of steps.  The
 fractional solution is rounded down, what is left is packed best fit on the
 histogram, badly filled columns too if that saves sequences, and every piece
 finds its place by its rank among the pieces of its length.  No step depends on
@@ -44,8 +45,10 @@ RANK_BUCKETS = 256
 LOOSE = 0.998
 #: how far, as a share, the fractional solution may lie above the program's lower bound
 GAP = 0.0005
-#: pivots between two fresh inverses
+#: pivots between two looks at how far the inverse has drifted
 REFRESH = 200
+#: columns that one pricing adds at most
+NEW_COLUMNS = 60
 #: first weights are (length / limit) ** POWER: of two full columns the one with longer pieces is dearer
 POWER = 1.1
 
@@ -146,9 +149,10 @@ def pieces(docs: DataFrame, id_col: Column, text: Column, limit: int = LIMIT, en
     return d.mapInArrow(run, T.StructType(fields))
 
 
-def best_column(prices: np.ndarray, limit: int) -> dict[int, int]:
-    """Length -> times in the dearest column that fits (unbounded knapsack);
-    ``prices`` by length, -inf where there is no piece of that length."""
+def dear_columns(prices: np.ndarray, limit: int, share: float = 0.0, most: int = LIMIT) -> list[tuple[tuple[int, int], ...]]:
+    """The dearest column that fits (unbounded knapsack), and after it, for each
+    length, the dearest column with that length if it is worth at least 1 - ``share``
+    of the dearest (the ``most`` dearest of these).  ``prices`` by length, -inf where there is no piece of that length."""
     best = np.zeros(limit + 1)  # best[limit - c]: of capacity c
     took = np.zeros(limit + 1, dtype=np.int64)
     for c in range(1, limit + 1):
@@ -159,98 +163,172 @@ def best_column(prices: np.ndarray, limit: int) -> dict[int, int]:
             best[limit - c], took[c] = value[j], j + 1
         else:
             best[limit - c] = before
-    column: dict[int, int] = {}
-    c = limit
-    while c > 0:
-        n = int(took[c])
-        if n:
-            column[n] = column.get(n, 0) + 1
-        c -= n or 1
-    return column
 
-
-def solve(counts: dict[int, int], limit: int, phases: int = 2, eta: float = 8.0) -> dict[tuple[tuple[int, int], ...], float]:
+    def column(c: int, first: int) -> tuple[tuple[int, int], ...]:
+        out: dict[int, int] = {first: 1} if first else {}
+        while c > 0:
+            n = int(took[c])
+            if n:
+                out[n] = out.get(n, 0) + 1
+            c -= n or 1
+        return tuple(sorted(out.items()))
+
+    found = {column(limit, 0): None}
+    if share:
+        value = prices[1:] + best[1:]  # of length k together with the rest of the room, limit - k
+        near = np.flatnonzero(value >= (1 - share) * best[0])
+        for k in near[np.argsort(-value[near], kind="stable")][:most].tolist():
+            found[column(limit - k - 1, k + 1)] = None
+    return list(found)
+
+
+def waste_of(column: tuple[tuple[int, int], ...], limit: int) -> float:
+    return 1 - sum(k * n for k, n in column) / limit
+
+
+def cover(demand: np.ndarray, weight: np.ndarray, limit: int) -> tuple[dict[tuple[tuple[int, int], ...], float], dict[int, tuple[tuple[int, int], ...]]]:
+    """All demand covered at fixed weights: again and again the dearest columns (to
+    within GAP) of the lengths that are left, as often as their scarcest length
+    allows.  With it, for each length in the order in which they were used up, the
+    column that used up its last pieces."""
+    left, x, last = demand.copy(), {}, {}
+    while (left > 0).any():
+        for column in dear_columns(np.where(left > 0, weight, -np.inf), limit, GAP):
+            step = min(left[k] / n for k, n in column)
+            if step > 0:
+                x[column] = x.get(column, 0.0) + step
+                used = [k for k, n in column if left[k] - step * n <= 1e-9 * demand[k]]
+                for k, n in column:
+                    left[k] -= step * n
+                left[used] = 0.0
+                last[used[0]] = column
+                last.update((k, ((k, limit // k),)) for k in used[1:])
+    return x, last
+
+
+def solve(counts: dict[int, int], limit: int, phases: int = 4, eta: float = 8.0) -> dict[tuple[tuple[int, int], ...], float]:
     """Fractional solution of the configuration program: column -> sequences.
 
-    Every phase covers an equal part of each length's demand.  A step takes the
-    dearest column as often as its scarcest length allows; lengths that had to
-    travel in columns that were not full gain weight by exp(eta * waste * share),
-    so the next phase prices them into better company first."""
+    Multiplicative weights: every phase covers the whole demand at its weights;
+    lengths that had to travel in columns that were not full gain weight by
+    exp(eta * waste * share), so that the next phase prices them into better
+    company first.  Phases go on until the best one is within GAP of the size
+    bound, or two in a row are no better.  ``generate`` brings the best phase
+    nearer to the optimum where the size bound is out of reach."""
     demand = np.zeros(limit + 1)
     demand[list(counts)] = list(counts.values())
+    bound = sum(k * n for k, n in counts.items()) / limit
     weight = (np.arange(limit + 1) / limit) ** POWER
-    x: dict[tuple[tuple[int, int], ...], float] = {}
+    best, basis, worse = None, {}, 0
     for _ in range(phases):
-        left, gain = demand / phases, np.zeros(limit + 1)
-        while (left > 1e-9).any():
-            column = best_column(np.where(left > 1e-9, weight, -np.inf), limit)
-            step = min(left[k] / n for k, n in column.items())
-            key = tuple(sorted(column.items()))
-            x[key] = x.get(key, 0.0) + step
-            waste = 1 - sum(k * n for k, n in key) / limit
-            for k, n in key:
-                left[k] -= step * n
-                gain[k] += waste * step * n * phases / demand[k]
+        x, last = cover(demand, weight, limit)
+        if best is None or sum(x.values()) < (1 - GAP / 10) * sum(best.values()):
+            best, basis, worse = x, last, 0
+        else:
+            worse += 1
+        if sum(best.values()) <= (1 + GAP) * bound:
+            return best
+        if worse == 2:
+            break
+        gain = np.zeros(limit + 1)
+        for column, times in x.items():
+            for k, n in column:
+                gain[k] += waste_of(column, limit) * times * n / demand[k]
         weight = weight * np.exp(eta * gain)
-    if sum(x.values()) > (1 + GAP) * sum(k * n for k, n in counts.items()) / limit:
-        return generate(counts, limit, list(x))
-    return x
-
-
-def generate(counts: dict[int, int], limit: int, known: list[tuple[tuple[int, int], ...]]) -> dict[tuple[tuple[int, int], ...], float]:
-    """Column generation, from columns of a single length and the known ones.
-
-    The dual prices of the basis price the next column; the sum of the basis
-    divided by that column's price bounds the optimum from below."""
-    lengths = sorted(counts)
+        weight /= weight.max()
+    return min(best, generate(counts, limit, basis), key=lambda x: sum(x.values()))
+
+
+def inverse_of(columns: list[tuple[list[int], np.ndarray]]) -> np.ndarray:
+    """Inverse of a triangular basis: column j is the first to hold length j of
+    those in the order given by ``cover``, whose rows it then only shares with
+    columns before it."""
+    size = len(columns)
+    before: list[list[tuple[int, float]]] = [[] for _ in range(size)]
+    for j, (at, n) in enumerate(columns):
+        for i, times in zip(at, n):
+            before[i].append((j, times))
+    inverse = np.zeros((size, size))
+    for i in range(size):
+        row = np.zeros(size)
+        row[i] = 1
+        for j, times in before[i]:
+            if j != i:
+                row -= times * inverse[j]
+        inverse[i] = row / dict(before[i])[i]
+    return inverse
+
+
+def generate(counts: dict[int, int], limit: int, start: dict[int, tuple[tuple[int, int], ...]],
+             most_pivots: int = 1000) -> dict[tuple[tuple[int, int], ...], float]:
+    """Column generation, from the basis that ``cover`` ended with (a column for
+    each length; in the order in which they were used up it is triangular).
+
+    The dual prices of the basis price the next columns; the sum of the basis
+    divided by the dearest column's price bounds the optimum from below.  It ends
+    within GAP of that bound, after ``most_pivots`` pivots, or when the sum has not
+    fallen by GAP * GAP in as many pivots as there are lengths: every basis is a
+    whole solution, so it may stop anywhere.  Sums over the matrices are numpy's
+    own loops, as a threaded library can block inside a Spark driver."""
+    lengths = list(start)
     place = {k: i for i, k in enumerate(lengths)}
     demand = np.array([counts[k] for k in lengths], dtype=float)
-    demand *= 1 + 1e-7 * np.random.default_rng(0).random(len(lengths))  # no ties between rows
-    pool = [((k, limit // k),) for k in lengths]
-    pool += [c for c in known if c not in set(pool)]
-
-    def vector(column: tuple[tuple[int, int], ...]) -> np.ndarray:
-        out = np.zeros(len(lengths))
-        for k, n in column:
-            out[place[k]] = n
-        return out
-
-    matrix = np.zeros((max(64, 2 * len(pool)), len(lengths)))
-    matrix[:len(pool)] = [vector(c) for c in pool]
-    basis = np.arange(len(lengths))
-    inverse = np.diag(1 / matrix[basis, basis])
-    x = inverse @ demand
-    pivots = 0
-    while True:
-        prices = inverse.sum(axis=0)
-        values = matrix[:len(pool)] @ prices
-        enter = int(values.argmax())
-        if values[enter] <= 1 + 1e-6:  # no known column helps
+    demand *= (1 + 1e-5 * np.random.default_rng(0).random(len(lengths))) / demand.sum()  # no ties between rows
+    basis = list(start.values())
+
+    def sparse(column: tuple[tuple[int, int], ...]) -> tuple[list[int], np.ndarray]:
+        return [place[k] for k, _ in column], np.array([n for _, n in column], dtype=float)
+
+    inverse = inverse_of([sparse(column) for column in basis])
+    x, prices = np.maximum(np.einsum("ij,j->i", inverse, demand), 0), inverse.sum(axis=0)
+    product = np.empty_like(inverse)
+    before, since = x.sum(), 0
+    waiting: list[tuple[tuple[int, int], ...]] = []
+    for pivot in range(1, most_pivots + 1):
+        worth = [sum(prices[place[k]] * n for k, n in column) for column in waiting]
+        if not waiting or max(worth) <= 1 + GAP:  # no known column helps
             by_length = np.full(limit + 1, -np.inf)
             by_length[lengths] = prices
-            column = tuple(sorted(best_column(by_length, limit).items()))
-            if vector(column) @ prices <= 1 + GAP:
+            waiting = dear_columns(by_length, limit, 0.02, NEW_COLUMNS)
+            worth = [sum(prices[place[k]] * n for k, n in column) for column in waiting]
+            if worth[0] <= 1 + GAP:
                 break
-            enter = len(pool)
-            pool.append(column)
-            if enter == len(matrix):
-                matrix = np.concatenate([matrix, np.zeros_like(matrix)])
-            matrix[enter] = vector(column)
-        change = inverse @ matrix[enter]
-        ratio = np.where(change > 1e-9, x / np.where(change > 1e-9, change, 1), np.inf)
+        enter = int(np.argmax(worth))
+        column, value = waiting.pop(enter), worth[enter]
+        at, n = sparse(column)
+        change = (inverse[:, at] * n).sum(axis=1)
+        able = change > 1e-7 * max(np.abs(change).max(), 1.0)
+        if not able.any():
+            continue
+        ratio = np.where(able, x / np.where(able, change, 1), np.inf)
         leave = int(ratio.argmin())
         step = ratio[leave]
         x = np.maximum(x - step * change, 0)
         x[leave] = step
         row = inverse[leave] / change[leave]
-        inverse -= np.outer(change, row)
+        np.multiply(change[:, None], row, out=product)
+        inverse -= product
         inverse[leave] = row
-        basis[leave] = enter
-        pivots += 1
-        if pivots % REFRESH == 0:
-            inverse = np.linalg.inv(matrix[basis].T)
-            x = np.maximum(inverse @ demand, 0)
-    return {pool[j]: float(n) for j, n in zip(basis, x) if n > 0}
+        prices = prices + (1 - value) * row
+        basis[leave] = column
+        if pivot % REFRESH == 0:
+            held = np.zeros(len(lengths))
+            for times, c in zip(x, basis):
+                own, n = sparse(c)
+                held[own] += times * n
+            if np.abs(held - demand).max() > 1e-6 * demand.max():  # rounding has gone too far: what there is is good enough
+                break
+        if x.sum() < (1 - GAP * GAP) * before:
+            before, since = x.sum(), 0
+        else:
+            since += 1
+            if since > len(lengths):
+                break
+    out: dict[tuple[tuple[int, int], ...], float] = {}
+    for column, times in zip(basis, x):
+        if times > 0:
+            out[column] = out.get(column, 0.0) + float(times) * sum(counts.values())
+    return out
 
 
 def best_fit(lengths: list[int], limit: int) -> list[list[int]]:
@@ -304,7 +382,7 @@ def best_fit_counts(counts: dict[int, int], limit: int) -> dict[tuple[tuple[int,
     return out
 
 
-def plan(counts: dict[int, int], limit: int, phases: int = 2) -> list[tuple[int, int, int, int, int, int]]:
+def plan(counts: dict[int, int], limit: int, phases: int = 4) -> list[tuple[int, int, int, int, int, int]]:
     """Rows (length, lo, hi, times, sequence, offset): the pieces of that length
     with ranks lo..hi-1 go ``times`` to a sequence from ``sequence`` on, the
     first of them at ``offset``.  At most 45 rows a column (distinct lengths
