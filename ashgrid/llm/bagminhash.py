@@ -33,6 +33,7 @@ import pandas as pd
 import xxhash
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from .common import materialize, text_or_empty
 from .components import components, roots
@@ -317,8 +318,14 @@ def near_classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 def dedup(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", similarity: float = SIMILARITY) -> DataFrame:
     """The rows of ``docs``, all columns, without the near copies: of each class
-    the smallest id stays (once, should its row be repeated)."""
+    the smallest id stays.  Rows that share id and text are one (the first by all
+    other columns that can be ordered); rows that share only the id all stay."""
     classes = near_classes(docs, id_col, text_col, similarity)
     gone = classes.filter("id <> class_id").select(F.col("id").alias("__gone"))
     left = docs.join(gone, docs[id_col].cast("long") == F.col("__gone"), "left_anti")
-    return left.filter(F.col(id_col).isNotNull()).dropDuplicates([id_col]).unionByName(left.filter(F.col(id_col).isNull()))
+    some = left.filter(F.col(id_col).isNotNull())
+    texts = [F.xxhash64(text_or_empty(F.col(text_col))), F.xxhash64(F.lit(7), text_or_empty(F.col(text_col)))]
+    order = [F.col(f"`{f.name}`") for f in left.schema if not isinstance(f.dataType, (T.MapType, T.VariantType))]
+    row = F.struct(*[F.col(f"`{c}`") for c in left.columns])
+    first = some.groupBy(F.col(id_col).alias("__id"), *texts).agg(F.min_by(row, F.struct(*order)).alias("__row"))
+    return first.select("__row.*").unionByName(left.filter(F.col(id_col).isNull()))

@@ -11,18 +11,23 @@ The weights start from a prior that states what tags and class words mean, and
 are fitted to labelled pages by gradient steps on the exact likelihood.  The
 labels are the pages' own: where a page marks its article (``article``,
 ``main``), the text inside it is content but for the parts that are marked as
-something else.  ``TRAIN_PAGES`` bounds the sample, the pages with the smallest
-hashes of id and url; pages over ``TRAIN_NODES`` nodes are not sampled.  All
+something else.  ``TRAIN_PAGES`` bounds the sample, the different pages with
+the smallest hashes of id, url and html; pages of more than ``TRAIN_NODES`` nodes
+or 40 characters for each of these are not sampled.  All
 pages are extracted, whole, whatever their length.
 
 Defined results: null or empty html has the empty text; a page without any
 labelled page in its table is read with the prior; repeated rows are extracted
-alike; markup that is cut off or never closed ends with the page.
+alike.  Script, style, title, textarea and the like hold raw text up to their
+closing tag, or to the end of the page; drawings and templates are skipped if they
+are closed, and are empty if not or if they close themselves; formulas, objects,
+canvases and noscript are read like the text around them.
 """
 
 from __future__ import annotations
 
 import re
+from collections import Counter
 from collections.abc import Iterator
 from html import unescape
 
@@ -43,12 +48,14 @@ ATTRIBUTE = re.compile(r"""(class|id|role|hidden|aria-hidden|style)(?:\s*=\s*("[
 WORDS = re.compile(r"[a-z]+")
 
 #: fixed values: kinds of elements in HTML
-RAW = frozenset("script style title textarea noscript template iframe noframes xmp svg math canvas object select".split())
+RAW = frozenset("script style title textarea iframe noembed noframes xmp".split())
+SKIPPED = frozenset("svg template".split())
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset(
     "a abbr acronym b bdi bdo big cite code data del dfn em font i ins kbd label mark q rp rt ruby s samp small span "
-    "strike strong sub sup time tt u var".split())
-ASIDE_TAGS = frozenset("nav footer aside form header button fieldset menu dialog".split())
+    "strike strong sub sup time tt u var object canvas noscript math mi mn mo ms mtext mrow mfrac msqrt mroot msub msup msubsup "
+    "munder mover munderover mstyle mspace mtable mtr mtd semantics annotation".split())
+ASIDE_TAGS = frozenset("nav footer aside form header button fieldset menu dialog select".split())
 MAIN_TAGS = frozenset("article main".split())
 #: class, id and role words, by what they say of an element
 ASIDE_WORDS = frozenset(
@@ -76,11 +83,11 @@ PAIR_PRIOR = {"leaf": (2, -6, -1, 1), "element": (2, -6, 0, 1), "aside": (2, -6,
 class Page:
     """Nodes of one page in page order: parent, kind, feature lists, labels; texts of the leaves."""
 
-    __slots__ = ("parent", "kind", "features", "text", "main", "aside")
+    __slots__ = ("parent", "kind", "features", "text", "main", "aside", "depth")
 
     def __init__(self, html: str):
         self.parent, self.kind, self.features, self.text = [-1], [1], [[AT["bias_element"]]], [None]
-        self.main, self.aside = [False], [False]
+        self.main, self.aside, self.depth = [False], [False], [0]
         self._read(html)
         if any(self.main):  # the page marks its article: text elsewhere is told so
             for i, t in enumerate(self.text):
@@ -89,7 +96,7 @@ class Page:
 
     def _add(self, parent: int, kind: int, features: list[int], text: str | None, main: bool, aside: bool) -> int:
         self.parent.append(parent), self.kind.append(kind), self.features.append(features), self.text.append(text)
-        self.main.append(main), self.aside.append(aside)
+        self.main.append(main), self.aside.append(aside), self.depth.append(self.depth[parent] + 1)
         return len(self.parent) - 1
 
     def _element(self, tag: str, attributes: str, parent: int) -> int:
@@ -126,7 +133,9 @@ class Page:
 
     def _read(self, html: str) -> None:
         stack: list[tuple[str, int]] = [("body", 0)]
+        opened: Counter[str] = Counter()  # tags on the stack, but for its bottom
         run: list[str] = []
+        unclosed: set[str] = set()  # skipped tags that no closing tag follows any more
         linked, depth_a, at, size = 0, 0, 0, len(html)
 
         def flush() -> None:
@@ -146,6 +155,7 @@ class Page:
 
         def close(upto: int) -> None:
             flush()
+            opened.subtract(tag for tag, _ in stack[upto:])
             del stack[upto:]
 
         def add(text: str) -> None:
@@ -174,16 +184,22 @@ class Page:
                         depth_a -= 1
                 elif tag == "head":
                     flush()
-                else:
+                elif opened[tag]:
                     for k in range(len(stack) - 1, 0, -1):
                         if stack[k][0] == tag:
                             close(k)
                             depth_a = 0
                             break
                 continue
-            if tag in RAW:
-                end = re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
-                at = end.end() if end else size
+            if tag in RAW or tag in SKIPPED:
+                closed = tag in SKIPPED and html[at - 2] == "/"
+                end = None if closed or tag in unclosed else re.compile(rf"</{re.escape(tag)}\b[^>]*>?", re.I).search(html, at)
+                if end:
+                    at = end.end()
+                elif tag in RAW:
+                    at = size
+                elif not closed:
+                    unclosed.add(tag)
                 continue
             if tag == "br":
                 run.append(" ")
@@ -201,11 +217,10 @@ class Page:
             top = stack[-1][0]
             if top == "p" or top == tag and tag in ("li", "dt", "dd", "tr", "td", "th", "option") or \
                     (top, tag) in (("dt", "dd"), ("dd", "dt"), ("td", "th"), ("th", "td")):
-                stack.pop()
+                close(len(stack) - 1)
             elif tag == "tr" and top in ("td", "th") and len(stack) > 2:
-                stack.pop()
-                if stack[-1][0] == "tr":
-                    stack.pop()
+                close(len(stack) - (2 if stack[-2][0] == "tr" else 1))
+            opened[tag] += 1
             stack.append((tag, self._element(tag, found[3] or found[6] or "", stack[-1][1])))
         flush()
 
@@ -235,11 +250,7 @@ class Forest:
         count = [len(f) for p in pages for f in p.features]
         self.node = np.repeat(np.arange(len(count)), count)
         self.feature = np.array([x for p in pages for f in p.features for x in f])
-        depth = np.zeros(len(self.parent), dtype=np.int64)
-        at = self.parent.copy()
-        while (up := at >= 0).any():
-            depth += up
-            at = np.where(up, self.parent[at], -1)
+        depth = np.array([d for p in pages for d in p.depth])
         order = np.argsort(depth, kind="stable")
         self.levels = np.split(order, np.flatnonzero(np.diff(depth[order])) + 1)
 
@@ -304,10 +315,14 @@ def extract(htmls: list[str], weights: np.ndarray, pair: np.ndarray) -> list[str
 
 def train(pages: DataFrame, id_col: str, url_col: str, html_col: str) -> tuple[np.ndarray, np.ndarray]:
     """Fit on the bounded sample, inside one task: the driver gets the weights only."""
-    h = F.xxhash64(F.coalesce(F.col(id_col).cast("string"), F.lit("")), F.coalesce(F.col(url_col).cast("string"), F.lit("")))
-    marked = pages.filter(F.lower(F.col(html_col)).rlike("<(article|main)[ >]"))
-    sample = (marked.select(h.alias("h"), F.col(html_col).alias("html")).filter(F.length("html") < 40 * TRAIN_NODES)
-              .orderBy("h").limit(TRAIN_PAGES).coalesce(1))
+    h = F.xxhash64(*[F.coalesce(F.col(c).cast("string"), F.lit("")) for c in (id_col, url_col, html_col)])
+    marked = (pages.filter(F.lower(F.col(html_col)).rlike("<(article|main)[ >]") & (F.length(html_col) < 40 * TRAIN_NODES))
+              .select(h.alias("h"), F.col(html_col).alias("html")))
+    # the hashes first: only the sampled pages themselves travel
+    last = marked.select("h").distinct().orderBy("h").limit(TRAIN_PAGES).agg(F.max("h")).first()[0]
+    if last is None:
+        return prior()
+    sample = marked.filter(F.col("h") <= last).dropDuplicates(["h"]).repartition(1).sortWithinPartitions("h")
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         read = [p for b in batches for p in map(Page, b["html"]) if len(p.parent) <= TRAIN_NODES]

@@ -6,6 +6,7 @@ import itertools
 import math
 import random
 import re
+import time
 import zlib
 
 import numpy as np
@@ -452,12 +453,43 @@ def test_language_model_grows_with_the_types(monkeypatch):
     assert ln[last].mean() > -0.3
 
 
+RAW_PAGES = [
+    ("<p>one</p><svg class=icon/><p>two</p>", "one\ntwo"), ("<p>one</p><svg><p>three</p>", "one\nthree"),
+    ("<p>one <svg><title>no</title><text>no</text></svg>two</p>", "one two"), ("<p>value <math><mi>x</mi><mo>=</mo><mn>2</mn></math> end</p>", "value x=2 end"),
+    ("<p>one</p><object data=x><p>two</p>", "one\ntwo"), ("<p>a <object>b</object> c</p>", "a b c"), ("<p>a <canvas>b</canvas></p><p>c</p>", "a b\nc"),
+    ("<p>a</p><noscript><p>b</p></noscript><p>c</p>", "a\nb\nc"), ("<p>a</p><noscript><p>b</p>", "a\nb"), ("<math/><p>a</p>", "a"),
+    ("<p>a</p><script>b</script><style>c</style><p>d</p>", "a\nd"), ("<p>a</p><script>b <p>c</p>", "a"), ("<p>a</p><template><p>b</p></template><p>c</p>", "a\nc"),
+    ("</div>" * 50 + "<p>a</p></section></p>b", "a\nb"), ("<table><tr><td>a<td>b<tr><td>c</table><p>d</p>", "a\nb\nc\nd"),
+    ("<p hidden>a</p><p>b &amp; c<!-- d --></p>", "b & c"), ("<pre>a\n  b</pre>", "a b"),
+]
+
+
+@pytest.mark.parametrize("html, want", RAW_PAGES)
+def test_pages_keep_the_text_around_odd_tags(html, want):
+    page = html_content.Page("<article>" + html + "</article>")
+    hidden = html_content.AT["hidden"]
+    gone = [i for i, f in enumerate(page.features) if hidden in f]
+    assert "\n".join(t for i, t in enumerate(page.text) if t is not None and page.parent[i] not in gone) == want
+
+
+def test_deep_pages_with_stray_closing_tags_are_read_in_time():
+    began = time.time()
+    page = html_content.Page("<div>" * 20_000 + "a" + "</section>" * 20_000 + "<p>b</p>")
+    assert [t for t in page.text if t] == ["a", "b"] and max(page.depth) > 20_000
+    assert time.time() - began < 20
+
+
+def test_near_dedup_keeps_other_texts_of_an_id(spark):
+    rows = [(1, prose(1, 60), "b"), (1, prose(1, 60), "a"), (1, prose(2, 60), "c"), (2, prose(1, 60), "d"), (None, "x", "e"), (None, "x", "f")]
+    got = bagminhash.dedup(spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3))
+    assert sorted((r["doc_id"] or 0, r["source"]) for r in got.collect()) == [(0, "e"), (0, "f"), (1, "a"), (1, "c")]
+
+
 def test_packing(docs, empty):
     from public_tokenizers import path
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
     cut = packing.pieces(docs.withColumn("doc_id", F.xxhash64("doc_id", "text")), F.col("doc_id"), F.col("text"), limit=256, with_ids=True).cache()
     keys = {r["k"]: r["text"] for r in docs.select(F.xxhash64("doc_id", "text").alias("k"), "text").collect()}
     by = collections.defaultdict(list)
@@ -530,6 +562,19 @@ def test_packing_plan_does_not_depend_on_the_number_of_pieces():
         assert sum(x * dict(column).get(n, 0) for column, x in solution.items()) == pytest.approx(c, rel=1e-5)
 
 
+def test_packing_plan_ends_on_awkward_histograms(spark):
+    """In a process with a Spark session, within seconds, near the size bound."""
+    rng = np.random.default_rng(1)
+    draws = [(rng.lognormal(6, 0.4, 50_000), 1.012), (rng.lognormal(5.5, 0.4, 20_000), 1.004), (np.arange(2, 1024).repeat(40), 1.001),
+             (np.full(5000, 1), 1.001), (np.full(999, 513), 2)]
+    for lengths, most in draws:
+        lengths = np.clip(lengths, 1, 1023).astype(int)
+        began = time.time()
+        n = placed(collections.Counter(lengths.tolist()), 1024)
+        assert n <= math.ceil(lengths.sum() / 1024 * most) + 1
+        assert time.time() - began < 90
+
+
 def test_best_fit_on_counts_equals_best_fit():
     rng = random.Random(6)
     for size in (0, 1, 40, 3000):

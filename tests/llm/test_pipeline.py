@@ -119,7 +119,6 @@ def check_packed(packed, rows):
     from tokenizers import Tokenizer
 
     whole = Tokenizer.from_file(path("byte_bpe_50k.json"))
-    whole.encode_special_tokens = True
     want = collections.Counter()
     for r in rows:
         ids = whole.encode(r[1] or "", add_special_tokens=False).ids + [2]
