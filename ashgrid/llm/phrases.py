@@ -264,6 +264,11 @@ def collocations(docs: DataFrame, group: Column, text: Column, size: int = 3, mi
 
 
 def top(found: DataFrame, first: int = 2000) -> DataFrame:
-    """The ``first`` phrases of each group by score, count and bytes, with ``rank`` from 1."""
-    order = Window.partitionBy("g").orderBy(F.col("score").desc(), F.col("a").desc(), F.col("phrase"))
-    return found.withColumn("rank", F.row_number().over(order).cast("long")).filter(F.col("rank") <= first)
+    """The ``first`` phrases of each group by score, count and bytes, with ``rank``
+    from 1.  A group is ranked in SALTS parts first, so that the task that ends
+    it gets SALTS * ``first`` rows at most."""
+    order = [F.col("score").desc(), F.col("a").desc(), F.col("phrase")]
+    parts = found.withColumn("part", F.pmod(F.xxhash64("phrase"), F.lit(SALTS)))
+    parts = parts.withColumn("nth", F.row_number().over(Window.partitionBy("g", "part").orderBy(*order))).filter(F.col("nth") <= first)
+    rank = F.row_number().over(Window.partitionBy("g").orderBy(*order)).cast("long")
+    return parts.drop("part", "nth").withColumn("rank", rank).filter(F.col("rank") <= first)
