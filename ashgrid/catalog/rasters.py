@@ -377,8 +377,7 @@ SELECT round(coalesce(median(v), 0.0), 8) AS med_v,
 def global_median(spark: SparkSession, sf_dir: str) -> DataFrame:
     """AGG-5: median over all stations, nulls skipped, 0.0 when all null."""
     s = FX.sites(spark, sf_dir).withColumn("none", F.lit(None).cast("double"))
-    return s.agg(S.round8(F.coalesce(F.median("v"), F.lit(0.0))).alias("med_v"),
-                 F.coalesce(F.median("none"), F.lit(0.0)).alias("med_none"))
+    return spark.range(1).select(S.round8(CA.global_median(s, "v")).alias("med_v"), CA.global_median(s, "none").alias("med_none"))
 
 
 @register("station_pixel_merge", FX.with_views("tiles", "station_day", "points") + _PIXELS_BODY + f"""
@@ -405,7 +404,7 @@ def station_pixel_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     nn = G.nearest_join(q, locs, "st", "lk", "la", "lo", "lat", "lon", group=["layer"])
     snap = nn.select("st", "layer", F.col("nn_key.lat").alias("lat"), F.col("nn_key.lon").alias("lon"))
     # only the snapped pixel locations matter: a (small) semi-join first, then the per-day reduction
-    vals = px.join(G.broadcast_if_small(snap.select("layer", "lat", "lon").distinct()), ["layer", "lat", "lon"], "left_semi") \
+    vals = px.join(snap.select("layer", "lat", "lon").distinct(), ["layer", "lat", "lon"], "left_semi") \
         .groupBy("layer", "lat", "lon", "date").agg(F.max("value").alias("value"))
     j = sd.select("st", "d").join(snap, "st").join(
         vals, (vals.layer == snap.layer) & (vals.lat == snap.lat) & (vals.lon == snap.lon) & (vals.date == F.col("d")))

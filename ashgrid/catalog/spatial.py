@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from .. import fixtures as FX
 from ..functions import scalar as S
+from ..operators import cache as CA
 from ..operators import geo as G
 from .registry import register
 
@@ -113,11 +114,11 @@ def nearest_attach_many(spark: SparkSession, sf_dir: str) -> DataFrame:
 SELECT k, sk, round(coalesce(v, (SELECT median(v) FROM sites), 0.0), 8) AS v FROM r WHERE rn = 1""")
 def nearest_with_median_fill(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEO-6: nearest station regardless of nulls, then null -> median over
-    stations (a one-row aggregate, used as a scalar subquery), else 0.0."""
-    sites = FX.sites(spark, sf_dir)
-    med = sites.select(F.median("v")).scalar()
-    out = G.nearest_join(FX.points(spark, sf_dir), sites, "k", "sk", "la", "lo", "la", "lo", payload=["v"])
-    return out.select("k", F.col("nn_key").alias("sk"), S.round8(F.coalesce("v", med, F.lit(0.0))).alias("v"))
+    stations, else 0.0."""
+    grid = FX.points(spark, sf_dir).select("k", F.col("la").alias("lat"), F.col("lo").alias("lon"))
+    sites = FX.sites(spark, sf_dir).select("sk", F.col("la").alias("lat"), F.col("lo").alias("lon"), "v")
+    out = CA.seed_from_stations(grid, sites, ["v"], "k", "sk")
+    return out.select("k", F.col("nn_key").alias("sk"), S.round8("v").alias("v"))
 
 
 _PLANAR_SQL = FX.with_views("points", "sites") + """

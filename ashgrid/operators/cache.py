@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from .. import contract as C
 from . import filters as FL
 from . import geo as G
+from . import quantiles as Q
 
 
 def pixels_latest(pixels: DataFrame, date: str = "date", pinned: str | None = None) -> DataFrame:
@@ -84,9 +85,9 @@ def station_summary(history: DataFrame, features: Sequence[str], key: str | None
 
 # AGG-5
 def global_median(df: DataFrame, c: str) -> Column:
-    """Median over all rows (nulls skipped), 0.0 when all are null — a scalar
-    subquery of one global aggregate."""
-    return F.coalesce(df.select(F.median(c)).scalar(), F.lit(0.0))
+    """Exact median over all rows (nulls skipped), 0.0 when all are null, as a
+    scalar subquery; selected by bucket counts, no task holds the column."""
+    return F.coalesce(Q.median(df, c).scalar(), F.lit(0.0))
 
 
 def seed_from_stations(grid: DataFrame, stations: DataFrame, features: Sequence[str], key: str = "gid",

@@ -6,21 +6,22 @@ Design for scale
 * ``clip_to_polygons`` is a ray-casting test.  Edges are keyed by the latitude
   bands they span, points by their band: an equi-join on the band gives each
   point only the edges that cross its horizontal ray line, never all pairs.
-  The edge table (polygon vertices) is broadcast after a size check.
-* ``nearest_join`` is an exact k=1 nearest-neighbour join on the sphere,
-  written as a blocked equi-join: candidates come from the 3x3 block of cells
-  around each query point; a point is *proved* when its best distance is not
-  larger than the least possible distance to anything outside its block.
-  Unproved points are retried with doubled cells until the block covers the
-  globe, so the result is exact without any broadcast of the candidate side.
-  Each level's winners (one row per pending query point) are persisted, so
-  no level is recomputed by the next one or by the final union.
-  When the query blocks are provably small (a grid, or the few points left
-  for a later level) they are broadcast and the candidate table streams past
-  them without a shuffle; otherwise both sides shuffle on the cell key.
-  Partial aggregation of ``min_by`` runs map-side, and AQE's skew-join
-  handling (or the explicit ``salt``) splits hot cells; a cell holding a
-  third of all candidates then costs parallel tasks, not one.
+  Whether the edge table (polygon vertices) is broadcast is left to adaptive
+  execution.
+* ``nearest_join`` and ``nearest_planar`` are exact k=1 nearest-neighbour joins
+  by equi-joins on cells, with a pyramid that decides each query's search ring
+  before any pair is made.  The cells of the pyramid halve from level to level.
+  A query looks up the finest level at which its 3x3 block holds a candidate;
+  that bounds the distance of the nearest one, and the finest level whose block
+  must hold everything within that bound is the one the query is joined on.
+  Every query is joined once, on a level of its own that follows the density
+  around it; no level is tried in vain and nothing is decided by an action while
+  the plan is made.  Candidates are read twice, for their cells and for the
+  join, where they are only repeated for the levels at which some query's block
+  holds their cell; others are left out.  Ties go to the smaller key by
+  ``min_by``, which is partially aggregated before the shuffle on the query key.
+  Which side is broadcast, and how a hot cell is split, is left to adaptive
+  execution; ``salt`` splits the candidates of every cell on top of that.
 """
 
 from __future__ import annotations
@@ -28,48 +29,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import contract as C
 from ..functions.scalar import haversine_km, planar_d2
 
-BROADCAST_ROWS = 2_000_000  # largest side we broadcast after counting it ...
-BROADCAST_BYTES = 256 << 20  # ... and its estimated size
-
-
-def row_bytes(schema) -> int:
-    """Rough in-memory size of one row from its schema (strings and nested
-    values counted generously)."""
-    from pyspark.sql import types as T
-
-    def size(t) -> int:
-        if isinstance(t, (T.ByteType, T.BooleanType)):
-            return 1
-        if isinstance(t, (T.ShortType,)):
-            return 2
-        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-            return 4
-        if isinstance(t, T.StructType):
-            return sum(size(f.dataType) for f in t.fields) + 8
-        if isinstance(t, (T.ArrayType, T.MapType)):
-            return 256
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            return 32
-        return 8
-
-    return size(schema) + 16
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small (rows and estimated
-    bytes); else leave the join to the planner (sort-merge with AQE)."""
-    limit = min(max_rows, max(1, max_bytes // row_bytes(df.schema)))
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
-
-
 # ---------------------------------------------------------------- GEO-1 grid
 
 
@@ -154,7 +119,7 @@ def _inside_keys(points: DataFrame, edges: DataFrame, x: str, y: str, key: str,
     """Keys of the points inside the union: a point is inside when some
     polygon's exterior ring has an odd number of crossings of the point's ray
     and none of that polygon's holes has."""
-    be = broadcast_if_small(_banded_edges(edges, band))
+    be = _banded_edges(edges, band)
     p = points.select(F.col(key).alias("__k"), F.col(x).alias("__x"), F.col(y).alias("__y"))
     pb = p.withColumn("band", F.floor(F.col("__y") / band).cast("bigint"))
     cross = ((F.col("y1") > F.col("__y")) != (F.col("y2") > F.col("__y"))) & (
@@ -185,76 +150,74 @@ def clip_to_polygons(points: DataFrame, edges: DataFrame, x: str = "lon", y: str
 # -------------------------------------------------- nearest-neighbour joins
 
 
-def _cell_cols(lat: Column, lon: Column, ncols: int) -> tuple[Column, Column, float]:
-    """Cells of c = 360/ncols degrees: c divides the circle, so longitude cells
-    wrap at the antimeridian without a narrow seam cell."""
-    c = 360.0 / ncols
-    ci = F.floor((lat + F.lit(90.0)) / c).cast("bigint")
-    cj = F.pmod(F.floor((lon + F.lit(180.0)) / c).cast("bigint"), F.lit(ncols))
-    return ci, cj, c
-
-
-def _lower_bound_km(lat: Column, lon: Column, ncols: int, radius: float) -> Column:
-    """Least possible great-circle distance from the point to anything outside
-    its 3x3 block: the latitude margin, or the distance to the meridian at the
-    longitude margin, asin(cos(lat) sin(dlon))."""
-    ci, _, c = _cell_cols(lat, lon, ncols)
-    big = F.lit(1e30)
-    south = F.when((ci - 1) * c <= 0, big).otherwise((lat + 90.0) - (ci - 1) * c)
-    north = F.when((ci + 2) * c >= 180.0, big).otherwise((ci + 2) * c - (lat + 90.0))
-    lat_b = F.radians(F.least(south, north)) * radius
-    if ncols <= 3:
-        return lat_b
-    x = F.pmod(lon + F.lit(180.0), F.lit(360.0))
-    col = F.floor(x / c)
-    dl = F.least(F.least(x - (col - 1) * c, (col + 2) * c - x), F.lit(90.0))
-    lon_b = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(dl))) * radius
-    return F.least(lat_b, lon_b)
-
-
-def _ncols_for(best_km: float | None, max_abs_lat: float | None, radius: float) -> int:
-    """Columns (cells of 360/ncols degrees) whose 3x3 block proves a best
-    distance of ``best_km`` at latitudes up to ``max_abs_lat``; a large
-    number when there is no candidate yet (the caller still halves ncols)."""
-    if best_km is None:
-        return 1 << 30
-    cosphi = math.cos(math.radians(min(max_abs_lat or 0.0, 89.9)))
-    x = math.sin(min(best_km / radius, math.pi / 2)) / max(cosphi, 1e-9)
-    if x >= 1.0:
-        return 3
-    need = math.degrees(max(math.asin(x), best_km / radius)) * 1.001
-    return max(3, int(360.0 / need))
-
-
-_OFFSETS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
-
-
-def _block(df: DataFrame, ci: Column, cj: Column, ncols: int | None = None) -> DataFrame:
-    """One row per cell of the 3x3 block around each row (columns __ci, __cj);
-    with ``ncols`` the column index wraps around the antimeridian."""
-    offs = F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj")) for a, b in _OFFSETS])
-    x = df.withColumns({"__ci0": ci, "__cj0": cj}).withColumn("__o", F.explode(offs))
-    cjn = F.col("__cj0") + F.col("__o.dj")
-    if ncols is not None:
-        cjn = F.pmod(cjn, F.lit(ncols))
-    # with ncols >= 3 the wrapped neighbours are distinct, so no duplicates arise
-    return x.withColumns({"__ci": F.col("__ci0") + F.col("__o.di"), "__cj": cjn}).drop("__ci0", "__cj0", "__o")
-
-
-def choose_cell(candidates: DataFrame, lat: str, lon: str, per_cell: float = 32.0,
-                lo: float = 0.01, hi: float = 10.0, with_count: bool = False):
-    """Cell size (degrees) giving about ``per_cell`` candidates per cell, from
-    one small aggregate (count and extent); with ``with_count`` also the count."""
-    r = candidates.agg(
-        F.count(F.lit(1)).alias("n"), F.min(lat).alias("a"), F.max(lat).alias("b"),
-        F.min(lon).alias("c"), F.max(lon).alias("d"),
-    ).first()
-    if not r["n"]:
-        c = hi
-    else:
-        area = max((r["b"] - r["a"]) * (r["d"] - r["c"]), 1e-6)
-        c = float(min(hi, max(lo, math.sqrt(area * per_cell / r["n"]))))
-    return (c, int(r["n"] or 0)) if with_count else c
+GLOBE = 120.0  # degrees of a cell of the globe's coarsest level: its 3x3 block is the whole globe
+FINEST = 16  # levels below it: cells of 0.0018 degrees
+
+
+def _finest_cells(df: DataFrame, lat: str, lon: str, top: float, finest: int, wraps: bool) -> DataFrame:
+    """Cell of the finest level, __fi and __fj; coarser ones follow by shifting bits."""
+    c = top / (1 << finest)
+    fj = F.floor((F.col(lon) + F.lit(180.0)) / c).cast("bigint")
+    return df.withColumns({"__fi": F.floor((F.col(lat) + F.lit(90.0)) / c).cast("bigint"),
+                           "__fj": F.pmod(fj, F.lit(3 << finest)) if wraps else fj})
+
+
+def _at_level(df: DataFrame, finest: int) -> DataFrame:
+    """The cell at level __l, __ci and __cj."""
+    return df.withColumns({c: F.expr(f"shiftright({f}, {finest} - __l)") for c, f in (("__ci", "__fi"), ("__cj", "__fj"))})
+
+
+def _all_levels(df: DataFrame, finest: int) -> DataFrame:
+    return _at_level(df.withColumn("__l", F.explode(F.sequence(F.lit(0), F.lit(finest)))), finest)
+
+
+def _around(df: DataFrame, wraps: bool) -> DataFrame:
+    """One row per cell of the 3x3 block around (__ci, __cj) at level __l; columns
+    wrap at the antimeridian (from 3 columns on the neighbours are distinct)."""
+    offs = F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj")) for a in (-1, 0, 1) for b in (-1, 0, 1)])
+    cj = F.col("__cj") + F.col("__o.dj")
+    return df.withColumn("__o", F.explode(offs)).withColumns({
+        "__ci": F.col("__ci") + F.col("__o.di"), "__cj": F.pmod(cj, F.expr("shiftleft(3L, __l)")) if wraps else cj}).drop("__o")
+
+
+def _globe_level(lat: Column, top: Column) -> Column:
+    """Finest level whose block is sure to hold the nearest candidate of a point
+    whose block at level ``top`` holds some candidate: that one is at most two
+    cells away in both directions, and what lies outside a block is at least a
+    cell away, in latitude or from a meridian."""
+    cell = F.radians(F.lit(GLOBE) / F.pow(F.lit(2.0), top))
+    phi = F.radians(F.abs(lat))
+    other = F.cos(F.greatest(phi - 2 * cell, F.lit(0.0)))
+    reach = 2 * F.asin(F.least(F.sin(cell) * F.sqrt(1 + F.cos(phi) * other), F.lit(1.0)))
+    turn = F.sin(reach) / F.cos(phi)
+    need = F.degrees(F.greatest(reach, F.asin(F.least(turn, F.lit(1.0))))) * 1.000001
+    level = F.floor(F.log2(F.lit(GLOBE) / need))
+    return F.when((top < 2) | (reach >= math.pi / 2) | (turn >= 1), 0).otherwise(
+        F.greatest(F.least(level, top), F.lit(0))).cast("int")
+
+
+def _nearest(q: DataFrame, cand: DataFrame, g: list[str], top: float, finest: int, wraps: bool, level: Column,
+             distance: Column, payload: Sequence[str], salt: int = 1, most: Column | None = None) -> DataFrame:
+    """(group, __q, __w) with the best candidate of each query that has one;
+    ``level`` speaks of __la, __lo and __top, the finest level with a candidate near."""
+    q = _finest_cells(q, "__la", "__lo", top, finest, wraps)
+    cand = _finest_cells(cand, "__cla", "__clo", top, finest, wraps)
+    fine, at = [*g, "__fi", "__fj"], [*g, "__l", "__ci", "__cj"]
+    held = _all_levels(cand.select(*fine).distinct(), finest)
+    spots = q.select(*fine).distinct().filter(F.col("__fi").isNotNull() & F.col("__fj").isNotNull())
+    depth = (_around(_all_levels(spots, finest), wraps).join(held.select(*at).distinct(), at, "left_semi")
+             .groupBy(*fine).agg(F.max("__l").alias("__top")))
+    rings = _around(_at_level(q.join(depth, fine).withColumn("__l", level), finest), wraps).drop("__fi", "__fj", "__top")
+    levels = held.join(rings.select(*at).distinct(), at, "left_semi").groupBy(*fine).agg(F.collect_set("__l").alias("__ls"))
+    near = _at_level(cand.join(levels, fine).withColumn("__l", F.explode("__ls")).drop("__ls"), finest).drop("__fi", "__fj")
+    if salt > 1:
+        near = near.withColumn("__s", F.pmod(F.xxhash64("__c"), F.lit(salt)))
+        rings = rings.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+        at = [*at, "__s"]
+    pairs = rings.join(near, at).withColumn("__d", distance)
+    if most is not None:
+        pairs = pairs.filter(most)
+    return pairs.groupBy(*g, "__q").agg(F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w"))
 
 
 def nearest_join(
@@ -267,11 +230,10 @@ def nearest_join(
     c_lat: str = "lat",
     c_lon: str = "lon",
     payload: Sequence[str] = (),
-    cell: float | None = None,
     radius: float = C.EARTH_RADIUS_KM,
-    checkpoint: bool = True,
     group: Sequence[str] = (),
     salt: int = 1,
+    finest: int = FINEST,
 ) -> DataFrame:
     """Exact haversine nearest candidate for every query row.
 
@@ -279,94 +241,23 @@ def nearest_join(
     ``dist_km`` and the ``payload`` columns of the winning candidate.
     Ties on distance go to the smaller candidate key.  With ``group`` columns
     (e.g. a layer) present on both sides, the search runs per group value in
-    the same job (the group is part of the join key).
+    the same job (the group is part of the join key).  Query keys are unique;
+    candidates without coordinates are nobody's neighbour, and queries without
+    them have none.
 
     ``salt`` > 1 splits every cell's candidates into that many buckets (by a
-    hash of the candidate key) and repeats each query block per bucket, so a
-    cell holding a large share of all candidates is joined by ``salt``
-    tasks; the per-query ``min_by`` then combines the buckets.
-
-    ``checkpoint`` (default) keeps each level's winners (one row per pending
-    query) persisted, so a level is computed once; without it the levels are
-    planned lazily and recomputed by later levels.
-    """
+    hash of the candidate key) and repeats each query block per bucket.
+    ``finest`` is the number of halvings below 120 degrees; a coarser pyramid
+    gives the same result with more pairs."""
     g = list(group)
     payload = [p for p in payload if p not in (c_key,)]
-    n_cand = None
-    if cell is None:
-        cell, n_cand = choose_cell(candidates, c_lat, c_lon, with_count=True)
     q = queries.select(*g, F.col(q_key).alias("__q"), F.col(q_lat).alias("__la"), F.col(q_lon).alias("__lo"))
-    cand = candidates.select(
-        *g, F.col(c_key).alias("__c"), F.col(c_lat).alias("__cla"), F.col(c_lon).alias("__clo"),
-        *[F.col(p) for p in payload],
-    )
-    if (n_cand == 0) if n_cand is not None else cand.isEmpty():  # nothing to find: null neighbours
-        return q.select(*g, F.col("__q").alias(q_key), F.lit(None).cast(candidates.schema[c_key].dataType).alias("nn_key"),
-                        F.lit(None).cast("double").alias("dist_km"),
-                        *[F.lit(None).cast(candidates.schema[p].dataType).alias(p) for p in payload])
-    pending = q
-    n_pending = None  # known after the first level
-    done: list[DataFrame] = []
-    ncols = max(3, math.ceil(360.0 / float(cell)))
-    while True:
-        final = ncols <= 3  # the block covers the whole sphere
-        ci, cj, _ = _cell_cols(F.col("__la"), F.col("__lo"), ncols)
-        qx = _block(pending.select(*g, "__q", "__la", "__lo"), ci, cj, ncols)
-        cci, ccj, _ = _cell_cols(F.col("__cla"), F.col("__clo"), ncols)
-        cx = cand.withColumns({"__ci": cci, "__cj": ccj})
-        keys = [*g, "__ci", "__cj"]
-        if salt > 1:
-            cx = cx.withColumn("__s", F.pmod(F.xxhash64("__c"), F.lit(salt)))
-            qx = qx.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
-            keys.append("__s")
-        # small query blocks (a grid, or the few points left for a later
-        # level) are broadcast and the candidates stream past them unshuffled
-        if n_pending is None:
-            qb = broadcast_if_small(qx)
-        else:
-            rows = n_pending * 9 * max(salt, 1)
-            qb = F.broadcast(qx) if rows <= min(BROADCAST_ROWS, BROADCAST_BYTES // row_bytes(qx.schema)) else qx
-        pairs = qb.join(cx, keys)
-        dist = haversine_km("__la", "__lo", "__cla", "__clo", radius)
-        best = pairs.withColumn("__d", dist).groupBy(*g, "__q").agg(
-            F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w")
-        )
-        scored = pending.join(best, [*g, "__q"], "left").select(
-            *g, "__q", "__la", "__lo", "__w",
-            (F.lit(final) | F.coalesce(F.col("__w.__d") < _lower_bound_km(F.col("__la"), F.col("__lo"), ncols, radius),
-                                       F.lit(False))).alias("__ok"),
-        )
-        if checkpoint and not final:
-            # one row per pending query point: keep it for the next level and
-            # the final union instead of recomputing the join
-            scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
-        done.append(scored.filter("__ok"))
-        if final:
-            break
-        left = scored.filter(~F.col("__ok"))
-        pending = left.select(*g, "__q", "__la", "__lo")
-        if not checkpoint:
-            ncols = max(3, (ncols + 1) // 2)
-            continue
-        st = left.agg(F.count(F.lit(1)).alias("n"), F.max("__w.__d").alias("d"), F.max(F.abs("__la")).alias("phi"),
-                      F.count_if(F.col("__w").isNull()).alias("lonely")).first()
-        if not st["n"]:
-            break
-        n_pending = st["n"]
-        # points with no candidate in their block grow 4x, the others as far as
-        # their best distance needs (at least 2x)
-        grow = (ncols + 3) // 4 if st["lonely"] else (ncols + 1) // 2
-        ncols = max(3, min(grow, _ncols_for(st["d"], st["phi"], radius)))
-    allw = done[0]
-    for d in done[1:]:
-        allw = allw.unionByName(d)
-    return allw.select(
-        *g,
-        F.col("__q").alias(q_key),
-        F.col("__w.__c").alias("nn_key"),
-        F.col("__w.__d").alias("dist_km"),
-        *[F.col(f"__w.{p}").alias(p) for p in payload],
-    )
+    cand = candidates.select(*g, F.col(c_key).alias("__c"), F.col(c_lat).alias("__cla"), F.col(c_lon).alias("__clo"), *payload)
+    best = _nearest(q, cand, g, GLOBE, finest, True, _globe_level(F.col("__la"), F.col("__top")),
+                    haversine_km("__la", "__lo", "__cla", "__clo", radius), payload, salt)
+    return q.join(best, [*g, "__q"], "left").select(
+        *g, F.col("__q").alias(q_key), F.col("__w.__c").alias("nn_key"), F.col("__w.__d").alias("dist_km"),
+        *[F.col(f"__w.{p}").alias(p) for p in payload])
 
 
 def nearest_planar(
@@ -379,27 +270,27 @@ def nearest_planar(
     f_lat: str = "lat",
     f_lon: str = "lon",
     payload: Sequence[str] = (),
-    max_deg: float = 1.0,
+    max_deg: float | None = 1.0,
     group: Sequence[str] = (),
+    finest: int = 10,
 ) -> DataFrame:
     """GEO-7: nearest feature by squared planar degrees, ties to the first
-    feature (smallest ``f_pos``), rejected beyond ``max_deg``.  Cells of size
-    ``max_deg`` make the 3x3 block exact, so no fallback pass is needed.
+    feature (smallest ``f_pos``), rejected beyond ``max_deg`` (None: never).
+    Blocks of the coarsest cells hold everything within ``max_deg``; where
+    features are dense the search stays within a few of the finer cells.
     ``group`` columns (e.g. a day) must match between query and feature."""
     g = list(group)
-    c = max_deg
     q = queries.select(*g, F.col(q_key).alias("__q"), F.col(q_lat).alias("__la"), F.col(q_lon).alias("__lo"))
-    qx = _block(q, F.floor(F.col("__la") / c).cast("bigint"), F.floor(F.col("__lo") / c).cast("bigint"))
-    fx = features.select(
-        *g, F.col(f_pos).alias("__f"), F.col(f_lat).alias("__fla"), F.col(f_lon).alias("__flo"), *payload,
-        F.floor(F.col(f_lat) / c).cast("bigint").alias("__ci"), F.floor(F.col(f_lon) / c).cast("bigint").alias("__cj"),
-    )
-    d2 = planar_d2("__la", "__lo", "__fla", "__flo")
-    pairs = broadcast_if_small(qx).join(fx, [*g, "__ci", "__cj"]).withColumn("__d2", d2).filter(
-        F.col("__d2") <= max_deg * max_deg)
-    best = pairs.groupBy(*g, "__q").agg(F.min_by(F.struct("__f", "__d2", *payload), F.struct("__d2", "__f")).alias("__w"))
+    cand = features.select(*g, F.col(f_pos).alias("__c"), F.col(f_lat).alias("__cla"), F.col(f_lon).alias("__clo"), *payload)
+    # two cells away in both directions is less than three cells, so two halvings up all of it is in the block
+    level = F.greatest(F.col("__top") - 2, F.lit(0))
+    d2 = planar_d2("__la", "__lo", "__cla", "__clo")
+    most = None if max_deg is None else F.col("__d") <= max_deg * max_deg
+    top = 720.0 if max_deg is None else max_deg
+    finest = finest if max_deg is not None else finest + 9
+    best = _nearest(q, cand, g, top, finest, False, level, d2, payload, most=most)
     return best.select(
-        *g, F.col("__q").alias(q_key), F.col("__w.__f").alias("nn_pos"), F.sqrt(F.col("__w.__d2")).alias("dist_deg"),
+        *g, F.col("__q").alias(q_key), F.col("__w.__c").alias("nn_pos"), F.sqrt(F.col("__w.__d")).alias("dist_deg"),
         *[F.col(f"__w.{p}").alias(p) for p in payload],
     )
 

@@ -118,36 +118,41 @@ def raster_to_long(tiles: DataFrame, decimate: int = 1, keep: list[str] = ("tile
 def sample_points(tiles: DataFrame, points: DataFrame, lat: str = "lat", lon: str = "lon",
                   key: str = "k", cell: float = 1.0) -> DataFrame:
     """Value of the pixel containing each point, per tile covering it; nodata,
-    NaN and +-Inf become null but the rows are kept.  Tiles are keyed by every
-    coarse cell their bounding box touches; points by their cell; the join is
-    an equi-join followed by an exact bounds test."""
-    a, b, c, d, e, f = (F.col(n) for n in "abcdef")
-    x0 = F.least(c, c + a * F.col("cols"), c + b * F.col("rows"), c + a * F.col("cols") + b * F.col("rows"))
-    x1 = F.greatest(c, c + a * F.col("cols"), c + b * F.col("rows"), c + a * F.col("cols") + b * F.col("rows"))
-    y0 = F.least(f, f + d * F.col("cols"), f + e * F.col("rows"), f + d * F.col("cols") + e * F.col("rows"))
-    y1 = F.greatest(f, f + d * F.col("cols"), f + e * F.col("rows"), f + d * F.col("cols") + e * F.col("rows"))
-    tk = tiles.select(
-        "*",
-        F.explode(F.sequence(F.floor(y0 / cell).cast("bigint"), F.floor(y1 / cell).cast("bigint"))).alias("__ci"),
-    ).withColumn("__cj", F.explode(F.sequence(F.floor(x0 / cell).cast("bigint"), F.floor(x1 / cell).cast("bigint"))))
+    NaN and +-Inf become null but the rows are kept.
+
+    Late materialisation: only the tiles' boxes (everything but the pixels) are
+    keyed by the coarse cells that they touch and meet the points of these
+    cells, an equi-join followed by an exact bounds test.  The hits, each a
+    point and a position in a tile, then fetch their pixels by tile, so an array
+    of pixels is shuffled at most once, and not at all where the hits are small
+    enough to be broadcast.  A tile listed twice is sampled twice."""
+    meta = [x for x in tiles.columns if x != "values"]
+    named = F.struct(*[F.col(f"`{x}`") for x in meta])
+    a, b, c, d, e, f = (F.col(f"__t.{n}") for n in "abcdef")
+    cols, rows = F.col("__t.cols"), F.col("__t.rows")
+    xs = [c, c + a * cols, c + b * rows, c + a * cols + b * rows]
+    ys = [f, f + d * cols, f + e * rows, f + d * cols + e * rows]
+
+    def cells(v: list[Column]):
+        return F.sequence(F.floor(F.least(*v) / cell).cast("bigint"), F.floor(F.greatest(*v) / cell).cast("bigint"))
+
+    boxes = (tiles.select(named.alias("__t")).distinct().withColumn("__ci", F.explode(cells(ys)))
+             .withColumn("__cj", F.explode(cells(xs))))
     pk = points.select(
         F.col(key), F.col(lat).alias("__y"), F.col(lon).alias("__x"),
         F.floor(F.col(lat) / cell).cast("bigint").alias("__ci"), F.floor(F.col(lon) / cell).cast("bigint").alias("__cj"),
     )
-    from .geo import broadcast_if_small
-
-    # points (stations, a grid) are usually the small side: broadcast them and
-    # let the tiles, which carry their value arrays, stream unshuffled
-    j = broadcast_if_small(pk).join(tk, ["__ci", "__cj"])
     det = a * e - b * d
     colf = (e * (F.col("__x") - c) - b * (F.col("__y") - f)) / det
     rowf = (a * (F.col("__y") - f) - d * (F.col("__x") - c)) / det
-    j = j.withColumns({"row": F.floor(rowf).cast("int"), "col": F.floor(colf).cast("int")})
-    inside = (F.col("row") >= 0) & (F.col("row") < F.col("rows")) & (F.col("col") >= 0) & (F.col("col") < F.col("cols"))
-    j = j.filter(inside)
-    raw = F.try_element_at("values", (F.col("row") * F.col("cols") + F.col("col") + 1).cast("int"))
+    hits = (pk.join(boxes, ["__ci", "__cj"]).withColumns({"row": F.floor(rowf).cast("int"), "col": F.floor(colf).cast("int")})
+            .filter((F.col("row") >= 0) & (F.col("row") < rows) & (F.col("col") >= 0) & (F.col("col") < cols))
+            .select(key, "__t", "row", "col"))
+    pixels = tiles.select(named.alias("__o"), "values")
+    j = hits.join(pixels, F.col("__t").eqNullSafe(F.col("__o")))
+    raw = F.try_element_at("values", (F.col("row") * cols + F.col("col") + 1).cast("int"))
     v = F.when(
-        raw.isNull() | F.isnan(raw) | (F.abs(raw) == F.lit(float("inf"))) | (raw == F.col("nodata")),
+        raw.isNull() | F.isnan(raw) | (F.abs(raw) == F.lit(float("inf"))) | (raw == F.col("__t.nodata")),
         F.lit(None).cast("double"),
     ).otherwise(raw)
-    return j.select(key, "tile", "row", "col", v.alias("value"))
+    return j.select(key, F.col("__t.tile").alias("tile"), "row", "col", v.alias("value"))

@@ -1,10 +1,9 @@
 """Fallback paths the fixtures do not reach: many groups in the latest
-slice (join instead of literal predicates) and the broadcast guard."""
+slice (join instead of literal predicates)."""
 
 import datetime as dt
 
 from ashgrid.operators import filters as FL
-from ashgrid.operators import geo as G
 
 
 def test_latest_per_group_join_path(spark):
@@ -15,11 +14,3 @@ def test_latest_per_group_join_path(spark):
     got = {(r.layer, r.value) for r in FL.latest_or_pinned(df, "date", per=["layer"]).collect()}
     want = {(f"L{g}", float(g * 10 + g % 3)) for g in range(70)} | {("nulls", 1.0)}
     assert got == want
-
-
-def test_broadcast_guard(spark):
-    df = spark.range(10)
-    plan_small = G.broadcast_if_small(df, max_rows=100)._jdf.queryExecution().analyzed().toString()
-    plan_big = G.broadcast_if_small(df, max_rows=5)._jdf.queryExecution().analyzed().toString()
-    assert "broadcast" in plan_small.lower() and "broadcast" not in plan_big.lower()
-    assert G.row_bytes(df.schema) > 0
