@@ -3,12 +3,13 @@ validation report (rows checks; their operators are oracle-checked one by one)."
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contract as C
 from .. import fixtures as FX
 from ..operators import geo as G
+from ..operators.hotkeys import ranked
 from ..operators import metrics as M
 from ..operators import models as ML
 from ..plans import daily
@@ -32,8 +33,8 @@ def _grid_weather(spark, sf_dir, requests):
     """Each grid point's payload carries the history of one station; all
     stations are dealt out in turn (by rank, modulo their count)."""
     daily = _daily(spark, sf_dir).withColumnRenamed("loc", "st")
-    stations = daily.select("st").distinct().withColumn("rank", F.row_number().over(Window.orderBy("st")) - 1)
-    n = F.lit(max(1, stations.count()))
+    stations = ranked(daily.select("st").distinct(), "st", "rank")
+    n = F.greatest(F.lit(1), daily.select("st").distinct().agg(F.count(F.lit(1))).scalar())
     st = requests.select("loc", (F.col("loc") % n).alias("rank")).join(stations, "rank").drop("rank")
     d = daily.join(st, "st").drop("st")
     h = _hourly(spark, sf_dir).withColumnRenamed("loc", "st").join(st, "st").drop("st")
@@ -51,7 +52,7 @@ def daily_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
     WS.write_payloads(requests.withColumnsRenamed({"lat": "latitude", "lon": "longitude"}), d, h, "loc", f"{root}/landing")
     static = _wide(spark, sf_dir).drop("gid")
     train = C.add_missing_zero(_labelled(spark, sf_dir), C.FEATURE_ORDER)
-    model = ML.fit(ML.rf_classifier(C.FEATURE_ORDER, 20, 8, 10), M.balanced_weights(train, LABEL))
+    model = ML.fit(ML.rf_classifier(C.FEATURE_ORDER, 100, 25, 50), M.balanced_weights(train, LABEL))
     model.write().overwrite().save(f"{root}/model")
     return daily.run(spark, f"{root}/landing", requests, grid, static, f"{root}/model", TARGET, f"{root}/out")
 
@@ -64,5 +65,5 @@ def temporal_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     from .learning import ML_FEATURES
 
     df = _labelled(spark, sf_dir).join(FX.points(spark, sf_dir).select(F.col("k").alias("st"), "la", "lo"), "st")
-    scored = validation.fit_and_score(df, ML_FEATURES, LABEL, "d", CUT, trees=30, depth=10, min_leaf=10)
+    scored = validation.fit_and_score(df, ML_FEATURES, LABEL, "d", CUT, trees=100, depth=25, min_leaf=50)
     return validation.report(scored, LABEL, lat="la", lon="lo")["summary"]

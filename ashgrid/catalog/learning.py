@@ -16,6 +16,7 @@ from ..functions import scalar as S
 from ..operators import metrics as M
 from ..operators import models as ML
 from ..operators import timeseries as TS
+from ..plans import bakeoff as BO
 from ..plans import training
 from ..session import scratch_path
 from .registry import register
@@ -86,7 +87,7 @@ def rf_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 def rf_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-6: forest regressor, then half-even round and clip to 1..5."""
     train, test = _split(spark, sf_dir)
-    model = ML.fit(ML.rf_regressor(ML_FEATURES, trees=50), train)
+    model = ML.fit(ML.rf_regressor(ML_FEATURES, trees=100), train)
     return ML.score(model, test).select("st", "d", LABEL, "prediction_level")
 
 
@@ -113,28 +114,25 @@ def ridge(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("model_bakeoff")
 def model_bakeoff(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML-11: several models on one split, one metric table (MET-1/2/3/8)."""
-    train, test = _split(spark, sf_dir)
-    train = _weighted(train).cache()
-    zs = ML.standardize(_labelled(spark, sf_dir), ML_FEATURES, fit_on=train)
-    c = F.lit(CUT).cast("date")
-    ztrain, ztest = zs.filter(F.col("d") < c), zs.filter(F.col("d") >= c)
-    scored = [
-        ("majority", test.withColumn("prediction_level", M.majority_class(train, LABEL).select("majority").scalar())),
-        ("forest", ML.score(ML.fit(ML.rf_classifier(ML_FEATURES, 30, 10, 10), train), test)),
-        ("forest_regressor", ML.score(ML.fit(ML.rf_regressor(ML_FEATURES, 30), train), test)),
-        ("linear", ML.score(ML.fit(ML.linear_regression(ML_FEATURES), ztrain), ztest)),
-    ]
-    out = None
-    for name, s in scored:
-        r = ML.evaluate(s.select(LABEL, "prediction_level")).withColumn("model", F.lit(name))
-        out = r if out is None else out.unionByName(r)
-    return out.select("model", "n", "exact", "within_one", "qwk", "bias")
+    """ML-11: linear, ridge, a 100-tree regression forest, a 100-tree and a
+    300-tree balanced forest against the majority guess, on one prepared table:
+    error metrics, ordinal metrics and nodes per model."""
+    table, _ = BO.bakeoff(BO.prepare(*_split(spark, sf_dir), ML_FEATURES))
+    return table.drop("seconds")
+
+
+@register("bakeoff_by_class")
+def bakeoff_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """ML-11 + MET-6: accuracy by official class of the linear models and the
+    100-tree forest."""
+    data = BO.prepare(*_split(spark, sf_dir), ML_FEATURES)
+    chosen = {k: v for k, v in BO.models().items() if k in ("linear", "ridge", "forest")}
+    return BO.bakeoff(data, chosen)[1]
 
 
 def _saved_model(spark, sf_dir) -> tuple[str, PipelineModel]:
     df = _weighted(_labelled(spark, sf_dir))
-    model = ML.fit(ML.rf_classifier(ML_FEATURES, 30, 12, 10), df)
+    model = ML.fit(ML.rf_classifier(ML_FEATURES, 100, 25, 50), df)
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
     return path, model
@@ -175,7 +173,7 @@ def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("feature_importance")
 def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-14: ranked importances of the forest (top-k is ORD-3 on this)."""
-    model, _ = _fit_rf(spark, sf_dir, 30, 12, 10)
+    model, _ = _fit_rf(spark, sf_dir)
     return ML.feature_importance(model, spark)
 
 
@@ -198,7 +196,8 @@ def model_size(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("feature_group_ab")
 def feature_group_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML-16: the same forest with and without the drought/humidity groups."""
+    """ML-16: the same forest with and without the drought/humidity groups, and
+    the best rank that an added feature reaches among the importances."""
     raw = _station_day_train(spark, sf_dir).withColumns({
         "max_temp": F.col("mean_temp") / 10 + 273.15, "mean_dewpoint": F.col("precipitation_sum") / 100 + 273.15})
     base = training.derive(training.clean(raw), winds={"average_wind_speed": ("we", "wn")}, drought=True, humidity=True)
@@ -210,30 +209,18 @@ def feature_group_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
                         ("both", C.DROUGHT_FEATURES + C.HUMIDITY_FEATURES)):
         feats = ML_FEATURES + extra
         train, test = _weighted(df.filter(F.col("date") < c)), df.filter(F.col("date") >= c)
-        s = ML.score(ML.fit(ML.rf_classifier(feats, 30, 10, 10), train), test)
-        r = ML.evaluate(s.select(LABEL, "prediction_level")).withColumn("features", F.lit(name))
+        model = ML.fit(ML.rf_classifier(feats, 100, 25, 50), train)
+        best = ML.feature_importance(model, spark).filter(F.col("feature").isin(extra)).agg(F.min("rank")).scalar()
+        r = ML.evaluate(ML.score(model, test).select(LABEL, "prediction_level")).withColumns({
+            "features": F.lit(name), "best_added_rank": best if extra else F.lit(None).cast("int")})
         out = r if out is None else out.unionByName(r)
-    return out.select("features", "n", "exact", "within_one", "qwk")
+    return out.select("features", "n", "exact", "within_one", "qwk", F.col("best_added_rank").cast("int").alias("best_added_rank"))
 
 
 @register("size_accuracy_sweep")
 def size_accuracy_sweep(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """ML-17: trees / depth / min-leaf grid -> nodes vs accuracy."""
-    from pyspark.ml.tuning import ParamGridBuilder
-
-    train, test = _split(spark, sf_dir)
-    train = _weighted(train).cache()
-    pipe = ML.rf_classifier(ML_FEATURES, 10, 6, 10)
-    rf = pipe.getStages()[-1]
-    grid = ParamGridBuilder().addGrid(rf.numTrees, [10, 30]).addGrid(rf.maxDepth, [4, 10]).build()
-    out = None
-    for params in grid:
-        m = pipe.fit(train.withColumn("__y", F.col(LABEL).cast("double") - 1.0), params)
-        r = ML.evaluate(ML.score(m, test).select(LABEL, "prediction_level")).select(
-            F.lit(params[rf.numTrees]).alias("trees"), F.lit(params[rf.maxDepth]).alias("max_depth"),
-            F.lit(ML.model_size(m)["total_nodes"]).alias("total_nodes"), "exact", "qwk")
-        out = r if out is None else out.unionByName(r)
-    return out
+    """ML-17: trees / depth / min-leaf grid -> nodes vs accuracy, fits side by side."""
+    return BO.sweep(BO.prepare(*_split(spark, sf_dir), ML_FEATURES))
 
 
 @register("assert_contract", _LABELLED_SQL + "SELECT st, d, true AS in_order FROM sf")
@@ -297,14 +284,19 @@ def feature_group_select(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("profile_drift")
 def profile_drift(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """AGG-14: per feature, training vs serving distribution and a unit flag
-    (ratio of medians far from 1 flags a unit error such as mm vs m)."""
-    from .serving import _daily, _hourly, TARGET
+    """AGG-14: per feature of the training table that serving has too, the
+    distributions of both sides from stored sketches per day, and a unit flag
+    (a ratio of medians far from 1, such as mm vs m)."""
+    from .serving import TARGET, _daily, _hourly
+    from ..operators import drift
     from ..operators import weather as W
-    from ..operators.drift import profile
 
-    train = _station_features_df(spark, sf_dir).select(
-        F.col("precip_7day_sum"), F.col("temp_7day_mean"), F.col("precip_14day_mean"))
-    serve = W.location_features(_daily(spark, sf_dir), _hourly(spark, sf_dir), F.lit(TARGET).cast("date")).select(
-        "precip_7day_sum", "temp_7day_mean", "precip_14day_mean")
-    return profile(train, serve, train.columns)
+    train = _station_features_df(spark, sf_dir)
+    serve = W.location_features(_daily(spark, sf_dir), _hourly(spark, sf_dir), F.lit(TARGET).cast("date"))
+    shared = [c for c in ML_FEATURES if c in serve.columns]
+    stored = []
+    for name, df, day in (("train", train, "d"), ("serve", serve, "resolved_day")):
+        path = scratch_path(spark, f"sketches-{name}")
+        drift.sketches(df, shared, day).write.parquet(path)
+        stored.append(spark.read.parquet(path))
+    return drift.profile(*stored)

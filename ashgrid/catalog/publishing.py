@@ -141,8 +141,8 @@ def _why_frame(spark, sf_dir) -> DataFrame:
 @register("geojson_sink", _WHY_SQL + """
 SELECT d AS date, lo, la, risk,
   ['Low', 'Moderate', 'High', 'Very High', 'Extreme'][risk] AS label,
-  floor(precip_14day_sum * 1000 * 10 + 0.5) / 10 AS rain14_mm, floor((max_temp - 273.15) * 10 + 0.5) / 10 AS maxtemp_c,
-  floor(max_wind_speed * 10 + 0.5) / 10 AS wind_ms
+  CAST(printf('%.1f', precip_14day_sum * 1000) AS DOUBLE) AS rain14_mm, CAST(printf('%.1f', max_temp - 273.15) AS DOUBLE) AS maxtemp_c,
+  CAST(printf('%.1f', max_wind_speed) AS DOUBLE) AS wind_ms
 FROM f""")
 def geojson_sink(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-5 (+FN-9, JOIN-7): newline-delimited GeoJSON features partitioned by
@@ -234,7 +234,7 @@ _ANCHOR_SQL = FX.with_views("predictions", "places") + """
 w AS (SELECT p.* FROM predictions p, a WHERE p.d BETWEEN a.anchor - 5 AND a.anchor),
 c AS (SELECT pl.name, w.d, w.risk,
              row_number() OVER (PARTITION BY pl.name, w.d ORDER BY pow(pl.la - w.la, 2) + pow(pl.lo - w.lo, 2), w.la, w.lo) AS rn
-      FROM places pl, w WHERE pow(pl.la - w.la, 2) + pow(pl.lo - w.lo, 2) <= 1.0),
+      FROM places pl, w),
 n AS (SELECT name, d, risk FROM c WHERE rn = 1)
 """
 
@@ -264,7 +264,7 @@ def dated_and_latest(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-6: dated partitions, then the newest date replaces ``latest``."""
     dated, latest = scratch_path(spark, "dated"), scratch_path(spark, "latest")
     P.write_dated_and_latest(_pred(spark, sf_dir), dated, latest, "d")
-    return spark.read.parquet(latest).select("d", "la", "lo", "risk")
+    return P.read_latest(spark, latest).select("d", "la", "lo", "risk")
 
 
 _MATRIX_SQL = PR + """
@@ -344,10 +344,10 @@ def dropna_subset(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 @register("label_present", FX.with_views("ratings") + """
 , cls AS (SELECT * FROM (VALUES (1), (2), (3), (4), (5), (6)) t(cls))
-SELECT cls.cls, count(r.y) AS n FROM cls LEFT JOIN ratings r ON r.y = cls.cls AND r.p <> 3 GROUP BY cls.cls""")
+SELECT cls.cls, count(r.y) AS n FROM cls LEFT JOIN ratings r ON r.y = cls.cls GROUP BY cls.cls""")
 def label_present(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FLT-11: per-class rows, with 0 shown for listed classes without rows."""
-    r = FX.ratings(spark, sf_dir).filter(F.col("p") != 3)
+    r = FX.ratings(spark, sf_dir)
     classes = spark.range(1, 7).select(F.col("id").cast("int").alias("cls"))
     counts = r.groupBy(F.col("y").alias("cls")).agg(F.count(F.lit(1)).alias("n"))
     return classes.join(counts, "cls", "left").select("cls", F.coalesce("n", F.lit(0)).cast("bigint").alias("n"))

@@ -8,8 +8,10 @@ from pyspark.sql import functions as F
 from ..functions import scalar as S
 from ..operators import weather as W
 from ..session import scratch_path
+from ..sinks import publish as P
 from ..sources import weather as WS
 from ..streaming import incremental as INC
+from ..streaming import ledger as LG
 from .registry import ORACLE_SQL, register
 from .serving import TARGET, _daily, _hourly, _locs
 
@@ -51,41 +53,43 @@ def _land(spark, sf_dir, landing: str, which) -> None:
     WS.write_payloads(part, _daily(spark, sf_dir), _hourly(spark, sf_dir), "loc", landing)
 
 
-def _process_for(spark, sf_dir):
-    requests = _locs(spark, sf_dir).select("loc", "chunk", "pos")
+def _requests(spark, sf_dir) -> DataFrame:
+    return _locs(spark, sf_dir).select("chunk", "pos", "loc")
 
-    def process(batch: DataFrame) -> DataFrame:
-        p = WS.parse_documents(batch)
-        keyed = p.join(requests, ["chunk", "pos"])  # JOIN-5: requested identity
-        d = WS.daily_rows(keyed, ["loc"])
-        h = WS.hourly_rows(keyed, ["loc"])
+
+def _answers_to_rows(spark, sf_dir):
+    chunks = _requests(spark, sf_dir).select("loc", "chunk")
+
+    def compute(answers: DataFrame) -> DataFrame:
+        d, h = WS.daily_rows(answers, ["loc"]), WS.hourly_rows(answers, ["loc"])
         f = W.location_features(d, h, F.lit(TARGET).cast("date"))
-        return f.select("loc", "resolved_day", *[S.round8(c).alias(c) for c in _FEATURES])
+        return f.select("loc", "resolved_day", *[S.round8(c).alias(c) for c in _FEATURES]).join(chunks, "loc")
 
-    return process
+    return compute
 
 
 def resume_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """INC-2: payload files land in two deliveries (one file landed twice);
-    each run of the availableNow stream processes only the new files."""
+    """INC-2: payload files land in two deliveries, each processed once.  The
+    first holds chunk 0 without one of its locations, which is refused; the
+    second holds it whole and chunk 1 again."""
     root = scratch_path(spark, "stream")
     landing, out, ck = f"{root}/landing", f"{root}/out", f"{root}/checkpoint"
-    process = _process_for(spark, sf_dir)
-    _land(spark, sf_dir, f"{landing}/d1", F.col("loc") < 80)
-    INC.resume_stream(spark, f"{landing}/*", process, out, ck)
-    _land(spark, sf_dir, f"{landing}/d2", F.col("loc") >= 40)  # overlaps d1: re-landed locations
-    INC.resume_stream(spark, f"{landing}/*", process, out, ck)
-    return INC.stream_results(spark, out, ["loc"]).select("loc", "resolved_day", *_FEATURES)
+    requests, compute = _requests(spark, sf_dir), _answers_to_rows(spark, sf_dir)
+    _land(spark, sf_dir, f"{landing}/d1", (F.col("loc") < 80) & (F.col("loc") != 7))
+    LG.stream_chunks(spark, f"{landing}/*", requests, compute, out, ck)
+    _land(spark, sf_dir, f"{landing}/d2", F.lit(True))
+    LG.stream_chunks(spark, f"{landing}/*", requests, compute, out, ck)
+    return LG.stream_rows(spark, out).select("loc", "resolved_day", *_FEATURES)
 
 
 def latest_pointer(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """INC-3: inside the stream, the newest resolved day replaces ``latest``."""
+    """INC-3: inside the stream, the newest resolved day becomes ``latest``."""
     root = scratch_path(spark, "stream-latest")
-    landing, out, ck, latest = f"{root}/landing", f"{root}/out", f"{root}/checkpoint", f"{root}/latest"
-    process = _process_for(spark, sf_dir)
+    landing, out, ck = f"{root}/landing", f"{root}/out", f"{root}/checkpoint"
     _land(spark, sf_dir, f"{landing}/d1", F.lit(True))
-    INC.resume_stream(spark, f"{landing}/*", process, out, ck, latest=latest)
-    return spark.read.parquet(latest).select("loc", "resolved_day", *_FEATURES)
+    LG.stream_chunks(spark, f"{landing}/*", _requests(spark, sf_dir), _answers_to_rows(spark, sf_dir), out, ck,
+                     publish=lambda rows: P.write_dated_and_latest(rows, f"{root}/dated", f"{root}/latest", "resolved_day", True))
+    return P.read_latest(spark, f"{root}/latest").select("loc", "resolved_day", *_FEATURES)
 
 
 def register_all() -> None:

@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import fixtures as FX
 from ..functions import scalar as S
 from ..operators import cache as CA
 from ..operators import geo as G
+from ..operators.hotkeys import ranked
 from .registry import register
 
 R_KM = 6371.0088
@@ -154,7 +155,7 @@ def haversine(spark: SparkSession, sf_dir: str) -> DataFrame:
     """FN-7 on pairs: point k with the site of rank k modulo the number of sites."""
     sites = FX.sites(spark, sf_dir)
     p = FX.points(spark, sf_dir).withColumn("rank", F.col("k") % sites.agg(F.count(F.lit(1))).scalar())
-    s = sites.select("sk", F.col("la").alias("sla"), F.col("lo").alias("slo"), (F.row_number().over(Window.orderBy("sk")) - 1).alias("rank"))
+    s = ranked(sites.select("sk", F.col("la").alias("sla"), F.col("lo").alias("slo")), "sk", "rank")
     j = p.join(s, "rank")
     return j.select("k", "sk", F.round(S.haversine_km("la", "lo", "sla", "slo"), 6).alias("dist_km"))
 

@@ -51,6 +51,21 @@ def global_positions(df: DataFrame, key: str, order: Sequence[str], parts: int |
     ).drop("__pid", "__lpos", "__off", "__okey", "__opid")
 
 
+def ranked(df: DataFrame, by: str, out: str, buckets: int = 256) -> DataFrame:
+    """Adds ``out``: the 0-based rank of each row by the numeric column ``by`` over
+    the whole table, without a task that holds it.  Approximate quantiles cut
+    the values into buckets, each bucket starts after the counted rows of the
+    buckets before it, and rows are numbered inside their bucket.  Equal values
+    share a bucket and are numbered in no particular order; nulls come first."""
+    cuts = df.agg(F.percentile_approx(by, [i / buckets for i in range(1, buckets)], 10_000)).scalar()
+    at = F.when(F.col(by).isNull(), -1).otherwise(F.size(F.filter("__cuts", lambda c: c <= F.col(by))))
+    rows = df.withColumn("__cuts", cuts).withColumn("__b", at).drop("__cuts")
+    counts = rows.groupBy("__b").agg(F.count(F.lit(1)).alias("__c"))  # one row per bucket
+    start = F.coalesce(F.sum("__c").over(Window.orderBy("__b").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
+    nth = F.row_number().over(Window.partitionBy("__b").orderBy(by))
+    return rows.join(counts.select("__b", start.alias("__s")), "__b").withColumn(out, F.col("__s") + nth - 1).drop("__b", "__s")
+
+
 def _blocks(df: DataFrame, block_rows: int) -> DataFrame:
     return df.withColumn("__blk", ((F.col("__pos") - 1) / block_rows).cast("bigint"))
 

@@ -38,8 +38,8 @@ def median(df: DataFrame, c: str) -> DataFrame:
     lower, upper = F.floor((F.col("n") - 1) / 2), F.ceil((F.col("n") - 1) / 2)
     first = df.agg(F.count(v).alias("n"), _cuts(v).alias("cuts"))
     first = first.select("n", lower.alias("lo_rank"), upper.alias("hi_rank"),
-                         _around(F.col("cuts"), F.col("lo_rank") / F.col("n"), -1).alias("a"),
-                         _around(F.col("cuts"), F.col("hi_rank") / F.col("n"), 1).alias("b"))
+                         _around(F.col("cuts"), F.try_divide("lo_rank", "n"), -1).alias("a"),
+                         _around(F.col("cuts"), F.try_divide("hi_rank", "n"), 1).alias("b"))
     held = first.select(F.struct("*")).scalar()
 
     def between(a: Column, b: Column) -> Column:
@@ -48,7 +48,7 @@ def median(df: DataFrame, c: str) -> DataFrame:
     inside = F.when(between(held["a"], held["b"]), v)
     second = df.agg(F.count(F.when(held["a"].isNotNull() & (v < held["a"]), v)).alias("below"), F.count(inside).alias("m"),
                     _cuts(inside).alias("cuts"))
-    share = lambda rank: (held[rank] - F.col("below")) / F.col("m")
+    share = lambda rank: F.try_divide(held[rank] - F.col("below"), F.col("m"))
     second = second.select(
         F.coalesce(_around(F.col("cuts"), share("lo_rank"), -1), held["a"]).alias("a"),
         F.coalesce(_around(F.col("cuts"), share("hi_rank"), 1), held["b"]).alias("b"))

@@ -8,9 +8,11 @@ the scalable form (one feature per line, written by every task in parallel).
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.errors import AnalysisException
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ..functions import scalar as S
@@ -71,17 +73,54 @@ def write_geojson_lines(features: DataFrame, path: str, date: str = "date") -> N
 
 
 # SNK-6
+def publish_latest(df: DataFrame, path: str) -> int:
+    """A new version of the latest output: its rows are written to a folder of
+    their own, then a manifest row that names it is appended.  Readers follow
+    the manifest, so they see the old version until the new one is whole, and a
+    run that dies in between changes nothing.  One writer at a time; earlier
+    versions stay until the caller removes them.  Returns the version."""
+    spark = df.sparkSession
+    version = (_version(spark, path) or 0) + 1
+    folder = f"{path}/versions/{version}-{uuid.uuid4().hex[:8]}"
+    df.write.parquet(folder)
+    spark.range(1).select(F.lit(version).cast("long").alias("version"), F.lit(folder).alias("folder")).coalesce(1).write.mode("append").parquet(f"{path}/manifest")
+    return version
+
+
+def _manifest(spark: SparkSession, path: str) -> DataFrame | None:
+    try:
+        return spark.read.schema("version long, folder string").parquet(f"{path}/manifest")
+    except AnalysisException as ex:
+        if ex.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return None
+
+
+def _version(spark: SparkSession, path: str) -> int | None:
+    seen = _manifest(spark, path)
+    return None if seen is None else seen.agg(F.max("version")).head()[0]
+
+
+def read_latest(spark: SparkSession, path: str) -> DataFrame:
+    """The version that the manifest names last."""
+    seen = _manifest(spark, path)
+    row = None if seen is None else seen.orderBy(F.col("version").desc(), "folder").head()
+    if row is None:
+        raise FileNotFoundError(f"nothing has been published under {path}")
+    return spark.read.parquet(row["folder"])
+
+
 def write_dated_and_latest(df: DataFrame, dated_path: str, latest_path: str, date: str = "date",
                            newest_overall: bool = False) -> None:
     """Dated copy (dynamic partition overwrite), then the newest day of this
-    run's rows overwrites the stable ``latest`` output, also on a re-run of an
-    older day; ``newest_overall`` takes the newest dated day instead."""
+    run's rows becomes the ``latest`` version, also on a re-run of an older
+    day; ``newest_overall`` takes the newest dated day instead."""
     (df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
        .partitionBy(date).parquet(dated_path))
     spark = df.sparkSession
     dated = spark.read.parquet(dated_path)
     newest = (dated if newest_overall else df).select(F.max(date)).scalar()
-    dated.filter(F.col(date) == newest).write.mode("overwrite").parquet(latest_path)
+    publish_latest(dated.filter(F.col(date) == newest), latest_path)
 
 
 # SNK-7 / ORD-6
@@ -108,9 +147,9 @@ def matrix_rows(pred: DataFrame, lat: str = "lat", lon: str = "lon", value: str
 # WIN-7
 def trend(places: DataFrame, pred: DataFrame, anchor: Column, days: int = 6, key: str = "name",
           lat: str = "la", lon: str = "lo", p_lat: str = "la", p_lon: str = "lo", d: str = "d",
-          risk: str = "risk", max_deg: float = 1.0) -> DataFrame:
-    """Per place: the risk of its nearest cell (planar, <= max_deg) on each
-    of the ``days`` calendar days ending at the anchor (missing days skipped);
+          risk: str = "risk", max_deg: float | None = None) -> DataFrame:
+    """Per place: the risk of its nearest cell (planar; no cutoff, a place is
+    accepted or not before its trend is asked for) on each of the ``days`` calendar days ending at the anchor (missing days skipped);
     at least two days give a direction from the first to the last risk."""
     window = pred.filter(F.col(d).between(F.date_sub(anchor, days - 1), anchor))
     q = places.select(key, lat, lon, F.explode(F.sequence(F.date_sub(anchor, days - 1), anchor)).alias(d))
