@@ -36,15 +36,15 @@ def read_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-1: a header CSV landed by Spark, read back with an explicit schema."""
     path = scratch_path(spark, "csv")
     P.write_csv(FX.station_day(spark, sf_dir).select("st", "d", "precip", "evi"), path)
-    return SF.read_csv(spark, path, "st bigint, d date, precip double, evi double")
+    return SF.typed_csv(spark, path, "d date, st bigint, evi double, precip double")[0].select("st", "d", "precip", "evi")
 
 
-@register("projected_csv", SD + "SELECT CAST(st AS VARCHAR) AS st, CAST(ndvi AS VARCHAR) AS ndvi FROM station_day")
+@register("projected_csv", SD + "SELECT st, ndvi FROM station_day")
 def projected_csv(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-2: only the wanted columns present in the header, de-duplicated."""
     path = scratch_path(spark, "csv")
     P.write_csv(FX.station_day(spark, sf_dir), path)
-    return SF.projected_csv(spark, path, ["st", "ndvi", "st", "not_there"])
+    return SF.projected_csv(spark, path, ["st", "ndvi", "st", "not_there"], {"st": "bigint", "ndvi": "double"})
 
 
 @register("points_csv", FX.with_views("sites") + "SELECT sk, la, lo FROM sites WHERE la IS NOT NULL AND lo IS NOT NULL")

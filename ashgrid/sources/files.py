@@ -24,13 +24,66 @@ def read_csv(spark: SparkSession, path: str, schema: T.StructType | str | None =
 
 
 # SRC-2
-def projected_csv(spark: SparkSession, path: str, wanted: Sequence[str]) -> DataFrame:
-    """Only the wanted columns that the header has, de-duplicated in order.
-    The header is read once (a one-line scan); the projection reaches the
-    CSV scan so other columns are never parsed."""
+def projected_csv(spark: SparkSession, path: str, wanted: Sequence[str], types: dict[str, str] | None = None) -> DataFrame:
+    """Only the wanted columns that the header has, de-duplicated in order, as
+    ``types`` says (default: text).  The header is read once (a one-line scan)
+    and gives every column its place; the projection reaches the CSV scan, so
+    other columns are never parsed.  All files share the header of the first
+    (``typed_csv`` reads files of different headers and reports bad lines); a
+    value that its type cannot take is null."""
     header = spark.read.option("header", True).csv(path).columns
     cols = list(dict.fromkeys(c for c in wanted if c in header))
-    return spark.read.option("header", True).csv(path).select(*cols)
+    types = types or {}
+    schema = T.StructType([T.StructField(c, T.StringType()) for c in header])
+    df = spark.read.option("header", True).schema(schema).csv(path)
+    return df.select(*[F.col(f"`{c}`").try_cast(types.get(c, "string")).alias(c) for c in cols])
+
+
+def typed_csv(spark: SparkSession, path: str, schema: T.StructType | str, sep: str = ",") -> tuple[DataFrame, DataFrame]:
+    """(rows, rejects): the columns of ``schema``, found by name in the header of
+    each file, whatever its order and whatever else it holds.
+
+    A column that a file does not have is null.  A line with too few or too many
+    fields for its file's header, or with a value that its type cannot take, goes
+    to the rejects (source_file, line, reason) and not to the rows; an empty field
+    is null.  Lines that repeat their file's header are headers.  Lines are
+    records, so that large files are split; a quoted line break is not supported.
+
+    The header of a file is the first line of its first block; the driver gets
+    the different numbers of columns, nothing else."""
+    wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+    text = spark.read.text(path).select(F.col("value").alias("line"), F.col("_metadata.file_path").alias("source_file"),
+                                        F.col("_metadata.file_block_start").alias("__start"))
+    text = text.filter(F.trim("line") != "")
+    heads = (text.filter("__start = 0").withColumn("__id", F.monotonically_increasing_id()).groupBy("source_file")
+             .agg(F.min_by("line", "__id").alias("__header")))
+    # a separator inside quotes only makes this too large, and such a header's lines are read with the larger width
+    width = F.length("__header") - F.length(F.replace("__header", F.lit(sep), F.lit(""))) + 1
+    widths = [r[0] for r in heads.select(width).distinct().collect()]
+
+    def fields(line: str):
+        """Fields of a line as its file's header has them; null if their number differs."""
+        out = F.lit(None).cast("array<string>")
+        for w in widths:
+            form = T.StructType([T.StructField(f"_{i}", T.StringType()) for i in range(w)] + [T.StructField("_bad", T.StringType())])
+            read = F.from_csv(line, form.simpleString()[7:-1].replace(":", " "),
+                              {"sep": sep, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_bad"})
+            found = F.when(read["_bad"].isNull(), F.array(*[read[f"_{i}"] for i in range(w)]))
+            out = F.when(F.col("__width") == w, found).otherwise(out)
+        return out
+
+    heads = heads.withColumn("__width", width)
+    heads = heads.withColumn("__names", F.transform(fields("__header"), lambda n: F.trim(F.ltrim(n, F.lit("\ufeff")))))
+    lines = text.drop("__start").join(heads, "source_file").filter(F.col("line") != F.col("__header"))
+    lines = lines.withColumn("__fields", fields("line"))
+    raw = {f.name: F.get("__fields", (F.array_position("__names", F.lit(f.name)) - 1).cast("int")) for f in wanted}
+    typed = {n: F.when(F.array_contains("__names", F.lit(n)), raw[n]).try_cast(wanted[n].dataType) for n in raw}
+    reason = F.when(F.col("__fields").isNull(), "wrong number of fields")
+    for n in raw:
+        reason = reason.when(F.array_contains("__names", F.lit(n)) & raw[n].isNotNull() & typed[n].isNull(), F.lit(f"bad value in {n}"))
+    judged = lines.withColumn("reason", reason)
+    return (judged.filter(F.col("reason").isNull()).select(*[c.alias(n) for n, c in typed.items()]),
+            judged.filter(F.col("reason").isNotNull()).select("source_file", "line", "reason"))
 
 
 # SRC-3
