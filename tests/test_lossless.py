@@ -59,18 +59,18 @@ def test_latest_has_one_row_per_key(spark, tmp_path):
     for n, lines in enumerate((["1,2024-01-01,a", "2,2024-01-01,a"], ["2,2024-01-01,b", "3,2024-01-01,b"])):
         spark.createDataFrame([(x,) for x in lines], "value string").coalesce(1).write.text(f"{root}/landing/d{n}")
         INC.resume_stream(spark, f"{root}/landing/*", process, f"{root}/out", f"{root}/ck", latest=f"{root}/latest")
-    assert sorted((r["loc"], r["v"]) for r in spark.read.parquet(f"{root}/latest").collect()) == [(1, "a"), (2, "b"), (3, "b")]
+    assert sorted((r["loc"], r["v"]) for r in P.read_latest(spark, f"{root}/latest").collect()) == [(1, "a"), (2, "b"), (3, "b")]
 
 
 def test_rerun_of_an_older_day_is_its_own_latest(spark, tmp_path):
     dated, latest = str(tmp_path / "dated"), str(tmp_path / "latest")
     for day in ("2024-01-02", "2024-01-01"):
         P.write_dated_and_latest(spark.createDataFrame([(day,)], "x string").withColumn("date", F.lit(day).cast("date")), dated, latest)
-    assert [r["x"] for r in spark.read.parquet(latest).collect()] == ["2024-01-01"]
+    assert [r["x"] for r in P.read_latest(spark, latest).collect()] == ["2024-01-01"]
     assert spark.read.parquet(dated).count() == 2
     P.write_dated_and_latest(spark.createDataFrame([("c",)], "x string").withColumn("date", F.lit("2023-01-01").cast("date")), dated, latest,
                              newest_overall=True)
-    assert [r["x"] for r in spark.read.parquet(latest).collect()] == ["2024-01-02"]
+    assert [r["x"] for r in P.read_latest(spark, latest).collect()] == ["2024-01-02"]
 
 
 def test_null_groups_and_keys_stay(spark):

@@ -126,8 +126,9 @@ def test_target_day_missing_falls_back_to_latest_incl_forecast(spark):
 def test_positional_zip_count_mismatch(spark):
     req = spark.createDataFrame([("c", 0), ("c", 1)], "chunk string, pos int")
     resp = spark.createDataFrame([("c", 0)], "chunk string, pos int")
-    with pytest.raises(ValueError):
-        W.positional_zip(req, resp)
+    zipped = W.positional_zip(req, resp)  # nothing runs yet
+    with pytest.raises(Exception, match="response count differs"):
+        zipped.collect()
 
 
 def test_dedupe_keep_last(spark):

@@ -38,7 +38,9 @@ def test_trend_direction(spark):
         "d date, la double, lo double, risk int")
     out = P.trend(places, pred, F.lit("2024-01-06").cast("date")).collect()
     # six calendar days ending Jan 6 are Jan 1..6: days 1, 3 and 6 have data; day 9 is outside
-    assert len(out) == 1 and out[0].name == "x" and out[0].first_risk == 5 and out[0].last_risk == 3
+    # a far place has its nearest cell too: it was accepted or not before
+    assert sorted(r.name for r in out) == ["lonely", "x"]
+    assert all((r.n_days, r.first_risk, r.last_risk) == (3, 5, 3) for r in out)
     assert out[0].direction == "falling" and out[0].n_days == 3
 
 
