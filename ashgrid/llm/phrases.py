@@ -175,19 +175,21 @@ def flows(edges: DataFrame, size: int, min_count: int) -> DataFrame:
 
         def combined() -> pa.Table:
             whole = pa.concat_tables(held).combine_chunks()
-            out = whole.group_by(["node", "salt", "next"], use_threads=False).aggregate([("n", "sum")])
-            return out.rename_columns(["node", "salt", "next", "n"])
+            out = whole.group_by(["node", "salt", "next"], use_threads=False).aggregate([("n", "sum")]).rename_columns(EDGE)
+            held.clear()
+            del whole
+            pa.default_memory_pool().release_unused()
+            return out
 
         for batch in batches:
             held.append(pa.table(batch))
             rows += batch.num_rows
-            if rows > max(LOCAL_EDGES, 2 * least):
-                held = [combined()]
+            if rows > max(LOCAL_EDGES // 2, 2 * least):
+                held.append(combined())
                 rows = least = held[0].num_rows
         if not rows:
             return
         table = combined()
-        held.clear()
         nodes = table.group_by(["node", "salt"], use_threads=False).aggregate([("n", "sum")])
 
         def words(node: pa.ChunkedArray) -> list[pa.Array]:
@@ -199,13 +201,16 @@ def flows(edges: DataFrame, size: int, min_count: int) -> DataFrame:
             out = pa.table({"k": pa.array(np.full(len(phrase), k, dtype=np.int32)), "g": group, "phrase": phrase, "f": f})
             yield from out.to_batches(max_chunksize=SENT_ROWS)
 
-        *own, group = words(nodes["node"])
-        first = pa.table({"g": group, "phrase": own[0], "f": nodes["n_sum"]}).group_by(["g", "phrase"], use_threads=False).aggregate([("f", "sum")])
-        yield from sent(1, first["g"], first["phrase"], first["f_sum"])
-        if size == 3:
-            often = pc.and_(pc.not_equal(own[1], ""), pc.or_(pc.greater(nodes["salt"], 0), pc.greater_equal(nodes["n_sum"], min_count)))
-            pair = pc.binary_join_element_wise(own[0].filter(often), own[1].filter(often), " ")
-            yield from sent(2, group.filter(often), pair, nodes["n_sum"].filter(often))
+        for at in range(0, nodes.num_rows, 4 * SENT_ROWS):
+            part = nodes.slice(at, 4 * SENT_ROWS)
+            *own, group = words(part["node"])
+            first = pa.table({"g": group, "phrase": own[0], "f": part["n_sum"]}).group_by(["g", "phrase"], use_threads=False).aggregate([("f", "sum")])
+            yield from sent(1, first["g"], first["phrase"], first["f_sum"])
+            if size == 3:
+                often = pc.and_(pc.not_equal(own[1], ""), pc.or_(pc.greater(part["salt"], 0), pc.greater_equal(part["n_sum"], min_count)))
+                pair = pc.binary_join_element_wise(own[0].filter(often), own[1].filter(often), " ")
+                yield from sent(2, group.filter(often), pair, part["n_sum"].filter(often))
+        del nodes
         often = table.filter(pc.and_(pc.is_valid(table["next"]), pc.greater_equal(table["n"], min_count)))
         if often.num_rows:
             *own, group = words(often["node"])
