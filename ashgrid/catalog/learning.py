@@ -241,7 +241,14 @@ def select_contract(spark: SparkSession, sf_dir: str) -> DataFrame:
     return C.select_contract(_labelled(spark, sf_dir), ["EVI", "NDVI", "temp_7day_mean", LABEL], keep=["st", "d"])
 
 
-@register("list_columns")
+def _columns_sql() -> str:
+    """Every column of the feature table with its type and number of values."""
+    columns = [("st", "bigint"), ("d", "date"), *[(c, "double") for c in ML_FEATURES], (LABEL, "int")]
+    return _LABELLED_SQL + " UNION ALL ".join(
+        f"SELECT {i} AS position, '{n}' AS name, '{t}' AS type, count(\"{n}\") AS n_values FROM sf" for i, (n, t) in enumerate(columns))
+
+
+@register("list_columns", _columns_sql())
 def list_columns(spark: SparkSession, sf_dir: str) -> DataFrame:
     """PRJ-16: the columns of the feature table: name, type and number of values."""
     df = _labelled(spark, sf_dir)
