@@ -401,7 +401,7 @@ def station_pixel_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     sd = FX.station_day(spark, sf_dir)
     st = sd.select("st").distinct().join(FX.points(spark, sf_dir), F.col("st") == F.col("k")).select("st", "la", "lo")
     q = st.select("st", "la", "lo", F.explode(F.array(F.lit("EVI"), F.lit("NDVI"))).alias("layer"))
-    nn = G.nearest_join(q, locs, "st", "lk", "la", "lo", "lat", "lon", group=["layer"])
+    nn = G.nearest_by_pyramid(q, locs, "st", "lk", "la", "lo", "lat", "lon", group=["layer"])
     snap = nn.select("st", "layer", F.col("nn_key.lat").alias("lat"), F.col("nn_key.lon").alias("lon"))
     # only the snapped pixel locations matter: a (small) semi-join first, then the per-day reduction
     vals = px.join(snap.select("layer", "lat", "lon").distinct(), ["layer", "lat", "lon"], "left_semi") \

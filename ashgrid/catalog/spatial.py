@@ -106,7 +106,7 @@ SELECT k, sk, v, site_la, site_lo FROM r WHERE rn = 1""")
 def nearest_attach_many(spark: SparkSession, sf_dir: str) -> DataFrame:
     """GEO-5: nearest site regardless of nulls; all its columns are attached."""
     sites = FX.sites(spark, sf_dir).withColumns({"site_la": F.col("la"), "site_lo": F.col("lo")})
-    out = G.nearest_join(FX.points(spark, sf_dir), sites, "k", "sk", "la", "lo", "la", "lo",
+    out = G.nearest_by_pyramid(FX.points(spark, sf_dir), sites, "k", "sk", "la", "lo", "la", "lo",
                          payload=["v", "site_la", "site_lo"])
     return out.select("k", F.col("nn_key").alias("sk"), "v", "site_la", "site_lo")
 

@@ -94,7 +94,7 @@ def seed_from_stations(grid: DataFrame, stations: DataFrame, features: Sequence[
                        station_key: str = "station_code") -> DataFrame:
     """GEO-6: nearest station regardless of nulls, then each null feature
     takes the all-station median (else 0.0)."""
-    nn = G.nearest_join(grid, stations.na.drop(subset=["lat", "lon"]), key, station_key, "lat", "lon", "lat", "lon",
+    nn = G.nearest_by_pyramid(grid, stations.na.drop(subset=["lat", "lon"]), key, station_key, "lat", "lon", "lat", "lon",
                         payload=list(features))
     fills = {f: F.coalesce(F.col(f), global_median(stations, f)) for f in features}
     return grid.select(key, "lat", "lon").join(nn.withColumns(fills).drop("dist_km"), key, "left")

@@ -8,9 +8,15 @@ Design for scale
   point only the edges that cross its horizontal ray line, never all pairs.
   Whether the edge table (polygon vertices) is broadcast is left to adaptive
   execution.
-* ``nearest_join`` and ``nearest_planar`` are exact k=1 nearest-neighbour joins
-  by equi-joins on cells, with a pyramid that decides each query's search ring
-  before any pair is made.  The cells of the pyramid halve from level to level.
+* ``nearest_join`` is an exact k=1 nearest-neighbour join by an equi-join on the
+  3x3 cells around each query; queries that the distance does not prove are tried
+  again on larger cells.  It counts the open queries between the levels and
+  broadcasts query blocks that are counted small, which suits a grid of
+  thousands of points over many candidates.
+* ``nearest_by_pyramid`` and ``nearest_planar`` are the same in one plan, by
+  equi-joins on cells with a pyramid that decides each query's search ring
+  before any pair is made: for many queries, uneven densities, or where no job
+  may run while the plan is made.  The cells of the pyramid halve from level to level.
   A query looks up the finest level at which its 3x3 block holds a candidate;
   that bounds the distance of the nearest one, and the finest level whose block
   must hold everything within that bound is the one the query is joined on.
@@ -29,12 +35,48 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
+from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from .. import contract as C
 from ..functions.scalar import haversine_km, planar_d2
 
+BROADCAST_ROWS = 2_000_000  # largest side we broadcast after counting it ...
+BROADCAST_BYTES = 256 << 20  # ... and its estimated size
+
+
+def row_bytes(schema) -> int:
+    """Rough in-memory size of one row from its schema (strings and nested
+    values counted generously)."""
+    from pyspark.sql import types as T
+
+    def size(t) -> int:
+        if isinstance(t, (T.ByteType, T.BooleanType)):
+            return 1
+        if isinstance(t, (T.ShortType,)):
+            return 2
+        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
+            return 4
+        if isinstance(t, T.StructType):
+            return sum(size(f.dataType) for f in t.fields) + 8
+        if isinstance(t, (T.ArrayType, T.MapType)):
+            return 256
+        if isinstance(t, (T.StringType, T.BinaryType)):
+            return 32
+        return 8
+
+    return size(schema) + 16
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
+    """Broadcast ``df`` only when a count proves it small (rows and estimated
+    bytes); else leave the join to the planner (sort-merge with AQE)."""
+    limit = min(max_rows, max(1, max_bytes // row_bytes(df.schema)))
+    n = df.limit(limit + 1).count()
+    return F.broadcast(df) if n <= limit else df
+
+
 # ---------------------------------------------------------------- GEO-1 grid
 
 
@@ -150,6 +192,190 @@ def clip_to_polygons(points: DataFrame, edges: DataFrame, x: str = "lon", y: str
 # -------------------------------------------------- nearest-neighbour joins
 
 
+def _cell_cols(lat: Column, lon: Column, ncols: int) -> tuple[Column, Column, float]:
+    """Cells of c = 360/ncols degrees: c divides the circle, so longitude cells
+    wrap at the antimeridian without a narrow seam cell."""
+    c = 360.0 / ncols
+    ci = F.floor((lat + F.lit(90.0)) / c).cast("bigint")
+    cj = F.pmod(F.floor((lon + F.lit(180.0)) / c).cast("bigint"), F.lit(ncols))
+    return ci, cj, c
+
+
+def _lower_bound_km(lat: Column, lon: Column, ncols: int, radius: float) -> Column:
+    """Least possible great-circle distance from the point to anything outside
+    its 3x3 block: the latitude margin, or the distance to the meridian at the
+    longitude margin, asin(cos(lat) sin(dlon))."""
+    ci, _, c = _cell_cols(lat, lon, ncols)
+    big = F.lit(1e30)
+    south = F.when((ci - 1) * c <= 0, big).otherwise((lat + 90.0) - (ci - 1) * c)
+    north = F.when((ci + 2) * c >= 180.0, big).otherwise((ci + 2) * c - (lat + 90.0))
+    lat_b = F.radians(F.least(south, north)) * radius
+    if ncols <= 3:
+        return lat_b
+    x = F.pmod(lon + F.lit(180.0), F.lit(360.0))
+    col = F.floor(x / c)
+    dl = F.least(F.least(x - (col - 1) * c, (col + 2) * c - x), F.lit(90.0))
+    lon_b = F.asin(F.cos(F.radians(lat)) * F.sin(F.radians(dl))) * radius
+    return F.least(lat_b, lon_b)
+
+
+def _ncols_for(best_km: float | None, max_abs_lat: float | None, radius: float) -> int:
+    """Columns (cells of 360/ncols degrees) whose 3x3 block proves a best
+    distance of ``best_km`` at latitudes up to ``max_abs_lat``; a large
+    number when there is no candidate yet (the caller still halves ncols)."""
+    if best_km is None:
+        return 1 << 30
+    cosphi = math.cos(math.radians(min(max_abs_lat or 0.0, 89.9)))
+    x = math.sin(min(best_km / radius, math.pi / 2)) / max(cosphi, 1e-9)
+    if x >= 1.0:
+        return 3
+    need = math.degrees(max(math.asin(x), best_km / radius)) * 1.001
+    return max(3, int(360.0 / need))
+
+
+_OFFSETS = [(di, dj) for di in (-1, 0, 1) for dj in (-1, 0, 1)]
+
+
+def _block(df: DataFrame, ci: Column, cj: Column, ncols: int | None = None) -> DataFrame:
+    """One row per cell of the 3x3 block around each row (columns __ci, __cj);
+    with ``ncols`` the column index wraps around the antimeridian."""
+    offs = F.array(*[F.struct(F.lit(a).alias("di"), F.lit(b).alias("dj")) for a, b in _OFFSETS])
+    x = df.withColumns({"__ci0": ci, "__cj0": cj}).withColumn("__o", F.explode(offs))
+    cjn = F.col("__cj0") + F.col("__o.dj")
+    if ncols is not None:
+        cjn = F.pmod(cjn, F.lit(ncols))
+    # with ncols >= 3 the wrapped neighbours are distinct, so no duplicates arise
+    return x.withColumns({"__ci": F.col("__ci0") + F.col("__o.di"), "__cj": cjn}).drop("__ci0", "__cj0", "__o")
+
+
+def choose_cell(candidates: DataFrame, lat: str, lon: str, per_cell: float = 32.0,
+                lo: float = 0.01, hi: float = 10.0, with_count: bool = False):
+    """Cell size (degrees) giving about ``per_cell`` candidates per cell, from
+    one small aggregate (count and extent); with ``with_count`` also the count."""
+    r = candidates.agg(
+        F.count(F.lit(1)).alias("n"), F.min(lat).alias("a"), F.max(lat).alias("b"),
+        F.min(lon).alias("c"), F.max(lon).alias("d"),
+    ).first()
+    if not r["n"]:
+        c = hi
+    else:
+        area = max((r["b"] - r["a"]) * (r["d"] - r["c"]), 1e-6)
+        c = float(min(hi, max(lo, math.sqrt(area * per_cell / r["n"]))))
+    return (c, int(r["n"] or 0)) if with_count else c
+
+
+def nearest_join(
+    queries: DataFrame,
+    candidates: DataFrame,
+    q_key: str,
+    c_key: str,
+    q_lat: str = "lat",
+    q_lon: str = "lon",
+    c_lat: str = "lat",
+    c_lon: str = "lon",
+    payload: Sequence[str] = (),
+    cell: float | None = None,
+    radius: float = C.EARTH_RADIUS_KM,
+    checkpoint: bool = True,
+    group: Sequence[str] = (),
+    salt: int = 1,
+) -> DataFrame:
+    """Exact haversine nearest candidate for every query row.
+
+    Output: q_key, ``nn_key`` (candidate key, null when there is none),
+    ``dist_km`` and the ``payload`` columns of the winning candidate.
+    Ties on distance go to the smaller candidate key.  With ``group`` columns
+    (e.g. a layer) present on both sides, the search runs per group value in
+    the same job (the group is part of the join key).
+
+    ``salt`` > 1 splits every cell's candidates into that many buckets (by a
+    hash of the candidate key) and repeats each query block per bucket, so a
+    cell holding a large share of all candidates is joined by ``salt``
+    tasks; the per-query ``min_by`` then combines the buckets.
+
+    ``checkpoint`` (default) keeps each level's winners (one row per pending
+    query) persisted, so a level is computed once; without it the levels are
+    planned lazily and recomputed by later levels.
+    """
+    g = list(group)
+    payload = [p for p in payload if p not in (c_key,)]
+    n_cand = None
+    if cell is None:
+        cell, n_cand = choose_cell(candidates, c_lat, c_lon, with_count=True)
+    q = queries.select(*g, F.col(q_key).alias("__q"), F.col(q_lat).alias("__la"), F.col(q_lon).alias("__lo"))
+    cand = candidates.select(
+        *g, F.col(c_key).alias("__c"), F.col(c_lat).alias("__cla"), F.col(c_lon).alias("__clo"),
+        *[F.col(p) for p in payload],
+    )
+    if (n_cand == 0) if n_cand is not None else cand.isEmpty():  # nothing to find: null neighbours
+        return q.select(*g, F.col("__q").alias(q_key), F.lit(None).cast(candidates.schema[c_key].dataType).alias("nn_key"),
+                        F.lit(None).cast("double").alias("dist_km"),
+                        *[F.lit(None).cast(candidates.schema[p].dataType).alias(p) for p in payload])
+    pending = q
+    n_pending = None  # known after the first level
+    done: list[DataFrame] = []
+    ncols = max(3, math.ceil(360.0 / float(cell)))
+    while True:
+        final = ncols <= 3  # the block covers the whole sphere
+        ci, cj, _ = _cell_cols(F.col("__la"), F.col("__lo"), ncols)
+        qx = _block(pending.select(*g, "__q", "__la", "__lo"), ci, cj, ncols)
+        cci, ccj, _ = _cell_cols(F.col("__cla"), F.col("__clo"), ncols)
+        cx = cand.withColumns({"__ci": cci, "__cj": ccj})
+        keys = [*g, "__ci", "__cj"]
+        if salt > 1:
+            cx = cx.withColumn("__s", F.pmod(F.xxhash64("__c"), F.lit(salt)))
+            qx = qx.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+            keys.append("__s")
+        # small query blocks (a grid, or the few points left for a later
+        # level) are broadcast and the candidates stream past them unshuffled
+        if n_pending is None:
+            qb = broadcast_if_small(qx)
+        else:
+            rows = n_pending * 9 * max(salt, 1)
+            qb = F.broadcast(qx) if rows <= min(BROADCAST_ROWS, BROADCAST_BYTES // row_bytes(qx.schema)) else qx
+        pairs = qb.join(cx, keys)
+        dist = haversine_km("__la", "__lo", "__cla", "__clo", radius)
+        best = pairs.withColumn("__d", dist).groupBy(*g, "__q").agg(
+            F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w")
+        )
+        scored = pending.join(best, [*g, "__q"], "left").select(
+            *g, "__q", "__la", "__lo", "__w",
+            (F.lit(final) | F.coalesce(F.col("__w.__d") < _lower_bound_km(F.col("__la"), F.col("__lo"), ncols, radius),
+                                       F.lit(False))).alias("__ok"),
+        )
+        if checkpoint and not final:
+            # one row per pending query point: keep it for the next level and
+            # the final union instead of recomputing the join
+            scored = scored.persist(StorageLevel.MEMORY_AND_DISK)
+        done.append(scored.filter("__ok"))
+        if final:
+            break
+        left = scored.filter(~F.col("__ok"))
+        pending = left.select(*g, "__q", "__la", "__lo")
+        if not checkpoint:
+            ncols = max(3, (ncols + 1) // 2)
+            continue
+        st = left.agg(F.count(F.lit(1)).alias("n"), F.max("__w.__d").alias("d"), F.max(F.abs("__la")).alias("phi"),
+                      F.count_if(F.col("__w").isNull()).alias("lonely")).first()
+        if not st["n"]:
+            break
+        n_pending = st["n"]
+        # points with no candidate in their block grow 4x, the others as far as
+        # their best distance needs (at least 2x)
+        grow = (ncols + 3) // 4 if st["lonely"] else (ncols + 1) // 2
+        ncols = max(3, min(grow, _ncols_for(st["d"], st["phi"], radius)))
+    allw = done[0]
+    for d in done[1:]:
+        allw = allw.unionByName(d)
+    return allw.select(
+        *g,
+        F.col("__q").alias(q_key),
+        F.col("__w.__c").alias("nn_key"),
+        F.col("__w.__d").alias("dist_km"),
+        *[F.col(f"__w.{p}").alias(p) for p in payload],
+    )
+
+
 GLOBE = 120.0  # degrees of a cell of the globe's coarsest level: its 3x3 block is the whole globe
 FINEST = 16  # levels below it: cells of 0.0018 degrees
 
@@ -220,7 +446,7 @@ def _nearest(q: DataFrame, cand: DataFrame, g: list[str], top: float, finest: in
     return pairs.groupBy(*g, "__q").agg(F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w"))
 
 
-def nearest_join(
+def nearest_by_pyramid(
     queries: DataFrame,
     candidates: DataFrame,
     q_key: str,

@@ -36,7 +36,7 @@ def test_nearest_equals_brute_force(spark, finest):
     cs = [(j, rnd.gauss(50, 2), rnd.gauss(-120, 3)) for j in range(60)] + [(100, -45.0, 179.9)]
     q = spark.createDataFrame(qs, "k long, lat double, lon double")
     c = spark.createDataFrame(cs, "sk long, lat double, lon double")
-    got = {r.k: r.nn_key for r in G.nearest_join(q, c, "k", "sk", finest=finest).collect()}
+    got = {r.k: r.nn_key for r in G.nearest_by_pyramid(q, c, "k", "sk", finest=finest).collect()}
     assert got == brute(qs, cs)
 
 
@@ -48,23 +48,36 @@ def test_nearest_salted_equals_unsalted(spark):
     cs += [(1000 + j, rnd.uniform(45, 55), rnd.uniform(-125, -115)) for j in range(30)]
     q = spark.createDataFrame(qs, "k long, lat double, lon double")
     c = spark.createDataFrame(cs, "sk long, lat double, lon double")
-    got = {r.k: r.nn_key for r in G.nearest_join(q, c, "k", "sk", salt=7).collect()}
+    got = {r.k: r.nn_key for r in G.nearest_by_pyramid(q, c, "k", "sk", salt=7).collect()}
     assert got == brute(qs, cs)
 
 
+def test_both_nearest_joins_agree(spark):
+    rnd = random.Random(11)
+    qs = [(i, rnd.uniform(45, 55), rnd.uniform(-125, -115)) for i in range(120)]
+    cs = [(j, rnd.gauss(50, 2), rnd.gauss(-120, 3)) for j in range(150)]
+    q = spark.createDataFrame(qs, "k long, lat double, lon double")
+    c = spark.createDataFrame(cs, "sk long, lat double, lon double")
+    want = brute(qs, cs)
+    for f in (G.nearest_join, G.nearest_by_pyramid):
+        assert {r.k: r.nn_key for r in f(q, c, "k", "sk").collect()} == want
+    for cell, salt in ((0.05, 1), (3.0, 1), (0.5, 7)):
+        assert {r.k: r.nn_key for r in G.nearest_join(q, c, "k", "sk", cell=cell, salt=salt).collect()} == want
+
+
 def test_nearest_across_antimeridian(spark):
     q = spark.createDataFrame([(1, 10.0, 179.95)], "k long, lat double, lon double")
     c = spark.createDataFrame([(1, 10.0, -179.95), (2, 10.0, 179.0)], "sk long, lat double, lon double")
-    got = G.nearest_join(q, c, "k", "sk").collect()
+    got = G.nearest_by_pyramid(q, c, "k", "sk").collect()
     assert got[0].nn_key == 1
 
 
 def test_nearest_ties_and_empty(spark):
     q = spark.createDataFrame([(1, 0.0, 0.0)], "k long, lat double, lon double")
     c = spark.createDataFrame([(7, 0.0, 1.0), (3, 0.0, -1.0)], "sk long, lat double, lon double")
-    assert G.nearest_join(q, c, "k", "sk").collect()[0].nn_key == 3
+    assert G.nearest_by_pyramid(q, c, "k", "sk").collect()[0].nn_key == 3
     empty = spark.createDataFrame([], "sk long, lat double, lon double")
-    r = G.nearest_join(q, empty, "k", "sk").collect()
+    r = G.nearest_by_pyramid(q, empty, "k", "sk").collect()
     assert len(r) == 1 and r[0].nn_key is None
 
 
@@ -78,7 +91,7 @@ def test_nearest_at_any_latitude(spark, lat):
     cs += [(500 + j, cs[j][1], cs[j][2]) for j in range(10)]  # same places, larger keys
     q = spark.createDataFrame(qs, "k long, lat double, lon double")
     c = spark.createDataFrame([*cs, (900, None, 1.0), (901, 1.0, None)], "sk long, lat double, lon double")
-    got = {r.k: r.nn_key for r in G.nearest_join(q, c, "k", "sk").collect()}
+    got = {r.k: r.nn_key for r in G.nearest_by_pyramid(q, c, "k", "sk").collect()}
     dist = {(k, sk): hav(la, lo, sla, slo) for k, la, lo in qs for sk, sla, slo in cs}
     want = brute(qs, cs)
     assert all(got[k] == want[k] or abs(dist[k, got[k]] - dist[k, want[k]]) < 1e-6 for k in want)
@@ -88,7 +101,7 @@ def test_nearest_at_any_latitude(spark, lat):
 def test_nearest_per_group_without_coordinates(spark):
     q = spark.createDataFrame([(1, "a", 1.0, 1.0), (1, "b", 1.0, 1.0), (1, "c", 1.0, 1.0), (2, "a", None, 1.0)], "k long, g string, lat double, lon double")
     c = spark.createDataFrame([(5, "a", 80.0, 1.0), (6, "b", 1.0, 1.5), (7, "b", None, 1.0)], "sk long, g string, lat double, lon double")
-    got = {(r.k, r.g): r.nn_key for r in G.nearest_join(q, c, "k", "sk", group=["g"]).collect()}
+    got = {(r.k, r.g): r.nn_key for r in G.nearest_by_pyramid(q, c, "k", "sk", group=["g"]).collect()}
     assert got == {(1, "a"): 5, (1, "b"): 6, (1, "c"): None, (2, "a"): None}
 
 
@@ -99,7 +112,7 @@ def test_nearest_plan_is_one_join_without_actions(spark):
     qs = spark.createDataFrame([(j, 50 + rnd.random() * s, 10 + rnd.random() * s) for j, s in enumerate([0.01, 0.5, 30] * 30)], "k long, lat double, lon double")
     tracker = spark.sparkContext.statusTracker()
     spark.sparkContext.setJobGroup("plan", "plan")
-    out = G.nearest_join(qs, cs, "k", "sk")
+    out = G.nearest_by_pyramid(qs, cs, "k", "sk")
     assert not tracker.getJobIdsForGroup("plan")
     spark.sparkContext.setLocalProperty("spark.jobGroup.id", None)
     assert out.count() == 90
