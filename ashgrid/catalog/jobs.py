@@ -66,4 +66,4 @@ def temporal_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
 
     df = _labelled(spark, sf_dir).join(FX.points(spark, sf_dir).select(F.col("k").alias("st"), "la", "lo"), "st")
     scored = validation.fit_and_score(df, ML_FEATURES, LABEL, "d", CUT, trees=100, depth=25, min_leaf=50)
-    return validation.report(scored, LABEL, lat="la", lon="lo")["summary"]
+    return validation.write_report(scored, scratch_path(spark, "validation"), LABEL, lat="la", lon="lo")["summary"]

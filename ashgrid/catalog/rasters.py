@@ -3,16 +3,20 @@ PRJ-11, PRJ-13, PRJ-14, SET-1, SNK-4, SRC-6)."""
 
 from __future__ import annotations
 
+import json
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from .. import contract as C
 from .. import fixtures as FX
+from ..functions import projection as PJ
 from ..functions import scalar as S
 from ..operators import cache as CA
 from ..operators import filters as FL
 from ..operators import geo as G
 from ..operators import raster as RA
+from ..sources import files
 from .registry import register
 from .spatial import _grid_sql, hav_sql
 
@@ -84,10 +88,19 @@ LAYER_MAP = {"ECONOMY": "EVI", "PROMO": "NDVI", "max": "surface_temp_max"}
 , m AS (SELECT * FROM (VALUES ('ECONOMY', 'EVI'), ('PROMO', 'NDVI'), ('max', 'surface_temp_max')) t(k, v))
 SELECT pk, coalesce(m.v, named.layer) AS layer FROM named LEFT JOIN m ON named.layer = m.k""")
 def layer_map(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """SRC-6: mapped names through a broadcast of the (tiny) map; unmapped pass."""
-    m = spark.createDataFrame(list(LAYER_MAP.items()), "k string, v string")
+    """SRC-6: names mapped by a JSON file; unmapped ones pass."""
     n = _named(spark, sf_dir)
-    return n.join(F.broadcast(m), n.layer == m.k, "left").select("pk", F.coalesce("v", "layer").alias("layer"))
+    m = _layer_map(spark)
+    return n.join(m, n.layer == m.k, "left").select("pk", F.coalesce("v", "layer").alias("layer"))
+
+
+def _layer_map(spark) -> DataFrame:
+    """The map as a file of the shared folder, read as a job reads it."""
+    from ..session import scratch_path
+
+    path = scratch_path(spark, "layer-map")
+    spark.range(1).select(F.lit(json.dumps(LAYER_MAP, indent=1)).alias("value")).write.text(path)
+    return files.layer_map(spark, path)
 
 
 # ---------------------------------------------------------------- tiles
@@ -409,3 +422,100 @@ def station_pixel_merge(spark: SparkSession, sf_dir: str) -> DataFrame:
     j = sd.select("st", "d").join(snap, "st").join(
         vals, (vals.layer == snap.layer) & (vals.lat == snap.lat) & (vals.lon == snap.lon) & (vals.date == F.col("d")))
     return j.select("st", "d", snap.layer, "value")
+
+
+# ---------------------------------------------------------------- raster-to-table job
+
+# The fixture tiles as a job meets them: a file name each, and the UTM ones with an affine in metres.
+_FILES_SQL = """
+, files AS (SELECT CASE tile % 4 WHEN 0 THEN 'in/MOD13Q1.061__250m_16_days_PROMO_doy2024' || lpad(CAST(tile % 366 + 1 AS VARCHAR), 3, '0') || '_aid0001.tif'
+                                 WHEN 1 THEN 'in/station__ECONOMY_2023-07-' || lpad(CAST(tile % 28 + 1 AS VARCHAR), 2, '0') || '.tif'
+                                 WHEN 2 THEN 'in/dem.tif' END AS path,
+                   CASE tile % 4 WHEN 0 THEN 'NDVI' WHEN 1 THEN 'EVI' WHEN 2 THEN 'dem' END AS layer,
+                   CASE tile % 4 WHEN 0 THEN CAST(CAST(DATE '2024-01-01' + CAST(tile % 366 AS INTEGER) AS DATE) AS VARCHAR)
+                                 WHEN 1 THEN '2023-07-' || lpad(CAST(tile % 28 + 1 AS VARCHAR), 2, '0') END AS date,
+                   tile, rows, cols, epsg, nodata, "values", b, d,
+                   CASE WHEN epsg = 32610 THEN 5000.0::DOUBLE ELSE a END AS a, CASE WHEN epsg = 32610 THEN -5000.0::DOUBLE ELSE e END AS e,
+                   CASE WHEN epsg = 32610 THEN 300000.0::DOUBLE + 8000 * (tile % 50) ELSE c END AS c,
+                   CASE WHEN epsg = 32610 THEN 6650000.0::DOUBLE - 40000 * (tile % 23) ELSE f END AS f FROM tiles),
+good AS (SELECT * FROM files WHERE len("values") = rows * cols AND path IS NOT NULL)"""
+
+
+def _krueger(terms: tuple, outer: str, inner: str) -> str:
+    return " + ".join(f"({t!r}::DOUBLE) * {outer.format(j=2 * j)}" + (f" * {inner.format(j=2 * j)}" if inner else "") for j, t in enumerate(terms, 1))
+
+
+_UTM = f"({PJ.UTM_SCALE * PJ.RECTIFYING!r}::DOUBLE)"
+
+
+def _cosh(x: str) -> str:
+    return f"((exp({x}) + exp(-({x}))) / 2)"
+
+
+def _sinh(x: str) -> str:
+    return f"((exp({x}) - exp(-({x}))) / 2)"
+
+
+_UTM_INVERSE_SQL = f"""
+, u1 AS (SELECT *, y / {_UTM} AS xi, (x - 500000.0) / {_UTM} AS eta FROM centres),
+u2 AS (SELECT *, xi - ({_krueger(PJ.BETA, 'sin({j} * xi)', _cosh('{j} * eta'))}) AS xi1,
+                 eta - ({_krueger(PJ.BETA, 'cos({j} * xi)', _sinh('{j} * eta'))}) AS eta1 FROM u1),
+u3 AS (SELECT *, asin(sin(xi1) / {_cosh('eta1')}) AS chi FROM u2),
+placed AS (SELECT * EXCLUDE (xi, eta, xi1, eta1, chi),
+                  CASE WHEN epsg = 32610 THEN degrees(radians(-123.0) + atan2({_sinh('eta1')}, cos(xi1))) ELSE x END AS lon,
+                  CASE WHEN epsg = 32610 THEN degrees(chi + {_krueger(PJ.DELTA, 'sin({j} * chi)', '')}) ELSE y END AS lat FROM u3)"""
+
+
+def _tile_files(spark, sf_dir) -> DataFrame:
+    t = FX.tiles(spark, sf_dir)
+    n = F.col("tile")
+    utm = F.col("epsg") == 32610
+    path = (F.when(n % 4 == 0, F.concat(F.lit("in/MOD13Q1.061__250m_16_days_PROMO_doy2024"), F.lpad((n % 366 + 1).cast("string"), 3, "0"), F.lit("_aid0001.tif")))
+            .when(n % 4 == 1, F.concat(F.lit("in/station__ECONOMY_2023-07-"), F.lpad((n % 28 + 1).cast("string"), 2, "0"), F.lit(".tif")))
+            .when(n % 4 == 2, "in/dem.tif"))
+    return t.withColumns({
+        "path": path, "a": F.when(utm, 5000.0).otherwise(F.col("a")), "e": F.when(utm, -5000.0).otherwise(F.col("e")),
+        "c": F.when(utm, 300000.0 + 8000 * (n % 50)).otherwise(F.col("c")),
+        "f": F.when(utm, 6650000.0 - 40000 * (n % 23)).otherwise(F.col("f")),
+    })
+
+
+@register("raster_table", FX.with_views("tiles") + _FILES_SQL + """
+, centres AS (SELECT layer, date, epsg, "values"[i + 1] AS value, nodata,
+                     a * (i % cols + 0.5) + b * (i // cols + 0.5) + c AS x, d * (i % cols + 0.5) + e * (i // cols + 0.5) + f AS y
+              FROM good, range(len("values")) r(i) WHERE (i // cols) % 2 = 0 AND (i % cols) % 2 = 0)""" + _UTM_INVERSE_SQL + """
+SELECT layer, date, round(lat, 6) AS lat, round(lon, 6) AS lon, value FROM placed
+WHERE value IS NOT NULL AND NOT isnan(value) AND abs(value) <> 'inf'::DOUBLE AND (nodata IS NULL OR value <> nodata)""")
+def raster_table(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raster-to-table job, listing: names and dates from files, layer map,
+    every second pixel by row and column, UTM tiles in longitude and latitude,
+    written by layer and read back as the combined table."""
+    from ..plans import raster_table as job
+    from ..session import scratch_path
+
+    out = job.run(spark, _tile_files(spark, sf_dir), scratch_path(spark, "raster-table"), layer_map=_layer_map(spark), decimate=2)
+    return out.select("layer", "date", F.round("lat", 6).alias("lat"), F.round("lon", 6).alias("lon"), "value")
+
+
+_UTM_FORWARD_SQL = f"""
+, f1 AS (SELECT *, sin(radians(la)) AS s, radians(lo) - radians(-123.0) AS dl FROM points),
+f2 AS (SELECT *, atanh(s) - {2 * PJ.N3**0.5 / (1 + PJ.N3)!r}::DOUBLE * atanh({2 * PJ.N3**0.5 / (1 + PJ.N3)!r}::DOUBLE * s) AS psi FROM f1),
+f3 AS (SELECT *, {_sinh('psi')} AS t FROM f2),
+f4 AS (SELECT *, atan2(t, cos(dl)) AS xi1, atanh(sin(dl) / sqrt(1 + t * t)) AS eta1 FROM f3),
+utm AS (SELECT k, la, lo, 500000.0 + {_UTM} * (eta1 + {_krueger(PJ.ALPHA, 'cos({j} * xi1)', _sinh('{j} * eta1'))}) AS ux,
+               {_UTM} * (xi1 + {_krueger(PJ.ALPHA, 'sin({j} * xi1)', _cosh('{j} * eta1'))}) AS uy FROM f4)"""
+
+
+@register("raster_samples", FX.with_views("tiles", "points") + _FILES_SQL + _UTM_FORWARD_SQL + """
+, met AS (SELECT k, la, lo, CASE WHEN epsg = 32610 THEN ux ELSE lo END AS x, CASE WHEN epsg = 32610 THEN uy ELSE la END AS y, good.* FROM utm, good),
+j AS (SELECT *, floor((a * (y - f) - d * (x - c)) / (a * e - b * d)) AS r, floor((e * (x - c) - b * (y - f)) / (a * e - b * d)) AS q FROM met),
+hit AS (SELECT k, la, lo, layer, date, "values"[CAST(r * cols + q + 1 AS BIGINT)] AS raw, nodata FROM j WHERE r >= 0 AND r < rows AND q >= 0 AND q < cols)
+SELECT layer, date, la AS lat, lo AS lon,
+       CASE WHEN raw IS NULL OR isnan(raw) OR abs(raw) = 'inf'::DOUBLE OR raw = nodata THEN NULL ELSE raw END AS value FROM hit""")
+def raster_samples(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The raster-to-table job, sampling: every point in every tile that covers it,
+    in the tile's own system."""
+    from ..plans import raster_table as job
+
+    pts = FX.points(spark, sf_dir)
+    return job.tables(_tile_files(spark, sf_dir), layer_map=_layer_map(spark), points=pts, lat="la", lon="lo").long

@@ -10,6 +10,8 @@ an equi-join on the tile's coarse cells (never points x tiles).
 
 from __future__ import annotations
 
+from collections.abc import Sequence
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
@@ -116,7 +118,7 @@ def raster_to_long(tiles: DataFrame, decimate: int = 1, keep: list[str] = ("tile
 
 # RAS-7
 def sample_points(tiles: DataFrame, points: DataFrame, lat: str = "lat", lon: str = "lon",
-                  key: str = "k", cell: float = 1.0) -> DataFrame:
+                  key: str = "k", cell: float = 1.0, by: Sequence[str] = (), keep: Sequence[str] = ()) -> DataFrame:
     """Value of the pixel containing each point, per tile covering it; nodata,
     NaN and +-Inf become null but the rows are kept.
 
@@ -125,7 +127,9 @@ def sample_points(tiles: DataFrame, points: DataFrame, lat: str = "lat", lon: st
     cells, an equi-join followed by an exact bounds test.  The hits, each a
     point and a position in a tile, then fetch their pixels by tile, so an array
     of pixels is shuffled at most once, and not at all where the hits are small
-    enough to be broadcast.  A tile listed twice is sampled twice."""
+    enough to be broadcast.  A tile listed twice is sampled twice.  A point meets
+    only tiles equal to it in the columns ``by`` (a reference system, say);
+    ``keep`` names further columns of the tiles for the result."""
     meta = [x for x in tiles.columns if x != "values"]
     named = F.struct(*[F.col(f"`{x}`") for x in meta])
     a, b, c, d, e, f = (F.col(f"__t.{n}") for n in "abcdef")
@@ -137,15 +141,15 @@ def sample_points(tiles: DataFrame, points: DataFrame, lat: str = "lat", lon: st
         return F.sequence(F.floor(F.least(*v) / cell).cast("bigint"), F.floor(F.greatest(*v) / cell).cast("bigint"))
 
     boxes = (tiles.select(named.alias("__t")).distinct().withColumn("__ci", F.explode(cells(ys)))
-             .withColumn("__cj", F.explode(cells(xs))))
+             .withColumn("__cj", F.explode(cells(xs))).withColumns({n: F.col(f"__t.{n}") for n in by}))
     pk = points.select(
-        F.col(key), F.col(lat).alias("__y"), F.col(lon).alias("__x"),
+        F.col(key), *by, F.col(lat).alias("__y"), F.col(lon).alias("__x"),
         F.floor(F.col(lat) / cell).cast("bigint").alias("__ci"), F.floor(F.col(lon) / cell).cast("bigint").alias("__cj"),
     )
     det = a * e - b * d
     colf = (e * (F.col("__x") - c) - b * (F.col("__y") - f)) / det
     rowf = (a * (F.col("__y") - f) - d * (F.col("__x") - c)) / det
-    hits = (pk.join(boxes, ["__ci", "__cj"]).withColumns({"row": F.floor(rowf).cast("int"), "col": F.floor(colf).cast("int")})
+    hits = (pk.join(boxes, [*by, "__ci", "__cj"]).withColumns({"row": F.floor(rowf).cast("int"), "col": F.floor(colf).cast("int")})
             .filter((F.col("row") >= 0) & (F.col("row") < rows) & (F.col("col") >= 0) & (F.col("col") < cols))
             .select(key, "__t", "row", "col"))
     pixels = tiles.select(named.alias("__o"), "values")
@@ -155,4 +159,4 @@ def sample_points(tiles: DataFrame, points: DataFrame, lat: str = "lat", lon: st
         raw.isNull() | F.isnan(raw) | (F.abs(raw) == F.lit(float("inf"))) | (raw == F.col("__t.nodata")),
         F.lit(None).cast("double"),
     ).otherwise(raw)
-    return j.select(key, F.col("__t.tile").alias("tile"), "row", "col", v.alias("value"))
+    return j.select(key, F.col("__t.tile").alias("tile"), "row", "col", v.alias("value"), *[F.col(f"__t.{n}").alias(n) for n in keep])

@@ -156,3 +156,13 @@ def polygon_rings(spark: SparkSession, path: str) -> DataFrame:
         F.posexplode("rings").alias("ring", "coords"),
     )
     return rx
+
+
+# SRC-6
+def layer_map(spark: SparkSession, path: str) -> DataFrame:
+    """(k, v): parsed layer name -> wanted name, from a JSON file that holds one
+    object of texts (over one or many lines).  Pairs with a null or empty name are
+    left out; a file that is not such an object fails the job when it is read."""
+    text = spark.read.text(path, wholetext=True)
+    pairs = F.from_json("value", "map<string,string>", {"mode": "FAILFAST"})
+    return text.select(F.explode(pairs).alias("k", "v")).filter("v IS NOT NULL AND v <> ''")
