@@ -1,12 +1,15 @@
 """Row windows that stay parallel when one key holds a large share of rows.
 
 A plain ``Window.partitionBy(key)`` sends a key's whole history to one task.
-These variants compute the same results with no partition larger than a block:
+That is the best plan for keys of at most ``block_rows`` rows, and they take it:
+one exchange and one sort.  Keys with more rows (at most one in ``block_rows``
+rows is such a key) are found by a map-side count and run in blocks:
 
 1. global positions: the rows are range-partitioned by (key, order), so a hot
    key is split into ordered slices; each slice numbers its rows locally and
    a small table of per-(key, slice) counts turns local numbers into global
-   1-based positions;
+   1-based positions.  The numbered slices are written to the shared folder:
+   both uses see the same slices, also after an executor was lost;
 2. rows are cut into blocks of ``block_rows`` positions per key;
 3. rolling frames of n rows: the last n-1 rows of every block are copied into
    the next block as a halo, the window runs per (key, block) and halo rows
@@ -15,31 +18,51 @@ These variants compute the same results with no partition larger than a block:
    summary; a window over the blocks of a key carries them into neighbouring
    blocks, so gaps that span blocks are filled exactly as in one pass.
 
-Each step is a DataFrame operation (range exchange, hash exchange, small
-aggregates and a join with one row per key and slice).  Results equal ``timeseries``'s.
+Each step is a DataFrame operation.  Results equal ``timeseries``'s; a null key is
+a history of its own, as in a plain window.  The hot keys are counted when the
+plan is made (the driver learns whether there are any, nothing else).
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark import StorageLevel
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from ..session import scratch_path
+from . import timeseries as TS
+
 
 def _list(x) -> list[str]:
     return [x] if isinstance(x, str) else list(x)
 
 
+def _written(df: DataFrame, name: str) -> DataFrame:
+    path = scratch_path(df.sparkSession, name)
+    df.write.parquet(path)
+    return df.sparkSession.read.parquet(path)
+
+
+def split_hot(df: DataFrame, key: str, rows: int) -> tuple[DataFrame, DataFrame | None]:
+    """(others, hot): rows of keys with at most ``rows`` rows, and of the keys with
+    more; hot is None where no key has."""
+    hot = df.groupBy(F.col(key).alias("__hkey")).agg(F.count(F.lit(1)).alias("__n")).filter(F.col("__n") > rows).select("__hkey")
+    if hot.isEmpty():
+        return df, None
+    hot = _written(hot, "hot-keys")  # both joins must agree on them
+    same = F.col(key).eqNullSafe(F.col("__hkey"))
+    return df.join(hot, same, "left_anti"), df.join(hot, same, "left_semi")
+
+
 def global_positions(df: DataFrame, key: str, order: Sequence[str], parts: int | None = None) -> DataFrame:
     """Adds ``__pos``: the 1-based position of each row in its key's order."""
     order = _list(order)
     parts = parts or int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     r = df.repartitionByRange(parts, key, *order).withColumn("__pid", F.spark_partition_id())
     r = r.withColumn("__lpos", F.row_number().over(Window.partitionBy("__pid", key).orderBy(*order)))
-    # both uses below must see the same range bounds: share one persisted copy
-    r = r.persist(StorageLevel.MEMORY_AND_DISK)
+    # both uses below must see the same range bounds
+    r = _written(r, "positions")
     counts = r.groupBy(key, "__pid").agg(F.count(F.lit(1)).alias("__c"))
     # range partitions are ordered, so earlier slices of a key have smaller ids
     before = Window.partitionBy(key).orderBy("__pid").rowsBetween(Window.unboundedPreceding, -1)
@@ -76,7 +99,11 @@ def rolling_blocked(df: DataFrame, key: str, order: Sequence[str], specs: dict[s
     halo = max(n for _, n, _ in specs.values()) - 1
     if halo > block_rows:
         raise ValueError("block_rows must be at least the longest frame")
-    pos = _blocks(global_positions(df, key, order, parts), block_rows)
+    others, hot = split_hot(df, key, block_rows)
+    plain = TS.add_rolling(others, key, _list(order), specs)
+    if hot is None:
+        return plain
+    pos = _blocks(global_positions(hot, key, order, parts), block_rows)
     main = pos.withColumn("__halo", F.lit(False))
     in_tail = ((F.col("__pos") - 1) % block_rows) >= (block_rows - halo)
     extra = pos.filter(in_tail).withColumns({"__blk": F.col("__blk") + 1, "__halo": F.lit(True)}) if halo else None
@@ -84,13 +111,17 @@ def rolling_blocked(df: DataFrame, key: str, order: Sequence[str], specs: dict[s
     w = Window.partitionBy(key, "__blk").orderBy("__pos")
     fns = {"sum": F.sum, "mean": F.avg}
     out = both.withColumns({name: fns[how](c).over(w.rowsBetween(-(n - 1), 0)) for name, (c, n, how) in specs.items()})
-    return out.filter(~F.col("__halo")).drop("__halo", "__blk", "__pos")
+    return plain.unionByName(out.filter(~F.col("__halo")).drop("__halo", "__blk", "__pos"))
 
 
 def interpolate_blocked(df: DataFrame, key: str, order: Sequence[str], cols: Sequence[str],
                         fill_edges: bool = True, block_rows: int = 1_000_000, parts: int | None = None) -> DataFrame:
     """Same as ``timeseries.interpolate`` (non-causal), block-parallel."""
-    pos = _blocks(global_positions(df, key, order, parts), block_rows)
+    others, hot = split_hot(df, key, block_rows)
+    plain = TS.interpolate(others, key, _list(order), cols, fill_edges=fill_edges)
+    if hot is None:
+        return plain
+    pos = _blocks(global_positions(hot, key, order, parts), block_rows)
     w = Window.partitionBy(key, "__blk").orderBy("__pos")
     back = w.rowsBetween(Window.unboundedPreceding, 0)
     fwd = w.rowsBetween(0, Window.unboundedFollowing)
@@ -132,5 +163,5 @@ def interpolate_blocked(df: DataFrame, key: str, order: Sequence[str], cols: Seq
             filled = filled.when(lo_r.isNotNull(), lo_v).otherwise(hi_v)
         exprs[c] = filled
     drop = [k for k in x.columns if k.startswith("__")]
-    return x.withColumns(exprs).drop(*drop)
+    return plain.unionByName(x.withColumns(exprs).drop(*drop))
 

@@ -58,3 +58,28 @@ def test_interpolate_blocked_two_columns_without_edges(spark):
     plain = {(r.st, r.id): (r.v, r.w) for r in TS.interpolate(df, "st", ["d", "id"], ["v", "w"], fill_edges=False).collect()}
     blocked = HK.interpolate_blocked(df, "st", ["d", "id"], ["v", "w"], fill_edges=False, block_rows=40, parts=4).collect()
     assert all(_same(r.v, plain[(r.st, r.id)][0]) and _same(r.w, plain[(r.st, r.id)][1]) for r in blocked)
+
+
+def test_only_hot_keys_run_in_blocks(spark):
+    df = _skewed(spark)
+    others, hot = HK.split_hot(df, "st", 64)
+    assert hot.select("st").distinct().collect()[0].st == "hot" and hot.count() == 600 and others.count() == 1200
+    assert HK.split_hot(df, "st", 600)[1] is None
+    plan = HK.rolling_blocked(df, "st", ["d", "id"], {"s7": ("v", 7, "sum")}, block_rows=600)._jdf.queryExecution().sparkPlan().toString()
+    assert plan.count("Window") == 1 and "Join" not in plan
+
+
+def test_null_key_may_be_hot(spark):
+    df = _skewed(spark).withColumn("st", F.when(F.col("st") != "hot", F.col("st")))  # the hot key is null now
+    specs = {"s7": ("v", 7, "sum")}
+    plain = sorted((r.st or "", r.id, r.s7 if r.s7 is not None else -1) for r in TS.add_rolling(df, "st", ["d", "id"], specs).collect())
+    blocked = HK.rolling_blocked(df, "st", ["d", "id"], specs, block_rows=50, parts=5)
+    assert sorted((r.st or "", r.id, r.s7 if r.s7 is not None else -1) for r in blocked.collect()) == plain
+    filled = {(r.st, r.id): r.v for r in HK.interpolate_blocked(df, "st", ["d", "id"], ["v"], block_rows=50, parts=5).collect()}
+    assert filled == {(r.st, r.id): r.v for r in TS.interpolate(df, "st", ["d", "id"], ["v"]).collect()}
+
+
+def test_empty_table(spark):
+    df = _skewed(spark).filter("id < 0")
+    assert HK.rolling_blocked(df, "st", ["d", "id"], {"s7": ("v", 7, "sum")}, block_rows=50).count() == 0
+    assert HK.interpolate_blocked(df, "st", ["d", "id"], ["v"], block_rows=50).count() == 0
