@@ -14,6 +14,9 @@ of ``CLASS_WORDS`` words, so a word of a class is reached by its group.
 Training is distributed: in every round each task runs gradient steps (with
 per-row step sizes) over its part of the training texts, starting from the
 round's weights, and the tasks' changes are averaged in the cluster by blocks.
+A part has about ``PART_TOKENS`` tokens (or a partition of the files, if that is
+larger), so their number follows the corpus and not the cluster, and a lost
+executor costs the parts that it held.
 All training texts take part, each in one round (a second pass fits the
 training texts at the cost of held-out ones).  Word counts cover all of them;
 only the counts of the known words and one set of weights go through the driver.
@@ -50,6 +53,8 @@ RARE = CLASSES - 1
 CLASS_ROWS, WORD_ROWS = 1 << 14, 1 << 14
 ROUNDS, STEP, BATCH = 2, 0.15, 4096
 BLOCKS = 32
+#: tokens of a part: each sends as much as all weights, however few texts it has
+PART_TOKENS = 1 << 23
 LN10 = np.log(10.0)
 _MIX = np.uint64(0x9E3779B97F4A7C15)
 
@@ -248,7 +253,7 @@ def train_task(texts: Iterator[list[str]], vocabulary: Vocabulary, weights: np.n
     return seen
 
 
-def train_round(train: DataFrame, vocabulary: Vocabulary, w: np.ndarray) -> np.ndarray:
+def train_round(train: DataFrame, vocabulary: Vocabulary, w: np.ndarray, tokens: int) -> np.ndarray:
     """The weights after every task's steps, averaged by the tokens they saw."""
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
@@ -268,8 +273,7 @@ def train_round(train: DataFrame, vocabulary: Vocabulary, w: np.ndarray) -> np.n
                              "change": [total.astype(np.float32).tobytes()]})
 
     schema = "part int, block int, seen double, change binary"
-    # one task a core: each sends as much as all weights, however few texts its partition has
-    tasks = max(1, train.sparkSession.sparkContext.defaultParallelism)
+    tasks = max(1, -(-tokens // PART_TOKENS))
     changes = train.select("text").coalesce(tasks).mapInPandas(run, schema)
     some = changes.groupBy("block", (F.col("part") % math.ceil(math.sqrt(tasks))).alias("lane")).applyInPandas(add, schema)
     rows = some.groupBy("block").applyInPandas(add, schema).collect()  # BLOCKS rows, together one set of weights
@@ -316,7 +320,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", folds
     vocabulary = Vocabulary(top["h"].to_numpy(np.int64), top["c"].to_numpy(np.int64), tokens, types)
     weights = np.zeros(vocabulary.size(), np.float32)
     for k in range(ROUNDS):
-        weights = train_round(train.filter(F.col("round") == k), vocabulary, weights)
+        weights = train_round(train.filter(F.col("round") == k), vocabulary, weights, tokens // ROUNDS)
 
     def run(batches: Iterator[pd.DataFrame]) -> Iterator[pd.DataFrame]:
         for batch in batches:
