@@ -10,9 +10,8 @@ Design for scale
   execution.
 * ``nearest_join`` is an exact k=1 nearest-neighbour join by an equi-join on the
   3x3 cells around each query; queries that the distance does not prove are tried
-  again on larger cells.  It counts the open queries between the levels and
-  broadcasts query blocks that are counted small, which suits a grid of
-  thousands of points over many candidates.
+  again on larger cells.  It counts the open queries between the levels, which
+  suits a grid of thousands of points over many candidates.
 * ``nearest_by_pyramid`` and ``nearest_planar`` are the same in one plan, by
   equi-joins on cells with a pyramid that decides each query's search ring
   before any pair is made: for many queries, uneven densities, or where no job
@@ -42,40 +41,6 @@ from pyspark.sql import functions as F
 from .. import contract as C
 from ..functions.scalar import haversine_km, planar_d2
 
-BROADCAST_ROWS = 2_000_000  # largest side we broadcast after counting it ...
-BROADCAST_BYTES = 256 << 20  # ... and its estimated size
-
-
-def row_bytes(schema) -> int:
-    """Rough in-memory size of one row from its schema (strings and nested
-    values counted generously)."""
-    from pyspark.sql import types as T
-
-    def size(t) -> int:
-        if isinstance(t, (T.ByteType, T.BooleanType)):
-            return 1
-        if isinstance(t, (T.ShortType,)):
-            return 2
-        if isinstance(t, (T.IntegerType, T.FloatType, T.DateType)):
-            return 4
-        if isinstance(t, T.StructType):
-            return sum(size(f.dataType) for f in t.fields) + 8
-        if isinstance(t, (T.ArrayType, T.MapType)):
-            return 256
-        if isinstance(t, (T.StringType, T.BinaryType)):
-            return 32
-        return 8
-
-    return size(schema) + 16
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS, max_bytes: int = BROADCAST_BYTES) -> DataFrame:
-    """Broadcast ``df`` only when a count proves it small (rows and estimated
-    bytes); else leave the join to the planner (sort-merge with AQE)."""
-    limit = min(max_rows, max(1, max_bytes // row_bytes(df.schema)))
-    n = df.limit(limit + 1).count()
-    return F.broadcast(df) if n <= limit else df
-
 
 # ---------------------------------------------------------------- GEO-1 grid
 
@@ -312,7 +277,6 @@ def nearest_join(
                         F.lit(None).cast("double").alias("dist_km"),
                         *[F.lit(None).cast(candidates.schema[p].dataType).alias(p) for p in payload])
     pending = q
-    n_pending = None  # known after the first level
     done: list[DataFrame] = []
     ncols = max(3, math.ceil(360.0 / float(cell)))
     while True:
@@ -326,14 +290,7 @@ def nearest_join(
             cx = cx.withColumn("__s", F.pmod(F.xxhash64("__c"), F.lit(salt)))
             qx = qx.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
             keys.append("__s")
-        # small query blocks (a grid, or the few points left for a later
-        # level) are broadcast and the candidates stream past them unshuffled
-        if n_pending is None:
-            qb = broadcast_if_small(qx)
-        else:
-            rows = n_pending * 9 * max(salt, 1)
-            qb = F.broadcast(qx) if rows <= min(BROADCAST_ROWS, BROADCAST_BYTES // row_bytes(qx.schema)) else qx
-        pairs = qb.join(cx, keys)
+        pairs = qx.join(cx, keys)
         dist = haversine_km("__la", "__lo", "__cla", "__clo", radius)
         best = pairs.withColumn("__d", dist).groupBy(*g, "__q").agg(
             F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w")
@@ -359,7 +316,6 @@ def nearest_join(
                       F.count_if(F.col("__w").isNull()).alias("lonely")).first()
         if not st["n"]:
             break
-        n_pending = st["n"]
         # points with no candidate in their block grow 4x, the others as far as
         # their best distance needs (at least 2x)
         grow = (ncols + 3) // 4 if st["lonely"] else (ncols + 1) // 2
