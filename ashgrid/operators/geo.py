@@ -23,8 +23,11 @@ Design for scale
   around it; no level is tried in vain and nothing is decided by an action while
   the plan is made.  Candidates are read twice, for their cells and for the
   join, where they are only repeated for the levels at which some query's block
-  holds their cell; others are left out.  Ties go to the smaller key by
-  ``min_by``, which is partially aggregated before the shuffle on the query key.
+  holds their cell; others are left out.
+* Both find the least distance of each query by a hash aggregate of one number,
+  then make the pairs again and keep those at that distance; ties among these few
+  go to the smaller key by ``min_by``.  Queries are dealt over
+  ``spark.sql.shuffle.partitions`` tasks, since their pairs are many times their bytes.
   Which side is broadcast, and how a hot cell is split, is left to adaptive
   execution; ``salt`` splits the candidates of every cell on top of that.
 """
@@ -32,7 +35,7 @@ Design for scale
 from __future__ import annotations
 
 import math
-from collections.abc import Sequence
+from collections.abc import Callable, Sequence
 
 from pyspark import StorageLevel
 from pyspark.sql import Column, DataFrame, Window
@@ -213,7 +216,37 @@ def _block(df: DataFrame, ci: Column, cj: Column, ncols: int | None = None) -> D
     return x.withColumns({"__ci": F.col("__ci0") + F.col("__o.di"), "__cj": cjn}).drop("__ci0", "__cj0", "__o")
 
 
-def choose_cell(candidates: DataFrame, lat: str, lon: str, per_cell: float = 32.0,
+def _parts(df: DataFrame) -> int:
+    return int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+
+
+#: distances this close to the least one are compared once more, with their keys
+SLACK = 1 + 1e-9
+
+
+def _best(queries: DataFrame, block: Callable[[DataFrame], DataFrame], near: DataFrame, at: list[str], g: list[str],
+          distance: Column, payload: Sequence[str], most: Column | None = None) -> DataFrame:
+    """(group, __q, __w) with the best candidate in the block of each query.
+
+    The least distance of a query comes first, a number kept in a hash table; only
+    the pairs at that distance are made again and compared by key with ``min_by``,
+    which sorts its input: all pairs together are never sorted."""
+    own = queries.columns
+
+    def pairs(rows: DataFrame, columns: Sequence[str]) -> DataFrame:
+        found = block(rows).join(near.select(*at, "__cla", "__clo", *columns), at).withColumn("__d", distance)
+        return found if most is None else found.filter(most)
+
+    least = pairs(queries, []).groupBy(*own).agg(F.min("__d").alias("__m"))
+    tied = pairs(least, ["__c", *payload]).filter(F.col("__d") <= F.col("__m") * F.lit(SLACK))
+    return tied.groupBy(*g, "__q").agg(F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w"))
+
+
+def _salted(df: DataFrame, salt: int) -> DataFrame:
+    return df if salt <= 1 else df.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
+
+
+def choose_cell(candidates: DataFrame, lat: str, lon: str, per_cell: float = 8.0,
                 lo: float = 0.01, hi: float = 10.0, with_count: bool = False):
     """Cell size (degrees) giving about ``per_cell`` candidates per cell, from
     one small aggregate (count and extent); with ``with_count`` also the count."""
@@ -276,25 +309,20 @@ def nearest_join(
         return q.select(*g, F.col("__q").alias(q_key), F.lit(None).cast(candidates.schema[c_key].dataType).alias("nn_key"),
                         F.lit(None).cast("double").alias("dist_km"),
                         *[F.lit(None).cast(candidates.schema[p].dataType).alias(p) for p in payload])
-    pending = q
+    pending = q.repartition(_parts(q), *g, "__q")  # pairs are many times the bytes that adaptive execution sees
     done: list[DataFrame] = []
     ncols = max(3, math.ceil(360.0 / float(cell)))
     while True:
         final = ncols <= 3  # the block covers the whole sphere
         ci, cj, _ = _cell_cols(F.col("__la"), F.col("__lo"), ncols)
-        qx = _block(pending.select(*g, "__q", "__la", "__lo"), ci, cj, ncols)
         cci, ccj, _ = _cell_cols(F.col("__cla"), F.col("__clo"), ncols)
         cx = cand.withColumns({"__ci": cci, "__cj": ccj})
         keys = [*g, "__ci", "__cj"]
         if salt > 1:
             cx = cx.withColumn("__s", F.pmod(F.xxhash64("__c"), F.lit(salt)))
-            qx = qx.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
             keys.append("__s")
-        pairs = qx.join(cx, keys)
         dist = haversine_km("__la", "__lo", "__cla", "__clo", radius)
-        best = pairs.withColumn("__d", dist).groupBy(*g, "__q").agg(
-            F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w")
-        )
+        best = _best(pending.select(*g, "__q", "__la", "__lo"), lambda x: _salted(_block(x, ci, cj, ncols), salt), cx, keys, g, dist, payload)
         scored = pending.join(best, [*g, "__q"], "left").select(
             *g, "__q", "__la", "__lo", "__w",
             (F.lit(final) | F.coalesce(F.col("__w.__d") < _lower_bound_km(F.col("__la"), F.col("__lo"), ncols, radius),
@@ -386,20 +414,18 @@ def _nearest(q: DataFrame, cand: DataFrame, g: list[str], top: float, finest: in
     cand = _finest_cells(cand, "__cla", "__clo", top, finest, wraps)
     fine, at = [*g, "__fi", "__fj"], [*g, "__l", "__ci", "__cj"]
     held = _all_levels(cand.select(*fine).distinct(), finest)
-    spots = q.select(*fine).distinct().filter(F.col("__fi").isNotNull() & F.col("__fj").isNotNull())
+    n = _parts(q)  # few bytes, many cells and pairs: adaptive execution would put them into one task
+    spots = q.select(*fine).filter(F.col("__fi").isNotNull() & F.col("__fj").isNotNull()).repartition(n, *fine).distinct()
     depth = (_around(_all_levels(spots, finest), wraps).join(held.select(*at).distinct(), at, "left_semi")
              .groupBy(*fine).agg(F.max("__l").alias("__top")))
-    rings = _around(_at_level(q.join(depth, fine).withColumn("__l", level), finest), wraps).drop("__fi", "__fj", "__top")
-    levels = held.join(rings.select(*at).distinct(), at, "left_semi").groupBy(*fine).agg(F.collect_set("__l").alias("__ls"))
+    placed = q.join(depth, fine).withColumn("__l", level).drop("__top").repartition(n, *g, "__q")
+    rings = _around(_at_level(placed.select(*fine, "__l").distinct(), finest), wraps).select(*at).distinct()
+    levels = held.join(rings, at, "left_semi").groupBy(*fine).agg(F.collect_set("__l").alias("__ls"))
     near = _at_level(cand.join(levels, fine).withColumn("__l", F.explode("__ls")).drop("__ls"), finest).drop("__fi", "__fj")
     if salt > 1:
         near = near.withColumn("__s", F.pmod(F.xxhash64("__c"), F.lit(salt)))
-        rings = rings.withColumn("__s", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salt - 1).cast("bigint"))))
         at = [*at, "__s"]
-    pairs = rings.join(near, at).withColumn("__d", distance)
-    if most is not None:
-        pairs = pairs.filter(most)
-    return pairs.groupBy(*g, "__q").agg(F.min_by(F.struct("__c", "__d", *payload), F.struct("__d", "__c")).alias("__w"))
+    return _best(placed, lambda x: _salted(_around(_at_level(x, finest), wraps), salt), near, at, g, distance, payload, most)
 
 
 def nearest_by_pyramid(

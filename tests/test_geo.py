@@ -173,3 +173,18 @@ def test_infer_step_capped(spark):
     assert G.infer_step(df).collect()[0].step == 0.25
     df2 = spark.createDataFrame([(48.0,), (50.0,)], "lat double")
     assert G.infer_step(df2).collect()[0].step == 0.5
+
+
+def test_nearest_takes_the_least_distance_without_sorting_all_pairs(spark):
+    """Only the pairs at the least distance reach ``min_by``, which sorts its input."""
+    q = spark.range(400).selectExpr("id AS k", "50 + id % 20 / 100 AS lat", "-120 + id % 31 / 100 AS lon")
+    c = spark.range(300).selectExpr("id AS sk", "50 + id % 17 / 100 AS lat", "-120 + id % 29 / 100 AS lon")
+    for out in (G.nearest_by_pyramid(q, c, "k", "sk"), G.nearest_planar(q, c, "k", "sk"), G.nearest_join(q, c, "k", "sk")):
+        plan = out._jdf.queryExecution().executedPlan().toString()
+        assert "functions=[partial_min(__d" in plan and "REPARTITION_BY_NUM" in plan
+
+
+def test_nearest_planar_repeated_and_null_keys_are_one_query(spark):
+    q = spark.createDataFrame([(1, 50.0, -120.0), (1, 50.4, -120.0), (None, 50.0, -120.0)], "k long, lat double, lon double")
+    f = spark.createDataFrame([(5, 50.1, -120.0), (4, 50.41, -120.0), (3, 50.1, -120.0)], "pos long, lat double, lon double")
+    assert {r.k: r.nn_pos for r in G.nearest_planar(q, f, "k", "pos").collect()} == {1: 4, None: 3}
