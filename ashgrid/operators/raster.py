@@ -142,10 +142,11 @@ def sample_points(tiles: DataFrame, points: DataFrame, lat: str = "lat", lon: st
 
     boxes = (tiles.select(named.alias("__t")).distinct().withColumn("__ci", F.explode(cells(ys)))
              .withColumn("__cj", F.explode(cells(xs))).withColumns({n: F.col(f"__t.{n}") for n in by}))
+    # a few bytes a point, but a row for every tile over it: adaptive execution would put millions of points into one task
     pk = points.select(
         F.col(key), *by, F.col(lat).alias("__y"), F.col(lon).alias("__x"),
         F.floor(F.col(lat) / cell).cast("bigint").alias("__ci"), F.floor(F.col(lon) / cell).cast("bigint").alias("__cj"),
-    )
+    ).repartition(int(points.sparkSession.conf.get("spark.sql.shuffle.partitions")), key, "__y", "__x")
     det = a * e - b * d
     colf = (e * (F.col("__x") - c) - b * (F.col("__y") - f)) / det
     rowf = (a * (F.col("__y") - f) - d * (F.col("__x") - c)) / det

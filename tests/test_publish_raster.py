@@ -109,3 +109,13 @@ def test_sampling_inverts_a_sheared_affine(spark):
     pts = px.select((F.col("row") * 10 + F.col("col")).alias("k"), "lat", "lon", F.col("value").alias("expect"))
     got = RA.sample_points(tiles, pts, "lat", "lon", "k").join(pts, "k").collect()
     assert len(got) == 12 and all(r.value == r.expect for r in got)
+
+
+def test_sampled_points_are_dealt_over_tasks(spark):
+    """Points are few bytes, but a row for every tile over them."""
+    tiles = spark.createDataFrame([(1, 2, 2, 1.0, 0.0, 0.0, 0.0, -1.0, 2.0, 4326, -1.0, [1.0, 2.0, 3.0, 4.0])],
+                                  "tile long, rows int, cols int, a double, b double, c double, d double, e double, f double, epsg int, nodata double, `values` array<double>")
+    pts = spark.range(200).selectExpr("id AS k", "id % 20 / 10 + 0.05 AS lat", "id % 10 / 5 + 0.05 AS lon").coalesce(1)
+    out = RA.sample_points(tiles, pts, "lat", "lon", "k")
+    assert "REPARTITION_BY_NUM" in out._jdf.queryExecution().executedPlan().toString()
+    assert out.count() == 200
