@@ -202,7 +202,9 @@ def feature_group_ab(spark: SparkSession, sf_dir: str) -> DataFrame:
         "max_temp": F.col("mean_temp") / 10 + 273.15, "mean_dewpoint": F.col("precipitation_sum") / 100 + 273.15})
     base = training.derive(training.clean(raw), winds={"average_wind_speed": ("we", "wn")}, drought=True, humidity=True)
     y = F.least(F.lit(5), F.greatest(F.lit(1), 1 + F.floor(F.col("temp_7day_mean") / 80))).cast("int")
-    df = base.withColumn(LABEL, y).na.drop()
+    path = scratch_path(spark, "feature-groups")
+    base.withColumn(LABEL, y).na.drop().write.parquet(path)  # four fits read it
+    df = spark.read.parquet(path)
     c = F.lit(CUT).cast("date")
     out = None
     for name, extra in (("base", []), ("drought", C.DROUGHT_FEATURES), ("humidity", C.HUMIDITY_FEATURES),

@@ -3,11 +3,14 @@
 Training data stays distributed: VectorAssembler and the tree/linear learners
 run as Spark jobs; metrics are the one-pass aggregates of ``metrics``.  The
 only values brought to the driver are model metadata (importances, node
-counts), whose size is the number of features.
+counts), whose size is the number of features.  Forests keep the node of every
+row and tree (``cacheNodeIds``): a level costs one look instead of a walk from
+the root, and the trees are the same.
 """
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.ml import Pipeline, PipelineModel
@@ -20,6 +23,7 @@ from pyspark.sql import functions as F
 
 from .. import contract as C
 from ..functions.scalar import clip_round_rating
+from ..session import scratch_path
 from . import metrics as M
 
 LABEL = "DANGER_RATING"
@@ -41,7 +45,7 @@ def rf_classifier(features: Sequence[str], trees: int = 100, depth: int = 25, mi
     MLlib caps depth at 30 and bins features (``max_bins``)."""
     rf = RandomForestClassifier(
         featuresCol="features", labelCol="__y", numTrees=trees, maxDepth=min(depth, 30),
-        minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", maxBins=max_bins, seed=seed,
+        minInstancesPerNode=min_leaf, featureSubsetStrategy="sqrt", maxBins=max_bins, seed=seed, cacheNodeIds=True,
         **({"weightCol": weight} if weight else {}),
     )
     return Pipeline(stages=[assembler(features), rf])
@@ -49,7 +53,7 @@ def rf_classifier(features: Sequence[str], trees: int = 100, depth: int = 25, mi
 
 # ML-6
 def rf_regressor(features: Sequence[str], trees: int = 100, seed: int = 42) -> Pipeline:
-    rf = RandomForestRegressor(featuresCol="features", labelCol="__y", numTrees=trees, seed=seed)
+    rf = RandomForestRegressor(featuresCol="features", labelCol="__y", numTrees=trees, seed=seed, cacheNodeIds=True)
     return Pipeline(stages=[assembler(features), rf])
 
 
@@ -84,8 +88,30 @@ def ridge(features: Sequence[str], train: DataFrame, alpha: float = 1.0) -> Pipe
     return Pipeline(stages=[assembler(features), lr])
 
 
+#: a training part has at least so many rows where cores are idle, and at most so many
+LEAST_ROWS, MOST_ROWS = 1 << 14, 1 << 19
+
+
+def spread(train: DataFrame) -> DataFrame:
+    """Training rows in parts enough for the cores and none too large, where they lie
+    in fewer (a table of a few files would train on a few cores)."""
+    r = train.groupBy(F.spark_partition_id().alias("part")).count().agg(F.coalesce(F.sum("count"), F.lit(0)).alias("n"), F.count("part").alias("parts")).first()
+    cores = train.sparkSession.sparkContext.defaultParallelism
+    parts = max(min(cores, math.ceil(r["n"] / LEAST_ROWS)), math.ceil(r["n"] / MOST_ROWS))
+    return train.repartition(parts) if parts > r["parts"] else train
+
+
 def fit(pipe: Pipeline, train: DataFrame, label: str = LABEL) -> PipelineModel:
-    return pipe.fit(_label(train, label))
+    """A forest reads its rows several times before it keeps them (classes, counts,
+    split points, bags), so their plan runs once and writes them to the shared folder."""
+    df = _label(train, label)
+    learner = pipe.getStages()[-1]
+    if not isinstance(learner, (RandomForestClassifier, RandomForestRegressor)):
+        return pipe.fit(df)
+    used = [*pipe.getStages()[0].getInputCols(), "__y", *([learner.getWeightCol()] if learner.isSet("weightCol") else [])]
+    path = scratch_path(df.sparkSession, "forest-rows")
+    df.select(*dict.fromkeys(used)).write.parquet(path)
+    return pipe.fit(spread(df.sparkSession.read.parquet(path)))
 
 
 # ML-13

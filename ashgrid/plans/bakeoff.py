@@ -44,6 +44,13 @@ class Prepared:
 def prepare(train: DataFrame, test: DataFrame, features: Sequence[str], label: str = ML.LABEL, bins: int = BINS) -> Prepared:
     features = list(features)
     spark = train.sparkSession
+
+    def once(df: DataFrame, name: str) -> DataFrame:  # both sides are read several times below
+        path = scratch_path(spark, f"bakeoff-rows-{name}")
+        df.select(*features, label).write.parquet(path)
+        return spark.read.parquet(path)
+
+    train, test = once(train, "train"), once(test, "test")
     cut = QuantileDiscretizer(numBuckets=bins, inputCols=features, outputCols=[f"__b_{c}" for c in features], handleInvalid="keep").fit(train)
     weights = M.balanced_weights(train, label).groupBy(label).agg(F.first("w").alias("w"))
 
@@ -61,12 +68,12 @@ def prepare(train: DataFrame, test: DataFrame, features: Sequence[str], label: s
          .select(F.col(label).cast("int").alias("y"), (F.col(label).cast("double") - 1).alias("__y"), "w", "bins", "scores").write.parquet(path))
         return spark.read.parquet(path)
 
-    return Prepared(write(train, "train"), write(test, "test"), features)
+    return Prepared(ML.spread(write(train, "train")), write(test, "test"), features)
 
 
 def forest(trees: int, depth: int, min_leaf: int, weighted: bool, seed: int = 42) -> RandomForestClassifier:
     rf = RandomForestClassifier(featuresCol="bins", labelCol="__y", numTrees=trees, maxDepth=min(depth, 30), minInstancesPerNode=min_leaf,
-                                featureSubsetStrategy="sqrt", maxBins=BINS + 2, seed=seed)
+                                featureSubsetStrategy="sqrt", maxBins=BINS + 2, seed=seed, cacheNodeIds=True)
     return rf.setWeightCol("w") if weighted else rf
 
 
@@ -77,7 +84,7 @@ def models(depth: int = 30, trees: int = TREES, balanced_trees: int = BALANCED_T
         "linear": LinearRegression(featuresCol="scores", labelCol="__y", solver="normal"),
         "ridge": "ridge",
         "forest_regressor": RandomForestRegressor(featuresCol="bins", labelCol="__y", numTrees=trees, maxDepth=min(depth, 30),
-                                                  featureSubsetStrategy="all", maxBins=BINS + 2, seed=42),
+                                                  featureSubsetStrategy="all", maxBins=BINS + 2, seed=42, cacheNodeIds=True),
         "forest": forest(trees, depth, 1, True),
         "balanced_forest": forest(balanced_trees, depth, 1, True),
     }
@@ -97,9 +104,11 @@ def _fit_and_score(name: str, estimator, data: Prepared) -> tuple[str, DataFrame
     began = time.time()
     model = estimator.fit(data.train)
     seconds = time.time() - began
-    scored = model.transform(data.test).select("y", (F.col("prediction") + 1).alias("raw"))
+    scored = model.transform(data.test).select("y", (F.col("prediction") + 1).alias("raw")).withColumn("p", clip_round_rating("raw"))
     nodes = int(model.totalNumNodes) if hasattr(model, "totalNumNodes") else None
-    return name, scored.withColumn("p", clip_round_rating("raw")), seconds, nodes
+    path = scratch_path(data.test.sparkSession, f"bakeoff-scored-{name}")
+    scored.write.parquet(path)  # several measures read it, the trees are walked once
+    return name, data.test.sparkSession.read.parquet(path), seconds, nodes
 
 
 def _measured(scored: DataFrame, regression: bool) -> DataFrame:

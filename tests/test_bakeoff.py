@@ -5,6 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
+from ashgrid.operators import models as ML
 from ashgrid.plans import bakeoff as BO
 
 
@@ -57,3 +58,28 @@ def test_side_by_side_passes_errors_on(spark):
     with pytest.raises(ZeroDivisionError):
         BO.side_by_side([lambda: 1, lambda: 1 // 0], spark)
     assert BO.side_by_side([lambda i=i: spark.range(i).agg(F.sum("id")).head()[0] for i in (3, 4)], spark) == [3, 6]
+
+
+def _learnable(spark, rows):
+    a, b = F.col("id") % 97, F.col("id") * 31 % 89
+    df = spark.range(rows).select(a.cast("double").alias("a"), b.cast("double").alias("b"), (a * 5 / 97 + 1).cast("int").alias("DANGER_RATING"), F.lit(1.0).alias("w"))
+    return df.coalesce(1)
+
+
+def test_forest_rows_are_dealt_over_the_cores(spark):
+    """A table of one part trains in several; a small one stays as it is."""
+    parts = lambda df: df.select(F.spark_partition_id()).distinct().count()
+    assert parts(ML.spread(_learnable(spark, 60_000))) == min(spark.sparkContext.defaultParallelism, 4)
+    assert parts(ML.spread(_learnable(spark, 2_000))) == 1
+    assert ML.spread(_learnable(spark, 0)).count() == 0
+
+
+def test_forests_keep_the_nodes_of_their_rows_and_stay_the_same(spark):
+    df = _learnable(spark, 1500)
+    pipe = ML.rf_classifier(["a", "b"], 5, 12, 2)
+    learners = [pipe.getStages()[-1], ML.rf_regressor(["a", "b"]).getStages()[-1], BO.forest(5, 12, 2, True), BO.models()["forest_regressor"]]
+    assert all(x.getCacheNodeIds() for x in learners)
+    kept = ML.fit(pipe, df)
+    pipe.getStages()[-1].setCacheNodeIds(False)
+    plain = pipe.fit(df.withColumn("__y", F.col("DANGER_RATING").cast("double") - 1))
+    assert kept.stages[-1].toDebugString.split("\n")[1:] == plain.stages[-1].toDebugString.split("\n")[1:]
