@@ -1,11 +1,14 @@
 """Language-model scoring by a hashed maximum-entropy model.
 
 The probability of a word is that of its class times that of the word in its
-class.  Classes and the words of the head classes are log-linear in hashed
-features of the three words before: each of them (n-gram and skips) and the pair
-next to the word.  The next known words by count form classes of similar
-frequency, all other words one class; inside those a word has its share of the
-class's counts, in the last one with one added and one place for unseen words.
+class.  Head classes form families of ``FAMILY`` classes; a choice among the
+families and the other classes comes first, then one among the classes of a
+family, so no softmax is wide.  These choices and the words of the head classes
+are log-linear in hashed features of the three words before: each of them
+(n-gram and skips) and the pair next to the word.  The next known words by count
+form classes of similar frequency, all other words one class; inside those a
+word has its share of the class's counts, in the last one with one added and one
+place for unseen words.
 
 The model grows with the corpus: for every ``TYPES`` distinct words the hashed
 tables have their least number of rows once more and a head class one more group
@@ -50,9 +53,15 @@ HEAD_CLASSES, CLASS_WORDS, MID_CLASSES = 64, 32, 8
 HEAD = HEAD_CLASSES * CLASS_WORDS
 CLASSES = HEAD_CLASSES + MID_CLASSES + 1
 RARE = CLASSES - 1
+#: classes of a family, and what the first choice is among
+FAMILY = 8
+FAMILIES = HEAD_CLASSES // FAMILY
+CHOICES = FAMILIES + CLASSES - HEAD_CLASSES
 CLASS_ROWS, WORD_ROWS = 1 << 14, 1 << 14
-ROUNDS, STEP, BATCH = 2, 0.15, 4096
+ROUNDS, STEP, BATCH = 2, 0.1, 4096
 BLOCKS = 32
+#: upper bits of a hash that lead to the first known word with them
+PLACES = 20
 #: tokens of a part: each sends as much as all weights, however few texts it has
 PART_TOKENS = 1 << 23
 LN10 = np.log(10.0)
@@ -118,8 +127,10 @@ class Vocabulary:
         size[RARE] = tokens - c.sum()
         by_hash = np.argsort(h.view(np.uint64))
         self.h, self.c, self.rank, self.classes = h.view(np.uint64)[by_hash], c[by_hash], rank[by_hash], classes[by_hash]
-        self.class_log = np.log(np.maximum(size, 0.5) / max(tokens, 1)).astype(np.float32)
-        self.class_log -= np.logaddexp.reduce(self.class_log)
+        share = np.maximum(size, 0.5) / np.maximum(size, 0.5).sum()
+        families = share[:HEAD_CLASSES].reshape(FAMILIES, FAMILY)
+        self.choice_log = np.log(np.r_[families.sum(axis=1), share[HEAD_CLASSES:]]).astype(np.float32)
+        self.family_log = np.log(families / families.sum(axis=1, keepdims=True)).astype(np.float32)
         inside = np.zeros(head)
         inside[:min(head, len(c))] = c[:head]
         with np.errstate(divide="ignore"):
@@ -127,36 +138,51 @@ class Vocabulary:
             self.group_log = np.log(inside.reshape(HEAD_CLASSES, self.groups, CLASS_WORDS).sum(axis=2)).astype(np.float32)
         self.mid_log = (np.log(c) - np.log(size[classes]))[by_hash]
         self.rare_log = float(np.log(size[RARE] + (types - len(h)) + 1))
+        self.first = np.zeros(1 << PLACES, np.int32)
+        self.first[self.h[::-1] >> np.uint64(64 - PLACES)] = np.arange(len(self.h))[::-1]
 
     def find(self, tokens: np.ndarray) -> np.ndarray:
-        """Row of each token, -1 for others."""
+        """Row of each token, -1 for others: the first row with its upper bits, searched on where that is another's."""
         if not len(self.h):
             return np.full(len(tokens), -1)
-        at = np.minimum(np.searchsorted(self.h, tokens), len(self.h) - 1)
-        return np.where(self.h[at] == tokens, at, -1)
+        at = self.first[tokens >> np.uint64(64 - PLACES)].astype(np.int64)
+        other = np.flatnonzero(self.h[at] != tokens)
+        if other.size:
+            near = np.minimum(np.searchsorted(self.h, tokens[other]), len(self.h) - 1)
+            at[other] = np.where(self.h[near] == tokens[other], near, -1)
+        return at
 
     def shapes(self) -> list[tuple[int, int]]:
-        """Rows and columns of the weights of classes, of the words of a group and of the groups of a class."""
-        rows = [(CLASS_ROWS * self.groups, CLASSES), (WORD_ROWS * self.groups, CLASS_WORDS)]
+        """Rows and columns of the weights of classes (the first choice and the classes
+        of a family), of the words of a group and of the groups of a class."""
+        rows = [(CLASS_ROWS * self.groups, CHOICES + FAMILY), (WORD_ROWS * self.groups, CLASS_WORDS)]
         return rows + [(WORD_ROWS * self.groups, self.groups)] * (self.groups > 1)
 
     def size(self) -> int:
         return sum(n * m for n, m in self.shapes())
 
     def tables(self, weights: np.ndarray) -> list[np.ndarray]:
-        """Views of the parts of one set of weights."""
-        ends = np.cumsum([n * m for n, m in self.shapes()])
-        return [x.reshape(shape) for x, shape in zip(np.split(weights[:ends[-1]], ends[:-1]), self.shapes())]
+        """Views of the parts of one set of weights: first choice, classes of a family, words, groups."""
+        (n, _), *more = self.shapes()
+        parts = [(n, CHOICES), (n, FAMILY), *more]
+        ends = np.cumsum([n * m for n, m in parts])
+        return [x.reshape(shape) for x, shape in zip(np.split(weights[:ends[-1]], ends[:-1]), parts)]
 
     def levels(self, classes: np.ndarray, ranks: np.ndarray) -> list[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
         """Of words of the head: table, key of the choice, its logs by count, and the place chosen."""
-        group = ranks // CLASS_WORDS
-        out = [(1, group, self.word_log[group], ranks % CLASS_WORDS)]
+        group, family = ranks // CLASS_WORDS, classes // FAMILY
+        out = [(1, family, self.family_log.take(family, axis=0), classes % FAMILY),
+               (2, group, self.word_log.take(group, axis=0), ranks % CLASS_WORDS)]
         if self.groups > 1:
-            out.append((2, -1 - classes, self.group_log[classes], group % self.groups))
+            out.append((3, -1 - classes, self.group_log.take(classes, axis=0), group % self.groups))
         return out
 
 
+def choices(classes: np.ndarray) -> np.ndarray:
+    """Place of each class in the first choice."""
+    return np.where(classes < HEAD_CLASSES, classes // FAMILY, classes - (HEAD_CLASSES - FAMILIES))
+
+
 def contexts(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
     """Hashed features of every position: one, two and three words back, and the last two together."""
     first = np.repeat(np.cumsum(counts) - counts, counts)
@@ -169,7 +195,8 @@ def contexts(tokens: np.ndarray, counts: np.ndarray) -> np.ndarray:
 
 
 def rows_of(features: np.ndarray, rows: int) -> np.ndarray:
-    return ((features >> np.uint64(7)) % np.uint64(rows)).astype(np.uint16 if rows <= 1 << 16 else np.uint32)
+    high = features >> np.uint64(7)
+    return (high % np.uint64(rows) if rows & rows - 1 else high & np.uint64(rows - 1)).astype(np.uint16 if rows <= 1 << 16 else np.uint32)
 
 
 def inner_rows(features: np.ndarray, keys: np.ndarray, rows: int) -> np.ndarray:
@@ -178,39 +205,63 @@ def inner_rows(features: np.ndarray, keys: np.ndarray, rows: int) -> np.ndarray:
     return rows_of(x ^ (x >> np.uint64(29)), rows)
 
 
-def pulls(weights: np.ndarray, rows: np.ndarray) -> np.ndarray:
-    """Sum of the weights of each example's features."""
-    out = weights[rows[:, 0]]
+def pulls(weights: np.ndarray, rows: np.ndarray, logs: np.ndarray) -> np.ndarray:
+    """Logits: the logs by count and the weights of each example's features."""
+    out = weights.take(rows[:, 0], axis=0)
     for k in range(1, rows.shape[1]):
-        out += weights[rows[:, k]]
+        out += weights.take(rows[:, k], axis=0)
+    out += logs
     return out
 
 
-def log_softmax(x: np.ndarray) -> np.ndarray:
+def exponentials(x: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Logits, their exponentials and the sum of each row; rows are shifted by their
+    largest value where single precision would not hold them."""
+    one = np.ones(x.shape[1], x.dtype)
+    if x.max() < 60:
+        e = np.exp(x)
+        total = e @ one
+        if total.min() > 1e-30:
+            return x, e, total
     x = x - x.max(axis=1, keepdims=True)
-    x -= np.log(np.exp(x).sum(axis=1, keepdims=True))
-    return x
+    e = np.exp(x)
+    return x, e, e @ one
+
+
+def log_chosen(x: np.ndarray, place: np.ndarray) -> np.ndarray:
+    """ln of the chosen place's share of each row."""
+    x, _, total = exponentials(x)
+    return x[np.arange(len(x)), place].astype(np.float64) - np.log(total)
 
 
 def softmax(x: np.ndarray) -> np.ndarray:
-    x -= x.max(axis=1, keepdims=True)
-    np.exp(x, out=x)
-    x /= x.sum(axis=1, keepdims=True)
-    return x
-
-
-def sums_of_runs(values: np.ndarray, starts: np.ndarray) -> np.ndarray:
-    """Sum of each run of rows: short runs place by place, all at once; the few
-    long ones each on its own (several times faster than ``reduceat``)."""
-    n = np.diff(np.r_[starts, len(values)])
-    total = values[starts]
-    k, more = 1, np.flatnonzero(n > 1)
-    while more.size > 64:
-        total[more] += values[starts[more] + k]
+    _, e, total = exponentials(x)
+    e *= (1 / total)[:, None]
+    return e
+
+
+def sums_of_runs(values: np.ndarray, picked: np.ndarray, starts: np.ndarray) -> np.ndarray:
+    """Sum of each run of picked rows: short runs place by place, longest first (several
+    times faster than ``reduceat``); what is left of the few long ones run by run."""
+    n = np.diff(starts, append=len(picked))
+    total = values.take(picked[starts], axis=0)
+    more = np.flatnonzero(n > 1)
+    if not more.size:
+        return total
+    more = more[np.argsort(-np.minimum(n[more], 1 << 15).astype(np.int16), kind="stable")]
+    at, size = starts[more], n[more]
+    part = total.take(more, axis=0)
+    k, m = 1, len(more)
+    while m > 64:
+        part[:m] += values.take(picked[at[:m] + k], axis=0)
         k += 1
-        more = more[n[more] > k]
-    for i in more:
-        total[i] += values[starts[i] + k:starts[i] + n[i]].sum(axis=0)
+        m = int(np.searchsorted(-size[:m], -k))
+    if m:
+        left = size[:m] - k
+        first = np.cumsum(left) - left
+        rest = np.repeat(at[:m] + k - first, left) + np.arange(left.sum())
+        part[:m] += np.add.reduceat(values.take(picked[rest], axis=0), first, axis=0)
+    total[more] = part
     return total
 
 
@@ -219,11 +270,13 @@ def gradient_step(weights: np.ndarray, scale: np.ndarray, rows: np.ndarray, slop
     flat = rows.reshape(-1)
     order = np.argsort(flat, kind="stable")  # a radix sort while the rows are 16-bit numbers
     ordered = flat[order]
-    starts = np.flatnonzero(np.r_[True, ordered[1:] != ordered[:-1]])
-    total = sums_of_runs(slope[order // rows.shape[1]], starts)
+    starts = np.r_[0, np.flatnonzero(ordered[1:] != ordered[:-1]) + 1]
+    total = sums_of_runs(slope, order // rows.shape[1], starts)
     own = ordered[starts]
-    scale[own] += np.square(total).mean(axis=1)
-    weights[own] -= (STEP / np.sqrt(scale[own]))[:, None] * total
+    scale[own] = moved = scale[own] + np.einsum("ij,ij->i", total, total) / np.float32(total.shape[1])
+    total *= (STEP / np.sqrt(moved))[:, None]
+    row = np.dtype((np.void, weights.itemsize * weights.shape[1]))  # rows are put back whole
+    weights.view(row)[own, 0] = (weights.take(own, axis=0) - total).view(row)[:, 0]
 
 
 def train_task(texts: Iterator[list[str]], vocabulary: Vocabulary, weights: np.ndarray) -> int:
@@ -240,14 +293,14 @@ def train_task(texts: Iterator[list[str]], vocabulary: Vocabulary, weights: np.n
         for at in range(0, len(tokens), BATCH):
             f, c, r = features[at:at + BATCH], classes[at:at + BATCH], ranks[at:at + BATCH]
             rows = rows_of(f, len(tables[0]))
-            p = softmax(vocabulary.class_log + pulls(tables[0], rows))
-            p[np.arange(len(c)), c] -= 1
+            p = softmax(pulls(tables[0], rows, vocabulary.choice_log))
+            p[np.arange(len(c)), choices(c)] -= 1
             gradient_step(tables[0], scales[0], rows, p)
             head = np.flatnonzero(r < vocabulary.head)
             if head.size:
                 for k, keys, logs, place in vocabulary.levels(c[head], r[head]):
                     rows = inner_rows(f[head], keys, len(tables[k]))
-                    p = softmax(logs + pulls(tables[k], rows))
+                    p = softmax(pulls(tables[k], rows, logs))
                     p[np.arange(len(head)), place] -= 1
                     gradient_step(tables[k], scales[k], rows, p)
     return seen
@@ -294,12 +347,11 @@ def log_probabilities(tokens: np.ndarray, counts: np.ndarray, found: np.ndarray,
         c, r = np.full(len(k), RARE), np.full(len(k), v.head)
         if len(v.h):
             c, r = np.where(known, v.classes[k], RARE), np.where(known, v.rank[k], v.head)
-        p = log_softmax(v.class_log + pulls(tables[0], rows_of(f, len(tables[0]))))[np.arange(len(c)), c].astype(np.float64)
+        p = log_chosen(pulls(tables[0], rows_of(f, len(tables[0])), v.choice_log), choices(c))
         head = np.flatnonzero(r < v.head)
         if head.size:
             for n, keys, logs, place in v.levels(c[head], r[head]):
-                inside = log_softmax(logs + pulls(tables[n], inner_rows(f[head], keys, len(tables[n]))))
-                p[head] += inside[np.arange(len(head)), place]
+                p[head] += log_chosen(pulls(tables[n], inner_rows(f[head], keys, len(tables[n])), logs), place)
         mid = np.flatnonzero(known & (r >= v.head))
         p[mid] += v.mid_log[k[mid]] if mid.size else 0
         p[~known] -= v.rare_log

@@ -454,6 +454,41 @@ def test_language_model_grows_with_the_types(monkeypatch):
     assert ln[last].mean() > -0.3
 
 
+def test_language_model_chooses_among_few():
+    """No choice has more than 32 places; families and their classes give the shares of the classes."""
+    rng = np.random.default_rng(4)
+    c = np.sort(rng.integers(1, 500, 9000))[::-1].copy()
+    v = maxent_lm.Vocabulary(rng.integers(-2**62, 2**62, 9000), c, int(c.sum()) + 10, 9003)
+    tables = v.tables(np.zeros(v.size(), np.float32))
+    assert max(t.shape[1] for t in tables) <= 32 and sum(t.size for t in tables) == v.size()
+    classes = np.arange(maxent_lm.CLASSES)
+    first = v.choice_log[maxent_lm.choices(classes)].astype(float)
+    head = classes[:maxent_lm.HEAD_CLASSES]
+    first[head] += v.family_log[head // maxent_lm.FAMILY, head % maxent_lm.FAMILY]
+    size = np.maximum(np.bincount(v.classes, v.c, maxent_lm.CLASSES), 0.5)
+    size[maxent_lm.RARE] = 10
+    assert np.allclose(np.exp(first), size / size.sum(), rtol=1e-4)
+    known = v.h[[0, 5, 8999]]
+    assert list(v.find(np.append(known, known[0] ^ np.uint64(1)))) == [0, 5, 8999, -1]
+
+
+def test_language_model_sums_and_shares():
+    """Sums of runs against a loop; shares of rows that single precision cannot exponentiate."""
+    rng = np.random.default_rng(5)
+    for n in (1, 7, 400, 20_000):
+        runs = np.sort(rng.zipf(1.2, n) % 3000)
+        values, picked = rng.standard_normal((n, 9)).astype(np.float32), rng.integers(0, n, n)
+        starts = np.r_[0, np.flatnonzero(np.diff(runs)) + 1]
+        expected = [values[picked[a:b]].astype(float).sum(axis=0) for a, b in zip(starts, np.r_[starts[1:], n])]
+        assert np.allclose(maxent_lm.sums_of_runs(values, picked, starts), expected, rtol=1e-4, atol=1e-2)
+    x = np.array([[200, 199, -np.inf], [-300, -300, -301], [1, 2, 3]], np.float32)
+    shifted = np.exp(x.astype(float) - x.max(axis=1, keepdims=True))
+    shares = shifted / shifted.sum(axis=1, keepdims=True)
+    assert np.allclose(maxent_lm.softmax(x.copy()), shares, atol=1e-6)
+    assert np.allclose(maxent_lm.softmax(x[2:].copy()), shares[2:], atol=1e-6)
+    assert np.allclose(np.exp(maxent_lm.log_chosen(x.copy(), np.array([1, 2, 0]))), shares[[0, 1, 2], [1, 2, 0]])
+
+
 RAW_PAGES = [
     ("<p>one</p><svg class=icon/><p>two</p>", "one\ntwo"), ("<p>one</p><svg><p>three</p>", "one\nthree"),
     ("<p>one <svg><title>no</title><text>no</text></svg>two</p>", "one two"), ("<p>value <math><mi>x</mi><mo>=</mo><mn>2</mn></math> end</p>", "value x=2 end"),
