@@ -62,8 +62,8 @@ def temporal_validation(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Temporal holdout report: exact / within-one / kappa / bias overall, by
     region and by official class, as one long table."""
     from ..plans import validation
-    from .learning import ML_FEATURES
+    from .learning import ML_FEATURES, _labelled_rows
 
-    df = _labelled(spark, sf_dir).join(FX.points(spark, sf_dir).select(F.col("k").alias("st"), "la", "lo"), "st")
+    df = _labelled_rows(spark, sf_dir).join(FX.points(spark, sf_dir).select(F.col("k").alias("st"), "la", "lo"), "st")
     scored = validation.fit_and_score(df, ML_FEATURES, LABEL, "d", CUT, trees=100, depth=25, min_leaf=50)
     return validation.write_report(scored, scratch_path(spark, "validation"), LABEL, lat="la", lon="lo")["summary"]

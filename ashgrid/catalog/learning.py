@@ -42,12 +42,23 @@ def _labelled(spark, sf_dir) -> DataFrame:
     return sf.withColumn(LABEL, y)
 
 
-def _split(spark, sf_dir):
-    df = _labelled(spark, sf_dir)
+def _labelled_rows(spark, sf_dir) -> DataFrame:
+    """The training table written once: a forest's weights, its rows and the rows
+    that it scores would each compute the features again."""
+    path = scratch_path(spark, "labelled")
+    _labelled(spark, sf_dir).write.parquet(path)
+    return spark.read.parquet(path)
+
+
+def _sides(df: DataFrame) -> tuple[DataFrame, DataFrame]:
     c = F.lit(CUT).cast("date")
     return df.filter(F.col("d") < c), df.filter(F.col("d") >= c)
 
 
+def _split(spark, sf_dir):
+    return _sides(_labelled(spark, sf_dir))
+
+
 def _weighted(df: DataFrame) -> DataFrame:
     return M.balanced_weights(df, LABEL)
 
@@ -70,7 +81,7 @@ def balanced_training(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _fit_rf(spark, sf_dir, trees=100, depth=25, min_leaf=50):
-    train, test = _split(spark, sf_dir)
+    train, test = _sides(_labelled_rows(spark, sf_dir))
     model = ML.fit(ML.rf_classifier(ML_FEATURES, trees, depth, min_leaf), _weighted(train))
     return model, test
 
@@ -86,7 +97,7 @@ def rf_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("rf_regressor")
 def rf_regressor(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-6: forest regressor, then half-even round and clip to 1..5."""
-    train, test = _split(spark, sf_dir)
+    train, test = _sides(_labelled_rows(spark, sf_dir))
     model = ML.fit(ML.rf_regressor(ML_FEATURES, trees=100), train)
     return ML.score(model, test).select("st", "d", LABEL, "prediction_level")
 
@@ -130,9 +141,8 @@ def bakeoff_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BO.bakeoff(data, chosen)[1]
 
 
-def _saved_model(spark, sf_dir) -> tuple[str, PipelineModel]:
-    df = _weighted(_labelled(spark, sf_dir))
-    model = ML.fit(ML.rf_classifier(ML_FEATURES, 100, 25, 50), df)
+def _saved_model(spark, rows: DataFrame) -> tuple[str, PipelineModel]:
+    model = ML.fit(ML.rf_classifier(ML_FEATURES, 100, 25, 50), _weighted(rows))
     path = scratch_path(spark, "model")
     model.write().overwrite().save(path)
     return path, model
@@ -141,7 +151,7 @@ def _saved_model(spark, sf_dir) -> tuple[str, PipelineModel]:
 @register("refit_full")
 def refit_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-12: after validation, refit on all rows and save."""
-    path, model = _saved_model(spark, sf_dir)
+    path, model = _saved_model(spark, _labelled_rows(spark, sf_dir))
     size = ML.model_size(model)
     return spark.range(1).select(F.lit(path).alias("path"), F.lit(size["trees"]).alias("trees"),
                                  F.lit(size["total_nodes"]).alias("total_nodes"))
@@ -150,23 +160,25 @@ def refit_full(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("model_save")
 def model_save(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SNK-8: the saved model directory (listed stage by stage)."""
-    path, _ = _saved_model(spark, sf_dir)
+    path, _ = _saved_model(spark, _labelled_rows(spark, sf_dir))
     return spark.read.json(f"{path}/stages/*/metadata").select("class", "uid")
 
 
 @register("model_load")
 def model_load(spark: SparkSession, sf_dir: str) -> DataFrame:
     """SRC-9: load a saved model and score with it."""
-    path, _ = _saved_model(spark, sf_dir)
+    rows = _labelled_rows(spark, sf_dir)
+    path, _ = _saved_model(spark, rows)
     model = PipelineModel.load(path)
-    return ML.score(model, _labelled(spark, sf_dir)).select("st", "d", "prediction_level")
+    return ML.score(model, rows).select("st", "d", "prediction_level")
 
 
 @register("score_table")
 def score_table(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-13: every station-day scored with the loaded model, risk 1..5."""
-    path, _ = _saved_model(spark, sf_dir)
-    scored = ML.score(PipelineModel.load(path), _labelled(spark, sf_dir))
+    rows = _labelled_rows(spark, sf_dir)
+    path, _ = _saved_model(spark, rows)
+    scored = ML.score(PipelineModel.load(path), rows)
     return scored.select("st", "d", F.col("prediction_level").alias("risk"))
 
 
