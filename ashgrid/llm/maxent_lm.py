@@ -58,7 +58,7 @@ FAMILY = 8
 FAMILIES = HEAD_CLASSES // FAMILY
 CHOICES = FAMILIES + CLASSES - HEAD_CLASSES
 CLASS_ROWS, WORD_ROWS = 1 << 14, 1 << 14
-ROUNDS, STEP, BATCH = 2, 0.1, 4096
+ROUNDS, STEP, BATCH = 2, 0.1, 8192
 BLOCKS = 32
 #: upper bits of a hash that lead to the first known word with them
 PLACES = 20
