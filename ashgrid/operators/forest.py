@@ -203,9 +203,17 @@ def _quality(s: np.ndarray, regression: bool) -> tuple[np.ndarray, np.ndarray]:
 
 
 def impurity(s: np.ndarray, regression: bool) -> np.ndarray:
-    w, q = _quality(s, regression)
+    """Gini by shares as MLlib has it: exactly 0 for one class whatever its weight, so that
+    pure categories stay in their own order."""
     with np.errstate(divide="ignore", invalid="ignore"):
-        return np.where(w > 0, ((s[..., 2] if regression else w) - q) / w, 0.0)
+        if regression:
+            w, q = _quality(s, True)
+            return np.where(w > 0, (s[..., 2] - q) / w, 0.0)
+        w = s.sum(-1)
+        found = np.ones(w.shape)
+        for k in range(s.shape[-1]):
+            found -= (s[..., k] / w) ** 2
+        return np.where(w > 0, found, 0.0)
 
 
 def _order(p: Plan, have: np.ndarray, stats: np.ndarray) -> np.ndarray:

@@ -44,7 +44,7 @@ def test_every_split_is_the_best_one(monkeypatch, regression, nominal):
     n, width = 400, 3
     bins = rng.integers(0, 9, (n, width)).astype(np.uint8)
     codes = ((bins[:, 0] + bins[:, 1] // 2 + rng.integers(0, 3, n)) // 4).clip(0, 2).astype(np.uint8)
-    p = FR.Plan(4, 5, 3, width, width, 10, 42, regression, ((0.0, 0.5), (1.0, 2.0), (2.0, 1.25)), n, nominal)
+    p = FR.Plan(4, 5, 3, width, width, 10, 42, regression, ((0.0, 0.1), (1.0, 0.7), (2.0, 1 / 3)), n, nominal)
     t = FR.grow(p, bins, codes, 1)
     times = np.random.default_rng([42, 1]).poisson(1.0, n)
     assert t.counts[0].tolist() == np.bincount(codes, weights=times, minlength=3).tolist()
@@ -121,3 +121,11 @@ def test_what_stays_with_mllib(spark, table, monkeypatch):
     assert FR.plan(rf, rows.withColumn("__y", F.expr("nullif(__y, 1.0)")), 3, 32) is None  # MLlib says what is wrong
     monkeypatch.setattr(FR, "MOST_BYTES", 3000 * 4 - 1)
     assert FR.plan(rf, rows, 3, 32) is None  # a task would hold too much
+
+
+def test_pure_categories_keep_their_order():
+    """One class has impurity 0 whatever its weight: categories of one class each are not dealt at random."""
+    have = np.zeros((200, 12, 3))
+    have[:, np.arange(12), np.arange(12) // 4] = np.random.default_rng(1).integers(1, 9999, (200, 12))
+    p = FR.Plan(2, 5, 1, 1, 1, 12, 1, False, ((0.0, 0.1), (1.0, 0.7123), (2.0, 1 / 3)), 200, True)
+    assert (FR._order(p, have, p.stats()) == np.arange(12)).all()
