@@ -36,7 +36,7 @@ from ..session import scratch_path
 #: fewer rows than this are MLlib's; so are tables whose packed rows have more bytes
 LEAST_ROWS, MOST_BYTES = 1 << 18, 1 << 28
 #: rows of a packed block; rows and bytes of counts that a tree handles at once
-BLOCK, SLICE, COUNTS = 1 << 16, 1 << 17, 1 << 25
+BLOCK, SLICE, COUNTS = 1 << 16, 1 << 17, 1 << 24
 #: open nodes in more blocks than this have their rows sorted, else each block looks at all rows
 MANY = 24
 POINTS = 512
@@ -421,6 +421,8 @@ def _dealt(spark: SparkSession, folder: str, p: Plan, work, schema: str) -> Data
                     codes[starts[chunk]:starts[chunk] + many] = np.frombuffer(batch.column("codes")[i].as_buffer(), np.uint8)
                 else:
                     tests[chunk] = (rows.copy(), batch.column("codes")[i].as_py() if 0 in seen else None)
+        batch = rows = None  # what Arrow holds is not needed while trees grow
+        pa.default_memory_pool().release_unused()
         for g in sorted(seen):
             yield from work(g, range(g, p.trees, groups), bins, codes, tests)
 
