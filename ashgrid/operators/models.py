@@ -5,7 +5,8 @@ run as Spark jobs; metrics are the one-pass aggregates of ``metrics``.  The
 only values brought to the driver are model metadata (importances, node
 counts), whose size is the number of features.  Forests keep the node of every
 row and tree (``cacheNodeIds``): a level costs one look instead of a walk from
-the root, and the trees are the same.
+the root, and the trees are the same.  Forests over many rows are grown by
+``forest``, a tree in a task, and read back as MLlib models.
 """
 
 from __future__ import annotations
@@ -24,6 +25,7 @@ from pyspark.sql import functions as F
 from .. import contract as C
 from ..functions.scalar import clip_round_rating
 from ..session import scratch_path
+from . import forest as FR
 from . import metrics as M
 
 LABEL = "DANGER_RATING"
@@ -101,17 +103,54 @@ def spread(train: DataFrame) -> DataFrame:
     return train.repartition(parts) if parts > r["parts"] else train
 
 
-def fit(pipe: Pipeline, train: DataFrame, label: str = LABEL) -> PipelineModel:
-    """A forest reads its rows several times before it keeps them (classes, counts,
-    split points, bags), so their plan runs once and writes them to the shared folder."""
-    df = _label(train, label)
+def _forest_rows(pipe: Pipeline, df: DataFrame) -> DataFrame:
+    """A forest reads its rows several times (classes, counts, split points, bags), so
+    their plan runs once and writes them to the shared folder."""
     learner = pipe.getStages()[-1]
-    if not isinstance(learner, (RandomForestClassifier, RandomForestRegressor)):
-        return pipe.fit(df)
     used = [*pipe.getStages()[0].getInputCols(), "__y", *([learner.getWeightCol()] if learner.isSet("weightCol") else [])]
     path = scratch_path(df.sparkSession, "forest-rows")
     df.select(*dict.fromkeys(used)).write.parquet(path)
-    return pipe.fit(spread(df.sparkSession.read.parquet(path)))
+    return df.sparkSession.read.parquet(path)
+
+
+def _grown(pipe: Pipeline, rows: DataFrame, path: str) -> bool:
+    """Write the pipeline with its forest to ``path``, in MLlib's format, where ``forest``
+    can grow it.  MLlib fits and saves the same pipeline on two rows of each label and
+    weight; the nodes of that forest are replaced."""
+    spark, (asm, learner) = rows.sparkSession, pipe.getStages()
+    columns = asm.getInputCols()
+    how = FR.plan(learner, rows, len(columns), learner.getMaxBins())
+    if how is None:
+        return False
+    rows = rows.withColumn("__w", F.col(learner.getWeightCol()).cast("double") if learner.isSet("weightCol") else F.lit(1.0))
+    cuts = FR.thresholds(rows, columns, how.bins)
+    folder = FR.packed(spark, FR.pack(rows, columns, cuts, how.pairs))
+    few = spark.createDataFrame([(y, w, float(i)) for y, w in how.pairs for i in (0, 1)], "__y double, w double, x double")
+    few = few.select("__y", *([F.col("w").alias(learner.getWeightCol())] if learner.isSet("weightCol") else []), *[F.col("x").alias(c) for c in columns])
+    shell = pipe.fit(few)
+    shell.write().overwrite().save(path)
+    FR.node_rows(spark, folder, how, cuts).write.mode("overwrite").parquet(f"{path}/stages/1_{shell.stages[-1].uid}/data")
+    return True
+
+
+def fit(pipe: Pipeline, train: DataFrame, label: str = LABEL) -> PipelineModel:
+    df = _label(train, label)
+    if not isinstance(pipe.getStages()[-1], (RandomForestClassifier, RandomForestRegressor)):
+        return pipe.fit(df)
+    rows, path = _forest_rows(pipe, df), scratch_path(df.sparkSession, "forest")
+    return PipelineModel.load(path) if _grown(pipe, rows, path) else pipe.fit(spread(rows))
+
+
+def fit_to(path: str, pipe: Pipeline, train: DataFrame, label: str = LABEL) -> dict[str, int]:
+    """Fit a forest and save it; its size (``model_size``).  A large forest goes from the
+    tasks to the folder and is not loaded here."""
+    rows = _forest_rows(pipe, _label(train, label))
+    if _grown(pipe, rows, path):
+        nodes = rows.sparkSession.read.parquet(f"{path}/stages/*/data").count()
+        return {"trees": pipe.getStages()[-1].getNumTrees(), "total_nodes": nodes}
+    model = pipe.fit(spread(rows))
+    model.write().overwrite().save(path)
+    return model_size(model)
 
 
 # ML-13
