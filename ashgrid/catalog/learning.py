@@ -192,15 +192,14 @@ def feature_importance(spark: SparkSession, sf_dir: str) -> DataFrame:
 @register("model_size")
 def model_size(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-15: node count and bytes on disk for two size caps, with the ratio."""
-    df = _weighted(_labelled(spark, sf_dir))
+    df = _weighted(_labelled_rows(spark, sf_dir))
     rows = []
     for depth, leaf in ((20, 1), (6, 50)):
-        m = ML.fit(ML.rf_classifier(ML_FEATURES, 100, depth, leaf), df)
         p = scratch_path(spark, "model-size")
-        m.write().overwrite().save(p)
+        size = ML.fit_to(p, ML.rf_classifier(ML_FEATURES, 100, depth, leaf), df)
         nbytes = spark.read.format("binaryFile").option("recursiveFileLookup", True).load(p).agg(F.sum("length")).scalar()
         rows.append(spark.range(1).select(F.lit(depth).alias("max_depth"), F.lit(leaf).alias("min_leaf"),
-                                          F.lit(ML.model_size(m)["total_nodes"]).alias("total_nodes"),
+                                          F.lit(size["total_nodes"]).alias("total_nodes"),
                                           nbytes.alias("bytes")))
     both = rows[0].unionByName(rows[1])
     return both.withColumn("ratio", F.max("bytes").over(Window.partitionBy(F.lit(0))) / F.col("bytes"))
