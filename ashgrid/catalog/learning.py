@@ -141,18 +141,15 @@ def bakeoff_by_class(spark: SparkSession, sf_dir: str) -> DataFrame:
     return BO.bakeoff(data, chosen)[1]
 
 
-def _saved_model(spark, rows: DataFrame) -> tuple[str, PipelineModel]:
-    model = ML.fit(ML.rf_classifier(ML_FEATURES, 100, 25, 50), _weighted(rows))
+def _saved_model(spark, rows: DataFrame) -> tuple[str, dict[str, int]]:
     path = scratch_path(spark, "model")
-    model.write().overwrite().save(path)
-    return path, model
+    return path, ML.fit_to(path, ML.rf_classifier(ML_FEATURES, 100, 25, 50), _weighted(rows))
 
 
 @register("refit_full")
 def refit_full(spark: SparkSession, sf_dir: str) -> DataFrame:
     """ML-12: after validation, refit on all rows and save."""
-    path, model = _saved_model(spark, _labelled_rows(spark, sf_dir))
-    size = ML.model_size(model)
+    path, size = _saved_model(spark, _labelled_rows(spark, sf_dir))
     return spark.range(1).select(F.lit(path).alias("path"), F.lit(size["trees"]).alias("trees"),
                                  F.lit(size["total_nodes"]).alias("total_nodes"))
 
